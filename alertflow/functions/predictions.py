@@ -24,7 +24,10 @@ def route_status(df: DataFrame, probs: str, image_ok: Column, metadata_ok: Colum
     scored = ok & ~bad & F.col(probs).isNotNull()
     cols = [F.when(scored, F.col(probs).getItem(i).cast("double")).otherwise(F.lit(0.0)).alias(f"prob_{lab}")
             for i, lab in enumerate(labels)]
-    return df.select("*", status.alias("clase_predicha"),
+    produced = {"clase_predicha", "confianza", "image_processed", "metadata_processed",
+                *[f"prob_{lab}" for lab in labels]}
+    keep = [F.col(c) for c in df.columns if c not in produced]
+    return df.select(*keep, status.alias("clase_predicha"),
                      F.when(scored, confidence(probs).cast("double")).otherwise(F.lit(0.0)).alias("confianza"),
                      *cols, image_ok.alias("image_processed"), metadata_ok.alias("metadata_processed"))
 

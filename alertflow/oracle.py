@@ -300,3 +300,20 @@ sql("load_folders", "SELECT CAST(event_id % 3 AS INTEGER) AS folder_rank, count(
 sql("read_class_partition", "SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'purchase'")
 sql("write_by_class", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 sql("dataset_roundtrip", "SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS first_value FROM embeddings")
+
+# ---------------------------------------------------------------- streaming, CSV, cutouts
+
+sql("stream_source", "SELECT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, CAST(props->>'k' AS INTEGER) AS k FROM events")
+sql("stream_join", "SELECT a.event_id AS alert_id, 'obj_' || CAST(a.user_id AS VARCHAR) AS object_id, a.value, b.props "
+    "FROM events a JOIN events b ON a.event_id = b.event_id AND a.user_id = b.user_id "
+    "AND b.ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts + INTERVAL 1 HOUR")
+sql("stream_dedup", "SELECT DISTINCT 'obj_' || CAST(user_id AS VARCHAR) AS object_id FROM events")
+sql("prediction_csv", _prediction_row_sql())
+_CUT_SRC = "((2 + (pos % 16) // 4) * 8 + 2 + (pos % 16) % 4)"
+sql("cutout_ingest", f"""
+SELECT vec_id, CAST(pos AS INTEGER) AS pos,
+  CASE pos // 16
+    WHEN 0 THEN CASE WHEN vec_id % 23 = 0 AND {_CUT_SRC} = 27 THEN 0.0 ELSE CAST(embedding[1 + {_CUT_SRC}] AS DOUBLE) END
+    WHEN 1 THEN -CAST(embedding[1 + {_CUT_SRC}] AS DOUBLE)
+    ELSE CAST(embedding[1 + {_CUT_SRC}] AS DOUBLE) * 2 END AS value
+FROM embeddings, range(0, 48) t(pos) WHERE vec_id % 17 <> 0 AND vec_id % 19 <> 0""")

@@ -1 +1,223 @@
-"""Registry entries for streaming, model and cutout keys (import side effect)."""
+"""Registry entries for streaming, model, cutout and CSV keys.
+
+Streaming keys run a real Structured Streaming query over file twins of the
+topics (``availableNow``: every file, several micro-batches, checkpointed),
+into a Parquet sink under the shared folder, and return a batch read of it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from alertflow import schemas as S
+from alertflow.functions import images as I
+from alertflow.functions import metadata as M
+from alertflow.functions.metadata import parse_json
+from alertflow.functions.predictions import prediction_row, route_status
+from alertflow.operators import cutouts as C
+from alertflow.operators import model as ML
+from alertflow.operators import ranking as R
+from alertflow.operators.scaler import fit_scaler
+from alertflow.plans import standins as SI
+from alertflow.registry import _explode, _t, query
+from alertflow.session import scratch_path
+from alertflow.sinks import writers as W
+from alertflow.streaming import classify as CL
+from alertflow.streaming import sources as SS
+from alertflow.streaming.stateful import dedup_stream, join_streams
+
+
+def _run_to_parquet(stream: DataFrame, name: str, spark: SparkSession) -> DataFrame:
+    base = scratch_path(spark, name)
+    q = (stream.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out")
+
+
+def _file_twin(df: DataFrame, spark: SparkSession, name: str, files: int = 4, order: str = "ts") -> str:
+    return SS.write_time_ordered(df, scratch_path(spark, name), files, order)
+
+
+def _events_ts(spark, d) -> DataFrame:
+    # streaming watermarks need TIMESTAMP (with zone); the tables hold TIMESTAMP_NTZ
+    return _t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("stream_source")
+def q_stream_source(spark, d):
+    v = _events_ts(spark, d)
+    msgs = v.select(F.encode(SI.object_key(), "UTF-8").alias("key"), F.encode("props", "UTF-8").alias("value"),
+                    F.lit(S.METADATA_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
+    path = scratch_path(spark, "topic_twin")
+    SS.write_message_twin(msgs, path, files=4)
+    raw = SS.message_stream(spark, S.METADATA_TOPIC, path=path, max_per_trigger=1)
+    parsed = raw.select(F.col("key").cast("string").alias("object_id"),
+                        parse_json(F.col("value").cast("string"), "k INT").getField("k").alias("k"))
+    return _run_to_parquet(parsed, "stream_source", spark)
+
+
+@query("stream_join")
+def q_stream_join(spark, d):
+    v = _events_ts(spark, d).select(F.col("event_id").alias("alert_id"), SI.object_key().alias("object_id"),
+                                    "value", "props", "ts")
+    # one time-ordered file set read as two streams: both sides advance
+    # together, so no record arrives behind the watermark
+    path = _file_twin(v, spark, "join_twin")
+    schema = spark.read.parquet(path).schema
+
+    def side():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    ls = side().select("alert_id", "object_id", "value", F.col("ts").alias("meta_time"))
+    rs = side().select("alert_id", "object_id", "props", F.col("ts").alias("image_time"))
+    j = join_streams(ls, rs, ["object_id", "alert_id"], "meta_time", "image_time", watermark="1 hour", bound="1 hour")
+    out = _run_to_parquet(j.select("alert_id", "object_id", "value", "props"), "stream_join", spark)
+    return out
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, d):
+    v = _events_ts(spark, d).select(SI.object_key().alias("object_id"), "event_id", "ts")
+    path = _file_twin(v, spark, "dedup_twin")
+    s = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = _run_to_parquet(dedup_stream(s, ["object_id"]).select("object_id"), "stream_dedup", spark)
+    return out
+
+
+# ---------------------------------------------------------------- classifier stand-in
+
+_STREAM_SHAPE = (SI.CUBE_H, SI.CUBE_W, SI.CUBE_C)
+_EVENT_CLASS = {"click": "AGN", "view": "QSO", "purchase": "VS", "signup": "YSO", "error": "Other"}
+
+
+def _alert_rows(spark, d) -> DataFrame:
+    """Per alert: metadata (23 columns), an HWC image derived from ``value``,
+    a 5-class label from ``event_type``; every 17th image has a bad size."""
+    v = _events_ts(spark, d)
+    img = F.transform(F.sequence(F.lit(0), F.lit(SI.CUBE_VALUES - 1)),
+                      lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
+    lab = F.lit("Other")
+    for t, c in _EVENT_CLASS.items():
+        lab = F.when(F.col("event_type") == t, F.lit(c)).otherwise(lab)
+    alerts = SI.alerts_from_events(v, extra=[img.alias("hwc"), lab.alias("label")])
+    rows = M.project_alerts(alerts.withColumnRenamed("candid", "alert_id"), keep=["alert_id", "ts", "hwc", "label"])
+    packed = I.pack_float32("hwc")
+    bad = F.col("alert_id") % 17 == 0
+    return rows.withColumn("image_data", F.when(bad, F.substring(packed, 1, 100)).otherwise(packed)).drop("hwc")
+
+
+def _train_stream_model(spark, rows: DataFrame):
+    cleaned = rows.select("*")
+    stats = fit_scaler(M.sentinel_fill(cleaned, S.METADATA_COLUMNS), S.METADATA_COLUMNS).checkpoint(eager=True)
+    prepared = CL.prepare(rows, stats, S.METADATA_COLUMNS, _STREAM_SHAPE)
+    model = ML.train(prepared.where("image_processed"), "label", S.CLASS_LABELS, kind="lr", max_iter=20)
+    return model, stats
+
+
+@query("stream_classify")
+def q_stream_classify(spark, d):
+    rows = _alert_rows(spark, d)
+    model, stats = _train_stream_model(spark, rows)
+    meta_msgs = rows.select(F.encode("object_id", "UTF-8").alias("key"),
+                            F.encode(F.to_json(F.struct(*S.METADATA_COLUMNS), {"ignoreNullFields": "false"}),
+                                     "UTF-8").alias("value"),
+                            F.lit(S.METADATA_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
+    img_msgs = rows.select(F.encode("object_id", "UTF-8").alias("key"), F.col("image_data").alias("value"),
+                           F.lit(S.IMAGE_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
+    path = scratch_path(spark, "classify_topics")
+    SS.write_message_twin(meta_msgs, path, files=4)
+    SS.write_message_twin(img_msgs, path, files=4)
+    meta_s = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, path=path, max_per_trigger=2))
+    img_s = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, path=path, max_per_trigger=2))
+    joined = join_streams(img_s, meta_s, ["object_id"], "image_time", "meta_time", watermark="1 hour", bound="1 hour")
+    # one event-time column downstream of the join (the image's)
+    deduped = dedup_stream(joined.drop("meta_time"), ["object_id"])
+    out_root = scratch_path(spark, "predictions")
+    run = CL.batch_writer(model, S.CLASS_LABELS, stats, out_root, S.METADATA_COLUMNS, _STREAM_SHAPE)
+    q = CL.start(deduped, run, f"{out_root}_checkpoint", available_now=True)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return (spark.read.option("header", True).schema(S.PREDICTION_SCHEMA).csv(out_root)
+            .select(*S.PREDICTION_HEADER))
+
+
+@query("prediction_csv")
+def q_prediction_csv(spark, d):
+    e = _t(spark, d, "embeddings")
+    df = e.select(F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("object_id"),
+                  I.score_normalize(SI.scores()).alias("p"),
+                  F.col("embedding")[5].cast("double").alias("ra"), F.col("embedding")[6].cast("double").alias("dec"))
+    routed = route_status(df, "p", F.lit(True), F.lit(True))
+    rows = prediction_row(routed, stamp=F.lit(None).cast("string"))
+    rows = rows.select(*[F.round(c, 6).alias(c) if c.startswith("prob_") or c == "confianza" else c
+                         for c in rows.columns])
+    root = scratch_path(spark, "prediction_csv")
+    W.write_predictions_csv(rows, root, 0)
+    return spark.read.option("header", True).schema(S.PREDICTION_SCHEMA).csv(root).select(*S.PREDICTION_HEADER)
+
+
+# ---------------------------------------------------------------- cutouts
+
+@F.pandas_udf("binary")
+def _fits_gzip(arr, kind):
+    """Fixture encoder: 8x8 float image (or a defect) -> gzip FITS bytes."""
+    import numpy as np
+    import pandas as pd
+    out = []
+    for a, k in zip(arr, kind):
+        img = np.asarray(a, dtype=np.float32)
+        if k == "broken":
+            out.append(b"\x1f\x8bnot-a-gzip")
+            continue
+        if k == "short":
+            out.append(C.encode_stamp(img[:56].reshape(7, 8)))
+            continue
+        img = img.reshape(8, 8).copy()
+        if k == "nan":
+            img[3, 3] = np.nan
+        out.append(C.encode_stamp(img))
+    return pd.Series(out)
+
+
+def _stamp_alerts(spark, d) -> DataFrame:
+    e = _t(spark, d, "embeddings")
+    vid = F.col("vec_id")
+    sci_kind = F.when(vid % 17 == 0, "broken").when(vid % 23 == 0, "nan").otherwise("ok")
+    diff_kind = F.when(vid % 19 == 0, "short").otherwise("ok")
+    ok = F.lit("ok")
+    neg = F.transform("embedding", lambda x: -x)
+    dbl = F.transform("embedding", lambda x: x * F.lit(2.0).cast("float"))
+    return e.select(vid.alias("candid"),
+                    F.struct(_fits_gzip("embedding", sci_kind).alias("stampData")).alias("cutoutScience"),
+                    F.struct(_fits_gzip(neg, ok).alias("stampData")).alias("cutoutTemplate"),
+                    F.struct(_fits_gzip(dbl, diff_kind).alias("stampData")).alias("cutoutDifference"))
+
+
+@query("cutout_ingest")
+def q_cutout_ingest(spark, d):
+    alerts = _stamp_alerts(spark, d)
+    decoded = C.ingest_cutouts(alerts, ["candid"], shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
+    good = C.valid_alerts(decoded)
+    cube = good.select(F.col("candid").alias("vec_id"),
+                       I.stack_channels(*[F.col(c) for c in S.CUTOUT_CHANNELS]).alias("cube"))
+    return _explode(cube, "vec_id", "cube")
+
+
+# ---------------------------------------------------------------- train and score
+
+@query("train_score")
+def q_train_score(spark, d):
+    e = _t(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"), "embedding")
+    classes = [str(i) for i in range(SI.N_LABELS)]
+    split = R.stratified_split(e, "vec_id", "label")
+    train = ML.augment_rotations(split.where(F.col("split") == "train"), "embedding", SI.IMG_H, SI.IMG_W)
+    train = ML.assemble(train, "embedding", [])
+    model = ML.train(train, "label", classes, kind="mlp", n_features=SI.IMG_H * SI.IMG_W, max_iter=30, hidden=(32,))
+    test = ML.assemble(split.where(F.col("split") == "test"), "embedding", [])
+    scored = ML.score(model, test)
+    return scored.select("vec_id", "label", I.argmax_label("probs", classes).alias("predicted"))

@@ -48,8 +48,9 @@ def props_k(props: str = "props") -> Column:
     return F.from_json(F.col(props), "k INT").getField("k")
 
 
-def alerts_from_events(events: DataFrame) -> DataFrame:
-    """Nested alert records (objectId, candid, candidate{...}, sky frames)."""
+def alerts_from_events(events: DataFrame, extra: list[Column] | None = None) -> DataFrame:
+    """Nested alert records (objectId, candid, candidate{...}, sky frames);
+    ``extra`` columns are carried along in the same projection."""
     v = F.col("value")
     eid = F.col("event_id")
     cand = []
@@ -78,6 +79,7 @@ def alerts_from_events(events: DataFrame) -> DataFrame:
         *top,
         *[stamp.alias(c) for c in S.CUTOUT_CHANNELS],
         F.col("ts"),
+        *(extra or []),
     )
 
 
