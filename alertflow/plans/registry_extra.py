@@ -134,12 +134,10 @@ def q_stream_classify(spark, d):
     SS.write_message_twin(img_msgs, path, files=4)
     meta_s = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, path=path, max_per_trigger=2))
     img_s = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, path=path, max_per_trigger=2))
-    joined = join_streams(img_s, meta_s, ["object_id"], "image_time", "meta_time", watermark="1 hour", bound="1 hour")
-    # one event-time column downstream of the join (the image's)
-    deduped = dedup_stream(joined.drop("meta_time"), ["object_id"])
+    joined = CL.first_pairs(meta_s, img_s)
     out_root = scratch_path(spark, "predictions")
     run = CL.batch_writer(model, S.CLASS_LABELS, stats, out_root, S.METADATA_COLUMNS, _STREAM_SHAPE)
-    q = CL.start(deduped, run, f"{out_root}_checkpoint", available_now=True)
+    q = CL.start(joined, run, f"{out_root}_checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     # Arrow batch of the Python workers: bounds memory per batch of images.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # Streaming state outside the JVM heap, so large join/dedup state spills.
     "spark.sql.streaming.stateStore.providerClass":

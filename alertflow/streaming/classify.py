@@ -21,6 +21,7 @@ from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import model as ML
 from alertflow.operators.scaler import apply_scaler
 from alertflow.sinks.writers import write_predictions_csv
+from alertflow.streaming.stateful import dedup_stream, join_streams
 
 
 def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_COLUMNS,
@@ -74,6 +75,22 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
     return run
 
 
+def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_id",)) -> DataFrame:
+    """First metadata record and first image of every object, paired.
+
+    Each side is deduplicated *before* the join (first-seen wins, state in the
+    store, kept for the life of the query like the source's processed-id set),
+    so the join holds at most one row per object per side and emits at most
+    one pair per object -- an object with a million alerts costs one state
+    entry, never a million-squared pairs. Equivalent to the source's join +
+    per-batch dedup + processed-id filter (which keeps one pair per object).
+    """
+    keys = list(keys)
+    m = dedup_stream(meta, keys).drop("meta_time")
+    i = dedup_stream(images, keys)
+    return join_streams(i, m, keys)
+
+
 def start(joined: DataFrame, run, checkpoint: str, trigger_seconds: int | None = 15,
           available_now: bool = False, name: str | None = None):
     """Start the micro-batch query (append mode, checkpointed)."""
