@@ -23,6 +23,7 @@ from alertflow.operators.scaler import fit_scaler
 from alertflow.plans import standins as SI
 from alertflow.registry import _explode, _t, query
 from alertflow.session import scratch_path
+from alertflow.sources.alerts import read_predictions
 from alertflow.sinks import writers as W
 from alertflow.streaming import classify as CL
 from alertflow.streaming import sources as SS
@@ -141,8 +142,7 @@ def q_stream_classify(spark, d):
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return (spark.read.option("header", True).schema(S.PREDICTION_SCHEMA).csv(out_root)
-            .select(*S.PREDICTION_HEADER))
+    return read_predictions(spark, out_root)
 
 
 @query("prediction_csv")
@@ -157,7 +157,7 @@ def q_prediction_csv(spark, d):
                          for c in rows.columns])
     root = scratch_path(spark, "prediction_csv")
     W.write_predictions_csv(rows, root, 0)
-    return spark.read.option("header", True).schema(S.PREDICTION_SCHEMA).csv(root).select(*S.PREDICTION_HEADER)
+    return read_predictions(spark, root)
 
 
 # ---------------------------------------------------------------- cutouts

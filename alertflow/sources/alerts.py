@@ -91,3 +91,9 @@ def read_class_partition(spark: SparkSession, root: str, label_col: str = "label
     if classes:
         df = df.where(F.col(label_col).isin(classes))
     return df
+
+
+def read_predictions(spark: SparkSession, root: str, with_batch: bool = False) -> DataFrame:
+    """Prediction CSV folders (``batch_id=<n>/``) as the 34-column table."""
+    df = spark.read.option("header", True).schema(S.PREDICTION_SCHEMA).csv(root)
+    return df.select(*S.PREDICTION_HEADER, *(["batch_id"] if with_batch else []))
