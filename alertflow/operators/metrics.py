@@ -49,7 +49,11 @@ def _safe_div(a: Column, b: Column) -> Column:
 
 def classification_report(df: DataFrame, true_col: str, pred_col: str, classes: list) -> DataFrame:
     """Per-class precision/recall/F1/support plus accuracy, macro and weighted
-    averages; 0 where undefined. Output columns: label, precision, recall, f1, support."""
+    averages; 0 where undefined. Output columns: label, precision, recall, f1, support.
+
+    One pass over the predictions: a single aggregate row holds the per-class
+    counts; every metric is derived from that row with array functions.
+    """
     pairs = pair_counts(df, true_col, pred_col)
     per = []
     for c in classes:
@@ -59,30 +63,35 @@ def classification_report(df: DataFrame, true_col: str, pred_col: str, classes:
             F.coalesce(F.sum(F.when((F.col(true_col) == lit) & (F.col(pred_col) == lit), F.col("n"))), F.lit(0)).alias("tp"),
             F.coalesce(F.sum(F.when(F.col(true_col) == lit, F.col("n"))), F.lit(0)).alias("support"),
             F.coalesce(F.sum(F.when(F.col(pred_col) == lit, F.col("n"))), F.lit(0)).alias("predicted")))
-    one = pairs.agg(F.array(*per).alias("per"), F.sum("n").alias("total"),
+    one = pairs.agg(F.array(*per).alias("per"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
                     F.coalesce(F.sum(F.when(F.col(true_col) == F.col(pred_col), F.col("n"))), F.lit(0)).alias("correct"))
-    rows = one.select(F.inline("per"), "total", "correct")
-    p = _safe_div(F.col("tp"), F.col("predicted"))
-    r = _safe_div(F.col("tp"), F.col("support"))
-    per_class = (rows.withColumn("precision", p).withColumn("recall", r)
-                 .withColumn("f1", _safe_div(2 * F.col("precision") * F.col("recall"),
-                                             F.col("precision") + F.col("recall"))))
+
+    def metrics(s):
+        p = _safe_div(s["tp"], s["predicted"])
+        r = _safe_div(s["tp"], s["support"])
+        return F.struct(s["label"].alias("label"), p.alias("precision"), r.alias("recall"),
+                        _safe_div(2 * p * r, p + r).alias("f1"), s["support"].cast("long").alias("support"))
+
+    rows = one.select(F.transform("per", metrics).alias("m"), "total", "correct")
     k = len(classes)
-    summary = per_class.groupBy().agg(
-        F.first("total").alias("total"), F.first("correct").alias("correct"),
-        (F.sum("precision") / k).alias("mp"), (F.sum("recall") / k).alias("mr"), (F.sum("f1") / k).alias("mf"),
-        _safe_div(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-        _safe_div(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-        _safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"))
+
+    def total(field, weighted):
+        if weighted:
+            return F.aggregate("m", F.lit(0.0), lambda a, s: a + s[field] * s["support"])
+        return F.aggregate("m", F.lit(0.0), lambda a, s: a + s[field])
+
     acc = _safe_div(F.col("correct"), F.col("total"))
-    extra = summary.select(F.inline(F.array(
+    n = F.aggregate("m", F.lit(0).cast("long"), lambda a, s: a + s["support"])
+    summary = F.array(
         F.struct(F.lit("accuracy").alias("label"), acc.alias("precision"), acc.alias("recall"), acc.alias("f1"),
                  F.col("total").cast("long").alias("support")),
-        F.struct(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("total").cast("long").alias("support")),
-        F.struct(F.lit("weighted avg").alias("label"), F.col("wp").alias("precision"), F.col("wr").alias("recall"),
-                 F.col("wf").alias("f1"), F.col("total").cast("long").alias("support")))))
-    return per_class.select("label", "precision", "recall", "f1", F.col("support").cast("long")).unionByName(extra)
+        F.struct(F.lit("macro avg").alias("label"), (total("precision", False) / k).alias("precision"),
+                 (total("recall", False) / k).alias("recall"), (total("f1", False) / k).alias("f1"),
+                 n.alias("support")),
+        F.struct(F.lit("weighted avg").alias("label"), _safe_div(total("precision", True), n).alias("precision"),
+                 _safe_div(total("recall", True), n).alias("recall"), _safe_div(total("f1", True), n).alias("f1"),
+                 n.alias("support")))
+    return rows.select(F.inline(F.concat("m", summary)))
 
 
 def top_confusions(df: DataFrame, true_col: str, pred_col: str, k: int = 5) -> DataFrame:

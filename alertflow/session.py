@@ -52,8 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        # static config: cannot be set on a running session, so register the
+        # folder with the context only
         d = tempfile.mkdtemp(prefix="alertflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")

@@ -66,12 +66,23 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
     """``foreachBatch`` callback: skip empty batches, dedup inside the batch,
     classify, write ``batch_id=<n>/`` (overwrite = idempotent on replay).
     Errors propagate: the batch fails and is retried, nothing is lost."""
+    from pyspark.sql import Observation
+
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         one = batch.dropDuplicates(["object_id"])
         preds = classify(one, model, classes, stats, meta_cols, shape)
+        # batch summary gathered while the rows are written (no second pass)
+        obs = Observation(f"batch_{batch_id}")
+        ok = (~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)).cast("long")
+        preds = preds.observe(obs, F.count(F.lit(1)).alias("new_objects"), F.sum(ok).alias("scored"))
         write_predictions_csv(preds, out_root, batch_id)
+        m = obs.get
+        n, scored = int(m.get("new_objects") or 0), int(m.get("scored") or 0)
+        run.summaries.append({"batch_id": batch_id, "new_objects": n, "scored": scored,
+                              "success_rate": 100.0 * scored / max(n, 1)})
+    run.summaries = []
     return run
 
 
@@ -104,6 +115,16 @@ def start(joined: DataFrame, run, checkpoint: str, trigger_seconds: int | None =
     return w.start()
 
 
+def run_until_stopped(query, timeout_s: float | None = None) -> dict:
+    """Block until the query ends (or ``timeout_s``), stop it, return its last progress."""
+    try:
+        query.awaitTermination(timeout_s)
+    finally:
+        last = query.lastProgress
+        query.stop()
+    return last or {}
+
+
 def batch_summary(predictions: DataFrame) -> DataFrame:
     """Rows, objects, scored and success rate of written prediction rows."""
     ok = ~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)

@@ -121,3 +121,21 @@ def test_metadata_messages_roundtrip(spark):
     out = scratch_path(spark, f"twin_{uuid.uuid4().hex}")
     W.publish(msgs.withColumn("timestamp", F.current_timestamp()), path=out)
     assert spark.read.parquet(out).count() == 1
+
+
+def test_truncated_file_between_good_ones_is_skipped(spark):
+    base = scratch_path(spark, "trunc").replace("file:", "")
+    alerts = spark.createDataFrame([(f"o{i}", i) for i in range(6)], "objectId string, candid long")
+    for i in range(3):
+        alerts.where(F.col("candid") % 3 == i).coalesce(1).write.parquet(f"{base}/part{i}")
+    os.makedirs(f"{base}/all", exist_ok=True)
+    import glob
+    import shutil
+    for i in range(3):
+        src = glob.glob(f"{base}/part{i}/*.parquet")[0]
+        shutil.copy(src, f"{base}/all/f{i}.parquet")
+    with open(f"{base}/all/f1.parquet", "r+b") as fh:  # the middle file is cut short
+        fh.truncate(20)
+    got = SRC.scan_alerts(spark, f"{base}/all", fmt="parquet", glob="*.parquet",
+                          schema=alerts.schema).collect()
+    assert sorted(r.candid for r in got) == [0, 2, 3, 5]

@@ -110,3 +110,4 @@ def test_classifier_batch_is_idempotent_and_routes(spark, tmp_path):
                       + F.col("prob_Other")).alias("s")).collect()
     assert all(abs(r.s - 1) < 1e-6 for r in sums)
     assert [f.name for f in got.schema.fields] == S.PREDICTION_HEADER
+    assert run.summaries[-1]["new_objects"] == 40 and run.summaries[-1]["scored"] == 40 - 6
