@@ -1,13 +1,26 @@
-"""Dataset preparation plans (the batch side of the pipeline)."""
+"""Dataset preparation and training plans (the batch side of the pipeline).
+
+Each function composes the operators into one lazy plan; the shuffles are
+the dedup aggregate, the catalogue join and the rank of the balanced sample.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertflow import schemas as S
+from alertflow.functions import images as I
+from alertflow.functions import metadata as M
+from alertflow.operators import cutouts as C
+from alertflow.operators import dedup as D
 from alertflow.operators import joins as J
 from alertflow.operators import metrics as X
+from alertflow.operators import model as ML
+from alertflow.operators import ranking as R
+from alertflow.operators.scaler import apply_scaler, fit_scaler
 from alertflow.plans import standins as SI
+from alertflow.sinks.writers import write_by_class
 
 
 def labelled_per_class(spark: SparkSession, d: str) -> DataFrame:
@@ -15,3 +28,73 @@ def labelled_per_class(spark: SparkSession, d: str) -> DataFrame:
     docs = SI.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("object_id"))
     labels = J.catalog_labels(SI.catalog_from_labels(SI.table(spark, d, "labels")))
     return X.value_counts(J.crossmatch(docs, labels), "label", out="n")
+
+
+def alert_records(alerts: DataFrame, shape: tuple[int, int] = (S.CUTOUT_SIZE, S.CUTOUT_SIZE),
+                  crop: int | None = S.CROP_SIZE, crop_start: int | None = S.CROP_START,
+                  order: str = "candid") -> DataFrame:
+    """Alerts -> one record per decodable alert: object_id, channel-first cube
+    ``data`` and the 23 metadata columns (alerts with a bad cutout dropped)."""
+    keep = ["objectId", order, "candidate", *S.TOP_LEVEL_DOUBLE_FIELDS]
+    decoded = C.valid_alerts(C.ingest_cutouts(alerts, keep, shape=shape, crop=crop, crop_start=crop_start))
+    return decoded.select(M.object_id(), F.col(order).alias("alert_order"),
+                          I.stack_channels(*[F.col(c) for c in S.CUTOUT_CHANNELS]).alias("data"),
+                          *M.metadata_columns())
+
+
+def build_dataset(records: DataFrame, catalog: DataFrame, balance: dict[str, int] | None = None,
+                  keep: str = "first", seed: int = S.SEED) -> DataFrame:
+    """Records -> labelled, deduplicated, balanced, normalised dataset.
+
+    * one record per object (``keep='first'`` by ``folder_rank`` then alert
+      order when present, else ``'last'`` by alert order);
+    * inner cross-match with the catalogue (raw class -> 5 classes);
+    * exact-n hash sample of the classes in ``balance`` (others whole);
+    * whole-cube ``(x - min) / max`` normalisation of ``data``.
+    """
+    order = [c for c in ("folder_rank", "alert_order") if c in records.columns]
+    pick = D.first_per_key if keep == "first" else D.last_per_key
+    one = pick(records, ["object_id"], order)
+    labelled = J.crossmatch(one, J.catalog_labels(catalog))
+    if balance:
+        parts = []
+        for cls, n in balance.items():
+            parts.append(R.balance_sample(labelled.where(F.col("label") == cls), "object_id", "label", n, seed=seed))
+        rest = labelled.where(~F.col("label").isin(list(balance)))
+        for p in parts:
+            rest = rest.unionByName(p)
+        labelled = rest
+    return I.minmax_cube(labelled, "data", "data")
+
+
+def save_dataset(dataset: DataFrame, root: str) -> str:
+    """One partition folder per class."""
+    return write_by_class(dataset, root, "label")
+
+
+def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], classes: list[str] = S.CLASS_LABELS,
+                       meta_cols: list[str] = S.METADATA_COLUMNS, kind: str = "mlp", rotations: bool = True,
+                       seed: int = S.SEED, **train_kw) -> dict:
+    """Split per class (64/16/20), scale metadata with train statistics,
+    transpose the cube to channel-last, train, score validation and test.
+
+    Returns the model, the statistics and the evaluation frames (lazy).
+    """
+    c, h, w = image_shape
+    split = R.stratified_split(dataset, "object_id", "label", seed=seed)
+    split = split.withColumn("data", I.chw_to_hwc("data", c, h, w))
+    stats = fit_scaler(split.where(F.col("split") == "train"), meta_cols).checkpoint(eager=True)
+    scaled = apply_scaler(split, stats, meta_cols)
+    train = scaled.where(F.col("split") == "train")
+    if rotations:
+        train = ML.augment_rotations(train, "data", h, w, c)
+    train = ML.assemble(train, "data", meta_cols)
+    model = ML.train(train, "label", classes, kind=kind, n_features=c * h * w + len(meta_cols), seed=seed, **train_kw)
+    out = {"model": model, "stats": stats}
+    for part in ("validation", "test"):
+        scored = ML.score(model, ML.assemble(scaled.where(F.col("split") == part), "data", meta_cols))
+        pred = scored.select("object_id", "label", I.argmax_label("probs", classes).alias("predicted"))
+        out[part] = pred
+        out[f"{part}_report"] = X.classification_report(pred, "label", "predicted", classes)
+        out[f"{part}_confusion"] = X.confusion_matrix(pred, "label", "predicted", classes)
+    return out
