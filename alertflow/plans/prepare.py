@@ -82,7 +82,9 @@ def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], cl
     """
     c, h, w = image_shape
     split = R.stratified_split(dataset, "object_id", "label", seed=seed)
-    split = split.withColumn("data", I.chw_to_hwc("data", c, h, w))
+    # read three times below (train, validation, test): materialise once in the
+    # shared checkpoint folder so the rank is not recomputed per use
+    split = split.withColumn("data", I.chw_to_hwc("data", c, h, w)).checkpoint(eager=True)
     stats = fit_scaler(split.where(F.col("split") == "train"), meta_cols).checkpoint(eager=True)
     scaled = apply_scaler(split, stats, meta_cols)
     train = scaled.where(F.col("split") == "train")

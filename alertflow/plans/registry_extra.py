@@ -109,7 +109,10 @@ def _alert_rows(spark, d) -> DataFrame:
     rows = M.project_alerts(alerts.withColumnRenamed("candid", "alert_id"), keep=["alert_id", "ts", "hwc", "label"])
     packed = I.pack_float32("hwc")
     bad = F.col("alert_id") % 17 == 0
-    return rows.withColumn("image_data", F.when(bad, F.substring(packed, 1, 100)).otherwise(packed)).drop("hwc")
+    out = rows.withColumn("image_data", F.when(bad, F.substring(packed, 1, 100)).otherwise(packed)).drop("hwc")
+    # read by the scaler fit, the training and both topic twins: materialise
+    # once in the shared folder (also cuts the lineage)
+    return out.checkpoint(eager=True)
 
 
 def _train_stream_model(spark, rows: DataFrame):
@@ -213,7 +216,7 @@ def q_cutout_ingest(spark, d):
 def q_train_score(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", F.col("label").cast("string").alias("label"), "embedding")
     classes = [str(i) for i in range(SI.N_LABELS)]
-    split = R.stratified_split(e, "vec_id", "label")
+    split = R.stratified_split(e, "vec_id", "label").checkpoint(eager=True)  # read twice below
     train = ML.augment_rotations(split.where(F.col("split") == "train"), "embedding", SI.IMG_H, SI.IMG_W)
     train = ML.assemble(train, "embedding", [])
     model = ML.train(train, "label", classes, kind="mlp", n_features=SI.IMG_H * SI.IMG_W, max_iter=30, hidden=(32,))

@@ -111,3 +111,24 @@ def test_classifier_batch_is_idempotent_and_routes(spark, tmp_path):
     assert all(abs(r.s - 1) < 1e-6 for r in sums)
     assert [f.name for f in got.schema.fields] == S.PREDICTION_HEADER
     assert run.summaries[-1]["new_objects"] == 40 and run.summaries[-1]["scored"] == 40 - 6
+
+
+def test_dedup_watermark_bounds_state_exact_form_does_not(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    # the state for 'k' is evicted at the end of the first batch that runs with
+    # the advanced watermark (the third); the fourth batch repeats 'k'
+    batches = [[("k", base)], [("x", base + dt.timedelta(hours=10))], [("y", base + dt.timedelta(hours=10.5))],
+               [("k", base + dt.timedelta(hours=11))]]
+    src = scratch_path(spark, "wm_src")
+    schema = "object_id string, ts timestamp"
+    for rows in batches:  # one file per micro-batch, written in order
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run(watermark):
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        out = scratch_path(spark, "wm_out")
+        _run(dedup_stream(s, ["object_id"], "ts", watermark), out, scratch_path(spark, "wm_ckpt"))
+        return sorted(r.object_id for r in spark.read.parquet(out).collect())
+    assert run(None) == ["k", "x", "y"]  # exact: the id set is kept forever
+    assert run("1 hour") == ["k", "k", "x", "y"]  # bounded: 'k' was evicted, its repeat passes
