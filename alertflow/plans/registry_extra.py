@@ -133,14 +133,17 @@ def q_stream_classify(spark, d):
                             F.lit(S.METADATA_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
     img_msgs = rows.select(F.encode("object_id", "UTF-8").alias("key"), F.col("image_data").alias("value"),
                            F.lit(S.IMAGE_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
-    path = scratch_path(spark, "classify_topics")
-    SS.write_message_twin(meta_msgs, path, files=4)
-    SS.write_message_twin(img_msgs, path, files=4)
-    meta_s = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, path=path, max_per_trigger=2))
-    img_s = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, path=path, max_per_trigger=2))
+    path = scratch_path(spark, "classify_topics")  # one folder per topic, as topics are separate logs
+    SS.write_message_twin(meta_msgs, f"{path}/{S.METADATA_TOPIC}", files=4)
+    SS.write_message_twin(img_msgs, f"{path}/{S.IMAGE_TOPIC}", files=4)
+    meta_s = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, path=f"{path}/{S.METADATA_TOPIC}",
+                                                  max_per_trigger=2))
+    img_s = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, path=f"{path}/{S.IMAGE_TOPIC}",
+                                              max_per_trigger=2))
     joined = CL.first_pairs(meta_s, img_s)
     out_root = scratch_path(spark, "predictions")
-    run = CL.batch_writer(model, S.CLASS_LABELS, stats, out_root, S.METADATA_COLUMNS, _STREAM_SHAPE)
+    run = CL.batch_writer(model, S.CLASS_LABELS, stats, out_root, S.METADATA_COLUMNS, _STREAM_SHAPE,
+                          dedup_in_batch=False)
     q = CL.start(joined, run, f"{out_root}_checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception():

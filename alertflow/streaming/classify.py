@@ -62,16 +62,27 @@ def classify(df: DataFrame, model, classes: list[str], stats: DataFrame, meta_co
 
 def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
                  meta_cols: list[str] = S.METADATA_COLUMNS,
-                 shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3)):
-    """``foreachBatch`` callback: skip empty batches, dedup inside the batch,
-    classify, write ``batch_id=<n>/`` (overwrite = idempotent on replay).
-    Errors propagate: the batch fails and is retried, nothing is lost."""
+                 shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), dedup_in_batch: bool = True):
+    """``foreachBatch`` callback: skip empty batches, dedup inside the batch
+    (not needed after :func:`first_pairs`, which already emits one pair per
+    object), classify, write ``batch_id=<n>/`` (overwrite = idempotent on
+    replay). The micro-batch is persisted for the emptiness check and the
+    write, so the stateful plan runs once. Errors propagate: the batch fails
+    and is retried, nothing is lost."""
+    from pyspark import StorageLevel
     from pyspark.sql import Observation
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        one = batch.dropDuplicates(["object_id"])
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                return
+            _write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        one = batch.dropDuplicates(["object_id"]) if dedup_in_batch else batch
         preds = classify(one, model, classes, stats, meta_cols, shape)
         # batch summary gathered while the rows are written (no second pass)
         obs = Observation(f"batch_{batch_id}")
