@@ -56,3 +56,21 @@ def write_predictions_csv(df: DataFrame, root: str, batch_id: int) -> str:
     (df.select(*S.PREDICTION_HEADER).write.mode("overwrite").option("header", True)
        .option("nullValue", "").option("emptyValue", "").csv(path))
     return path
+
+
+def publish_stream(messages: DataFrame, checkpoint: str, servers: str | None = None, path: str | None = None,
+                   trigger_seconds: int | None = None, available_now: bool = False):
+    """Streaming twin of :func:`publish`: a message stream to Kafka or to a
+    Parquet file twin, checkpointed (exactly-once for the file sink)."""
+    w = messages.writeStream.option("checkpointLocation", checkpoint)
+    if servers:
+        w = w.format("kafka").option("kafka.bootstrap.servers", servers)
+    elif path:
+        w = w.format("parquet").option("path", path)
+    else:
+        raise ValueError("give servers= or path=")
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_seconds:
+        w = w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.start()
