@@ -95,10 +95,6 @@ def catalog_from_labels(labels: DataFrame) -> DataFrame:
                          F.get(classes, (F.col("doc_id") % 17).cast("int")).alias("predicted_class"))
 
 
-def floats(col: str = "embedding") -> Column:
-    return F.col(col)
-
-
 def channel(i: int, col: str = "embedding") -> Column:
     """i-th 16-value channel of the 3x4x4 cube."""
     n = CUBE_H * CUBE_W

@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from alertflow import schemas as S
 from alertflow.functions import images as I
@@ -224,3 +223,27 @@ def test_ingest_job_gate_and_report(spark):
     rep = {(r.channel, r.reason): r.n for r in C.reject_report(dec).collect()}
     assert rep == {("cutoutTemplate", "gzip"): 1, ("cutoutDifference", "empty"): 2,
                    ("cutoutScience", "empty"): 1, ("cutoutTemplate", "empty"): 1}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sizes=st.lists(st.integers(min_value=0, max_value=60), min_size=1, max_size=4),
+       digits=st.integers(min_value=1, max_value=2), seed=st.integers(min_value=0, max_value=99))
+def test_property_split_matches_plain_window(spark, sizes, digits, seed):
+    """Two-level split == plain per-class window with the same hash order, any class sizes."""
+    rows = [(i * 1000 + j, f"c{i}") for i, n in enumerate(sizes) for j in range(n)]
+    df = spark.createDataFrame(rows or [(0, "c0")], "id long, label string")
+    if not rows:
+        df = df.limit(0)
+    fast = R.stratified_split(df, "id", "label", seed=seed, digits=digits)
+    w = Window.partitionBy("label").orderBy(R.seeded_hash("id", seed), "id")
+    n = F.count(F.lit(1)).over(Window.partitionBy("label"))
+    t = F.floor((n + 4) / 5)
+    v = F.floor((n - t + 4) / 5)
+    pos = F.row_number().over(w) - 1
+    plain = df.select("id", "label", F.when(pos < t, "test").when(pos < t + v, "validation")
+                      .otherwise("train").alias("split"))
+    assert sorted(fast.collect()) == sorted(plain.collect())

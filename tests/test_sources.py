@@ -6,7 +6,6 @@ import uuid
 import numpy as np
 from pyspark.sql import functions as F
 
-from alertflow import schemas as S
 from alertflow.functions import metadata as M
 from alertflow.operators import cutouts as C
 from alertflow.operators import joins as J

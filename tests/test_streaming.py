@@ -6,7 +6,6 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from alertflow import schemas as S
-from alertflow.functions import images as I
 from alertflow.session import scratch_path
 from alertflow.streaming import classify as CL
 from alertflow.streaming import sources as SS
