@@ -26,9 +26,16 @@ from pyspark.sql import functions as F
 from alertflow import schemas as S
 from alertflow.session import shared_dir
 
-# Broadcast the (class, bucket) offset table only below this many rows.
-MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_DIGITS = 3
+# Broadcast the (class, bucket) offset table only below this many rows
+# (about 50 bytes a row); above it the join shuffles on (class, bucket), the
+# same partitioning the in-bucket window needs, so no extra exchange.
+MAX_BROADCAST_ROWS = 500_000
+# 16**4 = 65,536 buckets per class. The offset table holds at most one row
+# per non-empty bucket, so it is <= min(rows, classes x 65,536) whatever the
+# data size (broadcastable), its per-class prefix sum is bounded work, and at
+# 1e12 rows over 5 classes a bucket holds ~3e6 rows -- modest sorts spread
+# over all shuffle partitions. Raise ``digits`` for larger or fewer classes.
+DEFAULT_DIGITS = 4
 
 
 def seeded_hash(id_col: str | Column, seed: int = S.SEED) -> Column:
