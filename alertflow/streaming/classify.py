@@ -97,18 +97,29 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
     return run
 
 
-def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_id",)) -> DataFrame:
+def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_id",),
+                watermark: str | None = None, bound: str | None = None,
+                meta_time: str = "meta_time", image_time: str = "image_time") -> DataFrame:
     """First metadata record and first image of every object, paired.
 
     Each side is deduplicated *before* the join (first-seen wins, state in the
-    store, kept for the life of the query like the source's processed-id set),
-    so the join holds at most one row per object per side and emits at most
-    one pair per object -- an object with a million alerts costs one state
-    entry, never a million-squared pairs. Equivalent to the source's join +
-    per-batch dedup + processed-id filter (which keeps one pair per object).
+    store), so the join holds at most one row per object per side and emits
+    at most one pair per object -- an object with a million alerts costs one
+    state entry, never a million-squared pairs. Equivalent to the source's
+    join + per-batch dedup + processed-id filter (one pair per object).
+
+    ``watermark=None``: exact; dedup and join state live as long as the
+    query (like the source's in-memory id set), one entry per object.
+    ``watermark`` + ``bound``: state is evicted once the watermark passes; an
+    object seen again after eviction is classified again, and a partner
+    arriving more than ``bound`` away from the other side is not paired.
     """
     keys = list(keys)
-    m = dedup_stream(meta, keys).drop("meta_time")
+    if watermark:
+        m = meta.withWatermark(meta_time, watermark).dropDuplicatesWithinWatermark(keys)
+        i = images.withWatermark(image_time, watermark).dropDuplicatesWithinWatermark(keys)
+        return join_streams(i, m, keys, image_time, meta_time, None, bound).drop(meta_time)
+    m = dedup_stream(meta, keys).drop(meta_time)
     i = dedup_stream(images, keys)
     return join_streams(i, m, keys)
 
