@@ -21,14 +21,14 @@ def _alerts(spark, n_obj=36, per_obj=2, size=9):
                 stamps[1] = b"broken"  # this alert is dropped, the object's other alert survives
             cand = {f: float(o + k) for f in S.CANDIDATE_DOUBLE_FIELDS}
             cand.update(isdiffpos="t" if o % 2 else "f", ndethist=o, ncovhist=o + 3)
-            rows.append((f"ZTF{o:03d}", o * 10 + k, cand, 1.0, 2.0, 3.0, 4.0,
+            rows.append((f"OBJ{o:03d}", o * 10 + k, cand, 1.0, 2.0, 3.0, 4.0,
                          {"stampData": stamps[0]}, {"stampData": stamps[1]}, {"stampData": stamps[2]}))
     return spark.createDataFrame(rows, S.ALERT_SCHEMA)
 
 
 def test_prepare_save_train_evaluate(spark):
     alerts = _alerts(spark)
-    cat = spark.createDataFrame([(f"ZTF{o:03d}", RAW[o % len(RAW)]) for o in range(36)] + [("ZTF999", "QSO")],
+    cat = spark.createDataFrame([(f"OBJ{o:03d}", RAW[o % len(RAW)]) for o in range(36)] + [("OBJ999", "QSO")],
                                 "oid string, predicted_class string")
     records = P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None)
     ds = P.build_dataset(records, cat, balance={"VS": 5})

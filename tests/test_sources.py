@@ -59,17 +59,17 @@ def test_avro_container_scan_with_bundled_input_format(spark):
     os.makedirs(folder, exist_ok=True)
     stamp = C.encode_stamp(np.arange(63 * 63, dtype=np.float32).reshape(63, 63))
     _write_avro(spark, f"{folder}/a.avro", [
-        {"objectId": "ZTF1", "candid": 1, "candidate": {"ra": 10.5, "isdiffpos": "t", "ndethist": 4}, "stamp": stamp},
+        {"objectId": "OBJ1", "candid": 1, "candidate": {"ra": 10.5, "isdiffpos": "t", "ndethist": 4}, "stamp": stamp},
         {"objectId": None, "candid": 2},
     ])
-    _write_avro(spark, f"{folder}/b.avro", [{"objectId": "ZTF2", "candid": 3, "candidate": {"ra": 1.0}}])
+    _write_avro(spark, f"{folder}/b.avro", [{"objectId": "OBJ2", "candid": 3, "candidate": {"ra": 1.0}}])
     alerts = SRC.scan_alerts(spark, folder, fmt="avro-mapred")
     rows = {r.candid: r for r in alerts.collect()}
     assert set(rows) == {1, 2, 3}
     assert bytes(rows[1].cutoutScience.stampData) == stamp  # every byte value survives
     meta = {r.object_id: r for r in M.project_alerts(alerts).collect()}
-    assert meta["ZTF1"].isdiffpos == 1 and meta["ZTF1"].ndethist == 4 and meta["ZTF1"].ra == 10.5
-    assert meta["Unknown"].ra == -999.0 and meta["ZTF2"].ndethist == -1
+    assert meta["OBJ1"].isdiffpos == 1 and meta["OBJ1"].ndethist == 4 and meta["OBJ1"].ra == 10.5
+    assert meta["Unknown"].ra == -999.0 and meta["OBJ2"].ndethist == -1
     dec = C.ingest_cutouts(alerts, ["candid"], channels=["cutoutScience"])
     ok = {r.candid: r.cutoutScience_status for r in dec.collect()}
     assert ok == {1: "ok", 2: "empty", 3: "empty"}
