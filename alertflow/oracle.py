@@ -317,3 +317,17 @@ SELECT vec_id, CAST(pos AS INTEGER) AS pos,
     WHEN 1 THEN -CAST(embedding[1 + {_CUT_SRC}] AS DOUBLE)
     ELSE CAST(embedding[1 + {_CUT_SRC}] AS DOUBLE) * 2 END AS value
 FROM embeddings, range(0, 48) t(pos) WHERE vec_id % 17 <> 0 AND vec_id % 19 <> 0""")
+
+_RAW_USER = _RAW.replace("doc_id", "user_id")
+sql("prepare_dataset", f"""
+WITH firsts AS (
+  SELECT object_id, ra FROM (
+    SELECT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, value AS ra,
+      row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+    FROM events WHERE event_id % 13 <> 0 AND event_id % 29 <> 0 AND event_id % 31 <> 0) WHERE rn = 1),
+catalog AS (SELECT DISTINCT 'obj_' || CAST(user_id AS VARCHAR) AS oid, {_RAW_USER} AS predicted_class FROM events),
+labelled AS (SELECT f.object_id, f.ra, {_MAP} AS label FROM firsts f JOIN catalog c ON f.object_id = c.oid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || object_id), object_id) - 1 AS pos
+  FROM labelled)
+SELECT label, count(*) AS n_objects, round(sum(ra), 2) AS sum_ra, count(*) * 48 AS n_values
+FROM ranked WHERE label <> 'VS' OR pos < 20 GROUP BY label""")

@@ -57,6 +57,10 @@ def build_dataset(records: DataFrame, catalog: DataFrame, balance: dict[str, int
     one = pick(records, ["object_id"], order)
     labelled = J.crossmatch(one, J.catalog_labels(catalog))
     if balance:
+        # the sample's rank reads the labelled rows twice (bucket counts, then
+        # the rows): materialise them once in the shared folder rather than
+        # decode every cutout twice
+        labelled = labelled.checkpoint(eager=True)
         parts = []
         for cls, n in balance.items():
             parts.append(R.balance_sample(labelled.where(F.col("label") == cls), "object_id", "label", n, seed=seed))

@@ -226,3 +226,44 @@ def q_train_score(spark, d):
     test = ML.assemble(split.where(F.col("split") == "test"), "embedding", [])
     scored = ML.score(model, test)
     return scored.select("vec_id", "label", I.argmax_label("probs", classes).alias("predicted"))
+
+
+# ---------------------------------------------------------------- whole preparation flow
+
+_PREP_BALANCE = {"VS": 20}
+
+
+def _prep_alerts(spark, d) -> DataFrame:
+    """Alert records from ``events`` with three gzip-FITS 8x8 cutouts each,
+    derived from ``value``; every 29th science stamp is broken gzip and every
+    31st difference stamp has the wrong shape."""
+    v = _t(spark, d, "events")
+    img = F.transform(F.sequence(F.lit(0), F.lit(SI.IMG_H * SI.IMG_W - 1)),
+                      lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
+    eid = F.col("event_id")
+    sci = _fits_gzip(img, F.when(eid % 29 == 0, "broken").otherwise("ok"))
+    ref = _fits_gzip(F.transform(img, lambda x: x * F.lit(0.5).cast("float")), F.lit("ok"))
+    diff = _fits_gzip(F.transform(img, lambda x: x + F.lit(1.0).cast("float")),
+                      F.when(eid % 31 == 0, "short").otherwise("ok"))
+    return SI.alerts_from_events(v, stamps=[sci, ref, diff])
+
+
+def _prep_catalog(spark, d) -> DataFrame:
+    """Label catalogue: one row per object seen in ``events``, raw class by ``user_id % 17``."""
+    users = _t(spark, d, "events").select("user_id").distinct()
+    classes = F.array(*[F.lit(c) for c in SI.RAW_CLASSES])
+    return users.select(SI.object_key().alias("oid"),
+                        F.get(classes, (F.col("user_id") % 17).cast("int")).alias("predicted_class"))
+
+
+@query("prepare_dataset")
+def q_prepare_dataset(spark, d):
+    """Cutout ingest -> metadata -> first alert per object -> cross-match ->
+    balance -> normalise -> written per class -> read back, counted per class."""
+    from alertflow.plans import prepare as P
+    records = P.alert_records(_prep_alerts(spark, d), shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
+    ds = P.build_dataset(records, _prep_catalog(spark, d), balance=_PREP_BALANCE)
+    root = P.save_dataset(ds, scratch_path(spark, "prepared"))
+    back = spark.read.parquet(root)
+    return back.groupBy("label").agg(F.count(F.lit(1)).alias("n_objects"), F.round(F.sum("ra"), 2).alias("sum_ra"),
+                                     F.sum(F.size("data")).alias("n_values"))

@@ -48,9 +48,11 @@ def props_k(props: str = "props") -> Column:
     return F.from_json(F.col(props), "k INT").getField("k")
 
 
-def alerts_from_events(events: DataFrame, extra: list[Column] | None = None) -> DataFrame:
+def alerts_from_events(events: DataFrame, extra: list[Column] | None = None,
+                       stamps: list[Column] | None = None) -> DataFrame:
     """Nested alert records (objectId, candid, candidate{...}, sky frames);
-    ``extra`` columns are carried along in the same projection."""
+    ``stamps`` = the three cutout binaries (default null); ``extra`` columns
+    are carried along in the same projection."""
     v = F.col("value")
     eid = F.col("event_id")
     cand = []
@@ -71,13 +73,13 @@ def alerts_from_events(events: DataFrame, extra: list[Column] | None = None) ->
         if name == "gal_lat":
             e = null_when(eid % 9 == 0, e)
         top.append(e.cast("double").alias(name))
-    stamp = F.struct(F.lit(None).cast("binary").alias("stampData"))
+    stamps = stamps or [F.lit(None).cast("binary")] * len(S.CUTOUT_CHANNELS)
     return events.select(
         null_when(eid % 13 == 0, F.concat(F.lit("obj_"), F.col("user_id").cast("string"))).alias("objectId"),
         eid.alias("candid"),
         F.struct(*cand).alias("candidate"),
         *top,
-        *[stamp.alias(c) for c in S.CUTOUT_CHANNELS],
+        *[F.struct(b.alias("stampData")).alias(c) for b, c in zip(stamps, S.CUTOUT_CHANNELS)],
         F.col("ts"),
         *(extra or []),
     )
