@@ -267,3 +267,14 @@ def q_prepare_dataset(spark, d):
     back = spark.read.parquet(root)
     return back.groupBy("label").agg(F.count(F.lit(1)).alias("n_objects"), F.round(F.sum("ra"), 2).alias("sum_ra"),
                                      F.sum(F.size("data")).alias("n_values"))
+
+
+@query("train_evaluate")
+def q_train_evaluate(spark, d):
+    """The training flow on the prepared dataset: per-class split, train-split
+    scaler, channel-last images with rotated views, MLP, test-split report."""
+    from alertflow.plans import prepare as P
+    records = P.alert_records(_prep_alerts(spark, d), shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
+    ds = P.build_dataset(records, _prep_catalog(spark, d), balance=_PREP_BALANCE)
+    res = P.train_and_evaluate(ds, (SI.CUBE_C, SI.CUBE_H, SI.CUBE_W), kind="mlp", max_iter=30, hidden=(32,))
+    return res["test_report"]

@@ -44,7 +44,7 @@ def _keys():
 def test_every_query_has_sql_or_is_documented_rows_only():
     from __spark_entry__ import oracle_sql, queries
     rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only <= {"train_score", "stream_classify"}
+    assert rows_only <= {"train_score", "stream_classify", "train_evaluate"}
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -62,7 +62,7 @@ def test_matches_sql(spark, con, key):
     assert got == want
 
 
-@pytest.mark.parametrize("key", ["train_score", "stream_classify"])
+@pytest.mark.parametrize("key", ["train_score", "stream_classify", "train_evaluate"])
 def test_rows_only_keys_run(spark, key):
     from __spark_entry__ import queries
     df = queries()[key](spark, SF_SMALL)
