@@ -26,6 +26,25 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000,
+                 target_partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at ~input / target (at least 2x the cores) so no
+    task holds more than ~256 MB of shuffle data; AQE then coalesces small
+    ones and splits skewed ones. Scan splits are capped at the same size.
+    """
+    cores = executor_cores * executors
+    parts = min(max(2 * cores, input_bytes // target_partition_bytes), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "alertflow", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, submit with the cluster's own conf."""
