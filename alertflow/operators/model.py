@@ -94,3 +94,30 @@ def load(path: str, kind: str = "mlp"):
     spark = SparkSession.getActiveSession()
     classes = json.loads(spark.read.json(f"{path}/classes").first()[0])
     return model, classes
+
+
+def score_with_function(df: DataFrame, predict, n_classes: int, features: str = "features_arr",
+                        out: str = "probs") -> DataFrame:
+    """Score with any batch predictor ``predict(X: ndarray[n, f]) -> ndarray[n, k]``
+    (an exported network, an ONNX session, ...) through ``mapInPandas``: one
+    Arrow batch at a time, rows never leave their partition.
+
+    ``features`` is an ``array<double>`` column; the output adds ``out``
+    (``array<double>`` of length ``n_classes``).
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.DoubleType()), True)])
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                yield pdf.assign(**{out: pd.Series([], dtype=object)})
+                continue
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features]])
+            p = np.asarray(predict(x), dtype=np.float64).reshape(len(pdf), n_classes)
+            yield pdf.assign(**{out: list(p)})
+
+    return df.mapInPandas(run, schema)

@@ -53,9 +53,18 @@ def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_C
 
 def classify(df: DataFrame, model, classes: list[str], stats: DataFrame, meta_cols: list[str] = S.METADATA_COLUMNS,
              shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), stamp=None) -> DataFrame:
-    """Prediction rows (34 columns) for a batch of joined records."""
+    """Prediction rows (34 columns) for a batch of joined records.
+
+    ``model`` is a fitted MLlib model, or any batch predictor
+    ``predict(X) -> probabilities`` run through ``mapInPandas``.
+    """
     prepared = prepare(df, stats, meta_cols, shape)
-    scored = ML.score(model, prepared)
+    if hasattr(model, "transform"):
+        scored = ML.score(model, prepared)
+    else:
+        from pyspark.ml.functions import vector_to_array
+        arr = prepared.withColumn("features_arr", vector_to_array("features")).drop("features")
+        scored = ML.score_with_function(arr, model, len(classes)).drop("features_arr")
     routed = route_status(scored, "probs", F.col("image_processed"), F.col("metadata_processed"), classes)
     return prediction_row(routed, stamp=stamp if stamp is not None else processing_stamp())
 

@@ -247,3 +247,16 @@ def test_property_split_matches_plain_window(spark, sizes, digits, seed):
     plain = df.select("id", "label", F.when(pos < t, "test").when(pos < t + v, "validation")
                       .otherwise("train").alias("split"))
     assert sorted(fast.collect()) == sorted(plain.collect())
+
+
+def test_score_with_user_function(spark):
+    from alertflow.operators.model import score_with_function
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "id int, features_arr array<double>")
+
+    def softmax_predict(x):
+        z = x @ np.array([[1.0, 0.0, -1.0], [0.0, 1.0, 0.0]])
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+    out = score_with_function(df, softmax_predict, 3).select("id", I.argmax("probs").alias("k"), "probs").collect()
+    assert all(abs(sum(r.probs) - 1) < 1e-9 for r in out)
+    assert {r.id: r.k for r in out}[9] == 0 and {r.id: r.k for r in out}[0] == 1

@@ -131,3 +131,20 @@ def test_dedup_watermark_bounds_state_exact_form_does_not(spark):
         return sorted(r.object_id for r in spark.read.parquet(out).collect())
     assert run(None) == ["k", "x", "y"]  # exact: the id set is kept forever
     assert run("1 hour") == ["k", "k", "x", "y"]  # bounded: 'k' was evicted, its repeat passes
+
+
+def test_classifier_with_python_predictor(spark, tmp_path):
+    from alertflow.operators.scaler import fit_scaler
+    rows = [(f"o{i}", np.full(12, i / 40, dtype="<f4").tobytes(), *[(i % 3) if c in S.INT_METADATA_COLUMNS
+                                                                    else float(i) for c in S.METADATA_COLUMNS])
+            for i in range(20)]
+    schema = "object_id string, image_data binary, " + ", ".join(
+        f"{c} {'int' if c in S.INT_METADATA_COLUMNS else 'double'}" for c in S.METADATA_COLUMNS)
+    df = spark.createDataFrame(rows, schema)
+
+    def predict(x):  # a stand-in for an exported network: uniform scores
+        return np.full((x.shape[0], 5), 0.2)
+    preds = CL.classify(df, predict, S.CLASS_LABELS, fit_scaler(df, S.METADATA_COLUMNS), S.METADATA_COLUMNS,
+                        (2, 2, 3), stamp=F.lit("t"))
+    got = preds.collect()
+    assert len(got) == 20 and all(r.clase_predicha == "AGN" and abs(r.confianza - 0.2) < 1e-12 for r in got)
