@@ -480,7 +480,8 @@ def _flat_channel_cube(spark, d) -> DataFrame:
 
 @query("minmax_channel")
 def q_minmax_channel(spark, d):
-    df = I.minmax_channel(_flat_channel_cube(spark, d), "img", "norm", SI.CUBE_C, layout="hwc")
+    df = I.minmax_channel(_flat_channel_cube(spark, d), "img", "norm", SI.CUBE_C, layout="hwc",
+                          size=SI.CUBE_VALUES)
     out = _explode(df.select("vec_id", "norm"), "vec_id", "norm")
     return out.withColumn("value", F.round("value", 6))
 

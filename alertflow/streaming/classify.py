@@ -36,7 +36,7 @@ def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_C
     n = h * w * c
     unpack = I.unpack_float32_udf(n)
     x = df.withColumn("_img", unpack("image_data"))
-    x = I.minmax_channel(x, "_img", "_norm", c, layout="hwc")
+    x = I.minmax_channel(x, "_img", "_norm", c, layout="hwc", size=n)
     meta_present = F.lit(False)
     for m in meta_cols:
         meta_present = meta_present | F.col(m).isNotNull()
