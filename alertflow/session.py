@@ -66,15 +66,18 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local runs, tests) a fresh
     temporary folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
+        sc = None
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         # static config: cannot be set on a running session, so register the
         # folder with the context only
         d = tempfile.mkdtemp(prefix="alertflow-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
