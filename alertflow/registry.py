@@ -74,10 +74,9 @@ def q_metadata_defaults(spark, d):
 def q_scan_alerts(spark, d):
     alerts = SI.alerts_from_events(_t(spark, d, "events")).drop("ts")
     path = scratch_path(spark, "alerts")
-    # several files per folder, as alert folders have
-    alerts.repartition(4, "candid").write.mode("overwrite").parquet(path)
-    fmt = "parquet"
-    scanned = SRC.scan_alerts(spark, path, fmt=fmt, glob="*.parquet")
+    # several files per folder, as alert folders have (split on write, no shuffle)
+    alerts.write.mode("overwrite").option("maxRecordsPerFile", 2500).parquet(path)
+    scanned = SRC.scan_alerts(spark, path, fmt="parquet", glob="*.parquet")
     return _metadata(scanned)
 
 
