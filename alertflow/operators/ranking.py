@@ -104,6 +104,23 @@ def shuffle_positions(df: DataFrame, id_col: str, seed: int = S.SEED, out: str =
     return exact_rank(df, id_col, None, seed, out, digits)
 
 
+def row_at(df: DataFrame, id_col: str, n: int, seed: int = S.SEED, out: str = "position",
+           topk_limit: int = 100_000) -> DataFrame:
+    """The row at 0-based position ``n`` of the seeded order.
+
+    For small ``n`` a top-(n+1) selection (each task keeps n+1 rows, no full
+    shuffle or sort) then a rank over those few rows; beyond ``topk_limit``
+    the exact two-level rank and a filter.
+    """
+    if n >= topk_limit:
+        return shuffle_positions(df, id_col, seed, out).where(F.col(out) == n)
+    h = seeded_hash(id_col, seed)
+    head = df.withColumn("_h", h).orderBy("_h", id_col).limit(n + 1)
+    w = Window.orderBy("_h", id_col)  # over n + 1 rows only
+    return (head.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+            .where(F.col(out) == n).drop("_h"))
+
+
 def minibatch(position: Column | str, batch_size: int = S.BATCH_SIZE) -> Column:
     p = F.col(position) if isinstance(position, str) else position
     return F.floor(p / F.lit(batch_size)).cast("long")

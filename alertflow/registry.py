@@ -376,7 +376,8 @@ def q_shuffle_rows(spark, d):
 
 @query("example_lookup")
 def q_example_lookup(spark, d):
-    return _shuffled(spark, d).where(F.col("position") == 9).select("event_id", "event_type", "position")
+    v = _t(spark, d, "events").select("event_id", "event_type")
+    return R.row_at(v, "event_id", 9).select("event_id", "event_type", "position")
 
 
 @query("minibatch")

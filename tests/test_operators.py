@@ -260,3 +260,12 @@ def test_score_with_user_function(spark):
     out = score_with_function(df, softmax_predict, 3).select("id", I.argmax("probs").alias("k"), "probs").collect()
     assert all(abs(sum(r.probs) - 1) < 1e-9 for r in out)
     assert {r.id: r.k for r in out}[9] == 0 and {r.id: r.k for r in out}[0] == 1
+
+
+def test_row_at_topk_equals_full_rank(spark):
+    df = spark.range(0, 500).select("id", (F.col("id") % 7).alias("g"))
+    full = {r.position: r.id for r in R.shuffle_positions(df, "id").collect()}
+    for n in (0, 9, 499):
+        assert [r.id for r in R.row_at(df, "id", n).collect()] == [full[n]]
+        assert [r.id for r in R.row_at(df, "id", n, topk_limit=5).collect()] == [full[n]]
+    assert R.row_at(df, "id", 500).count() == 0
