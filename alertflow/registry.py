@@ -404,7 +404,7 @@ def q_stratified_split(spark, d):
 
 @query("concat_splits")
 def q_concat_splits(spark, d):
-    s = _split(spark, d)
+    s = _split(spark, d).checkpoint(eager=True)  # split once; the three parts read it
     parts = [s.where(F.col("split") == n) for n in ("train", "validation", "test")]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
