@@ -22,7 +22,7 @@ from alertflow.operators import ranking as R
 from alertflow.operators.scaler import fit_scaler
 from alertflow.plans import standins as SI
 from alertflow.registry import _explode, _t, query
-from alertflow.session import scratch_path
+from alertflow.session import default_state_partitions, scratch_path, shuffle_partitions
 from alertflow.sources.alerts import read_predictions
 from alertflow.sinks import writers as W
 from alertflow.streaming import classify as CL
@@ -32,9 +32,11 @@ from alertflow.streaming.stateful import dedup_stream, join_streams
 
 def _run_to_parquet(stream: DataFrame, name: str, spark: SparkSession) -> DataFrame:
     base = scratch_path(spark, name)
-    q = (stream.writeStream.format("parquet").option("path", f"{base}/out")
+    w = (stream.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
+         .trigger(availableNow=True))
+    with shuffle_partitions(spark, default_state_partitions(spark)):
+        q = w.start()
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

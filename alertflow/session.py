@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +61,34 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def default_state_partitions(spark: SparkSession) -> int:
+    """State partitions for a stateful stream: one per core of the cluster.
+
+    AQE does not coalesce streaming shuffles, and every state partition costs a
+    state-store commit per micro-batch, so the count follows the cores rather
+    than the batch-oriented ``spark.sql.shuffle.partitions``.
+    """
+    try:
+        return max(1, int(spark.sparkContext.defaultParallelism))
+    except Exception:  # noqa: BLE001 - no SparkContext handle (remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Temporarily set ``spark.sql.shuffle.partitions`` (e.g. around starting a
+    stream: the value is fixed into the stream's checkpoint at its first start)."""
+    if n is None:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 

@@ -20,6 +20,7 @@ from alertflow.functions.metadata import processing_stamp, sentinel_fill
 from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import model as ML
 from alertflow.operators.scaler import apply_scaler
+from alertflow.session import default_state_partitions, shuffle_partitions
 from alertflow.sinks.writers import write_predictions_csv
 from alertflow.streaming.stateful import dedup_stream, join_streams
 
@@ -134,8 +135,14 @@ def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_i
 
 
 def start(joined: DataFrame, run, checkpoint: str, trigger_seconds: int | None = 15,
-          available_now: bool = False, name: str | None = None):
-    """Start the micro-batch query (append mode, checkpointed)."""
+          available_now: bool = False, name: str | None = None, state_partitions: int | None = None):
+    """Start the micro-batch query (append mode, checkpointed).
+
+    ``state_partitions`` (default: one per core) is fixed into the checkpoint
+    at the first start; later restarts keep it.
+    """
+    spark = joined.sparkSession
+    n = state_partitions or default_state_partitions(spark)
     w = joined.writeStream.foreachBatch(run).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -143,7 +150,8 @@ def start(joined: DataFrame, run, checkpoint: str, trigger_seconds: int | None =
         w = w.trigger(availableNow=True)
     elif trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return w.start()
+    with shuffle_partitions(spark, n):
+        return w.start()
 
 
 def run_until_stopped(query, timeout_s: float | None = None) -> dict:
