@@ -148,3 +148,53 @@ def test_classifier_with_python_predictor(spark, tmp_path):
                         (2, 2, 3), stamp=F.lit("t"))
     got = preds.collect()
     assert len(got) == 20 and all(r.clase_predicha == "AGN" and abs(r.confianza - 0.2) < 1e-12 for r in got)
+
+
+def test_classifier_stream_restart_scores_each_object_once(spark):
+    from alertflow.operators import model as ML
+    from alertflow.operators.scaler import fit_scaler
+    from alertflow.sources.alerts import read_predictions
+    ev = _events(spark)
+    obj = F.concat(F.lit("obj_"), F.col("user_id").cast("string"))
+    img = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: (F.col("value") * (i + 1) % 5).cast("float"))
+    from alertflow.functions.images import pack_float32
+    label = F.element_at(F.array(*[F.lit(c) for c in S.CLASS_LABELS]), (F.col("user_id") % 5 + 1).cast("int"))
+    rows = ev.select(obj.alias("object_id"),
+                     *[F.col("value").cast("int" if c in S.INT_METADATA_COLUMNS else "double").alias(c)
+                       for c in S.METADATA_COLUMNS],
+                     "ts", pack_float32(img).alias("image_data"), label.alias("label"))
+    stats = fit_scaler(rows, S.METADATA_COLUMNS)
+    model = ML.train(CL.prepare(rows, stats, S.METADATA_COLUMNS, (2, 2, 3)), "label", S.CLASS_LABELS,
+                     kind="lr", max_iter=3)
+    half = rows.agg(F.expr("percentile_approx(unix_timestamp(ts), 0.5)")).first()[0]
+    topics = scratch_path(spark, "cls_topics")
+
+    def publish(part):
+        m = part.select(F.encode("object_id", "UTF-8").alias("key"),
+                        F.encode(F.to_json(F.struct(*S.METADATA_COLUMNS)), "UTF-8").alias("value"),
+                        F.lit("Metadata").alias("topic"), F.col("ts").alias("timestamp"))
+        i = part.select(F.encode("object_id", "UTF-8").alias("key"), F.col("image_data").alias("value"),
+                        F.lit("Imagen").alias("topic"), F.col("ts").alias("timestamp"))
+        SS.write_message_twin(m, f"{topics}/m", files=2)
+        SS.write_message_twin(i, f"{topics}/i", files=2)
+
+    out, ckpt = scratch_path(spark, "cls_out"), scratch_path(spark, "cls_ckpt")
+
+    def run_once():
+        ms = SS.metadata_stream(SS.message_stream(spark, "Metadata", path=f"{topics}/m", max_per_trigger=1))
+        im = SS.image_stream(SS.message_stream(spark, "Imagen", path=f"{topics}/i", max_per_trigger=1))
+        writer = CL.batch_writer(model, S.CLASS_LABELS, stats, out, S.METADATA_COLUMNS, (2, 2, 3),
+                                 dedup_in_batch=False)
+        q = CL.start(CL.first_pairs(ms, im), writer, ckpt, available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    publish(rows.where(F.unix_timestamp("ts") <= half))
+    run_once()
+    first = read_predictions(spark, out).count()
+    publish(rows.where(F.unix_timestamp("ts") > half))
+    run_once()  # restart from the checkpoint with new files
+    got = read_predictions(spark, out)
+    n_obj = rows.select("object_id").distinct().count()
+    assert got.count() == n_obj == got.select("object_id").distinct().count()
+    assert 0 < first <= n_obj
