@@ -138,3 +138,15 @@ def test_truncated_file_between_good_ones_is_skipped(spark):
     got = SRC.scan_alerts(spark, f"{base}/all", fmt="parquet", glob="*.parquet",
                           schema=alerts.schema).collect()
     assert sorted(r.candid for r in got) == [0, 2, 3, 5]
+
+
+def test_write_by_class_clustered_files(spark):
+    import glob
+    root = scratch_path(spark, "byclass2")
+    df = spark.range(0, 600).select("id", F.element_at(F.array(F.lit("AGN"), F.lit("VS")),
+                                                       (F.col("id") % 2 + 1).cast("int")).alias("label"))
+    W.write_by_class(df.repartition(12), root, files_per_class=2)
+    for lab in ("AGN", "VS"):
+        files = glob.glob(f"{root.replace('file:', '')}/label={lab}/*.parquet")
+        assert 1 <= len(files) <= 2
+    assert SRC.read_class_partition(spark, root).count() == 600
