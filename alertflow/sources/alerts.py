@@ -26,9 +26,14 @@ def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
     ``fmt``: ``avro`` (Spark's Avro source), ``avro-mapred`` (the Hadoop Avro
     input format bundled with Spark -- no extra jar; records arrive as JSON
     text, bytes as Latin-1 text), or any file format with a Parquet/JSON twin.
-    Unreadable files are skipped (``ignoreCorruptFiles``) instead of failing.
+    Unreadable files are skipped (``ignoreCorruptFiles``) instead of failing;
+    on the input-format path that is the core setting ``spark.files.ignoreCorruptFiles``.
+    ``fmt="avro"`` without the Avro data source on the classpath falls back to
+    ``avro-mapred``.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if fmt == "avro" and not avro_available(spark):
+        fmt = "avro-mapred"
     if fmt == "avro-mapred":
         return _scan_avro_mapred(spark, paths, schema)
     reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(ignore_corrupt).lower())

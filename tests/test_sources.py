@@ -63,7 +63,7 @@ def test_avro_container_scan_with_bundled_input_format(spark):
         {"objectId": None, "candid": 2},
     ])
     _write_avro(spark, f"{folder}/b.avro", [{"objectId": "OBJ2", "candid": 3, "candidate": {"ra": 1.0}}])
-    alerts = SRC.scan_alerts(spark, folder, fmt="avro-mapred")
+    alerts = SRC.scan_alerts(spark, folder, fmt="avro")  # no Avro data source here: input-format path
     rows = {r.candid: r for r in alerts.collect()}
     assert set(rows) == {1, 2, 3}
     assert bytes(rows[1].cutoutScience.stampData) == stamp  # every byte value survives
