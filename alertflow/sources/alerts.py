@@ -12,7 +12,8 @@ from alertflow import schemas as S
 def avro_available(spark: SparkSession) -> bool:
     """True when the external Avro data source is on the classpath."""
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
+        ds = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
+        ds.lookupDataSource("avro", spark._jsparkSession.sessionState().conf())
         return True
     except Exception:  # noqa: BLE001 - py4j raises a generic error
         return False
