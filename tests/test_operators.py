@@ -86,7 +86,7 @@ def test_hot_class_rank(spark):
         assert row[1] == 0 and row[2] == row[4] - 1 and row[3] == row[4]
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 5, 10, 101])
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 10, 101, 12000])
 def test_split_sizes(spark, n):
     df = spark.range(0, n).select("id", F.lit("A").alias("label")) if n else \
         spark.createDataFrame([], "id long, label string")
@@ -98,6 +98,8 @@ def test_split_sizes(spark, n):
     assert counts.get("validation", 0) == n_val
     assert counts.get("train", 0) == n - n_test - n_val
     assert s.select("id").distinct().count() == n
+    if n == 12000:
+        assert (counts["train"], counts["validation"], counts["test"]) == (7680, 1920, 2400)
 
 
 def test_balance_sample_exact_and_strict(spark):
@@ -210,6 +212,10 @@ def test_decode_stamp_edges():
     assert C.decode_stamp(C.encode_stamp(np.zeros((62, 63), np.float32)))[1] == "shape"
     full, _ = C.decode_stamp(C.encode_stamp(img), crop=None)
     assert full.shape == (63 * 63,)
+    inf = np.zeros((63, 63), np.float32)
+    inf[21, 21], inf[21, 22] = np.inf, -np.inf
+    cleaned, _ = C.decode_stamp(C.encode_stamp(inf))
+    assert cleaned[0] == np.finfo(np.float32).max and cleaned[1] == -np.finfo(np.float32).max
 
 
 def test_ingest_job_gate_and_report(spark):
