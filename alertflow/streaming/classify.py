@@ -164,6 +164,15 @@ def run_until_stopped(query, timeout_s: float | None = None) -> dict:
     return last or {}
 
 
+def progress_totals(query) -> dict:
+    """Totals over the query's retained progress reports: micro-batches,
+    input rows, and input rows per second of processing."""
+    prog = query.recentProgress or []
+    rows = sum(int(p.get("numInputRows", 0)) for p in prog)
+    ms = sum(int((p.get("durationMs") or {}).get("triggerExecution", 0)) for p in prog)
+    return {"batches": len(prog), "input_rows": rows, "rows_per_sec": rows / (ms / 1000) if ms else None}
+
+
 def batch_summary(predictions: DataFrame) -> DataFrame:
     """Rows, objects, scored and success rate of written prediction rows."""
     ok = ~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)

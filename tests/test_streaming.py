@@ -188,6 +188,8 @@ def test_classifier_stream_restart_scores_each_object_once(spark):
         q = CL.start(CL.first_pairs(ms, im), writer, ckpt, available_now=True)
         q.awaitTermination()
         assert q.exception() is None
+        tot = CL.progress_totals(q)
+        assert tot["batches"] >= 2 and tot["input_rows"] > 0
 
     publish(rows.where(F.unix_timestamp("ts") <= half))
     run_once()
