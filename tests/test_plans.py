@@ -47,3 +47,17 @@ def test_prepare_save_train_evaluate(spark):
     assert 0.0 <= rep["accuracy"].precision <= 1.0
     n_test = res["test"].count()
     assert rep["accuracy"].support == n_test
+
+
+def test_model_save_load_roundtrip(spark):
+    from alertflow.operators import model as ML
+    rows = [(i, [float(i % 3), float(i % 5)], S.CLASS_LABELS[i % 3]) for i in range(60)]
+    df = ML.assemble(spark.createDataFrame(rows, "id int, x array<double>, label string"), "x", [])
+    model = ML.train(df, "label", S.CLASS_LABELS, kind="lr", max_iter=5)
+    path = scratch_path(spark, "model")
+    ML.save(model, path, S.CLASS_LABELS)
+    back, classes = ML.load(path, "lr")
+    assert classes == S.CLASS_LABELS
+    a = sorted((r.id, tuple(round(p, 9) for p in r.probs)) for r in ML.score(model, df).collect())
+    b = sorted((r.id, tuple(round(p, 9) for p in r.probs)) for r in ML.score(back, df).collect())
+    assert a == b
