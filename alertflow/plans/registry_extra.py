@@ -47,6 +47,10 @@ def _file_twin(df: DataFrame, spark: SparkSession, name: str, files: int = 4, or
     return SS.write_time_ordered(df, scratch_path(spark, name), files, order)
 
 
+def _cores(spark) -> int:
+    return default_state_partitions(spark)
+
+
 def _events_ts(spark, d) -> DataFrame:
     # streaming watermarks need TIMESTAMP (with zone); the tables hold TIMESTAMP_NTZ
     return _t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -239,7 +243,9 @@ def _prep_alerts(spark, d) -> DataFrame:
     """Alert records from ``events`` with three gzip-FITS 8x8 cutouts each,
     derived from ``value``; every 29th science stamp is broken gzip and every
     31st difference stamp has the wrong shape."""
-    v = _t(spark, d, "events")
+    # the stand-in table is one small file (one scan split): spread the Python
+    # stamp encoding over the cores (real alert folders arrive as many files)
+    v = _t(spark, d, "events").repartition(_cores(spark), "event_id")
     img = F.transform(F.sequence(F.lit(0), F.lit(SI.IMG_H * SI.IMG_W - 1)),
                       lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
     eid = F.col("event_id")
