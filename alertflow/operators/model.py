@@ -64,13 +64,23 @@ def make_estimator(kind: str, n_features: int, n_classes: int, seed: int = S.SEE
 
 def train(df: DataFrame, label: str, classes: list[str], kind: str = "mlp", n_features: int | None = None,
           **kw):
-    """Fit on rows with ``features`` and a string ``label`` from ``classes``."""
+    """Fit on rows with ``features`` and a string ``label`` from ``classes``.
+
+    The two training columns are persisted (memory, spilling to disk) for the
+    optimiser's passes, so the feature pipeline upstream -- image decoding,
+    scaling -- runs once instead of once per pass.
+    """
+    from pyspark import StorageLevel
     check_labels(df, label, classes)
-    data = df.withColumn("label_idx", label_to_index(label, classes))
-    if n_features is None:
-        n_features = len(data.select("features").first()[0])
-    est = make_estimator(kind, n_features, len(classes), **kw)
-    return est.fit(data)
+    data = (df.select("features", label_to_index(label, classes).alias("label_idx"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        if n_features is None:
+            n_features = len(data.select("features").first()[0])
+        est = make_estimator(kind, n_features, len(classes), **kw)
+        return est.fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model, df: DataFrame, out: str = "probs") -> DataFrame:

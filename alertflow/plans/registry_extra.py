@@ -105,7 +105,7 @@ _EVENT_CLASS = {"click": "AGN", "view": "QSO", "purchase": "VS", "signup": "YSO"
 def _alert_rows(spark, d) -> DataFrame:
     """Per alert: metadata (23 columns), an HWC image derived from ``value``,
     a 5-class label from ``event_type``; every 17th image has a bad size."""
-    v = _events_ts(spark, d)
+    v = _events_ts(spark, d).repartition(_cores(spark), "event_id")  # one-file table: spread the packing
     img = F.transform(F.sequence(F.lit(0), F.lit(SI.CUBE_VALUES - 1)),
                       lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
     lab = F.lit("Other")
