@@ -48,10 +48,16 @@ def test_every_query_has_sql_or_is_documented_rows_only():
     assert set(oracle_sql()) <= set(queries())
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("key", _keys())
 def test_matches_sql(spark, con, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF_SMALL)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle_sql()[key]}").fetchall()}
+    assert {c: _TYPES.get(t, t) for c, t in df.dtypes} == duck_types  # same schema, not just values
     cols = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
     res = con.execute(oracle_sql()[key])
