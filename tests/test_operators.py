@@ -275,3 +275,19 @@ def test_row_at_topk_equals_full_rank(spark):
         assert [r.id for r in R.row_at(df, "id", n).collect()] == [full[n]]
         assert [r.id for r in R.row_at(df, "id", n, topk_limit=5).collect()] == [full[n]]
     assert R.row_at(df, "id", 500).count() == 0
+
+
+def test_status_routing_error_and_incomplete(spark):
+    from alertflow.functions.predictions import prediction_row, route_status
+    df = spark.createDataFrame([("a", [0.1, 0.6, 0.1, 0.1, 0.1], True, True, False),
+                                ("b", [0.1, 0.6, 0.1, 0.1, 0.1], False, True, False),
+                                ("c", [0.1, 0.6, 0.1, 0.1, 0.1], True, True, True),
+                                ("d", None, True, True, False)],
+                               "object_id string, p array<double>, img boolean, meta boolean, bad boolean")
+    r = route_status(df, "p", F.col("img"), F.col("meta"), failed=F.col("bad"))
+    out = {x.object_id: x for x in prediction_row(r, stamp=F.lit("2024-01-01 00:00:00")).collect()}
+    assert out["a"].clase_predicha == "QSO" and out["a"].confianza == 0.6 and out["a"].prob_QSO == 0.6
+    assert out["b"].clase_predicha == S.INCOMPLETE_STATUS and out["b"].prob_QSO == 0.0 and not out["b"].image_processed
+    assert out["c"].clase_predicha == S.ERROR_STATUS and out["c"].confianza == 0.0
+    assert out["d"].clase_predicha == S.ERROR_STATUS
+    assert list(out["a"].asDict()) == S.PREDICTION_HEADER and out["a"].ra is None
