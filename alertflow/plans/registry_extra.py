@@ -122,8 +122,7 @@ def _alert_rows(spark, d) -> DataFrame:
 
 
 def _train_stream_model(spark, rows: DataFrame):
-    cleaned = rows.select("*")
-    stats = fit_scaler(M.sentinel_fill(cleaned, S.METADATA_COLUMNS), S.METADATA_COLUMNS).checkpoint(eager=True)
+    stats = fit_scaler(M.sentinel_fill(rows, S.METADATA_COLUMNS), S.METADATA_COLUMNS).checkpoint(eager=True)
     prepared = CL.prepare(rows, stats, S.METADATA_COLUMNS, _STREAM_SHAPE)
     model = ML.train(prepared.where("image_processed"), "label", S.CLASS_LABELS, kind="lr", max_iter=20)
     return model, stats
@@ -133,10 +132,7 @@ def _train_stream_model(spark, rows: DataFrame):
 def q_stream_classify(spark, d):
     rows = _alert_rows(spark, d)
     model, stats = _train_stream_model(spark, rows)
-    meta_msgs = rows.select(F.encode("object_id", "UTF-8").alias("key"),
-                            F.encode(F.to_json(F.struct(*S.METADATA_COLUMNS), {"ignoreNullFields": "false"}),
-                                     "UTF-8").alias("value"),
-                            F.lit(S.METADATA_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
+    meta_msgs = W.metadata_messages(rows, "object_id", S.METADATA_COLUMNS, time_col="ts")
     img_msgs = rows.select(F.encode("object_id", "UTF-8").alias("key"), F.col("image_data").alias("value"),
                            F.lit(S.IMAGE_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
     path = scratch_path(spark, "classify_topics")  # one folder per topic, as topics are separate logs

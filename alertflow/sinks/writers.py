@@ -32,10 +32,12 @@ def write_by_class(df: DataFrame, root: str, label_col: str = "label", mode: str
 
 
 def metadata_messages(df: DataFrame, id_col: str = "object_id", columns: list[str] = S.METADATA_COLUMNS,
-                      topic: str = S.METADATA_TOPIC) -> DataFrame:
-    """Rows ready for a message sink: key = UTF-8 id, value = JSON of the metadata."""
+                      topic: str = S.METADATA_TOPIC, time_col: str | None = None) -> DataFrame:
+    """Rows ready for a message sink: key = UTF-8 id, value = JSON of the metadata
+    (plus ``timestamp`` from ``time_col`` for a file twin of the topic)."""
+    extra = [F.col(time_col).cast("timestamp").alias("timestamp")] if time_col else []
     return df.select(F.lit(topic).alias("topic"), F.encode(F.col(id_col), "UTF-8").alias("key"),
-                     F.encode(to_json_text(*columns), "UTF-8").alias("value"))
+                     F.encode(to_json_text(*columns), "UTF-8").alias("value"), *extra)
 
 
 def image_messages(df: DataFrame, id_col: str, image_col: str, topic: str = S.IMAGE_TOPIC) -> DataFrame:
