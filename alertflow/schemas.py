@@ -138,6 +138,12 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+# Message headers, as a Kafka source yields them with ``includeHeaders``.
+HEADERS_TYPE = T.ArrayType(T.StructType([T.StructField("key", T.StringType(), True),
+                                         T.StructField("value", T.BinaryType(), True)]))
+MESSAGE_SCHEMA_WITH_HEADERS = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField("headers", HEADERS_TYPE, True)])
+ALERT_ID_HEADER = "candid"
+
 CATALOG_SCHEMA = T.StructType(
     [
         T.StructField("oid", T.StringType(), True),

@@ -31,20 +31,32 @@ def write_by_class(df: DataFrame, root: str, label_col: str = "label", mode: str
     return root
 
 
-def metadata_messages(df: DataFrame, id_col: str = "object_id", columns: list[str] = S.METADATA_COLUMNS,
-                      topic: str = S.METADATA_TOPIC, time_col: str | None = None) -> DataFrame:
-    """Rows ready for a message sink: key = UTF-8 id, value = JSON of the metadata
-    (plus ``timestamp`` from ``time_col`` for a file twin of the topic)."""
+def _message_extras(time_col: str | None, alert_col: str | None) -> list:
     extra = [F.col(time_col).cast("timestamp").alias("timestamp")] if time_col else []
+    if alert_col:
+        extra.append(F.array(F.struct(F.lit(S.ALERT_ID_HEADER).alias("key"),
+                                      F.encode(F.col(alert_col).cast("string"), "UTF-8").alias("value")))
+                     .alias("headers"))
+    return extra
+
+
+def metadata_messages(df: DataFrame, id_col: str = "object_id", columns: list[str] = S.METADATA_COLUMNS,
+                      topic: str = S.METADATA_TOPIC, time_col: str | None = None,
+                      alert_col: str | None = None) -> DataFrame:
+    """Rows ready for a message sink: key = UTF-8 id, value = JSON of the metadata;
+    optionally ``timestamp`` (file twin) and the alert id as a message header."""
     return df.select(F.lit(topic).alias("topic"), F.encode(F.col(id_col), "UTF-8").alias("key"),
-                     F.encode(to_json_text(*columns), "UTF-8").alias("value"), *extra)
+                     F.encode(to_json_text(*columns), "UTF-8").alias("value"), *_message_extras(time_col, alert_col))
 
 
-def image_messages(df: DataFrame, id_col: str, image_col: str, topic: str = S.IMAGE_TOPIC) -> DataFrame:
-    """Rows for a message sink: value = the image as little-endian float32 bytes."""
+def image_messages(df: DataFrame, id_col: str, image_col: str, topic: str = S.IMAGE_TOPIC,
+                   time_col: str | None = None, alert_col: str | None = None, packed: bool = False) -> DataFrame:
+    """Rows for a message sink: value = the image as little-endian float32 bytes
+    (``packed``: ``image_col`` already holds the bytes)."""
     from alertflow.functions.images import pack_float32
+    value = F.col(image_col) if packed else pack_float32(F.col(image_col))
     return df.select(F.lit(topic).alias("topic"), F.encode(F.col(id_col), "UTF-8").alias("key"),
-                     pack_float32(F.col(image_col)).alias("value"))
+                     value.alias("value"), *_message_extras(time_col, alert_col))
 
 
 def publish(messages: DataFrame, servers: str | None = None, path: str | None = None) -> None:

@@ -110,28 +110,42 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
 def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_id",),
                 watermark: str | None = None, bound: str | None = None,
                 meta_time: str = "meta_time", image_time: str = "image_time") -> DataFrame:
-    """First metadata record and first image of every object, paired.
-
-    Each side is deduplicated *before* the join (first-seen wins, state in the
-    store), so the join holds at most one row per object per side and emits
-    at most one pair per object -- an object with a million alerts costs one
-    state entry, never a million-squared pairs. Equivalent to the source's
-    join + per-batch dedup + processed-id filter (one pair per object).
-
-    ``watermark=None``: exact; dedup and join state live as long as the
-    query (like the source's in-memory id set), one entry per object.
-    ``watermark`` + ``bound``: state is evicted once the watermark passes; an
-    object seen again after eviction is classified again, and a partner
-    arriving more than ``bound`` away from the other side is not paired.
+    """One (metadata, image) pair per object: the first one seen.
+
+    ``keys=("object_id",)`` (messages keyed by object only): each side is
+    deduplicated *before* the join (first-seen wins, state in the store), so
+    the join holds at most one row per object per side and emits at most one
+    pair per object -- an object with a million alerts costs one state entry,
+    never a million-squared pairs. Equivalent to the source's join +
+    per-batch dedup + processed-id filter (one pair per object).
+
+    ``keys=("object_id", "alert_id")`` (alert id in a message header): the
+    metadata and the image *of the same alert* are joined first (one row per
+    alert, no cross pairs), then the first pair per object is kept. Give a
+    ``watermark`` and ``bound`` here: join state is per alert.
+
+    ``watermark=None``: exact; dedup state lives as long as the query (like
+    the source's in-memory id set), one entry per object. With ``watermark``
+    (+ ``bound``) state is evicted once the watermark passes; an object seen
+    again after eviction is classified again, and a partner arriving more
+    than ``bound`` away from the other side is not paired.
     """
     keys = list(keys)
+    obj = ["object_id"]
     if watermark:
-        m = meta.withWatermark(meta_time, watermark).dropDuplicatesWithinWatermark(keys)
-        i = images.withWatermark(image_time, watermark).dropDuplicatesWithinWatermark(keys)
-        return join_streams(i, m, keys, image_time, meta_time, None, bound).drop(meta_time)
-    m = dedup_stream(meta, keys).drop(meta_time)
-    i = dedup_stream(images, keys)
-    return join_streams(i, m, keys)
+        meta = meta.withWatermark(meta_time, watermark)
+        images = images.withWatermark(image_time, watermark)
+
+    def dedup(df: DataFrame, k: list[str]) -> DataFrame:
+        return df.dropDuplicatesWithinWatermark(k) if watermark else df.dropDuplicates(k)
+
+    if keys == obj:
+        m, i = dedup(meta, obj), dedup(images, obj)
+        if bound:
+            return join_streams(i, m, obj, image_time, meta_time, None, bound).drop(meta_time)
+        return join_streams(i, m.drop(meta_time), obj)
+    pairs = join_streams(images, meta, keys, image_time, meta_time, None, bound).drop(meta_time)
+    return dedup(pairs, obj)
 
 
 def start(joined: DataFrame, run, checkpoint: str, trigger_seconds: int | None = 15,

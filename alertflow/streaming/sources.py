@@ -11,40 +11,52 @@ from alertflow.functions.metadata import parse_json
 
 def message_stream(spark: SparkSession, topic: str, servers: str | None = None, path: str | None = None,
                    max_per_trigger: int | None = 5, starting: str = "latest",
-                   fail_on_data_loss: bool = False) -> DataFrame:
-    """Raw ``(key, value, topic, timestamp)`` rows of one topic.
+                   fail_on_data_loss: bool = False, headers: bool = False) -> DataFrame:
+    """Raw ``(key, value, topic, timestamp[, headers])`` rows of one topic.
 
     Kafka (``servers``): ``subscribe``, ``startingOffsets``, ``failOnDataLoss``
     and ``maxOffsetsPerTrigger`` as given. File twin (``path``): Parquet files
     with the same columns, ``maxFilesPerTrigger`` as the rate limit; used
-    offline and in tests (no Kafka jar here).
+    offline and in tests (no Kafka jar here). ``headers`` also reads the
+    message headers (where the alert id travels, see :func:`alert_id`).
     """
+    cols = ["key", "value", "topic", "timestamp"] + (["headers"] if headers else [])
     if servers:
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
              .option("subscribe", topic).option("startingOffsets", starting)
              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+        if headers:
+            r = r.option("includeHeaders", "true")
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        return r.load().select("key", "value", "topic", "timestamp")
+        return r.load().select(*cols)
     if not path:
         raise ValueError("give servers= or path=")
-    r = spark.readStream.schema(S.MESSAGE_SCHEMA)
+    r = spark.readStream.schema(S.MESSAGE_SCHEMA_WITH_HEADERS if headers else S.MESSAGE_SCHEMA)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_per_trigger))
     return r.parquet(path).where(F.col("topic") == topic)
 
 
+def alert_id(headers: str = "headers", name: str = S.ALERT_ID_HEADER):
+    """The alert id carried in a message header (null when absent)."""
+    h = F.filter(F.col(headers), lambda x: x["key"] == F.lit(name))
+    return F.get(h, 0)["value"].cast("string")
+
+
 def metadata_stream(raw: DataFrame, schema=S.METADATA_SCHEMA) -> DataFrame:
-    """Metadata topic -> object_id, 23 parsed fields, event time."""
-    parsed = raw.select(F.col("key").cast("string").alias("object_id"),
+    """Metadata topic -> object_id[, alert_id], 23 parsed fields, event time."""
+    ids = [alert_id().alias("alert_id")] if "headers" in raw.columns else []
+    parsed = raw.select(F.col("key").cast("string").alias("object_id"), *ids,
                         parse_json(F.col("value").cast("string"), schema).alias("metadata"),
                         F.col("timestamp").alias("meta_time"))
-    return parsed.select("object_id", "metadata.*", "meta_time")
+    return parsed.select("object_id", *(["alert_id"] if ids else []), "metadata.*", "meta_time")
 
 
 def image_stream(raw: DataFrame) -> DataFrame:
-    """Image topic -> object_id, raw bytes, event time."""
-    return raw.select(F.col("key").cast("string").alias("object_id"), F.col("value").alias("image_data"),
+    """Image topic -> object_id[, alert_id], raw bytes, event time."""
+    ids = [alert_id().alias("alert_id")] if "headers" in raw.columns else []
+    return raw.select(F.col("key").cast("string").alias("object_id"), *ids, F.col("value").alias("image_data"),
                       F.col("timestamp").alias("image_time"))
 
 

@@ -200,3 +200,29 @@ def test_classifier_stream_restart_scores_each_object_once(spark):
     n_obj = rows.select("object_id").distinct().count()
     assert got.count() == n_obj == got.select("object_id").distinct().count()
     assert 0 < first <= n_obj
+
+
+def test_alert_id_header_pairs_each_alert_with_its_own_image(spark):
+    import datetime as dt
+    from alertflow.sinks import writers as W
+    t0 = dt.datetime(2024, 1, 1)
+    # two alerts per object; the second alert's image arrives first in its file
+    rows = [(f"o{o}", o * 10 + a, float(o * 10 + a), t0 + dt.timedelta(minutes=o * 5 + a)) for o in range(6)
+            for a in range(2)]
+    df = spark.createDataFrame(rows, "object_id string, candid long, ra double, ts timestamp")
+    df = df.withColumn("img", F.array_repeat(F.col("ra").cast("float"), 12))
+    topics = scratch_path(spark, "hdr_topics")
+    W.metadata_messages(df, "object_id", ["ra"], time_col="ts", alert_col="candid") \
+        .coalesce(1).write.parquet(f"{topics}/m")
+    W.image_messages(df.orderBy(F.desc("candid")), "object_id", "img", time_col="ts", alert_col="candid") \
+        .coalesce(1).write.parquet(f"{topics}/i")
+    meta = SS.metadata_stream(SS.message_stream(spark, "Metadata", path=f"{topics}/m", headers=True),
+                              schema="ra double")
+    img = SS.image_stream(SS.message_stream(spark, "Imagen", path=f"{topics}/i", headers=True))
+    pairs = CL.first_pairs(meta, img, keys=("object_id", "alert_id"), watermark="1 hour", bound="10 minutes")
+    out = scratch_path(spark, "hdr_out")
+    _run(pairs.select("object_id", "alert_id", "ra", "image_data"), out, scratch_path(spark, "hdr_ckpt"))
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 6 and len({r.object_id for r in got}) == 6
+    for r in got:  # the image belongs to the same alert as the metadata
+        assert np.frombuffer(r.image_data, "<f4")[0] == np.float32(r.ra) and int(r.alert_id) == int(r.ra)
