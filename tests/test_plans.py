@@ -61,3 +61,29 @@ def test_model_save_load_roundtrip(spark):
     a = sorted((r.id, tuple(round(p, 9) for p in r.probs)) for r in ML.score(model, df).collect())
     b = sorted((r.id, tuple(round(p, 9) for p in r.probs)) for r in ML.score(back, df).collect())
     assert a == b
+
+
+def test_train_save_then_run_classifier(spark):
+    from alertflow.plans import realtime as RT
+    from alertflow.sinks import writers as W
+    from alertflow.sources.alerts import read_predictions
+    alerts = _alerts(spark, n_obj=24, per_obj=1)
+    cat = spark.createDataFrame([(f"OBJ{o:03d}", RAW[o % len(RAW)]) for o in range(24)],
+                                "oid string, predicted_class string")
+    ds = P.build_dataset(P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None), cat)
+    res = P.train_and_evaluate(ds, (3, 3, 3), kind="lr", max_iter=5)
+    path = RT.save_training(spark, scratch_path(spark, "training"), res["model"], res["stats"],
+                            image_shape=(3, 3, 3), kind="lr")
+    # publish the same objects as topic twins: channel-last bytes, JSON metadata
+    from alertflow.functions import images as I
+    rows = ds.withColumn("hwc", I.chw_to_hwc("data", 3, 3, 3)).withColumn("ts", F.current_timestamp())
+    topics = scratch_path(spark, "rt_topics")
+    W.publish(W.metadata_messages(rows, time_col="ts"), path=f"{topics}/m")
+    W.publish(W.image_messages(rows, "object_id", "hwc", time_col="ts"), path=f"{topics}/i")
+    out = scratch_path(spark, "rt_out")
+    q = RT.run_classifier(spark, path, out, scratch_path(spark, "rt_ckpt"), metadata_path=f"{topics}/m",
+                          image_path=f"{topics}/i", available_now=True)
+    q.awaitTermination()
+    got = read_predictions(spark, out)
+    assert got.count() == ds.count()
+    assert got.where(F.col("clase_predicha").isin(S.CLASS_LABELS)).count() == ds.count()
