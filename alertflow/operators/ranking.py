@@ -58,20 +58,28 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str], checked_rows: i
     return null_safe_join(big, small, on, "inner", checked_rows <= MAX_BROADCAST_ROWS)
 
 
-def bucket_offsets(df: DataFrame, by: list[str], digits: int) -> tuple[DataFrame, int]:
+def bucket_offsets(df: DataFrame, by: list[str], digits: int) -> tuple[DataFrame, int, int]:
     """Per (by..., bucket): row count ``_n`` and rows before the bucket ``_off``.
 
-    Also returns the number of offset rows (the size check for broadcasting).
+    Returns the offset table, its row count (the size check for broadcasting)
+    and the bucket width actually used: when there are so many groups that
+    the table would pass the broadcast bound, the counts are merged into
+    coarser buckets (one hex digit fewer at a time) from the small count table
+    itself -- no second pass over the data -- so the join stays a broadcast.
     """
-    counts = df.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
-    offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
-    # The offset table is groups x 16**digits rows at most; materialise it once
-    # (it is re-read by the join) and check its size before broadcasting.
-    # Reliable checkpoint (shared folder), so a lost executor cannot lose it.
     shared_dir(df.sparkSession)
-    offsets = offsets.checkpoint(eager=True)
-    return offsets, offsets.count()
+    # Reliable checkpoints (shared folder): a lost executor cannot lose them,
+    # and the join below re-reads the table instead of recounting.
+    counts = df.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    n = counts.count()
+    while n > MAX_BROADCAST_ROWS and digits > 1:
+        digits -= 1
+        counts = (counts.groupBy(*by, F.substring("_b", 1, digits).alias("_b"))
+                  .agg(F.sum("_n").alias("_n")).checkpoint(eager=True))
+        n = counts.count()
+    w = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
+    offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).checkpoint(eager=True)
+    return offsets, n, digits
 
 
 def exact_rank(df: DataFrame, id_col: str, by: list[str] | None = None, seed: int = S.SEED,
@@ -86,7 +94,8 @@ def exact_rank(df: DataFrame, id_col: str, by: list[str] | None = None, seed: in
     by = list(by or [])
     h = seeded_hash(id_col, seed)
     d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
-    offsets, n_off = bucket_offsets(d, by, digits)
+    offsets, n_off, used = bucket_offsets(d, by, digits)
+    d = d.withColumn("_b", F.substring("_h", 1, used))
     j = _join_small(d, offsets, [*by, "_b"], n_off)
     if keep_below is not None:
         lim = F.lit(keep_below) if isinstance(keep_below, int) else keep_below
@@ -168,7 +177,8 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, test: float = S
     """
     h = seeded_hash(id_col, seed)
     d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
-    offsets, n_off = bucket_offsets(d, [label_col], digits)
+    offsets, n_off, used = bucket_offsets(d, [label_col], digits)
+    d = d.withColumn("_b", F.substring("_h", 1, used))
     totals = offsets.groupBy(label_col).agg(F.sum("_n").alias("_tot"))
     n_test = _ceil_frac(F.col("_tot"), test)
     cuts = (null_safe_join(offsets, totals, [label_col])

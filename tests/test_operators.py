@@ -291,3 +291,18 @@ def test_status_routing_error_and_incomplete(spark):
     assert out["c"].clase_predicha == S.ERROR_STATUS and out["c"].confianza == 0.0
     assert out["d"].clase_predicha == S.ERROR_STATUS
     assert list(out["a"].asDict()) == S.PREDICTION_HEADER and out["a"].ra is None
+
+
+def test_rank_coarsens_buckets_to_stay_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_BROADCAST_ROWS", 50)  # force merging of buckets
+    df = spark.range(0, 2000).select("id", (F.col("id") % 3).cast("string").alias("c"))
+    offsets, n, used = R.bucket_offsets(df.withColumn("_h", R.seeded_hash("id"))
+                                        .withColumn("_b", F.substring("_h", 1, 3)), ["c"], 3)
+    assert n <= 50 and used == 1
+    fast = R.exact_rank(df, "id", ["c"], digits=3, out="p")
+    w = Window.partitionBy("c").orderBy(R.seeded_hash("id"), "id")
+    plain = df.withColumn("p", (F.row_number().over(w) - 1).cast("long"))
+    assert sorted(fast.collect()) == sorted(plain.collect())
+    split = R.stratified_split(df, "id", "c", digits=3)
+    assert {r[0]: r[1] for r in split.groupBy("split").count().collect()} == {"test": 402, "validation": 321,
+                                                                             "train": 1277}
