@@ -226,3 +226,15 @@ def test_alert_id_header_pairs_each_alert_with_its_own_image(spark):
     assert len(got) == 6 and len({r.object_id for r in got}) == 6
     for r in got:  # the image belongs to the same alert as the metadata
         assert np.frombuffer(r.image_data, "<f4")[0] == np.float32(r.ra) and int(r.alert_id) == int(r.ra)
+
+
+def test_publish_stream_to_file_twin(spark):
+    from alertflow.sinks import writers as W
+    src = scratch_path(spark, "pub_src")
+    SS.write_message_twin(_messages(_events(spark), "Metadata"), src, files=2)
+    raw = SS.message_stream(spark, "Metadata", path=src, max_per_trigger=1)
+    out = scratch_path(spark, "pub_out")
+    q = W.publish_stream(raw, scratch_path(spark, "pub_ckpt"), path=out, available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == _events(spark).count()
+    assert CL.progress_totals(q)["batches"] == 2
