@@ -11,6 +11,8 @@ folder with overwrite, so a replayed batch replaces its output.
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +72,18 @@ def classify(df: DataFrame, model, classes: list[str], stats: DataFrame, meta_co
     return prediction_row(routed, stamp=stamp if stamp is not None else processing_stamp())
 
 
+SUMMARY_SCHEMA = "new_objects long, scored long, success_rate double"
+
+
+def read_summaries(spark, out_root: str) -> DataFrame:
+    """Per-batch summaries written by :func:`batch_writer`, with running totals
+    (one row per micro-batch: a small table, ordered by batch)."""
+    from pyspark.sql import Window
+    df = spark.read.schema(SUMMARY_SCHEMA + ", batch_id long").json(f"{out_root.rstrip('/')}_summary")
+    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("total_objects", F.sum("new_objects").over(w)).orderBy("batch_id")
+
+
 def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
                  meta_cols: list[str] = S.METADATA_COLUMNS,
                  shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), dedup_in_batch: bool = True):
@@ -101,9 +115,13 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
         write_predictions_csv(preds, out_root, batch_id)
         m = obs.get
         n, scored = int(m.get("new_objects") or 0), int(m.get("scored") or 0)
-        run.summaries.append({"batch_id": batch_id, "new_objects": n, "scored": scored,
-                              "success_rate": 100.0 * scored / max(n, 1)})
-    run.summaries = []
+        summary = {"batch_id": batch_id, "new_objects": n, "scored": scored,
+                   "success_rate": 100.0 * scored / max(n, 1)}
+        run.summaries.append(summary)  # the last few, for logs; bounded for 24/7 runs
+        # durable per-batch summary next to the predictions (overwrite: replay-safe)
+        batch.sparkSession.createDataFrame([summary], SUMMARY_SCHEMA).coalesce(1) \
+            .write.mode("overwrite").json(f"{out_root.rstrip('/')}_summary/batch_id={batch_id}")
+    run.summaries = deque(maxlen=100)
     return run
 
 

@@ -194,11 +194,13 @@ def test_classifier_stream_restart_scores_each_object_once(spark):
     publish(rows.where(F.unix_timestamp("ts") <= half))
     run_once()
     first = read_predictions(spark, out).count()
+    assert CL.read_summaries(spark, out).agg(F.sum("new_objects")).first()[0] == first
     publish(rows.where(F.unix_timestamp("ts") > half))
     run_once()  # restart from the checkpoint with new files
     got = read_predictions(spark, out)
     n_obj = rows.select("object_id").distinct().count()
     assert got.count() == n_obj == got.select("object_id").distinct().count()
+    assert CL.read_summaries(spark, out).orderBy(F.desc("batch_id")).first().total_objects == n_obj
     assert 0 < first <= n_obj
 
 
