@@ -306,3 +306,13 @@ def test_rank_coarsens_buckets_to_stay_broadcast(spark, monkeypatch):
     split = R.stratified_split(df, "id", "c", digits=3)
     assert {r[0]: r[1] for r in split.groupBy("split").count().collect()} == {"test": 402, "validation": 321,
                                                                              "train": 1277}
+
+
+def test_results_survive_task_retries():
+    """A task lost on its first attempt is re-run; hash-ordered ranks give the same rows."""
+    import os
+    import subprocess
+    import sys
+    script = os.path.join(os.path.dirname(__file__), "scripts", "retry_check.py")
+    out = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=600)
+    assert "RETRY-OK 4000" in out.stdout, out.stderr[-2000:]
