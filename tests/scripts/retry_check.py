@@ -31,5 +31,9 @@ assert clean == retried, "retried result differs"
 clean_r = sorted(R.exact_rank(df, "id", ["c"]).collect())
 retried_r = sorted(R.exact_rank(flaky_df, "id", ["c"]).collect())
 assert clean_r == retried_r
+from alertflow.operators.dedup import first_per_key  # noqa: E402
+obj = lambda d: d.withColumn("obj", F.col("id") % 37)
+assert sorted(first_per_key(obj(df), ["obj"], ["c", "id"]).collect()) == \
+    sorted(first_per_key(obj(flaky_df), ["obj"], ["c", "id"]).collect())
 print("RETRY-OK", len(clean))
 spark.stop()
