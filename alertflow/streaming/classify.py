@@ -43,7 +43,10 @@ def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_C
     meta_present = F.lit(False)
     for m in meta_cols:
         meta_present = meta_present | F.col(m).isNotNull()
-    x = x.withColumn("image_processed", F.col("_img").isNotNull()).withColumn("metadata_processed", meta_present)
+    # validity from the byte length (JVM), not from the Python result: a later
+    # filter on it is then pushed down without running the decoder twice
+    ok_bytes = F.coalesce(F.length("image_data") == F.lit(4 * n), F.lit(False))
+    x = x.withColumn("image_processed", ok_bytes).withColumn("metadata_processed", meta_present)
     x = x.withColumn("_norm", F.coalesce("_norm", F.array_repeat(F.lit(0.0), n)))
     # keep the raw metadata for the output row; scale a cleaned copy
     scaled_names = [f"_s_{m}" for m in meta_cols]
