@@ -122,10 +122,10 @@ def image_max(arr) -> Column:
 
 
 def minmax_cube(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Whole-cube ``(x - min) / max`` in double; max = 0 gives null (no guard)."""
+    """Whole-cube ``(x - min) / max`` as float32; max = 0 gives null (no guard)."""
     return (df.withColumn("_mn", F.array_min(col).cast("double"))
               .withColumn("_mx", F.array_max(col).cast("double"))
-              .withColumn(out, F.transform(col, lambda x: F.try_divide(x.cast("double") - F.col("_mn"), F.col("_mx"))))
+              .withColumn(out, F.transform(col, lambda x: F.try_divide(x.cast("double") - F.col("_mn"), F.col("_mx")).cast("float")))
               .drop("_mn", "_mx"))
 
 
@@ -196,11 +196,6 @@ def feature_fuse(image, metadata_cols: list[str]) -> Column:
                     F.array(*[F.col(c).cast("float") for c in metadata_cols]))
 
 
-def to_vector(arr) -> Column:
-    from pyspark.ml.functions import array_to_vector
-    return array_to_vector(_c(arr))
-
-
 # --- binary <-> float32 (Arrow-batched Python, the only non-JVM kernels) ----
 
 @F.pandas_udf(T.BinaryType())

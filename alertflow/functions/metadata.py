@@ -65,9 +65,13 @@ def metadata_columns(alert_struct: str | None = None) -> list[Column]:
     return [exprs[c].alias(c) for c in S.METADATA_COLUMNS]
 
 
-def object_id(alert_struct: str | None = None) -> Column:
+def object_id_value(alert_struct: str | None = None) -> Column:
     p = f"{alert_struct}." if alert_struct else ""
-    return with_default(F.col(f"{p}objectId"), S.UNKNOWN_OBJECT_ID).alias("object_id")
+    return with_default(F.col(f"{p}objectId"), S.UNKNOWN_OBJECT_ID)
+
+
+def object_id(alert_struct: str | None = None) -> Column:
+    return object_id_value(alert_struct).alias("object_id")
 
 
 def project_alerts(alerts: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -88,10 +92,10 @@ def to_json_text(*cols: str | Column) -> Column:
 
 
 def message_cast(df: DataFrame, key_alias: str = "object_id", value_alias: str = "json_data",
-                 value_as_text: bool = True) -> DataFrame:
+                 value_as_text: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Key/value columns of a message source -> text key and (text or binary) value."""
     v = F.col("value").cast("string") if value_as_text else F.col("value")
-    return df.select(F.col("key").cast("string").alias(key_alias), v.alias(value_alias))
+    return df.select(*(keep or []), F.col("key").cast("string").alias(key_alias), v.alias(value_alias))
 
 
 def processing_stamp() -> Column:

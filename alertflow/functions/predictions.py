@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertflow import schemas as S
-from alertflow.functions.images import argmax_label, confidence
+from alertflow.functions.images import argmax_label, confidence, prob_columns
 
 
 def route_status(df: DataFrame, probs: str, image_ok: Column, metadata_ok: Column,
@@ -15,15 +15,16 @@ def route_status(df: DataFrame, probs: str, image_ok: Column, metadata_ok: Colum
 
     * both inputs present and scored -> argmax class, its probability;
     * an input missing               -> ``INCOMPLETE_DATA``, zeros;
-    * scoring failed (``failed``)    -> ``ERROR``, zeros.
+    * scoring failed (``failed``, or a null or NaN score) -> ``ERROR``, zeros.
     """
     ok = image_ok & metadata_ok
-    bad = failed if failed is not None else F.lit(False)
-    status = (F.when(~ok, F.lit(S.INCOMPLETE_STATUS)).when(bad | F.col(probs).isNull(), F.lit(S.ERROR_STATUS))
+    unusable = F.coalesce(F.exists(probs, lambda x: x.isNull() | F.isnan(x)), F.lit(True))
+    bad = unusable if failed is None else F.coalesce(failed, F.lit(False)) | unusable
+    status = (F.when(~ok, F.lit(S.INCOMPLETE_STATUS)).when(bad, F.lit(S.ERROR_STATUS))
               .otherwise(argmax_label(probs, labels)))
-    scored = ok & ~bad & F.col(probs).isNotNull()
-    cols = [F.when(scored, F.col(probs).getItem(i).cast("double")).otherwise(F.lit(0.0)).alias(f"prob_{lab}")
-            for i, lab in enumerate(labels)]
+    scored = ok & ~bad
+    cols = [F.when(scored, p.cast("double")).otherwise(F.lit(0.0)).alias(f"prob_{lab}")
+            for p, lab in zip(prob_columns(probs, labels), labels)]
     produced = {"clase_predicha", "confianza", "image_processed", "metadata_processed",
                 *[f"prob_{lab}" for lab in labels]}
     keep = [F.col(c) for c in df.columns if c not in produced]

@@ -12,12 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_any(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One arbitrary row per key (``dropDuplicates``); use :func:`first_per_key`
-    when the surviving row must be deterministic."""
-    return df.dropDuplicates(keys)
-
-
 def _pick(df: DataFrame, keys: list[str], order: list[str], agg, payload: list[str] | None) -> DataFrame:
     payload = [c for c in (payload if payload is not None else df.columns) if c not in keys and c not in order]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],

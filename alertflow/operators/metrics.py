@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from alertflow.functions.metadata import success_rate
+
 
 def value_counts(df: DataFrame, col: str, out: str = "count") -> DataFrame:
     """Frequency of each non-null value, most frequent first."""
@@ -36,11 +38,21 @@ def pair_counts(df: DataFrame, true_col: str, pred_col: str) -> DataFrame:
 
 def confusion_matrix(df: DataFrame, true_col: str, pred_col: str, classes: list,
                      prefix: str = "pred_") -> DataFrame:
-    """Rows = true class, one column per predicted class (zeros filled)."""
+    """Rows = every class of the list and any other true value; one column per predicted class.
+
+    A class without true rows has a row of zeros; predictions outside the list
+    (or null) are counted in ``<prefix>other``, so no row is lost.
+    """
     pairs = pair_counts(df, true_col, pred_col)
+    known = F.col(pred_col).isin(list(classes))
     cols = [F.coalesce(F.sum(F.when(F.col(pred_col) == F.lit(c), F.col("n"))), F.lit(0)).cast("long")
             .alias(f"{prefix}{c}") for c in classes]
-    return pairs.groupBy(true_col).agg(*cols)
+    other = F.coalesce(F.sum(F.when(~F.coalesce(known, F.lit(False)), F.col("n"))), F.lit(0)).cast("long")
+    # the class list joins the pair counts as zero-count rows (at most classes^2 + classes rows)
+    kind = df.schema[true_col].dataType
+    zero = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c).cast(kind) for c in classes])).alias(true_col))
+    zero = zero.select(true_col, F.lit(classes[0]).cast(df.schema[pred_col].dataType).alias(pred_col), F.lit(0).cast("long").alias("n"))
+    return pairs.unionByName(zero).groupBy(true_col).agg(*cols, other.alias(f"{prefix}other"))
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -98,3 +110,10 @@ def top_confusions(df: DataFrame, true_col: str, pred_col: str, k: int = 5) -> D
     """The k most frequent off-diagonal (true, pred) pairs; ties by class."""
     return (pair_counts(df, true_col, pred_col).where(F.col(true_col) != F.col(pred_col))
             .orderBy(F.desc("n"), F.col(true_col), F.col(pred_col)).limit(k))
+
+
+def batch_summary(df: DataFrame, batch: Column, object_col: str, scored: Column) -> DataFrame:
+    """Per batch: rows, distinct objects, distinct scored objects and their rate in percent."""
+    g = df.groupBy(batch).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(object_col).alias("new_objects"),
+                              F.count_distinct(F.when(scored, F.col(object_col))).alias("scored"))
+    return g.withColumn("success_rate", success_rate("scored", "new_objects"))

@@ -71,10 +71,10 @@ def train(df: DataFrame, label: str, classes: list[str], kind: str = "mlp", n_fe
     scaling -- runs once instead of once per pass.
     """
     from pyspark import StorageLevel
-    check_labels(df, label, classes)
-    data = (df.select("features", label_to_index(label, classes).alias("label_idx"))
+    data = (df.select("features", label, label_to_index(label, classes).alias("label_idx"))
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
+        check_labels(data, label, classes)
         if n_features is None:
             n_features = len(data.select("features").first()[0])
         est = make_estimator(kind, n_features, len(classes), **kw)
@@ -113,7 +113,8 @@ def score_with_function(df: DataFrame, predict, n_classes: int, features: str =
     Arrow batch at a time, rows never leave their partition.
 
     ``features`` is an ``array<double>`` column; the output adds ``out``
-    (``array<double>`` of length ``n_classes``).
+    (``array<double>`` of length ``n_classes``). A batch the predictor fails on
+    is scored row by row; a row it fails on gets a null (routed to ``ERROR``).
     """
     import numpy as np
     import pandas as pd
@@ -121,13 +122,21 @@ def score_with_function(df: DataFrame, predict, n_classes: int, features: str =
 
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.DoubleType()), True)])
 
+    def scores_of(x):
+        try:
+            return np.asarray(predict(x), dtype=np.float64).reshape(len(x), n_classes)
+        except Exception:  # noqa: BLE001 - any error of a user's predictor is a failed score
+            return None
+
     def run(batches):
         for pdf in batches:
             if len(pdf) == 0:
                 yield pdf.assign(**{out: pd.Series([], dtype=object)})
                 continue
             x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[features]])
-            p = np.asarray(predict(x), dtype=np.float64).reshape(len(pdf), n_classes)
-            yield pdf.assign(**{out: list(p)})
+            p = scores_of(x)
+            if p is None:
+                p = [None if (one := scores_of(row[None, :])) is None else one[0] for row in x]
+            yield pdf.assign(**{out: pd.Series(list(p), index=pdf.index, dtype=object)})
 
     return df.mapInPandas(run, schema)

@@ -8,12 +8,15 @@ A plain ``row_number() over (partition by class order by hash)`` sends a whole
 class to one task; with a class holding a third of all rows that task is the
 job. Instead (two-level rank):
 
-1. bucket = first ``digits`` hex digits of the hash (16**digits buckets);
-2. count rows per (class, bucket) -- map-side partial aggregation, tiny output;
+1. bucket = first ``digits`` hex digits of the hash (16**digits buckets, chosen
+   from the row count so that a bucket holds a few thousand rows);
+2. count rows per (class, bucket) -- map-side partial aggregation;
 3. prefix-sum those counts per class -> the offset of every bucket;
 4. join the offsets back (broadcast only after its row count is checked);
 5. ``row_number`` inside (class, bucket) + offset = the exact global rank.
 
+Only id, class and hash are ranked; the positions join the rows back by id.
+
 Because buckets are prefixes of the hash, bucket order equals hash order, so
 the result is identical to the plain window (tested).
 """
@@ -30,12 +33,17 @@ from alertflow.session import shared_dir
 # (about 50 bytes a row); above it the join shuffles on (class, bucket), the
 # same partitioning the in-bucket window needs, so no extra exchange.
 MAX_BROADCAST_ROWS = 500_000
-# 16**4 = 65,536 buckets per class. The offset table holds at most one row
-# per non-empty bucket, so it is <= min(rows, classes x 65,536) whatever the
-# data size (broadcastable), its per-class prefix sum is bounded work, and at
-# 1e12 rows over 5 classes a bucket holds ~3e6 rows -- modest sorts spread
-# over all shuffle partitions. Raise ``digits`` for larger or fewer classes.
-DEFAULT_DIGITS = 4
+# Rows a bucket holds on average: the bucket count grows with the data, so the
+# in-bucket sort stays this small at any size.
+BUCKET_ROWS = 4096
+
+
+def digits_for(rows: int) -> int:
+    """Hex digits that give buckets of about ``BUCKET_ROWS`` rows."""
+    digits = 1
+    while 16 ** digits * BUCKET_ROWS < rows:
+        digits += 1
+    return digits
 
 
 def seeded_hash(id_col: str | Column, seed: int = S.SEED) -> Column:
@@ -58,44 +66,49 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str], checked_rows: i
     return null_safe_join(big, small, on, "inner", checked_rows <= MAX_BROADCAST_ROWS)
 
 
-def bucket_offsets(df: DataFrame, by: list[str], digits: int) -> tuple[DataFrame, int, int]:
-    """Per (by..., bucket): row count ``_n`` and rows before the bucket ``_off``.
-
-    Returns the offset table, its row count (the size check for broadcasting)
-    and the bucket width actually used: when there are so many groups that
-    the table would pass the broadcast bound, the counts are merged into
-    coarser buckets (one hex digit fewer at a time) from the small count table
-    itself -- no second pass over the data -- so the join stays a broadcast.
-    """
+def bucket_offsets(df: DataFrame, by: list[str]) -> tuple[DataFrame, int]:
+    """Per (by..., bucket): row count ``_n`` and rows before the bucket ``_off``;
+    and the table's row count (the size check for broadcasting)."""
     shared_dir(df.sparkSession)
     # Reliable checkpoints (shared folder): a lost executor cannot lose them,
     # and the join below re-reads the table instead of recounting.
-    counts = df.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
-    n = counts.count()
-    while n > MAX_BROADCAST_ROWS and digits > 1:
-        digits -= 1
-        counts = (counts.groupBy(*by, F.substring("_b", 1, digits).alias("_b"))
-                  .agg(F.sum("_n").alias("_n")).checkpoint(eager=True))
-        n = counts.count()
+    counts = df.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
-    offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).checkpoint(eager=True)
-    return offsets, n, digits
+    if by:
+        offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
+    else:
+        # no class: sum by the first digit, then inside each first digit, so that
+        # the bucket table itself never sits in one task
+        first = counts.withColumn("_f", F.substring("_b", 1, 1))
+        heads = first.groupBy("_f").agg(F.sum("_n").alias("_h")).withColumn(
+            "_base", F.sum("_h").over(Window.orderBy("_f")) - F.col("_h")).select("_f", "_base")  # 16 rows
+        inner = Window.partitionBy("_f").orderBy("_b")
+        offsets = (first.join(F.broadcast(heads), "_f")
+                   .withColumn("_off", F.col("_base") + F.sum("_n").over(inner) - F.col("_n")).drop("_f", "_base"))
+    offsets = offsets.checkpoint(eager=True)
+    return offsets, offsets.count()
+
+
+def _hashed(df: DataFrame, id_col: str, by: list[str], seed: int, digits: int | None) -> DataFrame:
+    """Narrow rows (id, class, hash, bucket): all that ranking moves."""
+    narrow = df.select(id_col, *by)
+    d = digits or digits_for(narrow.count())
+    return narrow.withColumn("_h", seeded_hash(id_col, seed)).withColumn("_b", F.substring("_h", 1, d))
 
 
 def exact_rank(df: DataFrame, id_col: str, by: list[str] | None = None, seed: int = S.SEED,
-               out: str = "position", digits: int = DEFAULT_DIGITS,
+               out: str = "position", digits: int | None = None,
                keep_below: Column | int | None = None) -> DataFrame:
     """Add ``out`` = 0-based rank of each row inside its ``by`` group, hash order.
 
-    ``keep_below`` (int or column of the offsets/``by`` frame) drops whole
-    buckets that start at or after that rank *before* the shuffle, so a
-    top-n per class only moves about n rows per class.
+    ``id_col`` is unique: only (id, class, hash) go through the rank, and the
+    positions join the rows back by id. ``keep_below`` (int or column of the
+    offsets/``by`` frame) drops whole buckets that start at or after that rank
+    *before* the shuffle, so a top-n per class only moves about n rows per class.
     """
     by = list(by or [])
-    h = seeded_hash(id_col, seed)
-    d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
-    offsets, n_off, used = bucket_offsets(d, by, digits)
-    d = d.withColumn("_b", F.substring("_h", 1, used))
+    d = _hashed(df, id_col, by, seed, digits)
+    offsets, n_off = bucket_offsets(d, by)
     j = _join_small(d, offsets, [*by, "_b"], n_off)
     if keep_below is not None:
         lim = F.lit(keep_below) if isinstance(keep_below, int) else keep_below
@@ -104,29 +117,37 @@ def exact_rank(df: DataFrame, id_col: str, by: list[str] | None = None, seed: in
     r = j.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("long"))
     if keep_below is not None:
         r = r.where(F.col(out) < lim)
-    return r.drop("_h", "_b", "_off", "_n")
+    return _positions_back(df, r.select(id_col, *by, out), id_col, by)
+
+
+def _positions_back(df: DataFrame, ranked: DataFrame, id_col: str, by: list[str]) -> DataFrame:
+    """Rows of ``df`` with the ranked columns; no join where there is no payload."""
+    if set(df.columns) <= {id_col, *by}:
+        return ranked.select(*df.columns, *[c for c in ranked.columns if c not in df.columns])
+    return null_safe_join(df, ranked.drop(*by), [id_col])
 
 
 def shuffle_positions(df: DataFrame, id_col: str, seed: int = S.SEED, out: str = "position",
-                      digits: int = DEFAULT_DIGITS) -> DataFrame:
+                      digits: int | None = None) -> DataFrame:
     """Random (seeded, repeatable) order of all rows as a 0-based position."""
     return exact_rank(df, id_col, None, seed, out, digits)
 
 
 def row_at(df: DataFrame, id_col: str, n: int, seed: int = S.SEED, out: str = "position",
-           topk_limit: int = 100_000) -> DataFrame:
+           digits: int | None = None) -> DataFrame:
     """The row at 0-based position ``n`` of the seeded order.
 
-    For small ``n`` a top-(n+1) selection (each task keeps n+1 rows, no full
-    shuffle or sort) then a rank over those few rows; beyond ``topk_limit``
-    the exact two-level rank and a filter.
+    The bucket table says which bucket holds the position; only that bucket's
+    rows are read and ranked, whatever ``n`` is.
     """
-    if n >= topk_limit:
-        return shuffle_positions(df, id_col, seed, out).where(F.col(out) == n)
-    h = seeded_hash(id_col, seed)
-    head = df.withColumn("_h", h).orderBy("_h", id_col).limit(n + 1)
-    w = Window.orderBy("_h", id_col)  # over n + 1 rows only
-    return (head.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    d = _hashed(df, id_col, [], seed, digits)
+    offsets, _ = bucket_offsets(d, [])
+    hit = offsets.where((F.col("_off") <= n) & (F.col("_off") + F.col("_n") > n)).first()
+    if hit is None:
+        return df.withColumn(out, F.lit(None).cast("long")).where(F.lit(False))
+    rows = df.withColumn("_h", seeded_hash(id_col, seed)).where(F.substring("_h", 1, len(hit["_b"])) == hit["_b"])
+    w = Window.orderBy("_h", id_col)  # over one bucket only
+    return (rows.withColumn(out, (F.lit(hit["_off"]) + F.row_number().over(w) - 1).cast("long"))
             .where(F.col(out) == n).drop("_h"))
 
 
@@ -136,11 +157,11 @@ def minibatch(position: Column | str, batch_size: int = S.BATCH_SIZE) -> Column:
 
 
 def balance_sample(df: DataFrame, id_col: str, label_col: str, n: int, classes: list[str] | None = None,
-                   seed: int = S.SEED, digits: int = DEFAULT_DIGITS, strict: bool = False) -> DataFrame:
+                   seed: int = S.SEED, digits: int | None = None, strict: bool = True) -> DataFrame:
     """Exact-n sample without replacement per class (hash order); other classes whole.
 
-    ``classes`` = the classes to cut down (None: every class). ``strict``
-    raises when a sampled class has fewer than n rows (the source behaviour).
+    ``classes`` = the classes to cut down (None: every class). A sampled class
+    with fewer than n rows is an error; ``strict=False`` keeps it whole.
     """
     if classes is None:
         part = df
@@ -166,7 +187,7 @@ def _ceil_frac(n: Column, frac: float) -> Column:
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str, test: float = S.TEST_FRACTION,
                      validation: float = S.VALIDATION_FRACTION, seed: int = S.SEED,
-                     digits: int = DEFAULT_DIGITS, out: str = "split") -> DataFrame:
+                     digits: int | None = None, out: str = "split") -> DataFrame:
     """Per-class test / validation / train split with exact sizes.
 
     n_test = ceil(test * n); n_val = ceil(validation * (n - n_test)); the rest
@@ -175,10 +196,8 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, test: float = S
     buckets per class), every other row is assigned from its bucket offset
     without a second shuffle of the data.
     """
-    h = seeded_hash(id_col, seed)
-    d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
-    offsets, n_off, used = bucket_offsets(d, [label_col], digits)
-    d = d.withColumn("_b", F.substring("_h", 1, used))
+    d = _hashed(df, id_col, [label_col], seed, digits)
+    offsets, n_off = bucket_offsets(d, [label_col])
     totals = offsets.groupBy(label_col).agg(F.sum("_n").alias("_tot"))
     n_test = _ceil_frac(F.col("_tot"), test)
     cuts = (null_safe_join(offsets, totals, [label_col])
@@ -199,4 +218,5 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, test: float = S
     cut = (j.where(F.col("_straddle"))
            .withColumn("_pos", F.col("_off") + F.row_number().over(w) - 1)
            .withColumn(out, name(F.col("_pos"))).drop("_pos"))
-    return whole.unionByName(cut).drop("_h", "_b", "_off", "_c1", "_c2", "_straddle")
+    named = whole.unionByName(cut).select(id_col, label_col, out)
+    return _positions_back(df, named, id_col, [label_col])

@@ -73,15 +73,26 @@ FROM events""")
 sql("json_parse", "SELECT event_id, CAST(props->>'k' AS INTEGER) AS k FROM events")
 sql("struct_expand", "SELECT event_id, CAST(props->>'k' AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS z FROM events")
 sql("message_cast", "SELECT event_id, 'obj_' || CAST(user_id AS VARCHAR) AS object_id, props AS json_data FROM events")
-sql("metadata_messages", f"{META} SELECT 'Metadata' AS topic, object_id, ra, magpsf, isdiffpos, ndethist, "
-    "approx_nondet, gal_lat, ecl_lng FROM meta")
-
-_P = "(CAST(embedding[{i}] AS DOUBLE) + 1.0)"
-_SUM5 = "(" + " + ".join(_P.format(i=i) for i in range(1, 6)) + ")"
-_PROBS = [f"({_P.format(i=i)} / {_SUM5})" for i in range(1, 6)]
-_ARGMAX = ("CASE " + " ".join(
-    f"WHEN {_P.format(i=i)} = greatest({', '.join(_P.format(i=j) for j in range(1, 6))}) THEN '{lab}'"
-    for i, lab in enumerate(S.CLASS_LABELS, start=1)) + " END")
+sql("metadata_messages", f"{META} SELECT 'Metadata' AS topic, object_id, {', '.join(S.METADATA_COLUMNS)} FROM meta")
+
+_PIXELS = SI.IMG_H * SI.IMG_W
+
+
+def _class_sum(k: int, n: int, shift: float) -> str:
+    """Left-to-right sum of all values at positions k modulo n."""
+    return "(" + " + ".join(f"(CAST(embedding[{i + 1}] AS DOUBLE) + {shift})" for i in range(k, _PIXELS, n)) + ")"
+
+
+def _scored(n: int, shift: float) -> str:
+    """embeddings with the columns s1..sn."""
+    return "(SELECT *, " + ", ".join(f"{_class_sum(k, n, shift)} AS s{k + 1}" for k in range(n)) + " FROM embeddings)"
+
+
+SCORED = _scored(SI.N_SCORES, 1.0)
+_SUM5 = "(" + " + ".join(f"s{i}" for i in range(1, 6)) + ")"
+_PROBS = [f"(s{i} / {_SUM5})" for i in range(1, 6)]
+_ARGMAX = ("CASE " + " ".join(f"WHEN s{i} = greatest(s1, s2, s3, s4, s5) THEN '{lab}'"
+                              for i, lab in enumerate(S.CLASS_LABELS, start=1)) + " END")
 _MAXP = f"greatest({', '.join(_PROBS)})"
 
 
@@ -109,12 +120,12 @@ def _prediction_row_sql() -> str:
         else:
             t = "INTEGER" if n in S.INT_METADATA_COLUMNS else "DOUBLE"
             cols.append(f"CAST(NULL AS {t}) AS {n}")
-    return "SELECT " + ", ".join(cols) + " FROM embeddings"
+    return "SELECT " + ", ".join(cols) + f" FROM {SCORED}"
 
 
 sql("prediction_row", _prediction_row_sql())
 sql("prob_columns", "SELECT vec_id, " + ", ".join(
-    f"round({p}, 6) AS prob_{lab}" for p, lab in zip(_PROBS, S.CLASS_LABELS)) + " FROM embeddings")
+    f"round({p}, 6) AS prob_{lab}" for p, lab in zip(_PROBS, S.CLASS_LABELS)) + f" FROM {SCORED}")
 sql("batch_summary", """
 SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, count(DISTINCT user_id) AS new_objects,
   count(DISTINCT CASE WHEN value >= 10 THEN user_id END) AS scored,
@@ -161,10 +172,11 @@ sql("shape_check", """
 SELECT vec_id, CAST(CASE WHEN vec_id % 13 = 0 THEN 63 ELSE len(embedding) END AS INTEGER) AS n_values,
   (CASE WHEN vec_id % 13 = 0 THEN 63 ELSE len(embedding) END) = 64 AS valid FROM embeddings""")
 _OK = "(vec_id % 17 <> 0 AND vec_id % 19 <> 0)"
-sql("status_routing", f"SELECT vec_id, CASE WHEN {_OK} THEN {_ARGMAX} ELSE 'INCOMPLETE_DATA' END AS clase_predicha, "
-    f"CASE WHEN {_OK} THEN round({_MAXP}, 6) ELSE 0.0 END AS confianza, "
-    + ", ".join(f"CASE WHEN {_OK} THEN round({p}, 6) ELSE 0.0 END AS prob_{lab}" for p, lab in zip(_PROBS, S.CLASS_LABELS))
-    + ", vec_id % 17 <> 0 AS image_processed, vec_id % 19 <> 0 AS metadata_processed FROM embeddings")
+_DONE = f"({_OK} AND vec_id % 23 <> 0 AND vec_id % 29 <> 0)"  # failed predictor, NaN score
+sql("status_routing", f"SELECT vec_id, CASE WHEN NOT {_OK} THEN 'INCOMPLETE_DATA' WHEN NOT {_DONE} THEN 'ERROR' ELSE {_ARGMAX} "
+    f"END AS clase_predicha, CASE WHEN {_DONE} THEN round({_MAXP}, 6) ELSE 0.0 END AS confianza, "
+    + ", ".join(f"CASE WHEN {_DONE} THEN round({p}, 6) ELSE 0.0 END AS prob_{lab}" for p, lab in zip(_PROBS, S.CLASS_LABELS))
+    + f", vec_id % 17 <> 0 AS image_processed, vec_id % 19 <> 0 AS metadata_processed FROM {SCORED}")
 
 # ---------------------------------------------------------------- scaler
 
@@ -180,11 +192,15 @@ sql("scaler_apply", f"WITH st AS (SELECT {_STATS} FROM lineitem) SELECT l_orderk
 
 # ---------------------------------------------------------------- metrics
 
-_PRED = ("preds AS (SELECT vec_id, label AS true_label, CAST(list_position(e10, list_max(e10)) - 1 AS INTEGER) "
-         "AS pred_label FROM (SELECT vec_id, label, embedding[1:10] AS e10 FROM embeddings))")
-sql("confusion_matrix", f"WITH {_PRED} SELECT true_label, " + ", ".join(
-    f"CAST(sum(CASE WHEN pred_label = {i} THEN 1 ELSE 0 END) AS BIGINT) AS pred_{i}" for i in range(SI.N_LABELS))
-    + " FROM preds GROUP BY true_label")
+_TEN = ", ".join(f"s{i}" for i in range(1, SI.N_LABELS + 1))
+_PRED = (f"preds AS (SELECT vec_id, label AS true_label, CAST(list_position([{_TEN}], greatest({_TEN})) - 1 AS INTEGER) "
+         f"AS pred_label FROM {_scored(SI.N_LABELS, 0.0)} WHERE label <> {SI.ABSENT_LABEL})")
+# one row for every class, also one without true rows
+sql("confusion_matrix", f"WITH {_PRED} SELECT c.true_label, " + ", ".join(
+    f"CAST(coalesce(sum(CASE WHEN pred_label = {i} THEN 1 ELSE 0 END), 0) AS BIGINT) AS pred_{i}" for i in range(SI.N_LABELS))
+    + ", CAST(0 AS BIGINT) AS pred_other"
+    + f" FROM (SELECT CAST(unnest(generate_series(0, {SI.N_LABELS - 1})) AS INTEGER) AS true_label) c "
+      "LEFT JOIN preds p ON p.true_label = c.true_label GROUP BY c.true_label")
 _CLS = " UNION ALL ".join(f"SELECT {i} AS c" for i in range(SI.N_LABELS))
 sql("classification_report", f"""WITH {_PRED},
 cls AS ({_CLS}),
@@ -257,23 +273,26 @@ sql("pixel_clean", _exploded(64, "CASE WHEN pos = vec_id % 64 THEN 0.0 "
                                  "WHEN pos = (vec_id + 1) % 64 THEN 3.4028234663852886e38 "
                                  "WHEN pos = (vec_id + 2) % 64 THEN -3.4028234663852886e38 "
                                  "ELSE CAST(embedding[1 + pos] AS DOUBLE) END"))
-sql("stack_channels", _exploded(48, "embedding[1 + pos]"))
-_HWC_SRC = "(pos % 3) * 16 + pos // 3"
-sql("chw_to_hwc", _exploded(48, f"embedding[1 + {_HWC_SRC}]"))
-sql("image_roundtrip", _exploded(48, "embedding[1 + pos]"))
+_FACTOR = "CASE {c} " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(SI.CHANNEL_FACTORS)) + " END"
+_CHW = f"CAST(embedding[1 + pos % {_PIXELS}] AS DOUBLE) * {_FACTOR.format(c=f'(pos // {_PIXELS})')}"
+_HWC = f"CAST(embedding[1 + pos // 3] AS DOUBLE) * {_FACTOR.format(c='(pos % 3)')}"
+sql("stack_channels", _exploded(SI.CUBE_VALUES, _CHW))
+sql("chw_to_hwc", _exploded(SI.CUBE_VALUES, _HWC))
+sql("image_roundtrip", _exploded(SI.CUBE_VALUES, _CHW))
 sql("image_messages", "SELECT 'Imagen' AS topic, 'vec_' || CAST(vec_id AS VARCHAR) AS object_id, "
-    "CAST(192 AS INTEGER) AS n_bytes FROM embeddings")
+    f"CAST(pos AS INTEGER) AS pos, {_HWC} AS value FROM embeddings, range(0, {SI.CUBE_VALUES}) t(pos)")
 sql("minmax_channel", f"""
 WITH px AS (SELECT vec_id, CAST(pos AS INTEGER) AS pos, pos % 3 AS ch,
-  CAST(CASE WHEN vec_id % 10 = 0 AND pos % 3 = 1 THEN 0.5 ELSE embedding[1 + {_HWC_SRC}] END AS DOUBLE) AS x
-  FROM embeddings, range(0, 48) t(pos)),
+  CAST(CASE WHEN vec_id % 10 = 0 AND pos % 3 = 1 THEN 0.5 ELSE {_HWC} END AS DOUBLE) AS x
+  FROM embeddings, range(0, {SI.CUBE_VALUES}) t(pos)),
 st AS (SELECT *, min(x) OVER (PARTITION BY vec_id, ch) AS mn, max(x) OVER (PARTITION BY vec_id, ch) AS mx FROM px)
 SELECT vec_id, pos, round(CASE WHEN mx = mn THEN 0.0 ELSE (x - mn) / (mx - mn) END, 6) AS value FROM st""")
-sql("minmax_cube", """
-WITH px AS (SELECT vec_id, CAST(pos AS INTEGER) AS pos, CAST(embedding[1 + pos] AS DOUBLE) AS x
-  FROM embeddings, range(0, 48) t(pos)),
+sql("minmax_cube", f"""
+WITH px AS (SELECT vec_id, CAST(pos AS INTEGER) AS pos, {_CHW} AS x
+  FROM embeddings, range(0, {SI.CUBE_VALUES}) t(pos)),
 st AS (SELECT *, min(x) OVER (PARTITION BY vec_id) AS mn, max(x) OVER (PARTITION BY vec_id) AS mx FROM px)
-SELECT vec_id, pos, round(CASE WHEN mx = 0 THEN NULL ELSE (x - mn) / mx END, 6) AS value FROM st""")
+SELECT vec_id, pos, round(CASE WHEN mx = 0 THEN NULL ELSE CAST(CAST((x - mn) / mx AS FLOAT) AS DOUBLE) END, 4) AS value
+FROM st""")
 sql("rescale", _exploded(64, "CAST(embedding[1 + pos] AS DOUBLE) / 255.0"))
 sql("zero_pad", _exploded(196, "CASE WHEN pos // 14 BETWEEN 3 AND 10 AND pos % 14 BETWEEN 3 AND 10 "
                                "THEN CAST(embedding[1 + (pos // 14 - 3) * 8 + (pos % 14 - 3)] AS DOUBLE) ELSE 0.0 END"))
@@ -285,13 +304,12 @@ sql("rotations", " UNION ALL ".join(
     + "] AS DOUBLE) AS value FROM embeddings, range(0, 64) t(pos)" for k in range(4)))
 sql("image_range", "SELECT vec_id, CAST(list_min(embedding) AS DOUBLE) AS min_value, "
     "CAST(list_max(embedding) AS DOUBLE) AS max_value FROM embeddings")
-sql("argmax_label", f"SELECT vec_id, {_ARGMAX} AS clase_predicha, "
-    f"greatest({', '.join(_P.format(i=i) for i in range(1, 6))}) AS confianza FROM embeddings")
-sql("score_normalize", "SELECT vec_id, CAST(pos AS INTEGER) AS pos, round((CAST(embedding[1 + pos] AS DOUBLE) + 1.0) / "
-    f"{_SUM5}, 6) AS value FROM embeddings, range(0, 5) t(pos)")
-sql("feature_fuse", "SELECT vec_id, 50 AS n_features, round(list_sum(list_transform(embedding[1:48], "
-    "lambda x: CAST(x AS DOUBLE))) + CAST(CAST(label AS FLOAT) AS DOUBLE) + CAST(CAST(vec_id AS FLOAT) AS DOUBLE), 4) "
-    "AS sum_features FROM embeddings")
+sql("argmax_label", f"SELECT vec_id, {_ARGMAX} AS clase_predicha, greatest(s1, s2, s3, s4, s5) AS confianza FROM {SCORED}")
+sql("score_normalize", f"SELECT vec_id, CAST(pos AS INTEGER) AS pos, round([{', '.join(_PROBS)}][1 + pos], 6) AS value "
+    f"FROM {SCORED}, range(0, 5) t(pos)")
+sql("feature_fuse", f"SELECT vec_id, CAST(pos AS INTEGER) AS pos, CASE pos WHEN {SI.CUBE_VALUES} THEN CAST(CAST(label AS FLOAT) AS DOUBLE) "
+    f"WHEN {SI.CUBE_VALUES + 1} THEN CAST(CAST(vec_id AS FLOAT) AS DOUBLE) ELSE {_CHW} END AS value "
+    f"FROM embeddings, range(0, {SI.CUBE_VALUES + 2}) t(pos)")
 
 # ---------------------------------------------------------------- write + read back
 
@@ -299,7 +317,8 @@ sql("load_folders", "SELECT CAST(event_id % 3 AS INTEGER) AS folder_rank, count(
     "FROM events GROUP BY 1")
 sql("read_class_partition", "SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'purchase'")
 sql("write_by_class", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
-sql("dataset_roundtrip", "SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS first_value FROM embeddings")
+sql("dataset_roundtrip", "SELECT vec_id, label, CAST(pos AS INTEGER) AS pos, CAST(embedding[1 + pos] AS DOUBLE) AS value "
+    f"FROM embeddings, range(0, {_PIXELS}) t(pos)")
 
 # ---------------------------------------------------------------- streaming, CSV, cutouts
 
@@ -319,15 +338,50 @@ SELECT vec_id, CAST(pos AS INTEGER) AS pos,
 FROM embeddings, range(0, 48) t(pos) WHERE vec_id % 17 <> 0 AND vec_id % 19 <> 0""")
 
 _RAW_USER = _RAW.replace("doc_id", "user_id")
-sql("prepare_dataset", f"""
-WITH firsts AS (
-  SELECT object_id, ra FROM (
-    SELECT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, value AS ra,
-      row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
-    FROM events WHERE event_id % 13 <> 0 AND event_id % 29 <> 0 AND event_id % 31 <> 0) WHERE rn = 1),
+# alerts whose cutouts decode; the record of an object: last alert of the folder, then first folder
+_GOOD = "event_id % 29 <> 0 AND event_id % 31 <> 0"
+_PREPARED = f"""good AS (SELECT *, 'obj_' || CAST(user_id AS VARCHAR) AS object_id, event_id % 3 AS folder_rank
+  FROM events WHERE event_id % 13 <> 0 AND {_GOOD}),
+lasts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_id, folder_rank ORDER BY event_id DESC) AS rn FROM good) WHERE rn = 1),
+firsts AS (SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY object_id ORDER BY folder_rank) AS rn FROM lasts) WHERE rn = 1),
 catalog AS (SELECT DISTINCT 'obj_' || CAST(user_id AS VARCHAR) AS oid, {_RAW_USER} AS predicted_class FROM events),
-labelled AS (SELECT f.object_id, f.ra, {_MAP} AS label FROM firsts f JOIN catalog c ON f.object_id = c.oid),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || object_id), object_id) - 1 AS pos
-  FROM labelled)
-SELECT label, count(*) AS n_objects, round(sum(ra), 2) AS sum_ra, count(*) * 48 AS n_values
-FROM ranked WHERE label <> 'VS' OR pos < 20 GROUP BY label""")
+labelled AS (SELECT f.object_id, f.value, {_MAP} AS label FROM firsts f JOIN catalog c ON f.object_id = c.oid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || object_id), object_id) - 1 AS pos_in_class
+  FROM labelled),
+dataset AS (SELECT object_id, value, label FROM ranked WHERE label <> 'VS' OR pos_in_class < 20)"""
+
+
+def _crop_pixel(pos: str) -> str:
+    """Channel-first cropped stand-in pixel at a position of 48, from ``value``."""
+    at = f"((2 + ({pos} % 16) // 4) * 8 + 2 + ({pos} % 16) % 4)"
+    base = f"CAST(fmod(value * ({at} + 1), 7.0) AS FLOAT)"
+    return (f"CASE {pos} // 16 WHEN 0 THEN {base} WHEN 1 THEN CAST({base} * CAST(0.5 AS FLOAT) AS FLOAT) "
+            f"ELSE CAST({base} + CAST(1.0 AS FLOAT) AS FLOAT) END")
+
+
+sql("prepare_dataset", f"""WITH {_PREPARED},
+px AS (SELECT label, object_id, value AS ra, CAST(pos AS INTEGER) AS pos, CAST({_crop_pixel('pos')} AS DOUBLE) AS x
+  FROM dataset, range(0, 48) t(pos)),
+st AS (SELECT *, min(x) OVER (PARTITION BY object_id) AS mn, max(x) OVER (PARTITION BY object_id) AS mx FROM px)
+SELECT label, object_id, round(ra, 6) AS ra, pos, round(CAST(CAST((x - mn) / mx AS FLOAT) AS DOUBLE), 4) AS value FROM st""")
+sql("record_choice", """
+WITH lasts AS (SELECT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, CAST(event_id % 3 AS INTEGER) AS folder_rank,
+    event_id AS alert_order, value, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id DESC) AS rn FROM events)
+SELECT object_id, folder_rank, alert_order, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY folder_rank) AS k FROM lasts WHERE rn = 1) WHERE k = 1""")
+_HWC_POS = "((pos % 3) * 16 + pos // 3)"
+sql("producer_flow", f"""{META}, src AS (SELECT m.*, e.value FROM meta m JOIN events e ON m.alert_id = e.event_id
+  WHERE {_GOOD.replace('event_id', 'e.event_id')})
+SELECT alert_id, object_id, {', '.join(S.METADATA_COLUMNS)}, CAST(pos AS INTEGER) AS pos,
+  round(CAST({_crop_pixel(_HWC_POS)} AS DOUBLE), 4) AS pixel FROM src, range(0, 48) t(pos)""")
+sql("stream_classify", """
+SELECT DISTINCT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, user_id % 17 <> 0 AS image_processed, TRUE AS metadata_processed,
+  CASE WHEN user_id % 17 = 0 THEN 'INCOMPLETE_DATA' ELSE 'scored' END AS status, TRUE AS probabilities_sum FROM events""")
+sql("train_score", f"""WITH {_SPLIT}
+SELECT vec_id, CAST(label AS VARCHAR) AS label, TRUE AS probabilities_sum, TRUE AS known_class FROM split WHERE split = 'test'""")
+_CLASS_ROWS = " UNION ALL ".join(f"SELECT '{c}' AS label" for c in S.CLASS_LABELS)
+sql("train_evaluate", f"""WITH {_PREPARED},
+held AS (SELECT label, (count(*) + 4) // 5 AS n FROM dataset GROUP BY label),
+cls AS ({_CLASS_ROWS})
+SELECT c.label, CAST(coalesce(h.n, 0) AS BIGINT) AS support, TRUE AS rates_valid FROM cls c LEFT JOIN held h ON c.label = h.label
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), CAST((SELECT sum(n) FROM held) AS BIGINT), TRUE""")

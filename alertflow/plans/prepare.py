@@ -13,13 +13,13 @@ from alertflow import schemas as S
 from alertflow.functions import images as I
 from alertflow.functions import metadata as M
 from alertflow.operators import cutouts as C
-from alertflow.operators import dedup as D
 from alertflow.operators import joins as J
 from alertflow.operators import metrics as X
 from alertflow.operators import model as ML
 from alertflow.operators import ranking as R
 from alertflow.operators.scaler import apply_scaler, fit_scaler
 from alertflow.plans import standins as SI
+from alertflow.session import scratch_path
 from alertflow.sinks.writers import write_by_class
 
 
@@ -32,45 +32,81 @@ def labelled_per_class(spark: SparkSession, d: str) -> DataFrame:
 
 def alert_records(alerts: DataFrame, shape: tuple[int, int] = (S.CUTOUT_SIZE, S.CUTOUT_SIZE),
                   crop: int | None = S.CROP_SIZE, crop_start: int | None = S.CROP_START,
-                  order: str = "candid") -> DataFrame:
+                  order: str = "candid", catalog: DataFrame | None = None) -> DataFrame:
     """Alerts -> one record per decodable alert: object_id, channel-first cube
-    ``data`` and the 23 metadata columns (alerts with a bad cutout dropped)."""
-    keep = ["objectId", order, "candidate", *S.TOP_LEVEL_DOUBLE_FIELDS]
+    ``data`` and the 23 metadata columns (alerts with a bad cutout dropped).
+
+    With the ``catalog``, alerts of objects it does not hold are dropped before
+    any cutout is decoded. ``folder_rank`` is carried when present.
+    """
+    if catalog is not None:
+        known = catalog.select(F.col("oid").alias("_oid")).distinct()
+        alerts = alerts.join(known, M.object_id_value() == F.col("_oid"), "left_semi")
+    folder = [c for c in ("folder_rank",) if c in alerts.columns]
+    keep = ["objectId", order, *folder, "candidate", *S.TOP_LEVEL_DOUBLE_FIELDS]
     decoded = C.valid_alerts(C.ingest_cutouts(alerts, keep, shape=shape, crop=crop, crop_start=crop_start))
-    return decoded.select(M.object_id(), F.col(order).alias("alert_order"),
+    return decoded.select(M.object_id(), F.col(order).alias("alert_order"), *folder,
                           I.stack_channels(*[F.col(c) for c in S.CUTOUT_CHANNELS]).alias("data"),
                           *M.metadata_columns())
 
 
+def one_record_per_object(records: DataFrame, keep: str = "first") -> DataFrame:
+    """The last alert of each object in each folder (a later file overwrites), then
+    the object's record of the first folder (``keep="last"``: of the last one).
+
+    Only object, folder and alert order are aggregated; the chosen keys join the
+    records back, so no cube is sorted or carried through an aggregate. Alert
+    order is unique per object and folder.
+    """
+    pick = {"first": F.min, "last": F.max}[keep]
+    folder = ["folder_rank"] if "folder_rank" in records.columns else []
+    chosen = records.groupBy("object_id", *folder).agg(F.max("alert_order").alias("alert_order"))
+    if folder:
+        first = chosen.groupBy("object_id").agg(pick("folder_rank").alias("folder_rank"))
+        chosen = chosen.join(first, ["object_id", "folder_rank"], "left_semi")
+    return records.join(chosen, ["object_id", *folder, "alert_order"], "left_semi")
+
+
+DEFAULT_BALANCE = dict.fromkeys(S.BALANCED_CLASSES, S.BALANCE_SIZE)
+
+
 def build_dataset(records: DataFrame, catalog: DataFrame, balance: dict[str, int] | None = None,
                   keep: str = "first", seed: int = S.SEED) -> DataFrame:
     """Records -> labelled, deduplicated, balanced, normalised dataset.
 
-    * one record per object (``keep='first'`` by ``folder_rank`` then alert
-      order when present, else ``'last'`` by alert order);
+    * one record per object (:func:`one_record_per_object`);
     * inner cross-match with the catalogue (raw class -> 5 classes);
-    * exact-n hash sample of the classes in ``balance`` (others whole);
-    * whole-cube ``(x - min) / max`` normalisation of ``data``.
+    * exact-n hash sample of the classes in ``balance`` (others whole); by
+      default 12,000 of Other and of VS, ``{}`` for none; a class with fewer
+      rows is an error;
+    * whole-cube ``(x - min) / max`` normalisation of ``data``, as float32.
+
+    The records are written once to the shared folder, so every cutout is
+    decoded once however often the choice and the sample read them.
     """
-    order = [c for c in ("folder_rank", "alert_order") if c in records.columns]
-    pick = D.first_per_key if keep == "first" else D.last_per_key
-    one = pick(records, ["object_id"], order)
-    labelled = J.crossmatch(one, J.catalog_labels(catalog))
+    path = scratch_path(records.sparkSession, "records")
+    records.write.parquet(path)
+    records = records.sparkSession.read.schema(records.schema).parquet(path)
+    labelled = J.crossmatch(one_record_per_object(records, keep), J.catalog_labels(catalog))
+    balance = DEFAULT_BALANCE if balance is None else balance
     if balance:
-        # the sample's rank reads the labelled rows twice (bucket counts, then
-        # the rows): materialise them once in the shared folder rather than
-        # decode every cutout twice
-        labelled = labelled.checkpoint(eager=True)
-        parts = []
-        for cls, n in balance.items():
-            parts.append(R.balance_sample(labelled.where(F.col("label") == cls), "object_id", "label", n, seed=seed))
-        rest = labelled.where(~F.col("label").isin(list(balance)))
-        for p in parts:
-            rest = rest.unionByName(p)
-        labelled = rest
+        labelled = _balanced(labelled, balance, seed)
     return I.minmax_cube(labelled, "data", "data")
 
 
+def _balanced(labelled: DataFrame, balance: dict[str, int], seed: int) -> DataFrame:
+    """One ranking of the (object, class) pairs for all balanced classes; the rows follow by a semi-join."""
+    pairs = labelled.select("object_id", "label").checkpoint(eager=True)
+    sizes = {r["label"]: r["count"] for r in pairs.where(F.col("label").isin(list(balance))).groupBy("label").count().collect()}
+    for label, n in balance.items():
+        if sizes.get(label, 0) < n:
+            raise ValueError(f"class {label!r} has {sizes.get(label, 0)} rows, fewer than n={n}")
+    ranked = R.exact_rank(pairs.where(F.col("label").isin(list(balance))), "object_id", ["label"], seed, "_pos")
+    limit = F.coalesce(*[F.when(F.col("label") == c, F.lit(n)) for c, n in balance.items()])
+    out = ranked.where(F.col("_pos") >= limit).select(F.col("object_id").alias("_out_id"))
+    return labelled.join(out, F.col("object_id") == F.col("_out_id"), "left_anti")
+
+
 def save_dataset(dataset: DataFrame, root: str) -> str:
     """One partition folder per class."""
     return write_by_class(dataset, root, "label")
@@ -85,9 +121,9 @@ def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], cl
     Returns the model, the statistics and the evaluation frames (lazy).
     """
     c, h, w = image_shape
+    # the rank reads (id, label) alone and the parts read the rows: written once
+    dataset = dataset.checkpoint(eager=True)
     split = R.stratified_split(dataset, "object_id", "label", seed=seed)
-    # read three times below (train, validation, test): materialise once in the
-    # shared checkpoint folder so the rank is not recomputed per use
     split = split.withColumn("data", I.chw_to_hwc("data", c, h, w)).checkpoint(eager=True)
     stats = fit_scaler(split.where(F.col("split") == "train"), meta_cols).checkpoint(eager=True)
     scaled = apply_scaler(split, stats, meta_cols)

@@ -19,11 +19,16 @@ from alertflow.streaming import sources as SS
 
 
 def save_training(spark: SparkSession, path: str, model, stats: DataFrame, classes: list[str] = S.CLASS_LABELS,
-                  image_shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), kind: str = "mlp") -> str:
-    """Model + classes + 1-row scaler statistics + shape, under ``path``."""
+                  image_shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), kind: str = "mlp",
+                  normalise: str = "cube") -> str:
+    """Model + classes + 1-row scaler statistics + shape + normalisation, under ``path``.
+
+    ``normalise`` is what the training images went through (``build_dataset``:
+    ``cube``); the stream applies the same.
+    """
     ML.save(model, path, classes)
     stats.write.mode("overwrite").parquet(f"{path}/stats")
-    spark.createDataFrame([(json.dumps({"shape": list(image_shape), "kind": kind}),)], "meta string") \
+    spark.createDataFrame([(json.dumps({"shape": list(image_shape), "kind": kind, "normalise": normalise}),)], "meta string") \
         .write.mode("overwrite").json(f"{path}/meta")
     return path
 
@@ -31,26 +36,32 @@ def save_training(spark: SparkSession, path: str, model, stats: DataFrame, class
 def load_training(spark: SparkSession, path: str):
     meta = json.loads(spark.read.json(f"{path}/meta").first()[0])
     model, classes = ML.load(path, meta["kind"])
-    return model, classes, spark.read.parquet(f"{path}/stats"), tuple(meta["shape"])
+    stats = spark.read.parquet(f"{path}/stats")
+    if stats.count() != 1:
+        raise ValueError(f"{path}/stats: one row of scaler statistics expected")
+    return model, classes, stats, tuple(meta["shape"]), meta["normalise"]
 
 
 def run_classifier(spark: SparkSession, training_path: str, out_root: str, checkpoint: str,
                    servers: str | None = None, metadata_path: str | None = None, image_path: str | None = None,
-                   keys: tuple[str, ...] = ("object_id",), max_per_trigger: int | None = 5,
+                   keys: tuple[str, ...] = ("object_id",), max_per_trigger: int | None = None,
                    trigger_seconds: int | None = 15, available_now: bool = False,
-                   watermark: str | None = None, bound: str | None = None,
-                   state_partitions: int | None = None):
+                   watermark: str | None = CL.DEFAULT_WATERMARK, bound: str | None = CL.DEFAULT_BOUND,
+                   state_partitions: int | None = None, starting: str = "latest",
+                   fail_on_data_loss: bool = True, options: dict[str, str] | None = None):
     """Start the classifier; returns the running query.
 
     Kafka (``servers``) or file twins (``metadata_path`` / ``image_path``);
     ``keys`` with ``alert_id`` reads the alert id from message headers.
+    ``starting``, ``fail_on_data_loss`` and ``options`` go to both topic readers.
     """
-    model, classes, stats, shape = load_training(spark, training_path)
+    model, classes, stats, shape, normalise = load_training(spark, training_path)
     headers = "alert_id" in keys
     meta = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, servers, metadata_path, max_per_trigger,
-                                                headers=headers))
+                                                starting, fail_on_data_loss, headers, options))
     img = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, servers, image_path, max_per_trigger,
-                                            headers=headers))
+                                            starting, fail_on_data_loss, headers, options))
     pairs = CL.first_pairs(meta, img, keys, watermark, bound)
-    run = CL.batch_writer(model, classes, stats, out_root, S.METADATA_COLUMNS, shape, dedup_in_batch=False)
+    run = CL.batch_writer(model, classes, stats, out_root, S.METADATA_COLUMNS, shape, dedup_in_batch=False,
+                          normalise=normalise)
     return CL.start(pairs, run, checkpoint, trigger_seconds, available_now, state_partitions=state_partitions)

@@ -20,9 +20,12 @@ from alertflow.operators import cutouts as C
 from alertflow.operators import model as ML
 from alertflow.operators import ranking as R
 from alertflow.operators.scaler import fit_scaler
+from alertflow.plans import prepare as P
+from alertflow.plans import producer as PR
 from alertflow.plans import standins as SI
-from alertflow.registry import _explode, _t, query
+from alertflow.registry import _events_by_folder, _explode, _t, query
 from alertflow.session import default_state_partitions, scratch_path, shuffle_partitions
+from alertflow.sources import alerts as SRC
 from alertflow.sources.alerts import read_predictions
 from alertflow.sinks import writers as W
 from alertflow.streaming import classify as CL
@@ -43,8 +46,10 @@ def _run_to_parquet(stream: DataFrame, name: str, spark: SparkSession) -> DataFr
     return spark.read.parquet(f"{base}/out")
 
 
-def _file_twin(df: DataFrame, spark: SparkSession, name: str, files: int = 4, order: str = "ts") -> str:
-    return SS.write_time_ordered(df, scratch_path(spark, name), files, order)
+def _file_twin(df: DataFrame, spark: SparkSession, name: str, slices: int = 4, order: str = "ts") -> tuple[str, int]:
+    """Folder of a file twin, and how many files one time slice has."""
+    path = scratch_path(spark, name)
+    return path, SS.write_time_ordered(df, path, slices, order)
 
 
 def _cores(spark) -> int:
@@ -61,9 +66,8 @@ def q_stream_source(spark, d):
     v = _events_ts(spark, d)
     msgs = v.select(F.encode(SI.object_key(), "UTF-8").alias("key"), F.encode("props", "UTF-8").alias("value"),
                     F.lit(S.METADATA_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
-    path = scratch_path(spark, "topic_twin")
-    SS.write_message_twin(msgs, path, files=4)
-    raw = SS.message_stream(spark, S.METADATA_TOPIC, path=path, max_per_trigger=1)
+    path, files = _file_twin(msgs, spark, "topic_twin", order="timestamp")
+    raw = SS.message_stream(spark, S.METADATA_TOPIC, path=path, max_per_trigger=files)
     parsed = raw.select(F.col("key").cast("string").alias("object_id"),
                         parse_json(F.col("value").cast("string"), "k INT").getField("k").alias("k"))
     return _run_to_parquet(parsed, "stream_source", spark)
@@ -75,11 +79,11 @@ def q_stream_join(spark, d):
                                     "value", "props", "ts")
     # one time-ordered file set read as two streams: both sides advance
     # together, so no record arrives behind the watermark
-    path = _file_twin(v, spark, "join_twin")
+    path, files = _file_twin(v, spark, "join_twin")
     schema = spark.read.parquet(path).schema
 
     def side():
-        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     ls = side().select("alert_id", "object_id", "value", F.col("ts").alias("meta_time"))
     rs = side().select("alert_id", "object_id", "props", F.col("ts").alias("image_time"))
     j = join_streams(ls, rs, ["object_id", "alert_id"], "meta_time", "image_time", watermark="1 hour", bound="1 hour")
@@ -90,8 +94,8 @@ def q_stream_join(spark, d):
 @query("stream_dedup")
 def q_stream_dedup(spark, d):
     v = _events_ts(spark, d).select(SI.object_key().alias("object_id"), "event_id", "ts")
-    path = _file_twin(v, spark, "dedup_twin")
-    s = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path, files = _file_twin(v, spark, "dedup_twin")
+    s = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
     out = _run_to_parquet(dedup_stream(s, ["object_id"]).select("object_id"), "stream_dedup", spark)
     return out
 
@@ -104,18 +108,21 @@ _EVENT_CLASS = {"click": "AGN", "view": "QSO", "purchase": "VS", "signup": "YSO"
 
 def _alert_rows(spark, d) -> DataFrame:
     """Per alert: metadata (23 columns), an HWC image derived from ``value``,
-    a 5-class label from ``event_type``; every 17th image has a bad size."""
+    a 5-class label from ``event_type``; every 17th object's images have a bad size."""
     v = _events_ts(spark, d).repartition(_cores(spark), "event_id")  # one-file table: spread the packing
     img = F.transform(F.sequence(F.lit(0), F.lit(SI.CUBE_VALUES - 1)),
                       lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
     lab = F.lit("Other")
     for t, c in _EVENT_CLASS.items():
         lab = F.when(F.col("event_type") == t, F.lit(c)).otherwise(lab)
-    alerts = SI.alerts_from_events(v, extra=[img.alias("hwc"), lab.alias("label")])
-    rows = M.project_alerts(alerts.withColumnRenamed("candid", "alert_id"), keep=["alert_id", "ts", "hwc", "label"])
+    bad = (F.col("user_id") % 17 == 0).alias("bad")
+    alerts = SI.alerts_from_events(v, extra=[img.alias("hwc"), lab.alias("label"), bad, SI.object_key().alias("key_id")])
+    rows = M.project_alerts(alerts.withColumnRenamed("candid", "alert_id"), keep=["alert_id", "ts", "hwc", "label", "bad", "key_id"])
+    # every alert keeps its object here, so each object's flags are known
+    rows = rows.withColumn("object_id", F.col("key_id")).drop("key_id")
     packed = I.pack_float32("hwc")
-    bad = F.col("alert_id") % 17 == 0
-    out = rows.withColumn("image_data", F.when(bad, F.substring(packed, 1, 100)).otherwise(packed)).drop("hwc")
+    bad = F.col("bad")
+    out = rows.withColumn("image_data", F.when(bad, F.substring(packed, 1, 100)).otherwise(packed)).drop("hwc", "bad")
     # read by the scaler fit, the training and both topic twins: materialise
     # once in the shared folder (also cuts the lineage)
     return out.checkpoint(eager=True)
@@ -136,13 +143,14 @@ def q_stream_classify(spark, d):
     img_msgs = rows.select(F.encode("object_id", "UTF-8").alias("key"), F.col("image_data").alias("value"),
                            F.lit(S.IMAGE_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
     path = scratch_path(spark, "classify_topics")  # one folder per topic, as topics are separate logs
-    SS.write_message_twin(meta_msgs, f"{path}/{S.METADATA_TOPIC}", files=4)
-    SS.write_message_twin(img_msgs, f"{path}/{S.IMAGE_TOPIC}", files=4)
+    n_meta = SS.write_message_twin(meta_msgs, f"{path}/{S.METADATA_TOPIC}", slices=2)
+    n_img = SS.write_message_twin(img_msgs, f"{path}/{S.IMAGE_TOPIC}", slices=2)
     meta_s = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, path=f"{path}/{S.METADATA_TOPIC}",
-                                                  max_per_trigger=2))
+                                                  max_per_trigger=n_meta))
     img_s = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, path=f"{path}/{S.IMAGE_TOPIC}",
-                                              max_per_trigger=2))
-    joined = CL.first_pairs(meta_s, img_s)
+                                              max_per_trigger=n_img))
+    # one prediction per object over the whole replay: the exact form
+    joined = CL.first_pairs(meta_s, img_s, watermark=None, bound=None)
     out_root = scratch_path(spark, "predictions")
     run = CL.batch_writer(model, S.CLASS_LABELS, stats, out_root, S.METADATA_COLUMNS, _STREAM_SHAPE,
                           dedup_in_batch=False)
@@ -150,7 +158,12 @@ def q_stream_classify(spark, d):
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return read_predictions(spark, out_root)
+    got = read_predictions(spark, out_root)
+    total = sum((F.col(f"prob_{c}") for c in S.CLASS_LABELS), F.lit(0.0))
+    incomplete = F.col("clase_predicha") == S.INCOMPLETE_STATUS
+    return got.select("object_id", "image_processed", "metadata_processed",
+                      F.when(incomplete, S.INCOMPLETE_STATUS).otherwise("scored").alias("status"),
+                      F.when(incomplete, total == 0).otherwise(F.abs(total - 1) < 1e-6).alias("probabilities_sum"))
 
 
 @query("prediction_csv")
@@ -227,7 +240,9 @@ def q_train_score(spark, d):
     model = ML.train(train, "label", classes, kind="mlp", n_features=SI.IMG_H * SI.IMG_W, max_iter=30, hidden=(32,))
     test = ML.assemble(split.where(F.col("split") == "test"), "embedding", [])
     scored = ML.score(model, test)
-    return scored.select("vec_id", "label", I.argmax_label("probs", classes).alias("predicted"))
+    total = F.aggregate("probs", F.lit(0.0), lambda s, x: s + x)
+    return scored.select("vec_id", "label", (F.abs(total - 1) < 1e-6).alias("probabilities_sum"),
+                         I.argmax_label("probs", classes).isin(classes).alias("known_class"))
 
 
 # ---------------------------------------------------------------- whole preparation flow
@@ -260,25 +275,56 @@ def _prep_catalog(spark, d) -> DataFrame:
                         F.get(classes, (F.col("user_id") % 17).cast("int")).alias("predicted_class"))
 
 
+def _prep_dataset(spark, d) -> DataFrame:
+    catalog = _prep_catalog(spark, d)
+    alerts = _prep_alerts(spark, d).withColumn("folder_rank", (F.col("candid") % 3).cast("int"))
+    records = P.alert_records(alerts, shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None, catalog=catalog)
+    return P.build_dataset(records, catalog, balance=_PREP_BALANCE)
+
+
+@query("record_choice")
+def q_record_choice(spark, d):
+    """The last alert of each object in each of three folders, then the first folder's."""
+    v = SRC.load_folders(spark, _events_by_folder(spark, d)).select(
+        SI.object_key().alias("object_id"), "folder_rank", F.col("event_id").alias("alert_order"), "value")
+    return P.one_record_per_object(v)
+
+
+@query("producer_flow")
+def q_producer_flow(spark, d):
+    """Alert files -> cutouts and metadata -> both topic twins -> read back, all fields and values."""
+    folder = scratch_path(spark, "alert_files")
+    _prep_alerts(spark, d).drop("ts").write.parquet(folder)
+    topics = scratch_path(spark, "producer_topics")
+    PR.publish_alerts(spark, folder, fmt="parquet", metadata_path=f"{topics}/m", image_path=f"{topics}/i",
+                      shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
+    meta = SS.metadata_stream(spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS).parquet(f"{topics}/m")).drop("meta_time")
+    img = SS.image_stream(spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS).parquet(f"{topics}/i"))
+    pixels = img.select(F.col("alert_id").alias("image_alert"), F.col("object_id").alias("image_object"),
+                        I.unpack_float32_udf(3 * 4 * 4)("image_data").alias("img"))
+    both = meta.join(pixels, (F.col("alert_id") == F.col("image_alert")) & (F.col("object_id") == F.col("image_object")))
+    out = both.select(F.col("alert_id").cast("long").alias("alert_id"), "object_id", *S.METADATA_COLUMNS,
+                      F.posexplode_outer("img").alias("pos", "pixel"))
+    return out.withColumns({"pos": F.col("pos").cast("int"), "pixel": F.round(F.col("pixel").cast("double"), 4)})
+
+
 @query("prepare_dataset")
 def q_prepare_dataset(spark, d):
     """Cutout ingest -> metadata -> first alert per object -> cross-match ->
-    balance -> normalise -> written per class -> read back, counted per class."""
-    from alertflow.plans import prepare as P
-    records = P.alert_records(_prep_alerts(spark, d), shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
-    ds = P.build_dataset(records, _prep_catalog(spark, d), balance=_PREP_BALANCE)
+    balance -> normalise -> written per class -> read back, every pixel compared."""
+    ds = _prep_dataset(spark, d)
     root = P.save_dataset(ds, scratch_path(spark, "prepared"))
-    back = spark.read.parquet(root)
-    return back.groupBy("label").agg(F.count(F.lit(1)).alias("n_objects"), F.round(F.sum("ra"), 2).alias("sum_ra"),
-                                     F.sum(F.size("data")).alias("n_values"))
+    back = spark.read.parquet(root).select("label", "object_id", F.round("ra", 6).alias("ra"), F.posexplode_outer("data").alias("pos", "value"))
+    return back.select("label", "object_id", "ra", F.col("pos").cast("int").alias("pos"),
+                       F.round(F.col("value").cast("double"), 4).alias("value"))
 
 
 @query("train_evaluate")
 def q_train_evaluate(spark, d):
     """The training flow on the prepared dataset: per-class split, train-split
     scaler, channel-last images with rotated views, MLP, test-split report."""
-    from alertflow.plans import prepare as P
-    records = P.alert_records(_prep_alerts(spark, d), shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
-    ds = P.build_dataset(records, _prep_catalog(spark, d), balance=_PREP_BALANCE)
-    res = P.train_and_evaluate(ds, (SI.CUBE_C, SI.CUBE_H, SI.CUBE_W), kind="mlp", max_iter=30, hidden=(32,))
-    return res["test_report"]
+    ds = _prep_dataset(spark, d)
+    res = P.train_and_evaluate(ds, (SI.CUBE_C, 4, 4), kind="mlp", max_iter=30, hidden=(32,))
+    report = res["test_report"]
+    rates = [F.col(c).between(0.0, 1.0) for c in ("precision", "recall", "f1")]
+    return report.select("label", "support", (rates[0] & rates[1] & rates[2]).alias("rates_valid"))

@@ -9,8 +9,9 @@ with those tables. The same derivations are written as SQL in
 * ``events``      -> alert stream: ``event_id`` = alert id, ``user_id`` = object,
   ``value`` -> numeric candidate fields, ``props`` -> JSON payload,
   ``event_type`` -> raw flag / class.
-* ``embeddings``  -> cutouts: 64 floats = one 8x8 image; the first 48 = a
-  3x4x4 channel-first cube.
+* ``embeddings``  -> cutouts: 64 floats = one 8x8 image; with its negative and
+  its double, the three channels of a 3x8x8 channel-first cube. Class scores
+  are sums over all 64 values, by position modulo the number of classes.
 * ``documents`` + ``labels`` -> dataset + label catalogue (partial coverage).
 * ``lineitem``    -> numeric feature columns for the scaler.
 
@@ -29,10 +30,12 @@ from alertflow import schemas as S
 ISDIFFPOS_BY_TYPE = {"click": "t", "view": "1", "purchase": "f", "signup": "f"}  # error -> null
 RAW_CLASSES = list(S.LABEL_MAP) + ["Unknown"]  # index doc_id % 17; 16 -> null class
 IMG_H = IMG_W = 8
-CUBE_C, CUBE_H, CUBE_W = 3, 4, 4
-CUBE_VALUES = CUBE_C * CUBE_H * CUBE_W  # 48
+CUBE_C, CUBE_H, CUBE_W = 3, 8, 8
+CUBE_VALUES = CUBE_C * CUBE_H * CUBE_W  # 192
+CHANNEL_FACTORS = (1.0, -1.0, 2.0)  # science, reference, difference of the stand-in cube
 N_SCORES = 5
 N_LABELS = 10
+ABSENT_LABEL = 7  # left out of the metric stand-in, so that one class has no true rows
 LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 
@@ -98,15 +101,22 @@ def catalog_from_labels(labels: DataFrame) -> DataFrame:
 
 
 def channel(i: int, col: str = "embedding") -> Column:
-    """i-th 16-value channel of the 3x4x4 cube."""
-    n = CUBE_H * CUBE_W
-    return F.slice(F.col(col), i * n + 1, n)
+    """i-th whole 8x8 channel of the cube."""
+    return F.transform(F.col(col), lambda x: x * F.lit(CHANNEL_FACTORS[i]).cast("float"))
 
 
 def cube(col: str = "embedding") -> Column:
-    return F.slice(F.col(col), 1, CUBE_VALUES)
+    return F.concat(*[channel(i, col) for i in range(CUBE_C)])
+
+
+def class_sums(col: str = "embedding", n: int = N_LABELS, shift: float = 0.0) -> Column:
+    """Score k = left-to-right sum of (value + shift) at positions k modulo n."""
+    def one(k: int) -> Column:
+        part = F.filter(F.col(col), lambda x, i: i % n == k)
+        return F.aggregate(part, F.lit(0.0), lambda s, x: s + (x.cast("double") + F.lit(shift)))
+    return F.array(*[one(k) for k in range(n)])
 
 
 def scores(col: str = "embedding", n: int = N_SCORES) -> Column:
-    """Non-negative scores: first n values shifted by +1 (|x| < 1)."""
-    return F.transform(F.slice(F.col(col), 1, n), lambda x: x.cast("double") + F.lit(1.0))
+    """Non-negative scores over all values (shifted by +1, as |x| <= 1)."""
+    return class_sums(col, n, 1.0)

@@ -18,6 +18,7 @@ from alertflow.functions import images as I
 from alertflow.functions import metadata as M
 from alertflow.functions.labels import map_label
 from alertflow.functions.predictions import prediction_row, route_status
+from alertflow.operators import cutouts as C
 from alertflow.operators import dedup as D
 from alertflow.operators import joins as J
 from alertflow.operators import metrics as X
@@ -123,8 +124,7 @@ def q_message_cast(spark, d):
     v = _t(spark, d, "events")
     msgs = v.select("event_id", F.encode(SI.object_key(), "UTF-8").alias("key"),
                     F.encode(F.col("props"), "UTF-8").alias("value"))
-    return msgs.select("event_id", F.col("key").cast("string").alias("object_id"),
-                       F.col("value").cast("string").alias("json_data"))
+    return M.message_cast(msgs, keep=["event_id"])
 
 
 @query("metadata_messages")
@@ -133,8 +133,7 @@ def q_metadata_messages(spark, d):
     msgs = W.metadata_messages(meta)
     parsed = msgs.select("topic", F.col("key").cast("string").alias("object_id"),
                          M.parse_json(F.col("value").cast("string"), S.METADATA_SCHEMA).alias("m"))
-    return parsed.select("topic", "object_id", "m.ra", "m.magpsf", "m.isdiffpos", "m.ndethist",
-                         "m.approx_nondet", "m.gal_lat", "m.ecl_lng")
+    return parsed.select("topic", "object_id", *[f"m.{c}" for c in S.METADATA_COLUMNS])
 
 
 @query("prediction_row")
@@ -154,17 +153,15 @@ def q_prediction_row(spark, d):
 def q_prob_columns(spark, d):
     e = _t(spark, d, "embeddings")
     df = e.select("vec_id", I.score_normalize(SI.scores()).alias("p"))
-    return df.select("vec_id", *[F.round(c, 6).alias(f"prob_{lab}")
-                                 for c, lab in zip([F.col("p")[i] for i in range(5)], S.CLASS_LABELS)])
+    df = df.select("vec_id", *I.prob_columns("p", S.CLASS_LABELS))
+    return df.select("vec_id", *[F.round(c, 6).alias(c) for c in df.columns[1:]])
 
 
 @query("batch_summary")
 def q_batch_summary(spark, d):
     v = _t(spark, d, "events")
-    g = v.groupBy(F.to_date("ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_id").alias("new_objects"),
-        F.count_distinct(F.when(F.col("value") >= 10, F.col("user_id"))).alias("scored"))
-    return g.withColumn("success_rate", F.round(M.success_rate("scored", "new_objects"), 6))
+    g = X.batch_summary(v, F.to_date("ts").alias("day"), "user_id", F.col("value") >= 10)
+    return g.withColumn("success_rate", F.round("success_rate", 6))
 
 
 @query("feature_select")
@@ -223,9 +220,9 @@ def q_label_index(spark, d):
 def q_one_hot(spark, d):
     v = _t(spark, d, "events")
     idx = X.label_index(v, "event_type").checkpoint(eager=True)
-    n = idx.count()  # the encoder's width; also the size check before broadcasting
-    j = v.join(F.broadcast(idx) if n <= 100_000 else idx, "event_type")
-    oh = j.select("event_id", I.one_hot("label_index", n).alias("oh"))
+    n = idx.count()  # the encoder's width: one output column a label
+    # the size of the written index decides the join's strategy
+    oh = v.join(idx, "event_type").select("event_id", I.one_hot("label_index", n).alias("oh"))
     return oh.select("event_id", *[F.col("oh")[i].alias(f"oh_{i}") for i in range(n)])
 
 
@@ -254,18 +251,15 @@ def _channels(spark, d) -> DataFrame:
 
 @query("all_channels_valid")
 def q_all_channels_valid(spark, d):
-    c = _channels(spark, d)
-    return c.where(F.col("sci").isNotNull() & F.col("ref").isNotNull() & F.col("diff").isNotNull()) \
-            .select("vec_id", "label")
+    return C.valid_alerts(_channels(spark, d), ["sci", "ref", "diff"]).select("vec_id", "label")
 
 
 @query("reject_report")
 def q_reject_report(spark, d):
     c = _channels(spark, d)
-    flags = c.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("channel"), F.col(col).isNull().alias("bad"))
-        for name, col in zip(S.CUTOUT_CHANNELS, ["sci", "ref", "diff"])])))
-    return flags.where("bad").groupBy("channel").agg(F.count(F.lit(1)).alias("n_invalid"))
+    named = c.select("vec_id", *[F.when(F.col(col).isNull(), F.lit("empty")).otherwise(F.lit("ok")).alias(f"{name}_status")
+                                 for name, col in zip(S.CUTOUT_CHANNELS, ["sci", "ref", "diff"])])
+    return C.reject_report(named).select("channel", F.col("n").alias("n_invalid"))
 
 
 @query("shape_check")
@@ -280,8 +274,10 @@ def q_shape_check(spark, d):
 @query("status_routing")
 def q_status_routing(spark, d):
     e = _t(spark, d, "embeddings")
-    df = e.select("vec_id", I.score_normalize(SI.scores()).alias("p"))
-    r = route_status(df, "p", ~(F.col("vec_id") % 17 == 0), ~(F.col("vec_id") % 19 == 0))
+    vid = F.col("vec_id")
+    p = F.when(vid % 29 == 0, F.array(*[F.lit(float("nan"))] * SI.N_SCORES)).otherwise(I.score_normalize(SI.scores()))
+    df = e.select("vec_id", p.alias("p"))
+    r = route_status(df, "p", ~(vid % 17 == 0), ~(vid % 19 == 0), failed=vid % 23 == 0)
     return r.select("vec_id", "clase_predicha", F.round("confianza", 6).alias("confianza"),
                     *[F.round(f"prob_{c}", 6).alias(f"prob_{c}") for c in S.CLASS_LABELS],
                     "image_processed", "metadata_processed")
@@ -306,9 +302,8 @@ def q_scaler_apply(spark, d):
 # ---------------------------------------------------------------- metrics
 
 def _predictions(spark, d) -> DataFrame:
-    e = _t(spark, d, "embeddings")
-    return e.select("vec_id", F.col("label").alias("true_label"),
-                    I.argmax(F.slice("embedding", 1, SI.N_LABELS)).alias("pred_label"))
+    e = _t(spark, d, "embeddings").where(F.col("label") != SI.ABSENT_LABEL)
+    return e.select("vec_id", F.col("label").alias("true_label"), I.argmax(SI.class_sums()).alias("pred_label"))
 
 
 @query("confusion_matrix")
@@ -466,7 +461,10 @@ def q_image_messages(spark, d):
     e = _emb(spark, d).select(F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("object_id"),
                               I.chw_to_hwc(SI.cube(), SI.CUBE_C, SI.CUBE_H, SI.CUBE_W).alias("hwc"))
     m = W.image_messages(e, "object_id", "hwc")
-    return m.select("topic", F.col("key").cast("string").alias("object_id"), F.length("value").alias("n_bytes"))
+    back = m.select("topic", F.col("key").cast("string").alias("object_id"),
+                    I.unpack_float32_udf(SI.CUBE_VALUES)("value").alias("img"))
+    return (back.select("topic", "object_id", F.posexplode_outer("img").alias("pos", "value")).where(F.col("pos").isNotNull())
+            .select("topic", "object_id", F.col("pos").cast("int").alias("pos"), F.col("value").cast("double").alias("value")))
 
 
 def _flat_channel_cube(spark, d) -> DataFrame:
@@ -490,7 +488,7 @@ def q_minmax_channel(spark, d):
 def q_minmax_cube(spark, d):
     df = I.minmax_cube(_emb(spark, d).select("vec_id", SI.cube().alias("img")), "img", "norm")
     out = _explode(df.select("vec_id", "norm"), "vec_id", "norm")
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", F.round("value", 4))
 
 
 @query("rescale")
@@ -535,9 +533,7 @@ def q_score_normalize(spark, d):
 @query("feature_fuse")
 def q_feature_fuse(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", "label", SI.cube().alias("img"))
-    f = e.select("vec_id", I.feature_fuse("img", ["label", "vec_id"]).alias("features"))
-    return f.select("vec_id", F.size("features").alias("n_features"),
-                    F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("sum_features"))
+    return _explode(e.select("vec_id", I.feature_fuse("img", ["label", "vec_id"]).alias("features")), "vec_id", "features")
 
 
 # ---------------------------------------------------------------- sources / sinks (write + read back)
@@ -581,5 +577,5 @@ def q_write_by_class(spark, d):
 def q_dataset_roundtrip(spark, d):
     e = _t(spark, d, "embeddings")
     path = W.write_dataset(e, scratch_path(spark, "dataset"))
-    back = spark.read.parquet(path)
-    return back.select("vec_id", "label", F.col("embedding")[0].cast("double").alias("first_value"))
+    back = spark.read.parquet(path).select("vec_id", "label", F.posexplode("embedding").alias("pos", "value"))
+    return back.withColumns({"pos": F.col("pos").cast("int"), "value": F.col("value").cast("double")})

@@ -85,15 +85,8 @@ METADATA_TOPIC = "Metadata"
 IMAGE_TOPIC = "Imagen"
 
 # Prediction row header, in order (34 columns).
-PREDICTION_HEADER = [
-    "timestamp", "object_id", "clase_predicha", "confianza",
-    "prob_AGN", "prob_QSO", "prob_VS", "prob_YSO", "prob_Other",
-    "ra", "dec", "magpsf", "sigmapsf", "isdiffpos", "diffmaglim",
-    "fwhm", "sgscore1", "sgscore2", "sgscore3", "distpsnr1",
-    "distpsnr2", "distpsnr3", "classtar", "ndethist", "ncovhist",
-    "chinr", "sharpnr", "approx_nondet", "gal_lat", "gal_lng",
-    "ecl_lat", "ecl_lng", "image_processed", "metadata_processed",
-]
+PREDICTION_HEADER = ["timestamp", "object_id", "clase_predicha", "confianza",
+                     *[f"prob_{c}" for c in CLASS_LABELS], *METADATA_COLUMNS, "image_processed", "metadata_processed"]
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # ---------------------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -28,7 +27,7 @@ DEFAULT_CONF = {
 
 
 def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000,
-                 target_partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of Parquet.
 
     Shuffle partitions start at ~input / target (at least 2x the cores) so no
@@ -36,7 +35,7 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 100
     ones and splits skewed ones. Scan splits are capped at the same size.
     """
     cores = executor_cores * executors
-    parts = min(max(2 * cores, input_bytes // target_partition_bytes), max_partitions)
+    parts = max(2 * cores, input_bytes // target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -92,8 +91,10 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a fresh
-    temporary folder is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset on a local master (tests, the
+    bench) a fresh temporary folder is created and registered as the checkpoint
+    dir. On a cluster an unset folder is an error: a machine-local one would
+    leave each executor with its own files.
     """
     try:
         sc = spark.sparkContext
@@ -103,6 +104,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # static config: cannot be set on a running session, so register the
         # folder with the context only
         d = tempfile.mkdtemp(prefix="alertflow-ckpt-")
@@ -115,14 +118,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one job's output."""
     base = shared_dir(spark)
     return f"{base}/alertflow/{name}/{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)

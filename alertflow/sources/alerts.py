@@ -21,14 +21,16 @@ def avro_available(spark: SparkSession) -> bool:
 
 def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
                 schema: T.StructType = S.ALERT_SCHEMA, glob: str | None = None,
-                ignore_corrupt: bool = True) -> DataFrame:
+                ignore_corrupt: bool = False) -> DataFrame:
     """One row per alert from a directory of alert files.
 
     ``fmt``: ``avro`` (Spark's Avro source), ``avro-mapred`` (the Hadoop Avro
     input format bundled with Spark -- no extra jar; records arrive as JSON
     text, bytes as Latin-1 text), or any file format with a Parquet/JSON twin.
-    Unreadable files are skipped (``ignoreCorruptFiles``) instead of failing;
-    on the input-format path that is the core setting ``spark.files.ignoreCorruptFiles``.
+    A damaged file fails the scan. ``ignore_corrupt`` skips it instead; take
+    :func:`rejected_files` then, which names every file that gave no row. On the
+    input-format path skipping is the core setting ``spark.files.ignoreCorruptFiles``.
+    ``glob`` selects files by name on every path (Avro: ``*.avro`` by default).
     ``fmt="avro"`` without the Avro data source on the classpath falls back to
     ``avro-mapred``.
     """
@@ -36,7 +38,7 @@ def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
     if fmt == "avro" and not avro_available(spark):
         fmt = "avro-mapred"
     if fmt == "avro-mapred":
-        return _scan_avro_mapred(spark, paths, schema)
+        return _scan_avro_mapred(spark, paths, schema, glob or "*.avro")
     reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(ignore_corrupt).lower())
     if glob is None and fmt == "avro":
         glob = "*.avro"
@@ -45,9 +47,30 @@ def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
     return reader.format(fmt).load(paths)
 
 
-def _scan_avro_mapred(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+def rejected_files(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
+                   schema: T.StructType = S.ALERT_SCHEMA, glob: str | None = None) -> DataFrame:
+    """``path, length, n_rows`` of the files that a skipping scan took no row from.
+
+    The listing reads file names and sizes only (the content column is pruned);
+    the rows per file are counted on the executors.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    listed = spark.read.format("binaryFile")
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+    if glob:
+        listed, rows = listed.option("pathGlobFilter", glob), rows.option("pathGlobFilter", glob)
+    counts = (rows.format(fmt).load(paths).groupBy(F.col("_metadata.file_name").alias("_name"), F.col("_metadata.file_size").alias("_size"))
+              .agg(F.count(F.lit(1)).alias("n_rows")))
+    files = listed.load(paths).select("path", "length", F.col("_metadata.file_name").alias("file_name"))
+    joined = files.join(counts, (F.col("file_name") == F.col("_name")) & (F.col("length") == F.col("_size")), "left")
+    return joined.where(F.col("n_rows").isNull()).select("path", "length", F.lit(0).cast("long").alias("n_rows"))
+
+
+def _scan_avro_mapred(spark: SparkSession, paths: list[str], schema: T.StructType, glob: str) -> DataFrame:
     """Avro container files read by executors through ``AvroAsTextInputFormat``."""
     sc = spark.sparkContext
+    # a folder is read by the file pattern, a file or a pattern as given
+    paths = [p if p.endswith(".avro") or "*" in p else f"{p.rstrip('/')}/{glob}" for p in paths]
     rdds = [sc.hadoopFile(p, "org.apache.avro.mapred.AvroAsTextInputFormat",
                           "org.apache.hadoop.io.Text", "org.apache.hadoop.io.NullWritable")
             .map(lambda kv: kv[0]) for p in paths]
@@ -71,17 +94,20 @@ def _scan_avro_mapred(spark: SparkSession, paths: list[str], schema: T.StructTyp
 
 def load_folders(spark: SparkSession, folders: list[str], fmt: str = "parquet",
                  schema: T.StructType | None = None) -> DataFrame:
-    """Read several dataset folders at once, tagging rows with the folder's
-    position in ``folders`` (``folder_rank``) for keep-first deduplication."""
-    reader = spark.read
+    """Read several dataset folders, tagging rows with the folder's position in
+    ``folders`` (``folder_rank``) for keep-first deduplication.
+
+    Each folder is its own scan with its rank as a literal, so no path is
+    compared: names with spaces or nested folders keep their own rank.
+    """
+    reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.format(fmt).load(folders).withColumn("_file", F.col("_metadata.file_path"))
-    rank = F.lit(None).cast("int")
-    for i, folder in reversed(list(enumerate(folders))):
-        prefix = folder.rstrip("/") + "/"
-        rank = F.when(F.col("_file").contains(prefix), F.lit(i)).otherwise(rank)
-    return df.withColumn("folder_rank", rank).drop("_file")
+    parts = [reader.load(f).withColumn("folder_rank", F.lit(i)) for i, f in enumerate(folders)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType = S.CATALOG_SCHEMA) -> DataFrame:

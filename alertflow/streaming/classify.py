@@ -27,10 +27,19 @@ from alertflow.sinks.writers import write_predictions_csv
 from alertflow.streaming.stateful import dedup_stream, join_streams
 
 
+# State is bounded by default: a pair arrives within the bound, a repeat within the watermark.
+DEFAULT_WATERMARK = "1 day"
+DEFAULT_BOUND = "1 hour"
+
+
 def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_COLUMNS,
-            shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3)) -> DataFrame:
+            shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3),
+            normalise: str = "channel") -> DataFrame:
     """Clean image + metadata and assemble ``features`` for every row.
 
+    ``normalise`` is what the model was trained on: ``channel`` (min-max per
+    channel) or ``cube`` (whole-cube min-max). Pixels are cleaned first.
+
     Rows whose image is missing or has the wrong size get zeros as features
     (so one pass scores the whole batch) and ``image_processed = false``;
     their scores are discarded by the status routing.
@@ -38,8 +47,13 @@ def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_C
     h, w, c = shape
     n = h * w * c
     unpack = I.unpack_float32_udf(n)
-    x = df.withColumn("_img", unpack("image_data"))
-    x = I.minmax_channel(x, "_img", "_norm", c, layout="hwc", size=n)
+    x = df.withColumn("_raw", unpack("image_data")).withColumn("_img", I.pixel_clean("_raw")).drop("_raw")
+    if normalise == "cube":
+        x = I.minmax_cube(x, "_img", "_norm")
+    elif normalise == "channel":
+        x = I.minmax_channel(x, "_img", "_norm", c, layout="hwc", size=n)
+    else:
+        raise ValueError(f"normalise {normalise!r}")
     meta_present = F.lit(False)
     for m in meta_cols:
         meta_present = meta_present | F.col(m).isNotNull()
@@ -58,13 +72,14 @@ def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_C
 
 
 def classify(df: DataFrame, model, classes: list[str], stats: DataFrame, meta_cols: list[str] = S.METADATA_COLUMNS,
-             shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), stamp=None) -> DataFrame:
+             shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), stamp=None,
+             normalise: str = "channel") -> DataFrame:
     """Prediction rows (34 columns) for a batch of joined records.
 
     ``model`` is a fitted MLlib model, or any batch predictor
     ``predict(X) -> probabilities`` run through ``mapInPandas``.
     """
-    prepared = prepare(df, stats, meta_cols, shape)
+    prepared = prepare(df, stats, meta_cols, shape, normalise)
     if hasattr(model, "transform"):
         scored = ML.score(model, prepared)
     else:
@@ -89,7 +104,8 @@ def read_summaries(spark, out_root: str) -> DataFrame:
 
 def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
                  meta_cols: list[str] = S.METADATA_COLUMNS,
-                 shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), dedup_in_batch: bool = True):
+                 shape: tuple[int, int, int] = (S.CROP_SIZE, S.CROP_SIZE, 3), dedup_in_batch: bool = True,
+                 normalise: str = "channel"):
     """``foreachBatch`` callback: skip empty batches, dedup inside the batch
     (not needed after :func:`first_pairs`, which already emits one pair per
     object), classify, write ``batch_id=<n>/`` (overwrite = idempotent on
@@ -110,7 +126,7 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
 
     def _write(batch: DataFrame, batch_id: int) -> None:
         one = batch.dropDuplicates(["object_id"]) if dedup_in_batch else batch
-        preds = classify(one, model, classes, stats, meta_cols, shape)
+        preds = classify(one, model, classes, stats, meta_cols, shape, normalise=normalise)
         # batch summary gathered while the rows are written (no second pass)
         obs = Observation(f"batch_{batch_id}")
         ok = (~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)).cast("long")
@@ -129,7 +145,7 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
 
 
 def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_id",),
-                watermark: str | None = None, bound: str | None = None,
+                watermark: str | None = DEFAULT_WATERMARK, bound: str | None = DEFAULT_BOUND,
                 meta_time: str = "meta_time", image_time: str = "image_time") -> DataFrame:
     """One (metadata, image) pair per object: the first one seen.
 
@@ -145,11 +161,12 @@ def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_i
     alert, no cross pairs), then the first pair per object is kept. Give a
     ``watermark`` and ``bound`` here: join state is per alert.
 
-    ``watermark=None``: exact; dedup state lives as long as the query (like
-    the source's in-memory id set), one entry per object. With ``watermark``
-    (+ ``bound``) state is evicted once the watermark passes; an object seen
-    again after eviction is classified again, and a partner arriving more
-    than ``bound`` away from the other side is not paired.
+    With ``watermark`` and ``bound`` (the defaults) state is evicted once the
+    watermark passes; an object seen again after eviction is classified again,
+    and a partner arriving more than ``bound`` away from the other side is not
+    paired. ``watermark=None, bound=None`` is the exact form: the dedup ids and
+    the joined rows, image bytes included, stay as long as the query lives (like
+    the source's in-memory id set), about 5.5 KB an object at the full image size.
     """
     keys = list(keys)
     obj = ["object_id"]
@@ -162,7 +179,7 @@ def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_i
 
     if keys == obj:
         m, i = dedup(meta, obj), dedup(images, obj)
-        if bound:
+        if bound and watermark:
             return join_streams(i, m, obj, image_time, meta_time, None, bound).drop(meta_time)
         return join_streams(i, m.drop(meta_time), obj)
     pairs = join_streams(images, meta, keys, image_time, meta_time, None, bound).drop(meta_time)
@@ -206,11 +223,3 @@ def progress_totals(query) -> dict:
     rows = sum(int(p.get("numInputRows", 0)) for p in prog)
     ms = sum(int((p.get("durationMs") or {}).get("triggerExecution", 0)) for p in prog)
     return {"batches": len(prog), "input_rows": rows, "rows_per_sec": rows / (ms / 1000) if ms else None}
-
-
-def batch_summary(predictions: DataFrame) -> DataFrame:
-    """Rows, objects, scored and success rate of written prediction rows."""
-    ok = ~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)
-    g = predictions.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("object_id").alias("new_objects"),
-                        F.sum(ok.cast("int")).alias("scored"))
-    return g.withColumn("success_rate", F.lit(100.0) * F.col("scored") / F.greatest(F.col("new_objects"), F.lit(1)))

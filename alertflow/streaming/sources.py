@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from alertflow import schemas as S
 from alertflow.functions.metadata import parse_json
+from alertflow.session import scratch_path
 
 
 def message_stream(spark: SparkSession, topic: str, servers: str | None = None, path: str | None = None,
-                   max_per_trigger: int | None = 5, starting: str = "latest",
-                   fail_on_data_loss: bool = False, headers: bool = False) -> DataFrame:
+                   max_per_trigger: int | None = None, starting: str = "latest",
+                   fail_on_data_loss: bool = True, headers: bool = False,
+                   options: dict[str, str] | None = None) -> DataFrame:
     """Raw ``(key, value, topic, timestamp[, headers])`` rows of one topic.
 
     Kafka (``servers``): ``subscribe``, ``startingOffsets``, ``failOnDataLoss``
-    and ``maxOffsetsPerTrigger`` as given. File twin (``path``): Parquet files
+    and ``maxOffsetsPerTrigger`` as given; ``options`` adds any reader option
+    (retries, timeouts). By default nothing caps a trigger, and messages lost
+    on the broker stop the query instead of passing unseen. File twin (``path``): Parquet files
     with the same columns, ``maxFilesPerTrigger`` as the rate limit; used
     offline and in tests (no Kafka jar here). ``headers`` also reads the
     message headers (where the alert id travels, see :func:`alert_id`).
@@ -29,6 +33,8 @@ def message_stream(spark: SparkSession, topic: str, servers: str | None = None,
             r = r.option("includeHeaders", "true")
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
+        for k, v in (options or {}).items():
+            r = r.option(k, v)
         return r.load().select(*cols)
     if not path:
         raise ValueError("give servers= or path=")
@@ -60,24 +66,38 @@ def image_stream(raw: DataFrame) -> DataFrame:
                       F.col("timestamp").alias("image_time"))
 
 
-def write_time_ordered(df: DataFrame, path: str, files: int = 4, order_col: str = "timestamp") -> str:
-    """Append ``df`` as ``files`` consecutive time slices, one write each.
+def write_time_ordered(df: DataFrame, path: str, slices: int = 4, order_col: str = "timestamp",
+                       rows_per_file: int = 250_000) -> int:
+    """Append ``df`` as ``slices`` consecutive time slices; returns the files of each slice.
 
     A file stream picks files by modification time; writing the slices one
-    after the other makes file order = event-time order, as a topic replays
-    (used to build file twins of topics for offline runs and tests).
+    after the other makes slice order = event-time order, as a topic replays
+    (used to build file twins of topics for offline runs and tests). The input
+    is evaluated once, into the shared folder. Slices hold about the same rows
+    (approximate quantiles), each spread over as many files as its rows ask for;
+    a stream that takes that many files a trigger reads one slice a batch.
     """
-    lo, hi = df.agg(F.min(F.col(order_col).cast("double")), F.max(F.col(order_col).cast("double"))).first()
-    if lo is None:
-        return path
-    width = (hi - lo) / files or 1.0
-    slot = F.least(F.floor((F.col(order_col).cast("double") - F.lit(lo)) / F.lit(width)), F.lit(files - 1))
-    for i in range(files):
-        (df.where(slot == i).coalesce(1).sortWithinPartitions(order_col)
-         .write.mode("append").parquet(path))
-    return path
-
-
-def write_message_twin(messages: DataFrame, path: str, files: int = 4, order_col: str = "timestamp") -> str:
-    """File twin of a topic: message rows as time-ordered Parquet files."""
-    return write_time_ordered(messages, path, files, order_col)
+    spark = df.sparkSession
+    at = F.col(order_col).cast("double")
+    cuts = [(i + 1) / slices for i in range(slices - 1)]
+    once = scratch_path(spark, "time_slices")
+    df.write.parquet(f"{once}/rows")
+    rows = spark.read.schema(df.schema).parquet(f"{once}/rows")
+    n, bounds = rows.agg(F.count(F.lit(1)), F.percentile_approx(at, F.array(*[F.lit(c) for c in cuts]), 1000)
+                         if cuts else F.array().cast("array<double>")).first()
+    if not n:
+        return 1
+    slot = F.lit(0)
+    for b in bounds or []:
+        slot = slot + (at > F.lit(b)).cast("int")
+    rows.withColumn("_slot", slot).write.partitionBy("_slot").parquet(f"{once}/slots")
+    slotted = spark.read.parquet(f"{once}/slots")
+    files = max(1, -(-n // (slices * rows_per_file)))
+    for i in range(slices):
+        slotted.where(F.col("_slot") == i).select(*df.columns).repartition(files).write.mode("append").parquet(path)
+    return files
+
+
+def write_message_twin(messages: DataFrame, path: str, slices: int = 4, order_col: str = "timestamp") -> int:
+    """File twin of a topic: message rows as time-ordered Parquet files; the files of a slice."""
+    return write_time_ordered(messages, path, slices, order_col)

@@ -36,14 +36,14 @@ def test_dedup_survives_restart(spark):
     first, second = ev.where(F.unix_timestamp("ts") <= half), ev.where(F.unix_timestamp("ts") > half)
     topic = scratch_path(spark, "t_topic")
     out, ckpt = scratch_path(spark, "t_out"), scratch_path(spark, "t_ckpt")
-    SS.write_message_twin(_messages(first, "Metadata"), topic, files=3)
+    SS.write_message_twin(_messages(first, "Metadata"), topic, slices=3)
 
     def stream():
         raw = SS.message_stream(spark, "Metadata", path=topic, max_per_trigger=1)
         return dedup_stream(raw.select(F.col("key").cast("string").alias("object_id")), ["object_id"])
     _run(stream(), out, ckpt)
     n1 = spark.read.parquet(out).count()
-    SS.write_message_twin(_messages(second, "Metadata"), topic, files=3)
+    SS.write_message_twin(_messages(second, "Metadata"), topic, slices=3)
     _run(stream(), out, ckpt)  # restart from the checkpoint
     got = spark.read.parquet(out)
     assert got.count() == got.distinct().count()  # no object emitted twice across restarts
@@ -56,7 +56,7 @@ def test_join_with_watermark_equals_batch(spark):
                                F.concat(F.lit("obj_"), F.col("user_id").cast("string")).alias("object_id"),
                                "value", "props", "ts")
     path = scratch_path(spark, "t_join")
-    SS.write_time_ordered(ev, path, files=4, order_col="ts")
+    SS.write_time_ordered(ev, path, slices=4, order_col="ts")
     schema = spark.read.parquet(path).schema
 
     def side():
@@ -175,8 +175,8 @@ def test_classifier_stream_restart_scores_each_object_once(spark):
                         F.lit("Metadata").alias("topic"), F.col("ts").alias("timestamp"))
         i = part.select(F.encode("object_id", "UTF-8").alias("key"), F.col("image_data").alias("value"),
                         F.lit("Imagen").alias("topic"), F.col("ts").alias("timestamp"))
-        SS.write_message_twin(m, f"{topics}/m", files=2)
-        SS.write_message_twin(i, f"{topics}/i", files=2)
+        SS.write_message_twin(m, f"{topics}/m", slices=2)
+        SS.write_message_twin(i, f"{topics}/i", slices=2)
 
     out, ckpt = scratch_path(spark, "cls_out"), scratch_path(spark, "cls_ckpt")
 
@@ -233,7 +233,7 @@ def test_alert_id_header_pairs_each_alert_with_its_own_image(spark):
 def test_publish_stream_to_file_twin(spark):
     from alertflow.sinks import writers as W
     src = scratch_path(spark, "pub_src")
-    SS.write_message_twin(_messages(_events(spark), "Metadata"), src, files=2)
+    SS.write_message_twin(_messages(_events(spark), "Metadata"), src, slices=2)
     raw = SS.message_stream(spark, "Metadata", path=src, max_per_trigger=1)
     out = scratch_path(spark, "pub_out")
     q = W.publish_stream(raw, scratch_path(spark, "pub_ckpt"), path=out, available_now=True)
