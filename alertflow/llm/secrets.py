@@ -265,7 +265,9 @@ def secret_digests(found: DataFrame) -> DataFrame:
     def text(col):
         return F.array_join(F.transform(col, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in KINDS[:3]]
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS[:3]]
     return found.select("doc_id", *counts, F.sha2(text("base").cast("binary"), 256).alias("base_sha256"),
                         text(F.col("spans")).alias("spans"))
