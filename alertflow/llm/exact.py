@@ -70,5 +70,7 @@ def _split_clashes(source, ids, repeated, clashing, pick, hash_expr) -> DataFram
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = exact_groups(docs, id_col, text_col, keep)
-    gone = written(groups.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id")), "exact-gone").distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")), "left_anti")
+    gone = written(groups.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"))
+                   .distinct(), "exact-gone")
+    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_text")), "left_anti")

@@ -10,7 +10,8 @@ last document closes the gap to the quota as nearly as any can.
 
 Defined results: null text has size 0 and an empty document is never taken; the
 null source is a source of its own, last in order; rows that repeat an id are
-separate documents; no rows give no rows; other columns are ignored.
+separate documents (in ``mixed_documents``, rows alike in id and text are taken as
+often as the one taken most); no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -117,10 +118,17 @@ def mix(docs: DataFrame, weights: list[float], total_share: float = 1.0, max_rep
     dealt to the sources in code-point order, repeating. ``source_size`` and
     ``target`` are of the document's source (summed over an array's sources).
     """
+    return _mix(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col).drop("rnd")
+
+
+def _mix(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col) -> DataFrame:
     rows, solved, schema = _plan(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col)
-    spark = docs.sparkSession
-    pattern = spark.createDataFrame(solved, schema)
-    return _select(rows, pattern, max_repeats)
+    return _select(rows, docs.sparkSession.createDataFrame(solved, schema), max_repeats)
+
+
+def _random(seed: int, id_col: str, text_col: str) -> Column:
+    """The seeded order of documents; also tells rows of one id apart."""
+    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
 
 
 def _plan(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col):
@@ -129,7 +137,7 @@ def _plan(docs, weights, total_share, max_repeats, seed, id_col, text_col, sourc
     key = F.array_sort(F.array_distinct(src)) if many else F.array(src)
     key = F.when(F.size(key) > 0, key).otherwise(F.array(F.lit(None).cast("string"))) if many else key
     sized = docs.select(F.col(id_col).alias("doc_id"), key.alias("pattern"), word_count(F.col(text_col)).alias("size"),
-                        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("rnd"))
+                        _random(seed, id_col, text_col).alias("rnd"))
     rows = written(sized, "mix-sized")
     table = bounded_rows(rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")),
                          MAX_PATTERNS, "membership patterns")
@@ -192,7 +200,7 @@ def _select(rows: DataFrame, pattern: DataFrame, max_repeats: int) -> DataFrame:
             .withColumn("n", F.row_number().over(Window.partitionBy("pattern").orderBy(taken_once.cast("int"), "miss", "rnd", "doc_id"))))
     closes = ~taken_once & (F.col("n") == 1) & (F.col("miss") < F.col("gap"))
     extra = F.when(taken_once | closes, 1).otherwise(0)
-    out = ["doc_id", "size", "source_size", "target"]
+    out = ["doc_id", "rnd", "size", "source_size", "target"]
     picked = best.select(*out, (F.col("size") * (F.col("full") + extra)).alias("taken"))
     whole = joined.where(~F.coalesce(F.col("bucket") == F.col("cut_bucket"), F.lit(False)))
     once = F.when(F.col("bucket") <= F.coalesce(F.least(F.col("last_full"), F.coalesce(F.col("cut_bucket"), F.col("last_full"))),
@@ -204,10 +212,10 @@ def _select(rows: DataFrame, pattern: DataFrame, max_repeats: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights: list[float], total_share: float = 1.0, max_repeats: int = 3, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, all columns kept."""
-    chosen = mix(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col)
-    times = written(chosen.where("taken > 0").select(F.col("doc_id").alias("_mix_id"),
+    chosen = _mix(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col)
+    times = written(chosen.where("taken > 0").select(F.col("doc_id").alias("_mix_id"), F.col("rnd").alias("_mix_row"),
                                                      (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-                    .groupBy("_mix_id").agg(F.max("_times").alias("_times")), "mix-times")
-    joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_mix_id")))
+                    .groupBy("_mix_id", "_mix_row").agg(F.max("_times").alias("_times")), "mix-times")
+    joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_mix_id")) & (_random(seed, id_col, text_col) == F.col("_mix_row")))
     copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return copies.drop("_mix_id", "_times", "_copy")
+    return copies.drop("_mix_id", "_mix_row", "_times", "_copy")

@@ -23,10 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import text_bytes, written
+from alertflow.llm.common import written
 from alertflow.llm.tokens import cache_for
 
 BLOCK_PIECES = 1 << 15  # pieces packed together in one task
+EFFORT = 20  # exchanges tried per bin before the search ends
+DONORS = 8  # emptiest bins whose document pairs are tried
+PAIRS = 24  # documents of a bin, or of one length, looked at for pairs
 _PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -40,7 +43,7 @@ def token_pieces(docs: DataFrame, vocab: str, size: int, end_id: int = 0,
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             out: list[list[int]] = [[], [], [], [], [], []]
-            texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             for doc, enc in zip(batch.column("doc_id").to_pylist(), cache.encode(texts)):
                 enc += end
                 for k, at in enumerate(range(0, len(enc), 4 * size)):
@@ -52,7 +55,7 @@ def token_pieces(docs: DataFrame, vocab: str, size: int, end_id: int = 0,
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              ["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text")).mapInArrow(cut, _PIECES)
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(cut, _PIECES)
 
 
 class Bins:
@@ -90,63 +93,108 @@ class Bins:
                 mask |= 1 << s
 
     def _search(self) -> None:
-        """Drain the emptiest bin into fuller ones while the spare room could hold a bin."""
-        while True:
+        """Exchange documents between underfull bins while the spare room could hold a bin."""
+        effort = EFFORT * len(self.bins)
+        self.home = {i: b for b, items in enumerate(self.bins) for i in items}
+        while effort > 0:
             under = sorted((b for b in range(len(self.bins)) if self.slack[b] and self.bins[b]),
                            key=lambda b: (self.slack[b], b))
             if len(under) < 2 or sum(self.slack[b] for b in under) < self.size:
                 return
-            donor = under.pop()
-            if not self._drain(donor, under):
+            # documents of underfull bins by length, and the lengths there are as a bit mask
+            self.at: dict[int, dict[int, None]] = {}
+            self.mask = 0
+            for b in under:
+                for i in self.bins[b]:
+                    self._list(i)
+            emptiest = under[:-1 - DONORS:-1]
+            found = 0
+            for b in under:
+                while effort > 0 and self.slack[b] and self.bins[b]:
+                    move = self._best_exchange(b, emptiest)
+                    if move is None:
+                        break
+                    self._exchange(b, *move)
+                    effort -= 1
+                    found += 1
+            if not found:
                 return
 
-    def _drain(self, donor: int, others: list[int]) -> bool:
-        """Empty ``donor`` by exchanges with ``others``; False when it stays."""
-        L = self.lengths
-        gained = True
-        while gained and self.bins[donor]:
-            gained = False
-            for b in others:
-                room = self.slack[b]
-                if not room or room >= self.slack[donor]:
-                    continue
-                give, take, gain = self._best_exchange(donor, b, room)
-                if gain <= 0:
-                    continue
-                for i in give:
-                    self.bins[donor].remove(i)
-                for i in take:
-                    self.bins[b].remove(i)
-                self.bins[b].extend(give)
-                self.bins[donor].extend(take)
-                self.slack[b] -= gain
-                self.slack[donor] += gain
-                gained = True
-                if not self.bins[donor]:
-                    return True
-        return not self.bins[donor]
-
-    def _best_exchange(self, donor: int, b: int, room: int):
-        """Move, one-for-one, two-for-one or one-for-two that fills ``b`` most, within its room.
-
-        Every such exchange puts ``gain`` tokens from the emptier bin into the fuller
-        one, so the squared fill rises by at least ``2 * gain * gain``.
+    def _list(self, i: int) -> None:
+        self.at.setdefault(self.lengths[i], {})[i] = None
+        self.mask |= 1 << self.lengths[i]
+
+    def _unlist(self, i: int) -> None:
+        n = self.lengths[i]
+        del self.at[n][i]
+        if not self.at[n]:
+            del self.at[n]
+            self.mask ^= 1 << n
+
+    def _best_exchange(self, b: int, emptiest: list[int]):
+        """(donor, given by it, given back, gain) that fills ``b`` most within its room, or None.
+
+        Moves, one-for-one and one-for-two take any underfull bin's document;
+        two-for-one and two-for-two take a pair of one of the emptiest bins. With
+        fills f (of b) and g (donor), the sum of squares rises by
+        ``2 * gain * (f - g + gain)``, so only exchanges with a positive value count.
         """
-        L, best = self.lengths, ((), (), 0)
-        mine = sorted(self.bins[donor], key=lambda i: (L[i], i))
-        pairs = [((i,), L[i]) for i in mine]
-        pairs += [((i, j), L[i] + L[j]) for k, i in enumerate(mine) for j in mine[k + 1:]] if len(mine) <= 24 else []
-        theirs = [((), 0)] + [((i,), L[i]) for i in self.bins[b]]
-        inside = sorted(self.bins[b], key=lambda i: (L[i], i))
-        twos = [((i, j), L[i] + L[j]) for k, i in enumerate(inside) for j in inside[k + 1:]] if len(inside) <= 24 else []
-        for give, g in pairs:
-            for take, t in theirs + (twos if len(give) == 1 else []):
-                if best[2] < g - t <= room:
-                    best = (give, take, g - t)
-                    if best[2] == room:
-                        return best
+        L, room = self.lengths, self.slack[b]
+        backs = {0: ()}
+        for i in self.bins[b]:
+            backs.setdefault(L[i], (i,))
+        few = self.bins[b] if len(self.bins[b]) <= PAIRS else ()
+        for k, i in enumerate(few):
+            for j in few[k + 1:]:
+                backs.setdefault(L[i] + L[j], (i, j))
+        best, gain = None, 0
+        for back, items in backs.items():
+            window = (self.mask >> (back + 1)) & ((1 << room) - 1)  # lengths back + 1 .. back + room
+            while window.bit_length() > gain:
+                d = window.bit_length()
+                window ^= 1 << (d - 1)
+                donor = self._donor(back + d, b, d)
+                if donor is not None:
+                    best, gain = (self.home[donor], (donor,), items, d), d
+        if gain < room:
+            for a in emptiest:
+                if a == b or not self.bins[a] or len(self.bins[a]) > PAIRS:
+                    continue
+                mine = self.bins[a]
+                for k, i in enumerate(mine):
+                    for j in mine[k + 1:]:
+                        for back, items in backs.items():
+                            d = L[i] + L[j] - back
+                            if gain < d <= room and d > room - self.slack[a]:
+                                best, gain = (a, (i, j), items, d), d
         return best
 
+    def _donor(self, length: int, b: int, gain: int) -> int | None:
+        """A document of that length in the emptiest other bin that may give it."""
+        pick = None
+        for n, i in enumerate(self.at[length]):
+            a = self.home[i]
+            if a != b and gain > self.slack[b] - self.slack[a] and (pick is None or self.slack[a] > self.slack[self.home[pick]]):
+                pick = i
+            if n == PAIRS:
+                break
+        return pick
+
+    def _exchange(self, b: int, a: int, give: tuple, back: tuple, gain: int) -> None:
+        for i in give:
+            self.bins[a].remove(i)
+            self.bins[b].append(i)
+            self.home[i] = b
+        for i in back:
+            self.bins[b].remove(i)
+            self.bins[a].append(i)
+            self.home[i] = a
+        self.slack[b] -= gain
+        self.slack[a] += gain
+        if not self.slack[b]:
+            for i in self.bins[b]:
+                self._unlist(i)
+
 
 def _pack_block(size: int):
     def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:

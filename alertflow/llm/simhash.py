@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertflow.llm.common import text_bytes, written
@@ -55,16 +55,20 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.bitwise_or.reduce(np.where(2 * ones > n, np.uint64(1) << _BIT_ORDER, np.uint64(0))))
 
 
+def _row_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long."""
+    """``doc_id, th, fp``: a hash that tells rows of one id apart, the fingerprint as a signed long."""
     def hashed(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(fps.view(np.int64))],
-                                             ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("th"), pa.array(fps.view(np.int64))],
+                                             ["doc_id", "th", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
-    return rows.mapInArrow(hashed, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), _row_hash(text_col).alias("th"), text_bytes(text_col).alias("text"))
+    return rows.mapInArrow(hashed, "doc_id long, th long, fp long")
 
 
 class VantageTree:
@@ -197,9 +201,8 @@ def links(points: DataFrame, reach: int, seed: int = 42) -> DataFrame:
     return routed.groupBy("shard").applyInPandas(search, "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
+def _groups(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, th, fp, component_id`` of every row."""
     rows = written(fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
     points = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")),
                      "simhash-points")
@@ -211,18 +214,23 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     named = rooted.where("linked").groupBy("root").agg(F.min("first_id").alias("component_id"))
     names = written(rooted.where("linked").select("fp", "root").join(named, "root").select("fp", "component_id")
                     .unionByName(rooted.where("not linked and n > 1")
-                                 .select("fp", F.col("first_id").alias("component_id")))
-                    .withColumn("known", F.lit(True)), "simhash-names")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+                                 .select("fp", F.col("first_id").alias("component_id"))), "simhash-names")
+    names = names.withColumn("known", F.lit(True))
     return rows.join(names, "fp", "left").select(
-        "doc_id", hexed.alias("fingerprint"),
-        F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "th", "fp", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row."""
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return _groups(docs, shingle, max_bits, id_col, text_col).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group stays (its smallest id), with all columns."""
-    groups = simhash_groups(docs, shingle, max_bits, id_col, text_col)
+    groups = _groups(docs, shingle, max_bits, id_col, text_col)
     gone = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .select(F.col("doc_id").alias("_gone_id")), "simhash-gone").distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")), "left_anti")
+                   .select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_text")).distinct(), "simhash-gone")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_row_hash(text_col) == F.col("_gone_text")), "left_anti")
