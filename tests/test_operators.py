@@ -273,7 +273,7 @@ def test_row_at_topk_equals_full_rank(spark):
     full = {r.position: r.id for r in R.shuffle_positions(df, "id").collect()}
     for n in (0, 9, 499):
         assert [r.id for r in R.row_at(df, "id", n).collect()] == [full[n]]
-        assert [r.id for r in R.row_at(df, "id", n, topk_limit=5).collect()] == [full[n]]
+        assert [r.id for r in R.row_at(df, "id", n, digits=2).collect()] == [full[n]]
     assert R.row_at(df, "id", 500).count() == 0
 
 
@@ -293,19 +293,60 @@ def test_status_routing_error_and_incomplete(spark):
     assert list(out["a"].asDict()) == S.PREDICTION_HEADER and out["a"].ra is None
 
 
-def test_rank_coarsens_buckets_to_stay_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(R, "MAX_BROADCAST_ROWS", 50)  # force merging of buckets
-    df = spark.range(0, 2000).select("id", (F.col("id") % 3).cast("string").alias("c"))
-    offsets, n, used = R.bucket_offsets(df.withColumn("_h", R.seeded_hash("id"))
-                                        .withColumn("_b", F.substring("_h", 1, 3)), ["c"], 3)
-    assert n <= 50 and used == 1
-    fast = R.exact_rank(df, "id", ["c"], digits=3, out="p")
+def test_rank_keeps_its_buckets_when_the_table_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_BROADCAST_ROWS", 50)
+    # a hot class of half the rows among many groups
+    df = spark.range(0, 4000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 97)).alias("c"))
+    hashed = R._hashed(df, "id", ["c"], 42, 2)
+    offsets, n = R.bucket_offsets(hashed, ["c"])
+    assert n > 50 and offsets.where("c = 'hot'").count() == 256  # all 16 ** 2 buckets of the hot class are used
+    fast = R.exact_rank(df, "id", ["c"], digits=2, out="p")
     w = Window.partitionBy("c").orderBy(R.seeded_hash("id"), "id")
     plain = df.withColumn("p", (F.row_number().over(w) - 1).cast("long"))
     assert sorted(fast.collect()) == sorted(plain.collect())
-    split = R.stratified_split(df, "id", "c", digits=3)
-    assert {r[0]: r[1] for r in split.groupBy("split").count().collect()} == {"test": 402, "validation": 321,
-                                                                             "train": 1277}
+    for digits in (1, 5):
+        assert sorted(R.exact_rank(df, "id", ["c"], digits=digits, out="p").collect()) == sorted(plain.collect())
+    assert R.digits_for(100) == 1 and R.digits_for(10 ** 12) == 7
+
+
+def test_rank_moves_no_payload(spark):
+    df = spark.range(0, 300).select("id", (F.col("id") % 3).cast("string").alias("c"), F.array_repeat(F.col("id"), 50).alias("cube"))
+    ranked = R.exact_rank(df, "id", ["c"], out="p")
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert "cube" not in window.split("\n")[0] and "array_repeat" not in window
+    w = Window.partitionBy("c").orderBy(R.seeded_hash("id"), "id")
+    assert sorted(ranked.select("id", "p").collect()) == sorted(df.select("id", (F.row_number().over(w) - 1).cast("long").alias("p")).collect())
+
+
+def test_undersized_sample_is_an_error(spark):
+    df = spark.createDataFrame([(i, "a") for i in range(5)] + [(i, "b") for i in range(10, 40)], "id long, label string")
+    with pytest.raises(ValueError, match="fewer than n=12"):
+        R.balance_sample(df, "id", "label", 12)
+    assert R.balance_sample(df, "id", "label", 12, strict=False).count() == 5 + 12
+
+
+def test_confusion_matrix_is_square_and_loses_no_row(spark):
+    from alertflow.operators import metrics as X
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "x"), ("b", None)], "t string, p string")
+    got = {r.t: r.asDict() for r in X.confusion_matrix(df, "t", "p", ["a", "b", "c"]).collect()}
+    assert set(got) == {"a", "b", "c"}
+    assert got["a"] == {"t": "a", "pred_a": 1, "pred_b": 1, "pred_c": 0, "pred_other": 0}
+    assert got["b"]["pred_other"] == 2 and sum(v for k, v in got["c"].items() if k != "t") == 0
+
+
+def test_failing_predictor_gives_error_rows_only_where_it_fails(spark):
+    from alertflow.functions.predictions import route_status
+    from alertflow.operators.model import score_with_function
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(6)], "id int, features_arr array<double>")
+
+    def predict(x):
+        if (x == 3).any():
+            raise RuntimeError("bad row")
+        return np.where(x == 4, np.nan, 0.2) * np.ones((1, 5))
+    scored = score_with_function(df, predict, 5)
+    got = {r.id: r.clase_predicha for r in route_status(scored, "probs", F.lit(True), F.lit(True)).collect()}
+    assert got[3] == got[4] == S.ERROR_STATUS and got[0] == got[5] == S.CLASS_LABELS[0]
 
 
 def test_results_survive_task_retries():

@@ -70,13 +70,16 @@ def test_train_save_then_run_classifier(spark):
     alerts = _alerts(spark, n_obj=24, per_obj=1)
     cat = spark.createDataFrame([(f"OBJ{o:03d}", RAW[o % len(RAW)]) for o in range(24)],
                                 "oid string, predicted_class string")
-    ds = P.build_dataset(P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None), cat)
+    records = P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None)
+    ds = P.build_dataset(records, cat, balance={})
     res = P.train_and_evaluate(ds, (3, 3, 3), kind="lr", max_iter=5)
     path = RT.save_training(spark, scratch_path(spark, "training"), res["model"], res["stats"],
                             image_shape=(3, 3, 3), kind="lr")
     # publish the same objects as topic twins: channel-last bytes, JSON metadata
     from alertflow.functions import images as I
-    rows = ds.withColumn("hwc", I.chw_to_hwc("data", 3, 3, 3)).withColumn("ts", F.current_timestamp())
+    # the raw cubes: the stream normalises them as the training did
+    raw = records.join(ds.select("object_id"), "object_id", "left_semi")
+    rows = raw.withColumn("hwc", I.chw_to_hwc("data", 3, 3, 3)).withColumn("ts", F.current_timestamp())
     topics = scratch_path(spark, "rt_topics")
     W.publish(W.metadata_messages(rows, time_col="ts"), path=f"{topics}/m")
     W.publish(W.image_messages(rows, "object_id", "hwc", time_col="ts"), path=f"{topics}/i")
@@ -87,3 +90,80 @@ def test_train_save_then_run_classifier(spark):
     got = read_predictions(spark, out)
     assert got.count() == ds.count()
     assert got.where(F.col("clase_predicha").isin(S.CLASS_LABELS)).count() == ds.count()
+
+
+def test_training_and_stream_make_equal_features(spark):
+    from alertflow.functions import images as I
+    from alertflow.operators import model as ML
+    from alertflow.operators.scaler import apply_scaler, fit_scaler
+    from alertflow.plans import realtime as RT
+    from alertflow.streaming import classify as CL
+    alerts = _alerts(spark, n_obj=12, per_obj=1)
+    cat = spark.createDataFrame([(f"OBJ{o:03d}", RAW[o % len(RAW)]) for o in range(12)], "oid string, predicted_class string")
+    records = P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None)
+    ds = P.build_dataset(records, cat, balance={}).withColumn("data", I.chw_to_hwc("data", 3, 3, 3))
+    stats = fit_scaler(ds, S.METADATA_COLUMNS)
+    train = ML.assemble(apply_scaler(ds, stats, S.METADATA_COLUMNS), "data", S.METADATA_COLUMNS)
+    model = ML.train(train, "label", S.CLASS_LABELS, kind="lr", max_iter=2)
+    path = RT.save_training(spark, scratch_path(spark, "feat_training"), model, stats, image_shape=(3, 3, 3), kind="lr")
+    _, _, loaded, shape, normalise = RT.load_training(spark, path)
+    assert normalise == "cube"
+    joined = records.withColumn("image_data", I.pack_float32(I.chw_to_hwc("data", 3, 3, 3))).drop("data")
+    streamed = CL.prepare(joined, loaded, S.METADATA_COLUMNS, shape, normalise)
+    a = {r.object_id: np.array(r.features.toArray()) for r in train.collect()}
+    b = {r.object_id: np.array(r.features.toArray()) for r in streamed.collect()}
+    assert set(a) <= set(b) and all(np.allclose(a[k], b[k], atol=1e-6) for k in a)
+    other = CL.prepare(joined, loaded, S.METADATA_COLUMNS, shape, "channel").collect()
+    assert any(not np.allclose(a[r.object_id], r.features.toArray(), atol=1e-3) for r in other if r.object_id in a)
+
+
+def test_last_alert_of_the_folder_then_first_folder(spark):
+    rows = [("o1", 0, 1, 1.0), ("o1", 0, 2, 2.0), ("o1", 1, 3, 3.0), ("o2", 1, 1, 4.0), ("o2", 1, 5, 5.0), ("o3", 2, 9, 6.0)]
+    df = spark.createDataFrame(rows, "object_id string, folder_rank int, alert_order long, v double")
+    got = {r.object_id: r.v for r in P.one_record_per_object(df).collect()}
+    assert got == {"o1": 2.0, "o2": 5.0, "o3": 6.0}
+    plain = {r.object_id: r.v for r in P.one_record_per_object(df.drop("folder_rank")).collect()}
+    assert plain == {"o1": 3.0, "o2": 5.0, "o3": 6.0}
+
+
+def test_dataset_decodes_once_and_aggregates_no_cube(spark):
+    alerts = _alerts(spark, n_obj=24)
+    cat = spark.createDataFrame([(f"OBJ{o:03d}", RAW[o % len(RAW)]) for o in range(20)], "oid string, predicted_class string")
+    records = P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None, catalog=cat)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and plan.index("MapInPandas") < plan.index("LeftSemi")  # the join is below the decoder
+    ds = P.build_dataset(records, cat, balance={"VS": 3})
+    plan = ds._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "SortAggregate" not in plan
+    assert ds.where("label = 'VS'").count() == 3 and ds.select("object_id").distinct().count() == ds.count()
+
+
+def test_balanced_classes_default_and_error(spark):
+    import pytest
+    assert P.DEFAULT_BALANCE == {"Other": 12000, "VS": 12000}
+    alerts = _alerts(spark, n_obj=12, per_obj=1)
+    cat = spark.createDataFrame([(f"OBJ{o:03d}", RAW[o % len(RAW)]) for o in range(12)], "oid string, predicted_class string")
+    records = P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None)
+    with pytest.raises(ValueError, match="12000"):
+        P.build_dataset(records, cat)
+
+
+def test_shared_folder_must_be_named_off_a_local_master(spark, monkeypatch):
+    import pytest
+    from alertflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    assert int(session.cluster_conf(100 << 40)["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)

@@ -4,6 +4,7 @@ import os
 import uuid
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from alertflow.functions import metadata as M
@@ -122,7 +123,7 @@ def test_metadata_messages_roundtrip(spark):
     assert spark.read.parquet(out).count() == 1
 
 
-def test_truncated_file_between_good_ones_is_skipped(spark):
+def test_truncated_file_between_good_ones_is_reported(spark):
     base = scratch_path(spark, "trunc").replace("file:", "")
     alerts = spark.createDataFrame([(f"o{i}", i) for i in range(6)], "objectId string, candid long")
     for i in range(3):
@@ -135,9 +136,31 @@ def test_truncated_file_between_good_ones_is_skipped(spark):
         shutil.copy(src, f"{base}/all/f{i}.parquet")
     with open(f"{base}/all/f1.parquet", "r+b") as fh:  # the middle file is cut short
         fh.truncate(20)
-    got = SRC.scan_alerts(spark, f"{base}/all", fmt="parquet", glob="*.parquet",
-                          schema=alerts.schema).collect()
+    scan = dict(fmt="parquet", glob="*.parquet", schema=alerts.schema)
+    with pytest.raises(Exception):  # noqa: B017 - a damaged file is never passed over unasked
+        SRC.scan_alerts(spark, f"{base}/all", **scan).collect()
+    got = SRC.scan_alerts(spark, f"{base}/all", ignore_corrupt=True, **scan).collect()
     assert sorted(r.candid for r in got) == [0, 2, 3, 5]
+    rejected = SRC.rejected_files(spark, f"{base}/all", **scan).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.length, r.n_rows) for r in rejected] == [("f1.parquet", 20, 0)]
+
+
+def test_load_folders_with_a_space_and_a_nested_path(spark):
+    base = scratch_path(spark, "odd folders")
+    paths = [f"{base}/p/ds", f"{base}/q/p/ds", f"{base}/with space"]
+    for i, p in enumerate(paths):
+        spark.createDataFrame([("a", i)], "object_id string, v int").write.parquet(p)
+    got = sorted((r.folder_rank, r.v) for r in SRC.load_folders(spark, paths).collect())
+    assert got == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_avro_scan_honours_the_file_pattern(spark):
+    folder = scratch_path(spark, "avro_glob").replace("file:", "")
+    os.makedirs(folder, exist_ok=True)
+    for name, k in (("a_1.avro", 1), ("b_2.avro", 2)):
+        _write_avro(spark, f"{folder}/{name}", [{"objectId": name, "candid": k}])
+    assert [r.candid for r in SRC.scan_alerts(spark, folder, fmt="avro-mapred", glob="b_*.avro").collect()] == [2]
+    assert sorted(r.candid for r in SRC.scan_alerts(spark, folder, fmt="avro-mapred").collect()) == [1, 2]
 
 
 def test_write_by_class_clustered_files(spark):
