@@ -250,7 +250,8 @@ sql("example_lookup", f"WITH {_SHUF} SELECT event_id, event_type, position FROM
 sql("minibatch", f"WITH {_SHUF} SELECT CAST(floor(position / 256) AS BIGINT) AS batch_id, count(*) AS n FROM shuf GROUP BY 1")
 sql("balance_sample", """
 SELECT vec_id, label FROM (SELECT vec_id, label, row_number() OVER (
-  PARTITION BY label ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS pos FROM embeddings) WHERE pos < 20""")
+  PARTITION BY label ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS pos FROM embeddings)
+WHERE pos < (SELECT greatest(1, min(n) // 2) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label))""")
 _SPLIT = """split AS (SELECT vec_id, label,
   CASE WHEN pos < n_test THEN 'test' WHEN pos < n_test + (n - n_test + 4) // 5 THEN 'validation' ELSE 'train' END AS split
 FROM (SELECT vec_id, label,
@@ -348,7 +349,8 @@ catalog AS (SELECT DISTINCT 'obj_' || CAST(user_id AS VARCHAR) AS oid, {_RAW_USE
 labelled AS (SELECT f.object_id, f.value, {_MAP} AS label FROM firsts f JOIN catalog c ON f.object_id = c.oid),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || object_id), object_id) - 1 AS pos_in_class
   FROM labelled),
-dataset AS (SELECT object_id, value, label FROM ranked WHERE label <> 'VS' OR pos_in_class < 20)"""
+dataset AS (SELECT object_id, value, label FROM ranked WHERE label <> 'VS'
+  OR pos_in_class < (SELECT greatest(1, count(*) // 4) FROM catalog WHERE {_MAP} = 'VS'))"""
 
 
 def _crop_pixel(pos: str) -> str:

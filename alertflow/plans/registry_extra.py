@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from alertflow import schemas as S
 from alertflow.functions import images as I
 from alertflow.functions import metadata as M
+from alertflow.functions.labels import map_label
 from alertflow.functions.metadata import parse_json
 from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import cutouts as C
@@ -247,7 +248,10 @@ def q_train_score(spark, d):
 
 # ---------------------------------------------------------------- whole preparation flow
 
-_PREP_BALANCE = {"VS": 20}
+def _prep_balance(catalog: DataFrame) -> dict[str, int]:
+    """A quarter of the catalogue's VS objects: the sample grows with the data."""
+    n = catalog.where(map_label("predicted_class") == "VS").count()
+    return {"VS": max(1, n // 4)}
 
 
 def _prep_alerts(spark, d) -> DataFrame:
@@ -279,7 +283,7 @@ def _prep_dataset(spark, d) -> DataFrame:
     catalog = _prep_catalog(spark, d)
     alerts = _prep_alerts(spark, d).withColumn("folder_rank", (F.col("candid") % 3).cast("int"))
     records = P.alert_records(alerts, shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None, catalog=catalog)
-    return P.build_dataset(records, catalog, balance=_PREP_BALANCE)
+    return P.build_dataset(records, catalog, balance=_prep_balance(catalog))
 
 
 @query("record_choice")

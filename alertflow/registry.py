@@ -384,7 +384,8 @@ def q_minibatch(spark, d):
 @query("balance_sample")
 def q_balance_sample(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", "label")
-    return R.balance_sample(e, "vec_id", "label", 20)
+    smallest = e.groupBy("label").count().agg(F.min("count")).first()[0]
+    return R.balance_sample(e, "vec_id", "label", max(1, smallest // 2))
 
 
 def _split(spark, d) -> DataFrame:
