@@ -35,7 +35,7 @@ def _widths(values: np.ndarray) -> np.ndarray:
     """Bits of every value."""
     top = int(values.max(initial=0)).bit_length()
     if top <= 16:
-        return _WIDTH16[values.astype(np.uint16)]
+        return _WIDTH16[values.astype(np.uint16, copy=False)]
     out = np.zeros(values.shape, dtype=np.uint8)
     for b in range(top):
         out += values >= np.uint64(1 << b)
@@ -67,7 +67,8 @@ def encode(values: np.ndarray) -> bytes:
     v = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(v)
     lanes = -(-n // BLOCK)
-    grid = np.zeros((lanes, BLOCK + _PAD), dtype=np.uint64)
+    small = int(v.max(initial=0)) < 1 << 16
+    grid = np.zeros((lanes, BLOCK + _PAD), dtype=np.uint16 if small else np.uint64)
     full = n // BLOCK
     grid[:full, :BLOCK] = v[:full * BLOCK].reshape(full, BLOCK)
     if full < lanes:
@@ -77,8 +78,9 @@ def encode(values: np.ndarray) -> bytes:
     m = _sliding_max(width)
     for s in range(len(COUNTS) - 2, -1, -1):
         if s != ESCAPE:
-            np.putmask(sel, m[int(COUNTS[s])] <= BITS[s], s)
-    sel[width > 60] = ESCAPE
+            np.copyto(sel, np.uint8(s), where=m[int(COUNTS[s])] <= BITS[s])
+    if not small:
+        sel[width > 60] = ESCAPE
     step = COUNTS.copy()
     step[ESCAPE] = 1
     ends = np.full(lanes, BLOCK)
@@ -94,13 +96,13 @@ def encode(values: np.ndarray) -> bytes:
     lane, s = where // visited.shape[1], sel.reshape(-1)[where]
     flat = grid.reshape(-1)
     words = s.astype(np.uint64) << np.uint64(60)
-    for k in np.unique(s):
+    for k in np.flatnonzero(np.bincount(s, minlength=len(COUNTS))):
         rows = np.flatnonzero(s == k)
         c, b = int(COUNTS[k]), int(BITS[k])
         if k == ESCAPE:
             words[rows] |= np.arange(len(rows), dtype=np.uint64)
         elif b:
-            part = flat[where[rows, None] + np.arange(c)]
+            part = flat[where[rows, None] + np.arange(c)].astype(np.uint64)
             words[rows] |= np.bitwise_or.reduce(part << (np.arange(c, dtype=np.uint64) * np.uint64(b)), axis=1)
     escapes = flat[where[s == ESCAPE]]
     first = np.searchsorted(lane, np.arange(lanes + 1)).astype("<u4")
@@ -124,7 +126,7 @@ def decode(data: bytes) -> np.ndarray:
     lane = np.repeat(np.arange(lanes), np.diff(first))
     start = lane * (block + _PAD) + total[:-1] - total[first[:-1]][lane]
     out = np.zeros(lanes * (block + _PAD), dtype=np.uint64)
-    for k in np.unique(s):
+    for k in np.flatnonzero(np.bincount(s, minlength=len(COUNTS))):
         rows = np.flatnonzero(s == k)
         c, b = int(COUNTS[k]), int(BITS[k])
         if k == ESCAPE:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertflow.llm import simple8b
-from alertflow.llm.common import n_shuffle, text_bytes
+from alertflow.llm.common import n_shuffle
 from alertflow.llm.tokens import cache_for
 
 CHUNK_IDS = 1 << 20  # a chunk closes once it holds so many ids
@@ -35,7 +35,7 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int = 1,
                       id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id``, write chunks in ascending id order."""
     n = n_shuffle(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ordered = (rows.repartitionByRange(n, F.col("doc_id"), F.xxhash64("text"))
                .sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"), F.col("text")))
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -55,7 +55,7 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int = 1,
             return _batch(row)
 
         for batch in batches:
-            texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             for doc, enc in zip(batch.column("doc_id").to_pylist(), cache.encode(texts)):
                 ids.append(doc)
                 counts.append(len(enc) // 4 + 1)

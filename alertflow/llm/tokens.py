@@ -22,24 +22,41 @@ import numpy as np
 _LETTER = "a-zªµºß-öø-ÿ"
 _NUMBER = "0-9²³¹¼-¾"
 _SPACE = " \\t\\n\\x0b\\x0c\\r\u0085 "
-PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+# No two of the first three classes begin alike, so the most frequent one is tried first.
+PRETOKEN = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 
 SEGMENT = 1 << 20  # characters tokenised at a time: bounds the memory of one long text
 _CUT = re.compile(r"[ \n]")
 
 
+class WordIds(dict):
+    """Word -> ids as bytes. An unknown word gets a place that ``fill`` fills with the rest of its group."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__()
+        self.older = older
+        self.waiting: list[tuple[str, bytearray]] = []
+
+    def __missing__(self, word: str):
+        known = self.older.get(word)
+        if known is None:
+            known = bytearray()
+            self.waiting.append((word, known))
+        self[word] = known
+        return known
+
+
 class TokenCache:
     """Encoder with a two-generation cache: at most ``2 * generation`` words are kept."""
 
-    def __init__(self, path: str, generation: int = 800_000):
+    def __init__(self, path: str, generation: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # words are kept here, not twice
         self.generation = generation
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words = WordIds({})
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids that close a pre-token
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -48,7 +65,7 @@ class TokenCache:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _encoded(self, words: list[str]) -> list[bytes]:
         """Ids of many pre-tokens from one call: every pre-token closes with one word-end id."""
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
         stop = (np.flatnonzero(self.ends[ids]) + 1) * 4
@@ -57,28 +74,24 @@ class TokenCache:
         data, at = ids.tobytes(), [0, *stop.tolist()]
         return [data[a:b] for a, b in zip(at, at[1:])]
 
-    def _learn(self, lists: list[list[str]]) -> None:
-        seen: set[str] = set().union(*lists) - self.new.keys()
-        if not seen:
-            return
-        both = seen & self.old.keys()
-        self.new.update((p, self.old[p]) for p in both)
-        missing = list(seen - both)
-        for i in range(0, len(missing), 5000):
-            self.new.update(zip(missing[i:i + 5000], self._words(missing[i:i + 5000])))
-
-    def _roll(self) -> None:
-        if len(self.new) > self.generation:
-            self.old, self.new = self.new, {}
+    def _fill(self) -> None:
+        """Encode the words met for the first time; lists that hold their places see the ids."""
+        waiting, self.words.waiting = self.words.waiting, []
+        for i in range(0, len(waiting), 5000):
+            part = waiting[i:i + 5000]
+            for (word, place), ids in zip(part, self._encoded([w for w, _ in part])):
+                place[:] = ids
+                self.words[word] = ids
 
     def _parts(self, text: str) -> list[str] | None:
         """Pre-tokens of a piece of text, or None when the library must see it whole."""
         if "<|" in text:
             return None
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return [p for p in _CUT.split(text) if p]
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return [p for p in _CUT.split(text) if p]
         return PRETOKEN.findall(text.lower())
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -97,11 +110,14 @@ class TokenCache:
                 group.append(pieces[at])
                 size += len(pieces[at][1])
                 at += 1
-            parts = [self._parts(p) for _, p in group]
-            self._learn([p for p in parts if p])
-            for (i, p), words in zip(group, parts):
-                out[i].append(self._direct([p])[0] if words is None else b"".join(map(self.new.__getitem__, words)))
-            self._roll()
+            look = self.words.__getitem__
+            held = [None if words is None else list(map(look, words)) for words in (self._parts(p) for _, p in group)]
+            self._fill()
+            for (i, p), ids in zip(group, held):
+                out[i].append(self._direct([p])[0] if ids is None else b"".join(ids))
+            if len(self.words) > self.generation:
+                self.words.older = {}
+                self.words = WordIds(self.words)
         return [b[0] if len(b) == 1 else b"".join(b) for b in out]
 
 
