@@ -185,7 +185,8 @@ def test_classifier_stream_restart_scores_each_object_once(spark):
         im = SS.image_stream(SS.message_stream(spark, "Imagen", path=f"{topics}/i", max_per_trigger=1))
         writer = CL.batch_writer(model, S.CLASS_LABELS, stats, out, S.METADATA_COLUMNS, (2, 2, 3),
                                  dedup_in_batch=False)
-        q = CL.start(CL.first_pairs(ms, im), writer, ckpt, available_now=True)
+        exact = CL.first_pairs(ms, im, watermark=None, bound=None)
+        q = CL.start(exact, writer, ckpt, available_now=True)
         q.awaitTermination()
         assert q.exception() is None
         tot = CL.progress_totals(q)
