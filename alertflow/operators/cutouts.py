@@ -74,19 +74,6 @@ def decode_stamp(data: bytes | None, shape: tuple[int, int] = (S.CUTOUT_SIZE, S.
     return np.nan_to_num(img, nan=0.0).astype(np.float32).ravel(), "ok"
 
 
-def encode_stamp(pixels: np.ndarray) -> bytes:
-    """float32 image -> gzip-compressed single-HDU FITS (fixtures, tests)."""
-    img = np.asarray(pixels, dtype=np.float32)
-    h, w = img.shape
-    cards = ["SIMPLE  =                    T", "BITPIX  =                  -32", "NAXIS   =                    2",
-             f"NAXIS1  = {w:20d}", f"NAXIS2  = {h:20d}", "END"]
-    head = "".join(c.ljust(_CARD) for c in cards).encode("ascii")
-    head += b" " * (-len(head) % _BLOCK)
-    body = img.astype(">f4").tobytes()
-    body += b"\0" * (-len(body) % _BLOCK)
-    return gzip.compress(head + body, compresslevel=1)
-
-
 def ingest_cutouts(alerts: DataFrame, keep: list[str], channels: list[str] = S.CUTOUT_CHANNELS,
                    shape: tuple[int, int] = (S.CUTOUT_SIZE, S.CUTOUT_SIZE), crop: int | None = S.CROP_SIZE,
                    crop_start: int | None = S.CROP_START) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from alertflow import schemas as S
 from alertflow.functions import images as I
@@ -24,6 +23,7 @@ from alertflow.operators.scaler import fit_scaler
 from alertflow.plans import prepare as P
 from alertflow.plans import producer as PR
 from alertflow.plans import standins as SI
+from alertflow.plans.stamps import stamp_bytes
 from alertflow.registry import _events_by_folder, _explode, _t, query
 from alertflow.session import default_state_partitions, scratch_path, shuffle_partitions
 from alertflow.sources import alerts as SRC
@@ -184,27 +184,6 @@ def q_prediction_csv(spark, d):
 
 # ---------------------------------------------------------------- cutouts
 
-@F.pandas_udf(T.BinaryType())
-def _fits_gzip(arr, kind):
-    """Fixture encoder: 8x8 float image (or a defect) -> gzip FITS bytes."""
-    import numpy as np
-    import pandas as pd
-    out = []
-    for a, k in zip(arr, kind):
-        img = np.asarray(a, dtype=np.float32)
-        if k == "broken":
-            out.append(b"\x1f\x8bnot-a-gzip")
-            continue
-        if k == "short":
-            out.append(C.encode_stamp(img[:56].reshape(7, 8)))
-            continue
-        img = img.reshape(8, 8).copy()
-        if k == "nan":
-            img[3, 3] = np.nan
-        out.append(C.encode_stamp(img))
-    return pd.Series(out)
-
-
 def _stamp_alerts(spark, d) -> DataFrame:
     e = _t(spark, d, "embeddings")
     vid = F.col("vec_id")
@@ -214,14 +193,17 @@ def _stamp_alerts(spark, d) -> DataFrame:
     neg = F.transform("embedding", lambda x: -x)
     dbl = F.transform("embedding", lambda x: x * F.lit(2.0).cast("float"))
     return e.select(vid.alias("candid"),
-                    F.struct(_fits_gzip("embedding", sci_kind).alias("stampData")).alias("cutoutScience"),
-                    F.struct(_fits_gzip(neg, ok).alias("stampData")).alias("cutoutTemplate"),
-                    F.struct(_fits_gzip(dbl, diff_kind).alias("stampData")).alias("cutoutDifference"))
+                    F.struct(stamp_bytes("embedding", sci_kind).alias("stampData")).alias("cutoutScience"),
+                    F.struct(stamp_bytes(neg, ok).alias("stampData")).alias("cutoutTemplate"),
+                    F.struct(stamp_bytes(dbl, diff_kind).alias("stampData")).alias("cutoutDifference"))
 
 
 @query("cutout_ingest")
 def q_cutout_ingest(spark, d):
-    alerts = _stamp_alerts(spark, d)
+    # the stand-in stamps are written once; the operator reads stored alerts
+    stored = scratch_path(spark, "stamp_alerts")
+    _stamp_alerts(spark, d).write.parquet(stored)
+    alerts = spark.read.parquet(stored)
     decoded = C.ingest_cutouts(alerts, ["candid"], shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
     good = C.valid_alerts(decoded)
     cube = good.select(F.col("candid").alias("vec_id"),
@@ -264,9 +246,9 @@ def _prep_alerts(spark, d) -> DataFrame:
     img = F.transform(F.sequence(F.lit(0), F.lit(SI.IMG_H * SI.IMG_W - 1)),
                       lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
     eid = F.col("event_id")
-    sci = _fits_gzip(img, F.when(eid % 29 == 0, "broken").otherwise("ok"))
-    ref = _fits_gzip(F.transform(img, lambda x: x * F.lit(0.5).cast("float")), F.lit("ok"))
-    diff = _fits_gzip(F.transform(img, lambda x: x + F.lit(1.0).cast("float")),
+    sci = stamp_bytes(img, F.when(eid % 29 == 0, "broken").otherwise("ok"))
+    ref = stamp_bytes(F.transform(img, lambda x: x * F.lit(0.5).cast("float")), F.lit("ok"))
+    diff = stamp_bytes(F.transform(img, lambda x: x + F.lit(1.0).cast("float")),
                       F.when(eid % 31 == 0, "short").otherwise("ok"))
     return SI.alerts_from_events(v, stamps=[sci, ref, diff])
 
@@ -281,7 +263,9 @@ def _prep_catalog(spark, d) -> DataFrame:
 
 def _prep_dataset(spark, d) -> DataFrame:
     catalog = _prep_catalog(spark, d)
-    alerts = _prep_alerts(spark, d).withColumn("folder_rank", (F.col("candid") % 3).cast("int"))
+    stored = scratch_path(spark, "prep_alerts")
+    _prep_alerts(spark, d).withColumn("folder_rank", (F.col("candid") % 3).cast("int")).write.parquet(stored)
+    alerts = spark.read.parquet(stored)
     records = P.alert_records(alerts, shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None, catalog=catalog)
     return P.build_dataset(records, catalog, balance=_prep_balance(catalog))
 

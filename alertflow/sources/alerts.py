@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertflow import schemas as S
+from alertflow.session import scratch_path
 
 
 def avro_available(spark: SparkSession) -> bool:
@@ -67,14 +68,24 @@ def rejected_files(spark: SparkSession, path: str | list[str], fmt: str = "parqu
 
 
 def _scan_avro_mapred(spark: SparkSession, paths: list[str], schema: T.StructType, glob: str) -> DataFrame:
-    """Avro container files read by executors through ``AvroAsTextInputFormat``."""
+    """Avro container files read by executors through ``AvroAsTextInputFormat``.
+
+    The records go as JSON lines, JVM to JVM, to the shared folder and are read
+    from there: no Python worker touches an alert. The lines are the scan's
+    materialised input, so later stages never read the containers again.
+    """
     sc = spark.sparkContext
     # a folder is read by the file pattern, a file or a pattern as given
     paths = [p if p.endswith(".avro") or "*" in p else f"{p.rstrip('/')}/{glob}" for p in paths]
-    rdds = [sc.hadoopFile(p, "org.apache.avro.mapred.AvroAsTextInputFormat",
-                          "org.apache.hadoop.io.Text", "org.apache.hadoop.io.NullWritable")
-            .map(lambda kv: kv[0]) for p in paths]
-    text = rdds[0] if len(rdds) == 1 else sc.union(rdds)
+    named = sc._jvm.org.apache.spark.util.Utils.classForName
+    fmt, key, value = (named(n, True, False) for n in ("org.apache.avro.mapred.AvroAsTextInputFormat",
+                                                       "org.apache.hadoop.io.Text", "org.apache.hadoop.io.NullWritable"))
+    out = scratch_path(spark, "avro_lines")
+    for i, p in enumerate(paths):
+        records = sc._jsc.hadoopFile(p, fmt, key, value)
+        records.keys().saveAsTextFile(f"{out}/{i}", named("org.apache.hadoop.io.compress.GzipCodec", True, False))
+    text = [f"{out}/{i}" for i in range(len(paths))]
+
     # bytes fields come as Latin-1 text: read them as strings and re-encode.
     def as_text(dt):
         if isinstance(dt, T.StructType):

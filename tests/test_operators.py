@@ -12,6 +12,7 @@ from alertflow.functions import images as I
 from alertflow.functions import metadata as M
 from alertflow.functions.labels import map_label
 from alertflow.operators import cutouts as C
+from alertflow.plans.stamps import encode_stamp
 from alertflow.operators import dedup as D
 from alertflow.operators import ranking as R
 from alertflow.operators.scaler import apply_scaler, fit_scaler
@@ -202,24 +203,24 @@ def test_argmax_ties_and_onehot(spark):
 def test_decode_stamp_edges():
     img = np.arange(63 * 63, dtype=np.float32).reshape(63, 63)
     img[30, 30] = np.nan
-    ok, why = C.decode_stamp(C.encode_stamp(img))
+    ok, why = C.decode_stamp(encode_stamp(img))
     assert why == "ok" and ok.shape == (441,)
     assert np.array_equal(ok.reshape(21, 21), np.nan_to_num(img[21:42, 21:42]))
     assert C.decode_stamp(None)[1] == "empty"
     assert C.decode_stamp(b"")[1] == "empty"
     assert C.decode_stamp(b"\x1f\x8bxx")[1] == "gzip"
     assert C.decode_stamp(gzip.compress(b"garbage" * 10))[1] == "fits"
-    assert C.decode_stamp(C.encode_stamp(np.zeros((62, 63), np.float32)))[1] == "shape"
-    full, _ = C.decode_stamp(C.encode_stamp(img), crop=None)
+    assert C.decode_stamp(encode_stamp(np.zeros((62, 63), np.float32)))[1] == "shape"
+    full, _ = C.decode_stamp(encode_stamp(img), crop=None)
     assert full.shape == (63 * 63,)
     inf = np.zeros((63, 63), np.float32)
     inf[21, 21], inf[21, 22] = np.inf, -np.inf
-    cleaned, _ = C.decode_stamp(C.encode_stamp(inf))
+    cleaned, _ = C.decode_stamp(encode_stamp(inf))
     assert cleaned[0] == np.finfo(np.float32).max and cleaned[1] == -np.finfo(np.float32).max
 
 
 def test_ingest_job_gate_and_report(spark):
-    good = C.encode_stamp(np.ones((63, 63), np.float32))
+    good = encode_stamp(np.ones((63, 63), np.float32))
     stamps = [(good, good, good), (good, b"\x1f\x8bbad", good), (good, good, None), (b"", b"", b"")]
     rows = [(f"o{i}", i, None, None, None, None, None, {"stampData": a}, {"stampData": b}, {"stampData": c})
             for i, (a, b, c) in enumerate(stamps)]

@@ -3,8 +3,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from alertflow import schemas as S
-from alertflow.operators import cutouts as C
 from alertflow.plans import prepare as P
+from alertflow.plans.stamps import encode_stamp
 from alertflow.session import scratch_path
 from alertflow.sources.alerts import read_class_partition
 
@@ -16,7 +16,7 @@ def _alerts(spark, n_obj=36, per_obj=2, size=9):
     rows = []
     for o in range(n_obj):
         for k in range(per_obj):
-            stamps = [C.encode_stamp(rng.random((size, size)).astype(np.float32) + o % 3) for _ in range(3)]
+            stamps = [encode_stamp(rng.random((size, size)).astype(np.float32) + o % 3) for _ in range(3)]
             if o == 5 and k == 0:
                 stamps[1] = b"broken"  # this alert is dropped, the object's other alert survives
             cand = {f: float(o + k) for f in S.CANDIDATE_DOUBLE_FIELDS}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from alertflow.functions import metadata as M
 from alertflow.operators import cutouts as C
 from alertflow.operators import joins as J
+from alertflow.plans.stamps import encode_stamp
 from alertflow.session import scratch_path
 from alertflow.sources import alerts as SRC
 from alertflow.sinks import writers as W
@@ -58,7 +59,7 @@ def test_avro_container_scan_with_bundled_input_format(spark):
     base = scratch_path(spark, "avro")
     folder = base.replace("file:", "")
     os.makedirs(folder, exist_ok=True)
-    stamp = C.encode_stamp(np.arange(63 * 63, dtype=np.float32).reshape(63, 63))
+    stamp = encode_stamp(np.arange(63 * 63, dtype=np.float32).reshape(63, 63))
     _write_avro(spark, f"{folder}/a.avro", [
         {"objectId": "OBJ1", "candid": 1, "candidate": {"ra": 10.5, "isdiffpos": "t", "ndethist": 4}, "stamp": stamp},
         {"objectId": None, "candid": 2},
@@ -160,7 +161,10 @@ def test_avro_scan_honours_the_file_pattern(spark):
     for name, k in (("a_1.avro", 1), ("b_2.avro", 2)):
         _write_avro(spark, f"{folder}/{name}", [{"objectId": name, "candid": k}])
     assert [r.candid for r in SRC.scan_alerts(spark, folder, fmt="avro-mapred", glob="b_*.avro").collect()] == [2]
-    assert sorted(r.candid for r in SRC.scan_alerts(spark, folder, fmt="avro-mapred").collect()) == [1, 2]
+    scan = SRC.scan_alerts(spark, folder, fmt="avro-mapred")
+    assert sorted(r.candid for r in scan.collect()) == [1, 2]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan  # a file scan of JSON lines
 
 
 def test_write_by_class_clustered_files(spark):

@@ -241,3 +241,12 @@ def test_publish_stream_to_file_twin(spark):
     q.awaitTermination()
     assert spark.read.parquet(out).count() == _events(spark).count()
     assert CL.progress_totals(q)["batches"] == 2
+
+
+def test_first_of_batch_is_the_same_on_any_layout(spark):
+    rows = [("a", 2, 1.0), ("a", 1, 9.0), ("a", 1, 3.0), ("b", 5, 2.0), (None, 1, 1.0), (None, 2, 0.0)]
+    df = spark.createDataFrame(rows, "object_id string, meta_time int, v double")
+    want = sorted(map(str, CL.first_of_batch(df).collect()))
+    assert len(want) == 3
+    for n in (1, 3, 7):
+        assert sorted(map(str, CL.first_of_batch(df.repartition(n)).collect())) == want
