@@ -28,13 +28,20 @@ WINDOW = 3
 
 
 def windows(lines: Column) -> Column:
-    """Array of ``(a, b, pos)``: two independent 64-bit hashes of each window and its first line's index."""
+    """Array of ``(a, b, pos, empty)``: two independent 64-bit hashes of each window and its first line's index.
+
+    The hashed lines are zipped with themselves one and two lines on, so a text
+    of n lines costs n steps (reading them by index in a lambda would rebuild
+    the array at every step).
+    """
     hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(F.lit(1), x).alias("a"), F.xxhash64(F.lit(2), x).alias("b"),
                                                    (x == "").alias("empty")))
-    return F.transform(F.sequence(F.lit(0), F.size(hashed) - WINDOW), lambda i: F.struct(
-        F.xxhash64(*[F.get(hashed, i + k)["a"] for k in range(WINDOW)]).alias("a"),
-        F.xxhash64(*[F.get(hashed, i + k)["b"] for k in range(WINDOW)]).alias("b"), i.alias("pos"),
-        (F.get(hashed, i)["empty"] & F.get(hashed, i + 1)["empty"] & F.get(hashed, i + 2)["empty"]).alias("empty")))
+    n = F.size(lines) - (WINDOW - 1)
+    zipped = F.arrays_zip(*[F.slice(hashed, k + 1, n).alias(f"l{k}") for k in range(WINDOW)])
+    parts = [f"l{k}" for k in range(WINDOW)]
+    return F.transform(zipped, lambda z, i: F.struct(
+        F.xxhash64(*[z[k]["a"] for k in parts]).alias("a"), F.xxhash64(*[z[k]["b"] for k in parts]).alias("b"),
+        i.alias("pos"), (z["l0"]["empty"] & z["l1"]["empty"] & z["l2"]["empty"]).alias("empty")))
 
 
 def _marked(rows: DataFrame) -> DataFrame:
@@ -63,8 +70,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = (later.unionByName(marked.where("again").select("doc_id", "th", "pos"))
             .groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"))
             .agg(F.collect_set("pos").alias("starts")))
-    joined = lined.join(written(gone, "lines-gone"),
-                        F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_th")), "left")
+    joined = rows.join(written(gone, "lines-gone"),
+                       F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_th")), "left")
+    joined = joined.withColumn("lines", F.split("text", "\n"))
     covered = F.flatten(F.transform("starts", lambda p: F.sequence(p, p + WINDOW - 1)))
     # merged covered positions: what is left keeps its order
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered)
