@@ -73,4 +73,5 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = written(groups.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"))
                    .distinct(), "exact-gone")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_text")), "left_anti")
+    # the rows to drop grow with the data, so the join is a merge at every size
+    return docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_text")), "left_anti")

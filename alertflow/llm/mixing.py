@@ -216,6 +216,6 @@ def mixed_documents(docs: DataFrame, weights: list[float], total_share: float =
     times = written(chosen.where("taken > 0").select(F.col("doc_id").alias("_mix_id"), F.col("rnd").alias("_mix_row"),
                                                      (F.col("taken") / F.col("size")).cast("int").alias("_times"))
                     .groupBy("_mix_id", "_mix_row").agg(F.max("_times").alias("_times")), "mix-times")
-    joined = docs.join(times, F.col(id_col).eqNullSafe(F.col("_mix_id")) & (_random(seed, id_col, text_col) == F.col("_mix_row")))
+    joined = docs.join(times.hint("merge"), F.col(id_col).eqNullSafe(F.col("_mix_id")) & (_random(seed, id_col, text_col) == F.col("_mix_row")))
     copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return copies.drop("_mix_id", "_mix_row", "_times", "_copy")

@@ -233,4 +233,5 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     groups = _groups(docs, shingle, max_bits, id_col, text_col)
     gone = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
                    .select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_text")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_row_hash(text_col) == F.col("_gone_text")), "left_anti")
+    # the rows to drop grow with the data, so the join is a merge at every size
+    return docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_row_hash(text_col) == F.col("_gone_text")), "left_anti")
