@@ -35,5 +35,28 @@ from alertflow.operators.dedup import first_per_key  # noqa: E402
 obj = lambda d: d.withColumn("obj", F.col("id") % 37)
 assert sorted(first_per_key(obj(df), ["obj"], ["c", "id"]).collect()) == \
     sorted(first_per_key(obj(flaky_df), ["obj"], ["c", "id"]).collect())
+# a stream: file twin -> (flaky) map -> one row per object and batch -> files
+from alertflow.session import scratch_path  # noqa: E402
+from alertflow.streaming import sources as SS  # noqa: E402
+from alertflow.streaming.classify import first_of_batch  # noqa: E402
+
+events = df.select(F.concat(F.lit("o"), F.col("id") % 37).alias("object_id"), F.col("id").alias("alert_id"),
+                   F.timestamp_seconds(F.col("id") * 7).alias("meta_time"))
+twin = scratch_path(spark, "retry_twin")
+files = SS.write_time_ordered(events, twin, slices=3, order_col="meta_time", rows_per_file=400)
+
+
+def streamed(mapped):
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(twin)
+    rows = rows.mapInPandas(flaky, events.schema) if mapped else rows
+    out = scratch_path(spark, "retry_out")
+    q = (rows.writeStream.foreachBatch(lambda b, i: first_of_batch(b).write.mode("overwrite").parquet(f"{out}/batch={i}"))
+         .option("checkpointLocation", scratch_path(spark, "retry_ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sorted(spark.read.parquet(out).collect())
+
+
+flaky_once, plain = streamed(True), streamed(False)
+assert flaky_once == plain and len(plain) == 3 * 37, (len(flaky_once), len(plain))
 print("RETRY-OK", len(clean))
 spark.stop()
