@@ -143,12 +143,17 @@ def linked(points: np.ndarray, home: np.ndarray, reach: int, rng: np.random.Gene
     a_out, b_out = [], []
 
     def compare(q: np.ndarray, m: np.ndarray) -> None:
-        for at in range(0, len(q), 1024):
-            part = q[at:at + 1024]
+        for at in range(0, len(q), 128):
+            part = q[at:at + 128]
             for lo in range(0, len(m), 8192):
-                i, j = np.nonzero(np.bitwise_count(points[part][:, None] ^ points[m[lo:lo + 8192]][None, :]) <= reach)
-                for a, b in zip(part[i].tolist(), m[lo:lo + 8192][j].tolist()):
-                    if a != b and (ra := find(a)) != (rb := find(b)):
+                near = m[lo:lo + 8192]
+                i, j = np.nonzero(np.bitwise_count(points[part][:, None] ^ points[near][None, :]) <= reach)
+                # pairs already joined are left out at once, so a dense group costs about one step a point
+                while (parent != parent[parent]).any():
+                    parent[:] = parent[parent]
+                apart = parent[part[i]] != parent[near[j]]
+                for a, b in zip(part[i[apart]].tolist(), near[j[apart]].tolist()):
+                    if (ra := find(a)) != (rb := find(b)):
                         parent[max(ra, rb)] = min(ra, rb)
                         a_out.append(a)
                         b_out.append(b)
