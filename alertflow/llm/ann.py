@@ -37,10 +37,12 @@ K = 40  # neighbours kept per node
 BLOCK = 1024  # rows of a block
 ROUNDS = 6
 STOP_SHARE = 0.01  # a round that renews fewer list places than this share is the last
-BEAM = 64
-EXPAND = 16
+BEAM = 192  # nodes a query keeps
+EXPAND = 48  # nodes a query expands in a round
 SEARCH_ROUNDS = 4
 _LIST = "id long, nbr array<bigint>, sim array<double>, fresh array<boolean>"
+# list entries on their way to the block that merges them: one row per pair of blocks
+_PACK = "home long, owner array<bigint>, nbr array<bigint>, sim array<double>, fresh array<boolean>"
 
 
 def clean_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -81,12 +83,22 @@ def _lists(owner, nbr, sim, fresh) -> pd.DataFrame:
                          "fresh": np.split(fresh, cut) if len(owner) else []})
 
 
+def _packed(home, owner, nbr, sim, fresh) -> pd.DataFrame:
+    """Entries as one row for each home block of their owners."""
+    order = np.argsort(home, kind="stable")
+    home = home[order]
+    start = np.flatnonzero(np.r_[True, home[1:] != home[:-1]]) if len(home) else np.zeros(0, int)
+    parts = {"owner": owner, "nbr": nbr, "sim": sim, "fresh": fresh}
+    return pd.DataFrame({"home": home[start], **{c: np.split(v[order], start[1:]) if len(home) else [] for c, v in parts.items()}})
+
+
+def _nothing() -> pd.DataFrame:
+    return pd.DataFrame({"home": [], "owner": [], "nbr": [], "sim": [], "fresh": []})
+
+
 def _flat(pdf: pd.DataFrame):
-    """(owner, nbr, sim, fresh) arrays of a frame of lists."""
-    if not len(pdf):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool)
-    n = pdf["nbr"].map(len).to_numpy()
-    return (np.repeat(pdf["id"].to_numpy(), n), np.concatenate(pdf["nbr"].to_numpy()),
+    """(owner, nbr, sim, fresh) arrays of packed rows."""
+    return (np.concatenate(pdf["owner"].to_numpy()), np.concatenate(pdf["nbr"].to_numpy()),
             np.concatenate(pdf["sim"].to_numpy()), np.concatenate(pdf["fresh"].to_numpy()).astype(bool))
 
 
@@ -99,38 +111,38 @@ def _block_of(col: str, n: int, salt: int) -> Column:
 
 
 def _first_lists(points: DataFrame, n: int, k: int, salt: int) -> DataFrame:
-    """Exact nearest within random blocks."""
+    """Exact nearest within random blocks, packed."""
     def nearest(key, pdf: pd.DataFrame) -> pd.DataFrame:
         ids, x = pdf["id"].to_numpy(), _matrix(pdf["aug"])
         s = x @ x.T
         np.fill_diagonal(s, -np.inf)
         kk = min(k, len(ids) - 1)
         if kk < 1:
-            return _lists(*_flat(pdf.iloc[:0].assign(nbr=[], sim=[], fresh=[])))
+            return _nothing()
         best = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
-        owner = np.repeat(ids, kk)
         sim = np.take_along_axis(s, best, axis=1).ravel()
-        return _lists(*_top(owner, ids[best.ravel()], sim, np.ones(len(owner), bool), k))
+        return _packed(np.repeat(pdf["home"].to_numpy(), kk), np.repeat(ids, kk), ids[best.ravel()], sim,
+                       np.ones(len(sim), bool))
 
-    return points.withColumn("block", _block_of("id", n, salt)).groupBy("block").applyInPandas(nearest, _LIST)
+    return points.withColumn("block", _block_of("id", n, salt)).groupBy("block").applyInPandas(nearest, _PACK)
 
 
-def _merge(lists: list[DataFrame], n: int, k: int) -> DataFrame:
-    """One list per node from several, its ``k`` best."""
+def _merge(packs: list[DataFrame], k: int) -> DataFrame:
+    """One list per node from packed entries, its ``k`` best."""
     def best(key, pdf: pd.DataFrame) -> pd.DataFrame:
         return _lists(*_top(*_flat(pdf), k))
 
-    every = lists[0]
-    for more in lists[1:]:
+    every = packs[0]
+    for more in packs[1:]:
         every = every.unionByName(more)
-    return every.withColumn("block", _block_of("id", n, 97)).groupBy("block").applyInPandas(best, _LIST)
+    return every.groupBy("home").applyInPandas(best, _LIST)
 
 
 def _compare(k: int):
     """Neighbours of each centre of a block compared with each other; per node its ``k`` best candidates."""
     def work(key, edges: pd.DataFrame, vecs: pd.DataFrame) -> pd.DataFrame:
         if not len(edges) or not len(vecs):
-            return _lists(*_flat(edges.iloc[:0].assign(nbr=[], sim=[], id=[])))
+            return _nothing()
         vecs = vecs.sort_values("id", ignore_index=True)
         ids, x, kth = vecs["id"].to_numpy(), _matrix(vecs["aug"]), vecs["kth"].to_numpy()
         e = edges.groupby(["centre", "member"], sort=True, as_index=False)["fresh"].max()
@@ -164,10 +176,10 @@ def _compare(k: int):
             if held > 4_000_000:
                 held = shrink()
         if not out_o:
-            return _lists(*_flat(edges.iloc[:0].assign(nbr=[], sim=[], id=[])))
+            return _nothing()
         shrink()
         o, c, s = out_o[0], out_n[0], out_s[0]
-        return _lists(ids[o], ids[c], s, np.ones(len(o), bool))
+        return _packed(vecs["home"].to_numpy()[o], ids[o], ids[c], s, np.ones(len(o), bool))
     return work
 
 
@@ -182,17 +194,19 @@ def _round(points: DataFrame, graph: DataFrame, n: int, k: int) -> DataFrame:
     pairs = written(pairs, "ann-pairs")
     needed = pairs.select("block", F.col("member").alias("id")).distinct()
     floor = graph.select("id", F.when(F.size("sim") < k, F.lit(float("-inf"))).otherwise(F.array_min("sim")).alias("kth"))
-    vecs = needed.join(points.join(floor, "id"), "id").select(F.col("block").alias("vec_block"), "id", "aug", "kth")
-    return pairs.groupBy("block").cogroup(vecs.groupBy("vec_block")).applyInPandas(_compare(k), _LIST)
+    vecs = needed.join(points.join(floor, "id"), "id").select(F.col("block").alias("vec_block"), "id", "aug", "home", "kth")
+    return pairs.groupBy("block").cogroup(vecs.groupBy("vec_block")).applyInPandas(_compare(k), _PACK)
 
 
 def neighbour_graph(points: DataFrame, n: int, k: int = K, rounds: int = ROUNDS) -> DataFrame:
     """``id, nbr, sim, fresh``: each node's ``k`` nearest found by NN-descent over ``points`` (``id, aug``)."""
-    graph = written(_merge([_first_lists(points, n, k, s) for s in (1, 2)], n, k), "ann-graph")
+    points = points.withColumn("home", _block_of("id", n, 97))
+    graph = written(_merge([_first_lists(points, n, k, s) for s in (1, 2)], k), "ann-graph")
     for _ in range(rounds if _blocks(n) > 1 else 0):
         found = _round(points, graph, n, k)
-        known = graph.withColumn("fresh", F.transform("fresh", lambda x: F.lit(False)))
-        graph = written(_merge([known, found], n, k), "ann-graph")
+        known = graph.select(_block_of("id", n, 97).alias("home"), F.transform("nbr", lambda x: F.col("id")).alias("owner"),
+                             "nbr", "sim", F.transform("fresh", lambda x: F.lit(False)).alias("fresh"))
+        graph = written(_merge([known, found], k), "ann-graph")
         renewed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
         if renewed < STOP_SHARE * n * k:
             break
@@ -241,7 +255,8 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_col:
     size = points.agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("top")).first()
     n, top = size["n"], size["top"] or 0.0
     aug = F.concat("vec", F.array(F.sqrt(F.greatest(F.lit(0.0), F.lit(top) - F.col("norm2")))))
-    points = written(points.select("id", "vec", aug.alias("aug")), "ann-points")
+    # the graph is built on single-precision copies, half the bytes to move; scores read ``vec``
+    points = written(points.select("id", "vec", aug.cast("array<float>").alias("aug")), "ann-points")
     graph = neighbour_graph(points.select("id", "aug"), n, max(graph_k, k))
     asked = written(points.where(queries).select(F.col("id").alias("q"), "vec"), "ann-queries")
     # the beam holds inner products of the original vectors; a query's own node is its entry point
