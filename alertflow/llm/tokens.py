@@ -47,15 +47,15 @@ class WordIds(dict):
 
 
 class TokenCache:
-    """Encoder with a two-generation cache: at most ``2 * generation`` words are kept."""
+    """Encoder with a two-generation cache: at most ``2 * generation`` words of ``2 * held`` bytes are kept."""
 
-    def __init__(self, path: str, generation: int = 700_000):
+    def __init__(self, path: str, generation: int = 700_000, held: int = 64 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # words are kept here, not twice
-        self.generation = generation
+        self.generation, self.held, self.size = generation, held, 0
         self.words = WordIds({})
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids that close a pre-token
@@ -82,6 +82,7 @@ class TokenCache:
             for (word, place), ids in zip(part, self._encoded([w for w, _ in part])):
                 place[:] = ids
                 self.words[word] = ids
+                self.size += len(word) + len(ids)
 
     def _parts(self, text: str) -> list[str] | None:
         """Pre-tokens of a piece of text, or None when the library must see it whole."""
@@ -115,9 +116,9 @@ class TokenCache:
             self._fill()
             for (i, p), ids in zip(group, held):
                 out[i].append(self._direct([p])[0] if ids is None else b"".join(ids))
-            if len(self.words) > self.generation:
+            if len(self.words) > self.generation or self.size > self.held:
                 self.words.older = {}
-                self.words = WordIds(self.words)
+                self.words, self.size = WordIds(self.words), 0
         return [b[0] if len(b) == 1 else b"".join(b) for b in out]
 
 

@@ -62,7 +62,7 @@ ODD_TEXTS = ["", " ", "it's I'LL don't", "a\x85b\xa0c\x1cd\x1fe​f", "Ç¼²³
 
 def test_tokens_equal_the_library(docs):
     texts = [r.text or "" for r in docs.collect()] + ODD_TEXTS + ["w" * (SEGMENT + 5), LONG]
-    cache = TokenCache(VOCAB, generation=500)  # small, so that generations roll
+    cache = TokenCache(VOCAB, generation=500, held=20_000)  # small, so that generations roll
     for at in range(0, len(texts), 40):
         part = texts[at:at + 40]
         want = [e.ids for e in cache.tokenizer.encode_batch(part, add_special_tokens=False)]
