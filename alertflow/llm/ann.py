@@ -13,8 +13,8 @@ component that gives all the same length, so that the nearest by angle are the
 nearest by inner product. Scores are inner products in double precision of the
 original vectors.
 
-Vectors never gather by key: blocks of ``BLOCK`` rows are dealt by a hash of the
-id, a block receives each vector it needs once, reverse lists are cut to ``k`` by a
+Vectors never gather by key: blocks of rows are dealt by a hash of the id, a block
+receives each vector it needs once, reverse lists are cut to ``k`` by a
 group-limited window that keeps ``k`` rows a task before the shuffle (the sampling
 step of NN-descent; the forward lists it leaves out still meet at the next centre).
 
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from alertflow.llm.common import written
 
 K = 40  # neighbours kept per node
-BLOCK = 1024  # rows of a block
+BLOCK = 1024  # rows of a block that is compared or merged
+CENTRES = 256  # centres whose neighbours' vectors meet in one group
 ROUNDS = 6
 STOP_SHARE = 0.01  # a round that renews fewer list places than this share is the last
 BEAM = 192  # nodes a query keeps
@@ -102,12 +103,12 @@ def _flat(pdf: pd.DataFrame):
             np.concatenate(pdf["sim"].to_numpy()), np.concatenate(pdf["fresh"].to_numpy()).astype(bool))
 
 
-def _blocks(n: int) -> int:
-    return max(1, -(-n // BLOCK))
+def _blocks(n: int, rows: int = 0) -> int:
+    return max(1, -(-n // (rows or BLOCK)))
 
 
-def _block_of(col: str, n: int, salt: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(salt), F.col(col)), F.lit(_blocks(n)))
+def _block_of(col: str, n: int, salt: int, rows: int = 0) -> Column:
+    return F.pmod(F.xxhash64(F.lit(salt), F.col(col)), F.lit(_blocks(n, rows)))
 
 
 def _first_lists(points: DataFrame, n: int, k: int, salt: int) -> DataFrame:
@@ -190,7 +191,7 @@ def _round(points: DataFrame, graph: DataFrame, n: int, k: int) -> DataFrame:
     back = (edges.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k)
             .select(F.col("nbr").alias("centre"), F.col("id").alias("member"), "fresh"))
     ahead = edges.select(F.col("id").alias("centre"), F.col("nbr").alias("member"), "fresh")
-    pairs = ahead.unionByName(back).withColumn("block", _block_of("centre", n, 31))
+    pairs = ahead.unionByName(back).withColumn("block", _block_of("centre", n, 31, CENTRES))
     pairs = written(pairs, "ann-pairs")
     needed = pairs.select("block", F.col("member").alias("id")).distinct()
     floor = graph.select("id", F.when(F.size("sim") < k, F.lit(float("-inf"))).otherwise(F.array_min("sim")).alias("kth"))
@@ -214,30 +215,35 @@ def neighbour_graph(points: DataFrame, n: int, k: int = K, rounds: int = ROUNDS)
 
 
 def _search_round(beam: DataFrame, queries: DataFrame, points: DataFrame, graph: DataFrame, n: int, width: int, expand: int):
-    """Expand the nearest unexpanded nodes of every beam, score their neighbours, keep the best."""
+    """Expand the nearest unexpanded nodes of every beam, score their neighbours, keep the best.
+
+    Candidates are scored at the block where their vectors live: a block
+    receives each query it needs once, with the similarity its beam asks for.
+    """
     open_ = beam.where("fresh").withColumn("r", F.row_number().over(
         Window.partitionBy("q").orderBy(F.desc("sim"), "id"))).where(F.col("r") <= expand).select("q", "id")
     near = open_.join(graph.select("id", "nbr"), "id").select("q", F.explode("nbr").alias("id")).where("id <> q").distinct()
     cand = written(near.join(beam.select("q", "id"), ["q", "id"], "left_anti")
-                   .withColumn("block", _block_of("q", n, 53)), "ann-candidates")
-    need = cand.select("block", "id").distinct().join(points.select("id", "vec"), "id")
-    ask = queries.withColumn("block", _block_of("q", n, 53))
+                   .withColumn("block", _block_of("id", n, 97)), "ann-candidates")
+    floor = beam.groupBy("q").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("held")).select(
+        "q", F.when(F.col("held") < width, F.lit(float("-inf"))).otherwise(F.col("low")).alias("low"))
+    need = cand.select("block", "q").distinct().join(queries.join(floor, "q"), "q")
 
     def score(key, c: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        q = v[v["is_q"]].sort_values("id")
-        x = v[~v["is_q"]].sort_values("id")
+        q, x = v[v["is_q"]].sort_values("id"), v[~v["is_q"]].sort_values("id")
         if not len(c) or not len(q) or not len(x):
             return pd.DataFrame({"q": [], "id": [], "sim": [], "fresh": []})
-        qa, xa = _matrix(q["vec"]), _matrix(x["vec"])
+        qa, xa, low = _matrix(q["vec"]), _matrix(x["vec"]), q["low"].to_numpy()
         qi = np.searchsorted(q["id"].to_numpy(), c["q"].to_numpy())
         xi = np.searchsorted(x["id"].to_numpy(), c["cand"].to_numpy())
         sim = np.concatenate([np.einsum("ij,ij->i", qa[qi[a:a + 65536]], xa[xi[a:a + 65536]])
                               for a in range(0, len(c), 65536)])
-        own, nbr, s, f = _top(c["q"].to_numpy(), c["cand"].to_numpy(), sim, np.ones(len(c), bool), width)
-        return pd.DataFrame({"q": own, "id": nbr, "sim": s, "fresh": f})
+        kept = sim >= low[qi]
+        return pd.DataFrame({"q": c["q"].to_numpy()[kept], "id": c["cand"].to_numpy()[kept], "sim": sim[kept],
+                             "fresh": np.ones(int(kept.sum()), bool)})
 
-    both = (need.select(F.col("block").alias("vec_block"), "id", "vec", F.lit(False).alias("is_q"))
-            .unionByName(ask.select(F.col("block").alias("vec_block"), F.col("q").alias("id"), "vec", F.lit(True).alias("is_q"))))
+    both = (points.select(_block_of("id", n, 97).alias("vec_block"), "id", "vec", F.lit(False).alias("is_q"), F.lit(0.0).alias("low"))
+            .unionByName(need.select(F.col("block").alias("vec_block"), F.col("q").alias("id"), "vec", F.lit(True).alias("is_q"), "low")))
     scored = cand.select("block", "q", F.col("id").alias("cand")).groupBy("block").cogroup(both.groupBy("vec_block")).applyInPandas(
         score, "q long, id long, sim double, fresh boolean")
     done = open_.withColumn("seen", F.lit(True))
