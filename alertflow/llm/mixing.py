@@ -123,7 +123,7 @@ def mix(docs: DataFrame, weights: list[float], total_share: float = 1.0, max_rep
 
 def _mix(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col) -> DataFrame:
     rows, solved, schema = _plan(docs, weights, total_share, max_repeats, seed, id_col, text_col, source_col)
-    return _select(rows, docs.sparkSession.createDataFrame(solved, schema), max_repeats)
+    return _select(rows, docs.sparkSession.createDataFrame(solved, schema))
 
 
 def _random(seed: int, id_col: str, text_col: str) -> Column:
@@ -162,20 +162,18 @@ def _plan(docs, weights, total_share, max_repeats, seed, id_col, text_col, sourc
     return rows, solved, schema
 
 
-def _select(rows: DataFrame, pattern: DataFrame, max_repeats: int) -> DataFrame:
+def _select(rows: DataFrame, pattern: DataFrame) -> DataFrame:
     """``full`` uses of every document, one more of a seeded subset that fills the pattern's quota.
 
     A pattern's d documents lie in hash order, cut into about sqrt(d) buckets. The
     quota falls inside one bucket; only that bucket's documents are ranked. The
     pattern table has at most ``MAX_PATTERNS`` rows, so it is broadcast.
     """
-    half = F.lit(1 << 62)
-    unit = (F.shiftrightunsigned("rnd", 1) / (half.cast("double") * 2))
-    placed = (rows.join(F.broadcast(pattern.withColumn("p", F.monotonically_increasing_id())
-                                    .withColumnRenamed("pattern", "pat")), F.col("pattern").eqNullSafe(F.col("pat")))
+    unit = F.shiftrightunsigned("rnd", 1) / F.lit(float(1 << 63))
+    placed = (rows.join(F.broadcast(pattern.withColumnRenamed("pattern", "pat")), F.col("pattern").eqNullSafe(F.col("pat")))
               .withColumn("bucket", F.least(F.floor(unit * F.col("buckets")), F.col("buckets") - 1)))
-    placed = written(placed.select("doc_id", "size", "rnd", "source_size", "target", "full", "quota", "bucket",
-                                   F.xxhash64("pattern").alias("pat"), F.col("pattern")), "mix-placed")
+    placed = written(placed.select("doc_id", "size", "rnd", "source_size", "target", "full", "quota", "bucket", "pattern"),
+                     "mix-placed")
     sums = placed.groupBy("pattern", "bucket", "quota").agg(F.sum("size").alias("in_bucket"))
     w = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("in_bucket").over(w), F.lit(0)))
