@@ -42,8 +42,12 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sliding_max(w: np.ndarray) -> dict[int, np.ndarray]:
-    """Largest width among the next c values, for each selector's count c."""
+def _selectors(w: np.ndarray) -> np.ndarray:
+    """For each place the selector that takes the most values, by the widths ``w`` (padded rows).
+
+    Windows grow from 2 values on; a longer window of fewer bits fits only where
+    all shorter ones fit, so the first length that fits nowhere ends the search.
+    """
     cols = w.shape[1]
 
     def ahead(a: np.ndarray, k: int) -> np.ndarray:
@@ -52,14 +56,20 @@ def _sliding_max(w: np.ndarray) -> dict[int, np.ndarray]:
         out[:, cols - k:] = 0
         return out
 
-    m = {1: w}
-    for c in sorted(set(COUNTS.tolist()) - {1}):
-        half = max(k for k in m if k < c)
-        m[c] = np.maximum(m[half], ahead(m[half], c - half)) if 2 * half >= c else None
-        if m[c] is None:  # two windows do not cover c: widen once more
-            wide = np.maximum(m[half], ahead(m[half], half))
-            m[c] = np.maximum(wide, ahead(wide, c - 2 * half))
-    return m
+    sel = np.full(w.shape, len(COUNTS) - 1, dtype=np.uint8)
+    widest = {1: w}  # largest width among the next c values
+    for s in range(len(COUNTS) - 2, -1, -1):
+        c, half = int(COUNTS[s]), max(widest)
+        if 2 * half < c:
+            widest[2 * half] = np.maximum(widest[half], ahead(widest[half], half))
+            half *= 2
+        widest[c] = np.maximum(widest[half], ahead(widest[half], c - half))
+        fits = widest[c] <= BITS[s]
+        if not fits[:, :BLOCK].any():
+            break
+        if s != ESCAPE:
+            np.copyto(sel, np.uint8(s), where=fits)
+    return sel
 
 
 def encode(values: np.ndarray) -> bytes:
@@ -73,12 +83,8 @@ def encode(values: np.ndarray) -> bytes:
     grid[:full, :BLOCK] = v[:full * BLOCK].reshape(full, BLOCK)
     if full < lanes:
         grid[full, :n - full * BLOCK] = v[full * BLOCK:]
-    sel = np.full(grid.shape, len(COUNTS) - 1, dtype=np.uint8)
     width = _widths(grid)
-    m = _sliding_max(width)
-    for s in range(len(COUNTS) - 2, -1, -1):
-        if s != ESCAPE:
-            np.copyto(sel, np.uint8(s), where=m[int(COUNTS[s])] <= BITS[s])
+    sel = _selectors(width)
     if not small:
         sel[width > 60] = ESCAPE
     step = COUNTS.copy()

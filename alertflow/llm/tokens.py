@@ -67,7 +67,8 @@ class TokenCache:
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         """Ids of many pre-tokens from one call: every pre-token closes with one word-end id."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        fast = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(fast[0].ids, dtype="<u4")
         stop = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(stop) != len(words):  # a part of several pre-tokens is among them
             return self._direct(words)
@@ -79,10 +80,12 @@ class TokenCache:
         waiting, self.words.waiting = self.words.waiting, []
         for i in range(0, len(waiting), 5000):
             part = waiting[i:i + 5000]
-            for (word, place), ids in zip(part, self._encoded([w for w, _ in part])):
+            words = [w for w, _ in part]
+            encoded = self._encoded(words)
+            for (_, place), ids in zip(part, encoded):
                 place[:] = ids
-                self.words[word] = ids
-                self.size += len(word) + len(ids)
+            self.words.update(zip(words, encoded))
+            self.size += sum(map(len, words)) + sum(map(len, encoded))
 
     def _parts(self, text: str) -> list[str] | None:
         """Pre-tokens of a piece of text, or None when the library must see it whole."""
