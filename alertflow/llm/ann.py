@@ -5,13 +5,17 @@ NN-descent round is a set of joins: a node's neighbours and reverse neighbours
 are gathered by a block of centre nodes, the neighbours of one centre are compared
 with each other where one of them is new, and the best candidates of every node
 are merged into its list. Rounds stop when few lists change. A query starts from
-its own node's neighbours and walks greedily: the nearest unexpanded nodes of its
-beam are expanded in joined rounds until the beam holds nothing nearer.
-
-The largest inner product is searched: for the graph, vectors get one more
-component that gives all the same length, so that the nearest by angle are the
-nearest by inner product. Scores are inner products in double precision of the
-original vectors.
+its own node's neighbours and the best of a fixed set of entry points and walks
+greedily: the nearest unexpanded nodes of its beam are expanded in joined rounds,
+along edges of both directions, until every node of the beam is expanded.
+
+The largest inner product is searched. For the graph, vectors get one more
+component that gives all the same length; a query has 0 there, so its nearest by
+angle are its nearest by inner product. With vectors of unequal length a query is
+thus another point than its own node, whose neighbours are of like length: the
+entry points (the longest vectors and a seeded choice) lead to the long vectors,
+reverse edges from the long vectors to the others. Scores are inner products in
+double precision of the original vectors.
 
 Vectors never gather by key: blocks of rows are dealt by a hash of the id, a block
 receives each vector it needs once, reverse lists are cut to ``k`` by a
@@ -40,7 +44,7 @@ ROUNDS = 6
 STOP_SHARE = 0.01  # a round that renews fewer list places than this share is the last
 BEAM = 192  # nodes a query keeps
 EXPAND = 48  # nodes a query expands in a round
-SEARCH_ROUNDS = 4
+ENTRIES = 256  # nodes every query is compared with at the start, half of them the longest
 _LIST = "id long, nbr array<bigint>, sim array<double>, fresh array<boolean>"
 # list entries on their way to the block that merges them: one row per pair of blocks
 _PACK = "home long, owner array<bigint>, nbr array<bigint>, sim array<double>, fresh array<boolean>"
@@ -184,15 +188,19 @@ def _compare(k: int):
     return work
 
 
-def _round(points: DataFrame, graph: DataFrame, n: int, k: int) -> DataFrame:
-    """Candidate lists from one pass over neighbours of neighbours."""
+def _both_ways(graph: DataFrame, k: int) -> DataFrame:
+    """``centre, member, fresh``: the edges of the graph and of each node the ``k`` nearest reverse ones."""
     edges = graph.select("id", F.arrays_zip("nbr", "fresh", "sim").alias("e")).select("id", F.inline("e"))
     nearest = Window.partitionBy("nbr").orderBy(F.desc("sim"), "id")
     back = (edges.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k)
             .select(F.col("nbr").alias("centre"), F.col("id").alias("member"), "fresh"))
     ahead = edges.select(F.col("id").alias("centre"), F.col("nbr").alias("member"), "fresh")
-    pairs = ahead.unionByName(back).withColumn("block", _block_of("centre", n, 31, CENTRES))
-    pairs = written(pairs, "ann-pairs")
+    return ahead.unionByName(back)
+
+
+def _round(points: DataFrame, graph: DataFrame, n: int, k: int) -> DataFrame:
+    """Candidate lists from one pass over neighbours of neighbours."""
+    pairs = written(_both_ways(graph, k).withColumn("block", _block_of("centre", n, 31, CENTRES)), "ann-pairs")
     needed = pairs.select("block", F.col("member").alias("id")).distinct()
     floor = graph.select("id", F.when(F.size("sim") < k, F.lit(float("-inf"))).otherwise(F.array_min("sim")).alias("kth"))
     vecs = needed.join(points.join(floor, "id"), "id").select(F.col("block").alias("vec_block"), "id", "aug", "home", "kth")
@@ -214,7 +222,32 @@ def neighbour_graph(points: DataFrame, n: int, k: int = K, rounds: int = ROUNDS)
     return graph
 
 
-def _search_round(beam: DataFrame, queries: DataFrame, points: DataFrame, graph: DataFrame, n: int, width: int, expand: int):
+def search_rounds(n: int) -> int:
+    """Most rounds of a walk over ``n`` nodes; it ends earlier, when every beam is expanded."""
+    return 8 + 2 * n.bit_length()
+
+
+def _entries(points: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``q, id``: for each query the ``k`` best of the entry points."""
+    half = ENTRIES // 2
+    longest = points.orderBy(F.desc("norm2"), "id").limit(half).select("id", "vec").collect()
+    chosen = points.orderBy(F.xxhash64(F.lit(53), "id"), "id").limit(half).select("id", "vec").collect()
+    rows = list({r["id"]: r["vec"] for r in longest + chosen}.items())
+    ids, x = np.array([i for i, _ in rows], dtype=np.int64), np.array([v for _, v in rows], dtype=np.float64)
+
+    def best(batches):
+        for pdf in batches:
+            if not len(pdf) or not len(ids):
+                continue
+            s = _matrix(pdf["vec"]) @ x.T
+            kk = min(k, len(ids))
+            at = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
+            yield pd.DataFrame({"q": np.repeat(pdf["q"].to_numpy(), kk), "id": ids[at.ravel()]})
+
+    return asked.select("q", "vec").mapInPandas(best, "q long, id long").where("id <> q")
+
+
+def _search_round(beam: DataFrame, queries: DataFrame, points: DataFrame, links: DataFrame, n: int, width: int, expand: int):
     """Expand the nearest unexpanded nodes of every beam, score their neighbours, keep the best.
 
     Candidates are scored at the block where their vectors live: a block
@@ -222,7 +255,7 @@ def _search_round(beam: DataFrame, queries: DataFrame, points: DataFrame, graph:
     """
     open_ = beam.where("fresh").withColumn("r", F.row_number().over(
         Window.partitionBy("q").orderBy(F.desc("sim"), "id"))).where(F.col("r") <= expand).select("q", "id")
-    near = open_.join(graph.select("id", "nbr"), "id").select("q", F.explode("nbr").alias("id")).where("id <> q").distinct()
+    near = open_.join(links, "id").select("q", F.explode("nbr").alias("id")).where("id <> q").distinct()
     cand = written(near.join(beam.select("q", "id"), ["q", "id"], "left_anti")
                    .withColumn("block", _block_of("id", n, 97)), "ann-candidates")
     floor = beam.groupBy("q").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("held")).select(
@@ -262,18 +295,22 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, id_col:
     n, top = size["n"], size["top"] or 0.0
     aug = F.concat("vec", F.array(F.sqrt(F.greatest(F.lit(0.0), F.lit(top) - F.col("norm2")))))
     # the graph is built on single-precision copies, half the bytes to move; scores read ``vec``
-    points = written(points.select("id", "vec", aug.cast("array<float>").alias("aug")), "ann-points")
+    points = written(points.select("id", "vec", "norm2", aug.cast("array<float>").alias("aug")), "ann-points")
     graph = neighbour_graph(points.select("id", "aug"), n, max(graph_k, k))
     asked = written(points.where(queries).select(F.col("id").alias("q"), "vec"), "ann-queries")
-    # the beam holds inner products of the original vectors; a query's own node is its entry point
-    start = graph.join(asked.select(F.col("q").alias("id")), "id", "left_semi").select(
-        F.col("id").alias("q"), F.inline(F.arrays_zip("nbr", "sim"))).select("q", F.col("nbr").alias("id"), "sim")
+    links = written(_both_ways(graph, max(graph_k, k)).groupBy(F.col("centre").alias("id")).agg(
+        F.collect_set("member").alias("nbr")), "ann-links")
+    # the beam holds inner products of the original vectors; the best neighbours of a query's own node are among its entry points
+    own = graph.join(asked.select(F.col("q").alias("id")), "id", "left_semi").select(F.col("id").alias("q"), F.explode("nbr").alias("id"))
+    start = own.unionByName(_entries(points, asked, max(graph_k, k))).distinct()
     front = start.join(points.select("id", F.col("vec").alias("v")), "id").join(asked, "q").select(
         "q", "id", F.aggregate(F.zip_with("v", "vec", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).alias("sim"),
         F.lit(True).alias("fresh"))
     state = written(front, "ann-beam")
-    for _ in range(SEARCH_ROUNDS):
-        state = _search_round(state, asked, points, graph, n, max(beam, k), EXPAND)
+    for _ in range(search_rounds(n)):
+        if state.where("fresh").isEmpty():
+            break
+        state = _search_round(state, asked, points, links, n, max(beam, k), EXPAND)
     rank = Window.partitionBy("q").orderBy(F.desc("sim"), "id")
     return (state.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
             .select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"),

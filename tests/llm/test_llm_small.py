@@ -315,6 +315,19 @@ def test_ann_recall_and_scores(spark, monkeypatch):
     assert hit >= 0.9 * 20 * len(want)
 
 
+def test_ann_recall_with_unequal_lengths(spark, monkeypatch):
+    """The longest vectors win most inner products; a query's own graph neighbours are of its own length."""
+    monkeypatch.setattr(ann, "BLOCK", 256)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 32))
+    x *= (rng.lognormal(0, 1, 2000) / np.linalg.norm(x, axis=1))[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.nearest_neighbours(rows, F.col("id") % 40 == 0, 20).collect()
+    want = brute_nearest(dict(enumerate(x)), range(0, 2000, 40), 20)
+    hit = sum(len({r.vec_id for r in got if r.query_id == q} & {i for i, _ in near}) for q, near in want.items())
+    assert hit >= 0.9 * 20 * len(want)
+
+
 def test_ann_odd_input(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], "a", 1), (20, [2.0, 2.0], "a", 1), (3, [0.0, 0.0], "a", 1), (4, None, "a", 1), (5, [nan, 1.0], "a", 1),
