@@ -29,6 +29,11 @@ SEGMENT = 1 << 20  # characters tokenised at a time: bounds the memory of one lo
 _CUT = re.compile(r"[ \n]")
 
 
+def _is_pretoken(word: str) -> bool:
+    """Whether ``word`` is exactly one pre-token by the classes of lower-cased Latin-1 text."""
+    return PRETOKEN.fullmatch(word) is not None and (word.isascii() or max(word) <= "\xff") and word == word.lower()
+
+
 class WordIds(dict):
     """Word -> ids as bytes. An unknown word gets a place that ``fill`` fills with the rest of its group."""
 
@@ -66,11 +71,22 @@ class TokenCache:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encoded(self, words: list[str]) -> list[bytes]:
-        """Ids of many pre-tokens from one call: every pre-token closes with one word-end id."""
+        """Ids of many words. Those known to be one pre-token share one call: each closes with one word-end id.
+
+        A part cut at spaces from a text that is not Latin-1 can hold no pre-token or several; it is encoded on its own.
+        """
+        single = [_is_pretoken(w) for w in words]
+        if all(single):
+            return self._joined(words)
+        joined = iter(self._joined([w for w, one in zip(words, single) if one]))
+        direct = iter(self._direct([w for w, one in zip(words, single) if not one]))
+        return [next(joined if one else direct) for one in single]
+
+    def _joined(self, words: list[str]) -> list[bytes]:
         fast = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
         ids = np.array(fast[0].ids, dtype="<u4")
         stop = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        if len(stop) != len(words):  # a part of several pre-tokens is among them
+        if len(stop) != len(words):
             return self._direct(words)
         data, at = ids.tobytes(), [0, *stop.tolist()]
         return [data[a:b] for a, b in zip(at, at[1:])]

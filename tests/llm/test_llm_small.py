@@ -116,6 +116,14 @@ def test_token_files_odd_input(spark, odd, empty, tmp_path):
 
 # ---------------------------------------------------------------- packing
 
+def test_tokens_of_parts_that_balance():
+    """One part of two pre-tokens and one of none among the new words: later texts must still be right."""
+    cache = TokenCache(VOCAB)
+    for text in ("\u201chello \u3000", "\u3000 \u4e16", "\u201chello \u4e16", "A!b \u3000 \u2019"):
+        want = cache.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(cache.encode([text])[0], dtype="<u4").tolist() == want, text
+
+
 def check_packing(rows, texts, size):
     cache = TokenCache(VOCAB)
     want = {}
