@@ -3,8 +3,9 @@
 Every whole text is scanned, then its encoded layers: URL escapes, Unicode
 escapes, base64 and compressed bytes, nested in any order. A decoded layer that
 was not seen before in the document joins the worklist and is scanned like the
-text, until nothing new decodes; layers already seen close cycles. Findings in a
-layer are mapped back to the span of the text they were decoded from.
+text, until nothing new decodes. Findings in a layer are mapped back to the span of
+the text they were decoded from. A layer counts as seen when the same text came from
+the same place, which closes cycles; the same secret at another place is found there.
 
 A document is one row of a map job: nothing is shuffled, no group is formed.
 
@@ -55,6 +56,12 @@ class Layer:
     def to_document(self, start: int, end: int) -> tuple[int, int]:
         return self._edge(start)[0], self._edge(end - 1)[1]
 
+    def digest(self) -> bytes:
+        """Of the text and of where it came from."""
+        h = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        h.update(repr((self.at, self.span)).encode())
+        return h.digest()
+
     def _edge(self, pos: int) -> tuple[int, int]:
         i = bisect_right(self.at, pos) - 1
         s, e, plain = self.span[i]
@@ -80,16 +87,15 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     """(base spans of the text, all spans with those of decoded layers mapped back)."""
     base = scan(text)
     found = set(base)
-    seen = {_digest(text)}
     work = [Layer(text, [0], [(0, len(text), True)])]
+    seen = {work[0].digest()}
     while work:
         layer = work.pop()
         for start, end, new in _decoded(layer):
             if new is None:
-                s, e = layer.to_document(start, end)
-                found.add((s, KINDS.index("oversize"), e))
+                found.add((start, KINDS.index("oversize"), end))
                 continue
-            key = _digest(new.text)
+            key = new.digest()
             if key in seen:
                 continue
             seen.add(key)
@@ -100,10 +106,6 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     return base, sorted(found)
 
 
-def _digest(text: str) -> bytes:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-
-
 def _decoded(layer: Layer):
     """(start, end, layer or None for an oversize one) of everything one step decodes."""
     text = layer.text
@@ -130,8 +132,12 @@ def _rewritten(layer: Layer, run: re.Pattern, parts) -> Layer:
             i = bisect_right(layer.at, a) - 1
             stop = min(b, layer.at[i + 1]) if i + 1 < len(layer.at) else b
             s, e, one = layer.span[i]
-            at.append(size)
-            span.append((s + a - layer.at[i], s + stop - layer.at[i], True) if one else (s, e, False))
+            new = (s + a - layer.at[i], s + stop - layer.at[i], True) if one else (s, e, False)
+            if one and span and span[-1][2] and span[-1][1] == new[0]:
+                span[-1] = (span[-1][0], new[1], True)  # goes on where the last piece ends
+            else:
+                at.append(size)
+                span.append(new)
             out.append(layer.text[a:stop])
             size += stop - a
             a = stop

@@ -468,6 +468,16 @@ def test_secret_layers():
     assert base == [(0, 0, len(key))] and set(base) < set(every)
 
 
+def test_secret_layers_at_every_place():
+    """The same encoded secret at several places is found at each of them."""
+    key = "password=abcdefgh12345678"
+    b64 = base64.b64encode(key.encode()).decode()
+    for value in (b64, base64.b64encode(gzip.compress(key.encode())).decode(), base64.b64encode(b64.encode()).decode()):
+        text = f"a: {value}\n\nb: {value}\n\nc%20d: {value}\n"
+        every = secrets.find_secrets(text)[1]
+        assert [(s, e) for s, k, e in every if k == 0] == [(m.start(), m.end()) for m in re.finditer(re.escape(value), text)]
+
+
 def test_secret_cycles_and_bombs(monkeypatch):
     assert secrets.find_secrets("%25" * 50 + "41") == ([], [])
     monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
