@@ -1,7 +1,9 @@
 """Secret scan with a recursive decoding worklist.
 
 Every whole text is scanned, then its encoded layers: URL escapes, Unicode
-escapes, base64 and compressed bytes, nested in any order. A decoded layer that
+escapes, base64 (also wrapped over lines) and compressed bytes, nested in any order.
+Bytes that are not UTF-8 are read as Latin-1, and as UTF-16 where they look like it;
+compressed members are looked for anywhere in the bytes. A decoded layer that
 was not seen before in the document joins the worklist and is scanned like the
 text, until nothing new decodes. Findings in a layer are mapped back to the span of
 the text they were decoded from. A layer counts as seen when the same text came from
@@ -45,6 +47,17 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}")
+_BREAK = re.compile(r"[ \t\r\n]+")
+# escapes of single bytes as in Python, C and JSON strings
+BYTE_RUN = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[abfnrtv0'"\\])+""")
+BYTE_ONE = re.compile(r"""\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\([abfnrtv0'"\\])""")
+_SHORT = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0"))
+# starts of gzip, zlib, bzip2 and xz members
+MEMBER = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+_WIDE = re.compile(rb"(?:[\x09-\x7e]\x00){8}")  # ASCII in UTF-16
+_BYTES = re.compile(r"[\x00-\xff]{8,}")
+CHUNK = 1 << 16
 
 
 class Layer:
@@ -113,13 +126,26 @@ def _decoded(layer: Layer):
         yield 0, len(text), _rewritten(layer, URL_RUN, _url_parts)
     if "\\" in text and UNICODE_RUN.search(text):
         yield 0, len(text), _rewritten(layer, UNICODE_RUN, _unicode_parts)
-    for m in BASE64_RUN.finditer(text):
-        for value in _base64_texts(m.group()):
-            if value is None:
-                yield m.start(), m.end(), None
-            else:
-                s, e = layer.to_document(m.start(), m.end())
-                yield m.start(), m.end(), Layer(value, [0], [(s, e, False)])
+    # members of compressed bytes in the characters as they are, and under escapes of single bytes
+    yield from _unpacked(layer)
+    if "%" in text:
+        yield from _unpacked(_rewritten(layer, URL_RUN, _url_bytes))
+    if "\\" in text:
+        yield from _unpacked(_rewritten(layer, BYTE_RUN, _escaped_bytes))
+    for pattern in (BASE64_RUN, BASE64_WRAPPED):
+        for m in pattern.finditer(text):
+            s, e = layer.to_document(m.start(), m.end())
+            for value in _base64_texts(_BREAK.sub("", m.group())):
+                yield s, e, None if value is None else Layer(value, [0], [(s, e, False)])
+
+
+def _unpacked(view: Layer):
+    """What the compressed members among the characters below 256 of a layer hold."""
+    for m in _BYTES.finditer(view.text):
+        for start, end, data in _members(m.group().encode("latin-1")):
+            s, e = view.to_document(m.start() + start, m.start() + end)
+            for value in [None] if data is None else _texts(data):
+                yield s, e, None if value is None else Layer(value, [0], [(s, e, False)])
 
 
 def _rewritten(layer: Layer, run: re.Pattern, parts) -> Layer:
@@ -172,6 +198,19 @@ def _url_parts(run: str):
         i += n
 
 
+def _url_bytes(run: str):
+    """One part for each byte of a run of percent escapes."""
+    for i, c in enumerate(bytes.fromhex(run.replace("%", ""))):
+        yield 3 * i, 3 * i + 3, chr(c)
+
+
+def _escaped_bytes(run: str):
+    """One part for each byte of a run of backslash escapes."""
+    for m in BYTE_ONE.finditer(run):
+        value = m.group(1) or m.group(2)
+        yield m.start(), m.end(), chr(int(value, 16)) if value else _SHORT.get(m.group(3), m.group(3))
+
+
 def _unicode_parts(run: str):
     """One part for each character of a run of backslash escapes; surrogate pairs join."""
     units = [(m.start(), m.end(), int(m.group(1) or m.group(2), 16)) for m in UNICODE_ONE.finditer(run)]
@@ -198,50 +237,59 @@ def _base64_texts(run: str):
             data = binascii.a2b_base64(part + "=" * (-len(part) % 4))
         except binascii.Error:
             continue
-        data = _expand(data)
-        if data is None:
-            yield None
-        elif (value := _readable(data)) is not None:
-            yield value
+        yield from _texts(data)
+        for _, _, out in _members(data):
+            if out is None:
+                yield None
+            else:
+                yield from _texts(out)
 
 
 _URLSAFE = str.maketrans("-_", "+/")
 
 
-def _expand(data: bytes) -> bytes | None:
-    """``data`` with its compression layers taken off; None beyond ``MAX_LAYER``."""
-    seen = set()
-    while data not in seen:
-        seen.add(data)
-        if data[:2] == b"\x1f\x8b":
-            tool = zlib.decompressobj(31)
-        elif data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0:
-            tool = zlib.decompressobj()
-        elif data[:3] == b"BZh":
-            tool = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            tool = lzma.LZMADecompressor()
-        else:
-            break
+def _members(data: bytes):
+    """(start, end, bytes or None beyond ``MAX_LAYER``) of every compressed member anywhere in ``data``."""
+    at = 0
+    while m := MEMBER.search(data, at):
+        head, at = m.group(), m.start() + 1
+        tool = (zlib.decompressobj(31) if head[0] == 0x1F else zlib.decompressobj() if head[0] == 0x78
+                else bz2.BZ2Decompressor() if head[:1] == b"B" else lzma.LZMADecompressor())
+        out, size, pos = [], 0, m.start()
         try:
-            out = tool.decompress(data, MAX_LAYER + 1)
+            while pos < len(data) and not tool.eof and size <= MAX_LAYER:
+                part = data[pos:pos + CHUNK]
+                pos += len(part)
+                while True:
+                    piece = tool.decompress(part, MAX_LAYER + 1 - size)
+                    out.append(piece)
+                    size += len(piece)
+                    part = getattr(tool, "unconsumed_tail", b"")
+                    if tool.eof or size > MAX_LAYER or not part:
+                        break
         except (zlib.error, OSError, lzma.LZMAError, EOFError):
-            break
-        if len(out) > MAX_LAYER:
-            return None
-        data = out
-    return data
-
-
-def _readable(data: bytes) -> str | None:
-    """Text of the bytes if they are printable UTF-8."""
+            pass  # what came before the damage counts
+        if size > MAX_LAYER:
+            yield m.start(), len(data), None
+            at = max(at, pos)
+        elif size:
+            end = pos - len(tool.unused_data) if tool.eof else pos
+            yield m.start(), end, b"".join(out)
+            at = max(at, end) if tool.eof else at
+
+
+def _texts(data: bytes):
+    """The texts bytes may stand for: UTF-8, else Latin-1; UTF-16 besides where ASCII stands in it."""
+    if len(data) < 8:
+        return
     try:
-        text = data.decode("utf-8")
+        yield data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    if len(text) < 8:
-        return None
-    return text if text.replace("\n", " ").replace("\r", " ").replace("\t", " ").isprintable() else None
+        yield data.decode("latin-1")
+    if _WIDE.search(data):
+        for name in ("utf-16-le", "utf-16-be"):
+            for skip in (0, 1):
+                yield data[skip:].decode(name, "replace")
 
 
 def _joined(spans) -> str:

@@ -1,9 +1,11 @@
 """Operators against brute force, and their defined results on odd input."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
+import lzma
 import os
 import random
 import re
@@ -478,6 +480,28 @@ def test_secret_layers_at_every_place():
         assert [(s, e) for s, k, e in every if k == 0] == [(m.start(), m.end()) for m in re.finditer(re.escape(value), text)]
 
 
+def test_secret_layers_of_any_bytes():
+    key = "password=abcdefgh12345678"
+    pack = gzip.compress(f"{key} {os.urandom(200).hex().upper()}".encode())
+    b64 = lambda data: base64.b64encode(data).decode()
+    values = {f"char {ord(c):x}": b64(f"note{c} {key}".encode()) for c in "\xa0\x0c\xad\u3000\u200d\ufeff\0"}
+    values |= {name: b64(f"\xe9t\xe9 {key} \xe9".encode(name)) for name in ("latin-1", "utf-16", "utf-16-le", "utf-16-be")}
+    values |= {
+        "url bytes": urllib.parse.quote(pack), "all url bytes": "".join(f"%{c:02x}" for c in pack),
+        "hex bytes": "".join(f"\\x{c:02x}" for c in pack), "repr bytes": repr(pack)[2:-1],
+        "unicode bytes": "".join(f"\\u{c:04x}" for c in pack),
+        "mime": base64.encodebytes(pack).decode().strip(), "mime crlf": base64.encodebytes(pack).decode().strip().replace("\n", "\r\n"),
+        "members": b64(gzip.compress(b"first") + gzip.compress(key.encode())), "offset": b64(b"head" + zlib.compress(key.encode())),
+        "cut short": b64(zlib.compress((key + " plain words" * 50).encode())[:-4]), "bz2": b64(bz2.compress(key.encode())),
+        "twice": b64(gzip.compress(gzip.compress(key.encode())) + lzma.compress(key.encode())),
+    }
+    for name, value in values.items():
+        text = f"\u4e16 before {value} after"
+        at = text.index(value)
+        every = secrets.find_secrets(text)[1]
+        assert any(s >= at and e <= at + len(value) and k == 0 for s, k, e in every), name
+
+
 def test_secret_cycles_and_bombs(monkeypatch):
     assert secrets.find_secrets("%25" * 50 + "41") == ([], [])
     monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
