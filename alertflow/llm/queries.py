@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import ann, exact, langid, lines, mixing, packing, quality, secrets, simhash, token_files
+from alertflow.llm import (ann, centroids, exact, langid, lines, mixing, packing, quality, secrets, simhash, token_files,
+                           vector_codes, vector_dedup)
 from alertflow.llm.common import table
 from alertflow.session import scratch_path
 
@@ -73,10 +74,23 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digests(*vector_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_digests(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict:
     import corpus_pipeline
     ops = (op1_language_id, op2_simhash_near_dedup, op3_best_fit_packing, op4_nearest_neighbours, op5_line_dedup,
-           op6_token_files, op7_quality_classifier, op8_secret_scan, op9_exact_dedup, op10_source_mixing)
+           op6_token_files, op7_quality_classifier, op8_secret_scan, op9_exact_dedup, op10_source_mixing,
+           op11_vector_codes, op12_centroid_clusters, op13_vector_near_dedup)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
@@ -101,7 +115,69 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+# floor of s / n, for sums of either sign
+_MEAN = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+
+
+def op11_sql(parts: int = 16, entries: int = 64, rounds: int = 2, dim: int = 64) -> str:
+    """Unrolled Lloyd rounds over (part position, entry)."""
+    width = dim // parts
+    gap = " + ".join(f"(part[{j}] - c[{j}]) * (part[{j}] - c[{j}])" for j in range(1, width + 1))
+    ctes = [f"""k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {_FINITE})""",
+            f"""p AS (SELECT vec_id, label, pos, v[pos * {width} + 1:pos * {width} + {width}] AS part
+  FROM k, (SELECT unnest(range({parts})) AS pos))""",
+            f"""b0 AS (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, part AS c
+  FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries}))"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, p.pos, any_value(label) AS label, any_value(part) AS part,
+  min(({gap}) * {entries} + e) AS m FROM p JOIN b{r} b ON p.pos = b.pos GROUP BY vec_id, p.pos)""")
+        if r < rounds:
+            ctes.append(f"""b{r + 1} AS MATERIALIZED (SELECT b.pos, b.e, coalesce(u.c, b.c) AS c FROM b{r} b LEFT JOIN
+  (SELECT pos, e, list({_MEAN} ORDER BY j) AS c FROM (SELECT pos, m % {entries} AS e, j, sum(part[j]) AS s, count(*) AS n
+   FROM a{r}, (SELECT unnest(range(1, {width + 1})) AS j) GROUP BY ALL) GROUP BY pos, e) u ON b.pos = u.pos AND b.e = u.e)""")
+    return "WITH " + ",\n".join(ctes) + f""",
+o AS (SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', m % {entries}), '' ORDER BY pos) AS code,
+  CAST(sum(m // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY pos, e)) FROM b{rounds}) AS codebooks_sha256 FROM o"""
+
+
+def op12_sql(k: int = 8, rounds: int = 10, dim: int = 64) -> str:
+    """Unrolled Lloyd rounds over whole vectors; doubles hold these sums exactly."""
+    gap = "CAST(list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c) AS BIGINT)"
+    ctes = [f"""v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings WHERE {_FINITE} AND len(embedding) = {dim})""",
+            f"""c0 AS (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS e, x AS c
+  FROM v ORDER BY sha256('3:' || vec_id) LIMIT {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"a{r} AS MATERIALIZED (SELECT vec_id, any_value(x) AS x, min({gap} * {k} + e) AS m FROM v, c{r} GROUP BY vec_id)")
+        if r < rounds:
+            ctes.append(f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.e, coalesce(u.c, c{r}.c) AS c FROM c{r} LEFT JOIN
+  (SELECT e, list(CAST({_MEAN} AS DOUBLE) ORDER BY j) AS c FROM (SELECT m % {k} AS e, j, sum(CAST(x[j] AS BIGINT)) AS s, count(*) AS n
+   FROM a{r}, (SELECT unnest(range(1, {dim + 1})) AS j) GROUP BY ALL) GROUP BY e) u ON c{r}.e = u.e)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, CAST(m % {k} AS INTEGER) AS cluster, m // {k} AS distance,
+  CAST(sum(m // {k}) OVER (PARTITION BY m % {k}) AS BIGINT) AS cluster_inertia, CAST(sum(m // {k}) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c, lambda y: CAST(y AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON m % {k} = e"""
+
+
+OP13_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE {_FINITE} AND label IS NOT NULL),
+u AS (SELECT * FROM v WHERE list_dot_product(x, x) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT m.vec_id, (SELECT count(*) FROM e WHERE e.a = m.vec_id) AS n_links, c.component_id, m.vec_id = c.component_id AS kept
+FROM embeddings m JOIN c ON m.vec_id = c.a
+"""
+
+
 def all_sql() -> dict[str, str]:
     import corpus_pipeline
-    sql = {"op5_line_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL}
+    sql = {"op5_line_dedup": OP5_SQL, "op9_exact_dedup": OP9_SQL, "op11_vector_codes": op11_sql(),
+           "op12_centroid_clusters": op12_sql(), "op13_vector_near_dedup": OP13_SQL}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
