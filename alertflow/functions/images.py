@@ -11,7 +11,8 @@ whole-stage-codegen'd pass, no Python worker.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +25,23 @@ def _c(c: Column | str) -> Column:
 
 
 def apply_index_map(arr: Column | str, index: np.ndarray | list[int], fill: float = 0.0) -> Column:
-    """out[p] = arr[index[p]]; a negative index yields ``fill`` (zero padding)."""
+    """out[p] = arr[index[p]]; a negative index yields ``fill`` (zero padding).
+
+    An expression is bound once, as the variable of an outer ``transform``: inside
+    the lambda over the positions it would be evaluated again at every pixel.
+    """
     index = np.asarray(index).ravel()
     idx = F.array(*[F.lit(int(i)) for i in index])
-    a = _c(arr)
-    if index.size == 0 or index.min() >= 0:
+    padded = bool(index.size) and int(index.min()) < 0
+
+    def pick(a: Column) -> Column:
+        if padded:
+            return F.transform(idx, lambda i: F.when(i < 0, F.lit(fill)).otherwise(F.get(a, i)))
         return F.transform(idx, lambda i: F.get(a, i))
-    return F.transform(idx, lambda i: F.when(i < 0, F.lit(fill)).otherwise(F.get(a, i)))
+
+    if isinstance(arr, str):
+        return pick(F.col(arr))
+    return F.get(F.transform(F.array(arr), pick), 0)
 
 
 # --- index maps (pure shape arithmetic, built on the driver) ---------------
@@ -196,23 +207,57 @@ def feature_fuse(image, metadata_cols: list[str]) -> Column:
                     F.array(*[F.col(c).cast("float") for c in metadata_cols]))
 
 
-# --- binary <-> float32 (Arrow-batched Python, the only non-JVM kernels) ----
+# --- binary <-> float32 (Arrow buffers, the only non-JVM kernels) -----------
+
+def float32_bytes(a: pa.Array) -> pa.Array:
+    """list<float> -> little-endian float32 bytes: the same value buffer under other offsets (null stays null)."""
+    if a.values.null_count:
+        a = pa.array([None if x is None else [np.nan if v is None else v for v in x] for x in a.to_pylist()], a.type)
+    offsets = a.offsets.to_numpy().astype(np.int64) * 4
+    values = np.ascontiguousarray(a.values.to_numpy(zero_copy_only=False), dtype="<f4")
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(a), [_validity(a), pa.py_buffer(offsets), pa.py_buffer(values)],
+                                            a.null_count).cast(pa.binary())
+
+
+def float32_lists(b: pa.Array, expected_values: int | None = None) -> pa.Array:
+    """Little-endian float32 bytes -> list<float>; null for a length that is no whole number of values, or not the expected one."""
+    b = b.cast(pa.large_binary())
+    length = pc.fill_null(pc.binary_length(b), -1).to_numpy().astype(np.int64)
+    good = (length >= 0) & (length % 4 == 0)
+    if expected_values is not None:
+        good &= length == 4 * expected_values
+    kept = b.filter(pa.array(good))
+    at = np.frombuffer(kept.buffers()[1], np.int64)[kept.offset:kept.offset + len(kept) + 1] if len(kept) else np.zeros(1, np.int64)
+    data = np.frombuffer(kept.buffers()[2] or b"", np.uint8)[at[0]:at[-1]] if len(kept) else np.zeros(0, np.uint8)
+    offsets = np.r_[0, np.cumsum(np.where(good, length // 4, 0))].astype(np.int32)
+    bits = pa.py_buffer(np.packbits(good, bitorder="little"))
+    values = pa.array(np.ascontiguousarray(data).view("<f4"), pa.float32())
+    return pa.Array.from_buffers(pa.list_(pa.float32()), len(b), [bits, pa.py_buffer(offsets)], int((~good).sum()), children=[values])
+
+
+def _validity(a: pa.Array) -> pa.Buffer | None:
+    if not a.null_count:
+        return None
+    return pa.py_buffer(np.packbits(a.is_valid().to_numpy(zero_copy_only=False), bitorder="little"))
+
+
+def _arrow_column(df: DataFrame, col: str, out: str, kind: T.DataType, convert) -> DataFrame:
+    """``df`` with ``out`` made from ``col`` batch by batch. An operator, not a UDF: no projection or filter repeats it."""
+    kept = [f for f in df.schema.fields if f.name != out]
+    names = [f.name for f in kept]
+
+    def work(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], convert(b.column(col))], [*names, out])
+
+    return df.mapInArrow(work, T.StructType([*kept, T.StructField(out, kind, True)]))
+
 
-@F.pandas_udf(T.BinaryType())
-def pack_float32(s: pd.Series) -> pd.Series:
-    """array<float> -> little-endian float32 bytes (null stays null)."""
-    return s.map(lambda a: None if a is None else np.asarray(a, dtype="<f4").tobytes())
+def pack_float32(df: DataFrame, col: str, out: str) -> DataFrame:
+    """array<float> ``col`` -> little-endian float32 bytes ``out`` (null stays null)."""
+    return _arrow_column(df.withColumn(col, F.col(col).cast("array<float>")), col, out, T.BinaryType(), float32_bytes)
 
 
-def unpack_float32_udf(expected_values: int | None = None):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def unpack(s: pd.Series) -> pd.Series:
-        def one(b):
-            if b is None or len(b) % 4:
-                return None
-            a = np.frombuffer(b, dtype="<f4")
-            if expected_values is not None and a.size != expected_values:
-                return None
-            return a
-        return s.map(one)
-    return unpack
+def unpack_float32(df: DataFrame, col: str, out: str, expected_values: int | None = None) -> DataFrame:
+    """Bytes ``col`` -> array<float> ``out``; null for a size that is not the expected one."""
+    return _arrow_column(df, col, out, T.ArrayType(T.FloatType()), lambda b: float32_lists(b, expected_values))

@@ -194,14 +194,14 @@ sql("scaler_apply", f"WITH st AS (SELECT {_STATS} FROM lineitem) SELECT l_orderk
 
 _TEN = ", ".join(f"s{i}" for i in range(1, SI.N_LABELS + 1))
 _PRED = (f"preds AS (SELECT vec_id, label AS true_label, CAST(list_position([{_TEN}], greatest({_TEN})) - 1 AS INTEGER) "
-         f"AS pred_label FROM {_scored(SI.N_LABELS, 0.0)} WHERE label <> {SI.ABSENT_LABEL})")
+         f"AS pred_label FROM {_scored(SI.N_LABELS, 0.0)})")
 # one row for every class, also one without true rows
 sql("confusion_matrix", f"WITH {_PRED} SELECT c.true_label, " + ", ".join(
-    f"CAST(coalesce(sum(CASE WHEN pred_label = {i} THEN 1 ELSE 0 END), 0) AS BIGINT) AS pred_{i}" for i in range(SI.N_LABELS))
+    f"CAST(coalesce(sum(CASE WHEN pred_label = {i} THEN 1 ELSE 0 END), 0) AS BIGINT) AS pred_{i}" for i in range(SI.N_CLASSES))
     + ", CAST(0 AS BIGINT) AS pred_other"
-    + f" FROM (SELECT CAST(unnest(generate_series(0, {SI.N_LABELS - 1})) AS INTEGER) AS true_label) c "
+    + f" FROM (SELECT CAST(unnest(generate_series(0, {SI.N_CLASSES - 1})) AS INTEGER) AS true_label) c "
       "LEFT JOIN preds p ON p.true_label = c.true_label GROUP BY c.true_label")
-_CLS = " UNION ALL ".join(f"SELECT {i} AS c" for i in range(SI.N_LABELS))
+_CLS = " UNION ALL ".join(f"SELECT {i} AS c" for i in range(SI.N_CLASSES))
 sql("classification_report", f"""WITH {_PRED},
 cls AS ({_CLS}),
 per AS (SELECT c,

@@ -121,9 +121,8 @@ def _alert_rows(spark, d) -> DataFrame:
     rows = M.project_alerts(alerts.withColumnRenamed("candid", "alert_id"), keep=["alert_id", "ts", "hwc", "label", "bad", "key_id"])
     # every alert keeps its object here, so each object's flags are known
     rows = rows.withColumn("object_id", F.col("key_id")).drop("key_id")
-    packed = I.pack_float32("hwc")
-    bad = F.col("bad")
-    out = rows.withColumn("image_data", F.when(bad, F.substring(packed, 1, 100)).otherwise(packed)).drop("hwc", "bad")
+    packed = I.pack_float32(rows, "hwc", "image_data").drop("hwc")
+    out = packed.withColumn("image_data", F.when(F.col("bad"), F.substring("image_data", 1, 100)).otherwise(F.col("image_data"))).drop("bad")
     # read by the scaler fit, the training and both topic twins: materialise
     # once in the shared folder (also cuts the lineage)
     return out.checkpoint(eager=True)
@@ -288,8 +287,8 @@ def q_producer_flow(spark, d):
                       shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
     meta = SS.metadata_stream(spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS).parquet(f"{topics}/m")).drop("meta_time")
     img = SS.image_stream(spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS).parquet(f"{topics}/i"))
-    pixels = img.select(F.col("alert_id").alias("image_alert"), F.col("object_id").alias("image_object"),
-                        I.unpack_float32_udf(3 * 4 * 4)("image_data").alias("img"))
+    pixels = I.unpack_float32(img.select(F.col("alert_id").alias("image_alert"), F.col("object_id").alias("image_object"), "image_data"),
+                              "image_data", "img", 3 * 4 * 4).drop("image_data")
     both = meta.join(pixels, (F.col("alert_id") == F.col("image_alert")) & (F.col("object_id") == F.col("image_object")))
     out = both.select(F.col("alert_id").cast("long").alias("alert_id"), "object_id", *S.METADATA_COLUMNS,
                       F.posexplode_outer("img").alias("pos", "pixel"))

@@ -35,7 +35,7 @@ CUBE_VALUES = CUBE_C * CUBE_H * CUBE_W  # 192
 CHANNEL_FACTORS = (1.0, -1.0, 2.0)  # science, reference, difference of the stand-in cube
 N_SCORES = 5
 N_LABELS = 10
-ABSENT_LABEL = 7  # left out of the metric stand-in, so that one class has no true rows
+N_CLASSES = N_LABELS + 1  # the metric keys' class list: the last class has no true rows
 LINEITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 

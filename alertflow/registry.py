@@ -302,18 +302,18 @@ def q_scaler_apply(spark, d):
 # ---------------------------------------------------------------- metrics
 
 def _predictions(spark, d) -> DataFrame:
-    e = _t(spark, d, "embeddings").where(F.col("label") != SI.ABSENT_LABEL)
+    e = _t(spark, d, "embeddings")
     return e.select("vec_id", F.col("label").alias("true_label"), I.argmax(SI.class_sums()).alias("pred_label"))
 
 
 @query("confusion_matrix")
 def q_confusion_matrix(spark, d):
-    return X.confusion_matrix(_predictions(spark, d), "true_label", "pred_label", list(range(SI.N_LABELS)))
+    return X.confusion_matrix(_predictions(spark, d), "true_label", "pred_label", list(range(SI.N_CLASSES)))
 
 
 @query("classification_report")
 def q_classification_report(spark, d):
-    r = X.classification_report(_predictions(spark, d), "true_label", "pred_label", list(range(SI.N_LABELS)))
+    r = X.classification_report(_predictions(spark, d), "true_label", "pred_label", list(range(SI.N_CLASSES)))
     return r.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
@@ -449,11 +449,8 @@ def q_chw_to_hwc(spark, d):
 @query("image_roundtrip")
 def q_image_roundtrip(spark, d):
     e = _emb(spark, d).select("vec_id", I.chw_to_hwc(SI.cube(), SI.CUBE_C, SI.CUBE_H, SI.CUBE_W).alias("hwc"))
-    packed = e.select("vec_id", I.pack_float32("hwc").alias("bytes"))
-    unpack = I.unpack_float32_udf(SI.CUBE_VALUES)
-    # the Python kernel's output is materialised as a column before the JVM index map
-    back = (packed.select("vec_id", unpack("bytes").alias("hwc"))
-            .select("vec_id", I.hwc_to_chw("hwc", SI.CUBE_C, SI.CUBE_H, SI.CUBE_W).alias("img")))
+    back = I.unpack_float32(I.pack_float32(e, "hwc", "bytes").drop("hwc"), "bytes", "hwc", SI.CUBE_VALUES)
+    back = back.select("vec_id", I.hwc_to_chw("hwc", SI.CUBE_C, SI.CUBE_H, SI.CUBE_W).alias("img"))
     return _explode(back, "vec_id", "img")
 
 
@@ -462,8 +459,7 @@ def q_image_messages(spark, d):
     e = _emb(spark, d).select(F.concat(F.lit("vec_"), F.col("vec_id").cast("string")).alias("object_id"),
                               I.chw_to_hwc(SI.cube(), SI.CUBE_C, SI.CUBE_H, SI.CUBE_W).alias("hwc"))
     m = W.image_messages(e, "object_id", "hwc")
-    back = m.select("topic", F.col("key").cast("string").alias("object_id"),
-                    I.unpack_float32_udf(SI.CUBE_VALUES)("value").alias("img"))
+    back = I.unpack_float32(m.select("topic", F.col("key").cast("string").alias("object_id"), "value"), "value", "img", SI.CUBE_VALUES)
     return (back.select("topic", "object_id", F.posexplode_outer("img").alias("pos", "value")).where(F.col("pos").isNotNull())
             .select("topic", "object_id", F.col("pos").cast("int").alias("pos"), F.col("value").cast("double").alias("value")))
 

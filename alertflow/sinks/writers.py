@@ -54,9 +54,12 @@ def image_messages(df: DataFrame, id_col: str, image_col: str, topic: str = S.IM
     """Rows for a message sink: value = the image as little-endian float32 bytes
     (``packed``: ``image_col`` already holds the bytes)."""
     from alertflow.functions.images import pack_float32
-    value = F.col(image_col) if packed else pack_float32(F.col(image_col))
-    return df.select(F.lit(topic).alias("topic"), F.encode(F.col(id_col), "UTF-8").alias("key"),
-                     value.alias("value"), *_message_extras(time_col, alert_col))
+    named = [c for c in (time_col, alert_col) if c]
+    rows = df.select(id_col, image_col, *[c for c in named if c not in (id_col, image_col)])
+    if not packed:
+        rows = pack_float32(rows, image_col, image_col)
+    return rows.select(F.lit(topic).alias("topic"), F.encode(F.col(id_col), "UTF-8").alias("key"),
+                       F.col(image_col).alias("value"), *_message_extras(time_col, alert_col))
 
 
 def publish(messages: DataFrame, servers: str | None = None, path: str | None = None) -> None:

@@ -46,8 +46,7 @@ def prepare(df: DataFrame, stats: DataFrame, meta_cols: list[str] = S.METADATA_C
     """
     h, w, c = shape
     n = h * w * c
-    unpack = I.unpack_float32_udf(n)
-    x = df.withColumn("_raw", unpack("image_data")).withColumn("_img", I.pixel_clean("_raw")).drop("_raw")
+    x = I.unpack_float32(df, "image_data", "_raw", n).withColumn("_img", I.pixel_clean("_raw")).drop("_raw")
     if normalise == "cube":
         x = I.minmax_cube(x, "_img", "_norm")
     elif normalise == "channel":
@@ -101,7 +100,7 @@ def first_of_batch(batch: DataFrame) -> DataFrame:
     return batch.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
-SUMMARY_SCHEMA = "new_objects long, scored long, success_rate double"
+SUMMARY_SCHEMA = "input_rows long, new_objects long, rows_written long, scored long, success_rate double"
 
 
 def read_summaries(spark, out_root: str) -> DataFrame:
@@ -109,7 +108,7 @@ def read_summaries(spark, out_root: str) -> DataFrame:
     (one row per micro-batch: a small table, ordered by batch)."""
     df = spark.read.schema(SUMMARY_SCHEMA + ", batch_id long").json(f"{out_root.rstrip('/')}_summary")
     w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("total_objects", F.sum("new_objects").over(w)).orderBy("batch_id")
+    return df.withColumns({"total_objects": F.sum("new_objects").over(w), "total_input": F.sum("input_rows").over(w)}).orderBy("batch_id")
 
 
 def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
@@ -135,17 +134,19 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
             batch.unpersist()
 
     def _write(batch: DataFrame, batch_id: int) -> None:
+        # what comes in, what is one row an object, what is written: gathered by the one job that writes
+        came = Observation(f"input_{batch_id}")
+        batch = batch.observe(came, F.count(F.lit(1)).alias("input_rows"))
         one = first_of_batch(batch) if dedup_in_batch else batch
         preds = classify(one, model, classes, stats, meta_cols, shape, normalise=normalise)
-        # batch summary gathered while the rows are written (no second pass)
         obs = Observation(f"batch_{batch_id}")
         ok = (~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)).cast("long")
-        preds = preds.observe(obs, F.count(F.lit(1)).alias("new_objects"), F.sum(ok).alias("scored"))
+        preds = preds.observe(obs, F.count(F.lit(1)).alias("rows_written"), F.sum(ok).alias("scored"))
         write_predictions_csv(preds, out_root, batch_id)
         m = obs.get
-        n, scored = int(m.get("new_objects") or 0), int(m.get("scored") or 0)
-        summary = {"batch_id": batch_id, "new_objects": n, "scored": scored,
-                   "success_rate": 100.0 * scored / max(n, 1)}
+        n, scored = int(m.get("rows_written") or 0), int(m.get("scored") or 0)
+        summary = {"batch_id": batch_id, "input_rows": int(came.get.get("input_rows") or 0), "new_objects": n, "rows_written": n,
+                   "scored": scored, "success_rate": 100.0 * scored / max(n, 1)}
         run.summaries.append(summary)  # the last few, for logs; bounded for 24/7 runs
         # durable per-batch summary next to the predictions (overwrite: replay-safe)
         batch.sparkSession.createDataFrame([summary], SUMMARY_SCHEMA).coalesce(1) \

@@ -2,7 +2,10 @@
 import gzip
 import math
 
+import time
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -180,14 +183,49 @@ def test_pack_unpack_roundtrip_and_bad_sizes(spark):
     rng = np.random.default_rng(1)
     vals = rng.standard_normal(12).astype(np.float32)
     df = spark.createDataFrame([(0, [float(x) for x in vals])], "id int, a array<float>")
-    packed = df.select(I.pack_float32("a").alias("b"))
+    packed = I.pack_float32(df, "a", "b").select("b")
     assert len(packed.first().b) == 48
     assert packed.first().b == vals.astype("<f4").tobytes()
-    unpack = I.unpack_float32_udf(12)
-    back = packed.select(unpack("b").alias("a")).first().a
+    back = I.unpack_float32(packed, "b", "a", 12).first().a
     assert np.array_equal(np.asarray(back, dtype=np.float32), vals)
     bad = spark.createDataFrame([(b"",), (b"\x00" * 44,), (None,), (b"\x00" * 46,)], "b binary")
-    assert [r.a for r in bad.select(unpack("b").alias("a")).collect()] == [None, None, None, None]
+    assert [r.a for r in I.unpack_float32(bad, "b", "a", 12).collect()] == [None, None, None, None]
+
+
+def test_packing_keeps_places_of_nulls_and_bad_sizes(spark):
+    """Null rows, null values, empty and wrong sizes, in sliced batches too: every row keeps its own result."""
+    lists = [[1.0, 2.0], None, [], [3.0, None], None, [4.0, 5.0], [6.0]] * 3
+    array = pa.array(lists, pa.list_(pa.float32()))
+    for lo, hi in ((0, 21), (1, 20), (2, 3), (5, 5), (0, 7), (7, 16)):
+        want = [None if x is None else np.array([np.nan if v is None else v for v in x], "<f4").tobytes() for x in lists[lo:hi]]
+        assert I.float32_bytes(array.slice(lo, hi - lo)).to_pylist() == want
+        back = I.float32_lists(pa.array(want, pa.binary()))
+        assert str(back.to_pylist()) == str([None if x is None else [float("nan") if v is None else v for v in x] for x in lists[lo:hi]])
+    data = pa.array([b"\0" * 8, None, b"", b"\0" * 7, b"\1\2\3\4" * 2, b"\0" * 12], pa.binary())
+    for lo in range(6):
+        cut = data.slice(lo)
+        want = [None if x is None or len(x) != 8 else np.frombuffer(x, "<f4").tolist() for x in data.to_pylist()[lo:]]
+        assert I.float32_lists(cut, 2).to_pylist() == want
+    assert I.float32_lists(data).to_pylist()[2:4] == [[], None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "id int, a array<float>").repartition(3)
+    both = I.unpack_float32(I.pack_float32(df, "a", "b"), "b", "a", 2).orderBy("id").collect()
+    assert [r.a is None for r in both] == [x is None or len(x) != 2 for x in lists]
+
+
+def test_index_map_over_an_expression_is_linear(spark):
+    """A transposed stack of channels of full size costs little more than the stored cube."""
+    n = 3 * 21 * 21
+    df = spark.range(2000).select("id", F.transform(F.sequence(F.lit(1), F.lit(n // 3)), lambda i: (i + F.col("id") % 7).cast("float")).alias("c"))
+    df = df.withColumn("cube", F.concat("c", "c", "c")).checkpoint(eager=True)
+
+    def took(arr):
+        start = time.time()
+        out = df.select("id", I.chw_to_hwc(arr, 3, 21, 21).alias("x")).agg(F.sum(F.get("x", 5)), F.sum(F.size("x"))).first()
+        return time.time() - start, out
+
+    took("cube")
+    (stored, a), (built, b) = took("cube"), took(I.stack_channels("c", F.transform("c", lambda x: x * 1), "c"))
+    assert a == b and built < 5 * stored + 3  # was 40 times
 
 
 def test_argmax_ties_and_onehot(spark):

@@ -108,7 +108,7 @@ def test_training_and_stream_make_equal_features(spark):
     path = RT.save_training(spark, scratch_path(spark, "feat_training"), model, stats, image_shape=(3, 3, 3), kind="lr")
     _, _, loaded, shape, normalise = RT.load_training(spark, path)
     assert normalise == "cube"
-    joined = records.withColumn("image_data", I.pack_float32(I.chw_to_hwc("data", 3, 3, 3))).drop("data")
+    joined = I.pack_float32(records.withColumn("data", I.chw_to_hwc("data", 3, 3, 3)), "data", "image_data").drop("data")
     streamed = CL.prepare(joined, loaded, S.METADATA_COLUMNS, shape, normalise)
     a = {r.object_id: np.array(r.features.toArray()) for r in train.collect()}
     b = {r.object_id: np.array(r.features.toArray()) for r in streamed.collect()}

@@ -162,7 +162,8 @@ def test_classifier_stream_restart_scores_each_object_once(spark):
     rows = ev.select(obj.alias("object_id"),
                      *[F.col("value").cast("int" if c in S.INT_METADATA_COLUMNS else "double").alias(c)
                        for c in S.METADATA_COLUMNS],
-                     "ts", pack_float32(img).alias("image_data"), label.alias("label"))
+                     "ts", img.alias("image"), label.alias("label"))
+    rows = pack_float32(rows, "image", "image_data").drop("image")
     stats = fit_scaler(rows, S.METADATA_COLUMNS)
     model = ML.train(CL.prepare(rows, stats, S.METADATA_COLUMNS, (2, 2, 3)), "label", S.CLASS_LABELS,
                      kind="lr", max_iter=3)
