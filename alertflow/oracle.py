@@ -10,6 +10,7 @@ from alertflow import schemas as S
 from alertflow.plans import standins as SI
 
 _SQL: dict[str, str] = {}
+_LATER: dict = {}  # texts made from settings of modules that import this one's tables
 
 
 def sql(name: str, text: str) -> None:
@@ -17,7 +18,7 @@ def sql(name: str, text: str) -> None:
 
 
 def all_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(_SQL) | {name: make().strip() for name, make in _LATER.items()}
 
 
 # ---------------------------------------------------------------- alert stand-in
@@ -387,3 +388,34 @@ held AS (SELECT label, (count(*) + 4) // 5 AS n FROM dataset GROUP BY label),
 cls AS ({_CLASS_ROWS})
 SELECT c.label, CAST(coalesce(h.n, 0) AS BIGINT) AS support, TRUE AS rates_valid FROM cls c LEFT JOIN held h ON c.label = h.label
 UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), CAST((SELECT sum(n) FROM held) AS BIGINT), TRUE""")
+
+# ---------------------------------------------------------------- training watched by a validation split
+
+def _watch_sql(w: dict) -> str:
+    """Epoch by epoch: the state after a loss from the state before it."""
+    improved = f"(l.loss IS NOT NULL AND (s.best_loss IS NULL OR l.loss < s.best_loss - {w['min_delta']}))"
+    eased = f"(l.loss IS NOT NULL AND (s.cut_best IS NULL OR l.loss < s.cut_best - {w['cut_delta']}))"
+    cut = f"(NOT {eased} AND s.cut_wait + 1 >= {w['cut_patience']})"
+    return f"""
+WITH RECURSIVE l AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS epoch,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS loss FROM events),
+s AS (
+  SELECT user_id, epoch, loss, loss IS NOT NULL AS improved, CASE WHEN loss IS NOT NULL THEN epoch END AS best_epoch, loss AS best_loss,
+    CASE WHEN loss IS NULL THEN 1 ELSE 0 END AS wait, loss AS cut_best, CASE WHEN loss IS NULL THEN 1 ELSE 0 END AS cut_wait,
+    CAST({w['step']} AS DOUBLE) AS step FROM l WHERE epoch = 0
+  UNION ALL
+  SELECT l.user_id, l.epoch, l.loss, {improved}, CASE WHEN {improved} THEN l.epoch ELSE s.best_epoch END,
+    CASE WHEN {improved} THEN l.loss ELSE s.best_loss END, CASE WHEN {improved} THEN 0 ELSE s.wait + 1 END,
+    CASE WHEN {eased} THEN l.loss ELSE s.cut_best END,
+    CASE WHEN {eased} OR {cut} THEN 0 ELSE s.cut_wait + 1 END,
+    CASE WHEN {cut} THEN greatest(s.step * {w['factor']}, {w['min_step']}) ELSE s.step END
+  FROM s JOIN l ON l.user_id = s.user_id AND l.epoch = s.epoch + 1 WHERE s.wait < {w['patience']})
+SELECT user_id, epoch, loss, improved, best_epoch, best_loss, CAST(wait AS BIGINT) AS wait, step, wait >= {w['patience']} AS stopped FROM s"""
+
+
+def _watch_settings() -> dict:
+    from alertflow.plans.registry_extra import WATCH_SETTINGS
+    return WATCH_SETTINGS
+
+
+_LATER["watch_losses"] = lambda: _watch_sql(_watch_settings())

@@ -17,6 +17,7 @@ from alertflow.operators import joins as J
 from alertflow.operators import metrics as X
 from alertflow.operators import model as ML
 from alertflow.operators import ranking as R
+from alertflow.operators import training as TR
 from alertflow.operators.scaler import apply_scaler, fit_scaler
 from alertflow.plans import standins as SI
 from alertflow.session import scratch_path
@@ -114,11 +115,13 @@ def save_dataset(dataset: DataFrame, root: str) -> str:
 
 def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], classes: list[str] = S.CLASS_LABELS,
                        meta_cols: list[str] = S.METADATA_COLUMNS, kind: str = "mlp", rotations: bool = True,
-                       seed: int = S.SEED, **train_kw) -> dict:
+                       seed: int = S.SEED, watch: TR.Watch | None = None, **train_kw) -> dict:
     """Split per class (64/16/20), scale metadata with train statistics,
     transpose the cube to channel-last, train, score validation and test.
 
-    Returns the model, the statistics and the evaluation frames (lazy).
+    With a ``watch`` the perceptron is trained in rounds against the validation
+    split (``operators.training``) and the best round is kept; its ``history`` is
+    returned too. Returns the model, the statistics and the evaluation frames (lazy).
     """
     c, h, w = image_shape
     # the rank reads (id, label) alone and the parts read the rows: written once
@@ -131,8 +134,16 @@ def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], cl
     if rotations:
         train = ML.augment_rotations(train, "data", h, w, c)
     train = ML.assemble(train, "data", meta_cols)
-    model = ML.train(train, "label", classes, kind=kind, n_features=c * h * w + len(meta_cols), seed=seed, **train_kw)
-    out = {"model": model, "stats": stats}
+    n_features = c * h * w + len(meta_cols)
+    out = {"stats": stats}
+    if watch is None:
+        model = ML.train(train, "label", classes, kind=kind, n_features=n_features, seed=seed, **train_kw)
+    elif kind == "mlp":
+        held = ML.assemble(scaled.where(F.col("split") == "validation"), "data", meta_cols)
+        model, out["history"] = TR.train_watched(train, held, "label", classes, n_features, watch, seed=seed, **train_kw)
+    else:
+        raise ValueError(f"kind {kind!r} has no warm start to watch")
+    out["model"] = model
     for part in ("validation", "test"):
         scored = ML.score(model, ML.assemble(scaled.where(F.col("split") == part), "data", meta_cols))
         pred = scored.select("object_id", "label", I.argmax_label("probs", classes).alias("predicted"))

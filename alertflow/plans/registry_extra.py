@@ -7,7 +7,7 @@ into a Parquet sink under the shared folder, and return a batch read of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertflow import schemas as S
@@ -19,6 +19,7 @@ from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import cutouts as C
 from alertflow.operators import model as ML
 from alertflow.operators import ranking as R
+from alertflow.operators import training as TR
 from alertflow.operators.scaler import fit_scaler
 from alertflow.plans import prepare as P
 from alertflow.plans import producer as PR
@@ -227,6 +228,20 @@ def q_train_score(spark, d):
                          I.argmax_label("probs", classes).isin(classes).alias("known_class"))
 
 
+# ---------------------------------------------------------------- training watched by a validation split
+
+WATCH_SETTINGS = {"patience": 3, "cut_patience": 2, "factor": 0.5, "step": 0.1, "min_step": 0.02, "min_delta": 0.25, "cut_delta": 1.0}
+
+
+@query("watch_losses")
+def q_watch_losses(spark, d):
+    """Each user's events as one training: losses by time, some of them missing."""
+    v = _t(spark, d, "events")
+    epoch = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+    losses = v.select("user_id", epoch.alias("epoch"), SI.null_when(F.col("event_id") % 11 == 0, F.col("value")).alias("loss"))
+    return TR.watch_losses(losses, "user_id", "epoch", "loss", **WATCH_SETTINGS)
+
+
 # ---------------------------------------------------------------- whole preparation flow
 
 def _prep_balance(catalog: DataFrame) -> dict[str, int]:
