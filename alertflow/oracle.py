@@ -419,3 +419,15 @@ def _watch_settings() -> dict:
 
 
 _LATER["watch_losses"] = lambda: _watch_sql(_watch_settings())
+
+sql("fused_gradient", """
+WITH e AS (SELECT vec_id % 5 AS y, embedding FROM embeddings),
+m AS (SELECT y, u, CAST(embedding[u + 1] AS DOUBLE) + 1 AS x FROM e, (SELECT unnest(range(4)) AS u))
+SELECT CAST(c AS INTEGER) AS class, CAST(u AS INTEGER) AS unit,
+  round(sum(x) / 5 - sum(CASE WHEN y = c THEN x ELSE 0 END), 6) + 0.0 AS gradient, round(ln(5), 6) AS loss, count(*) AS n_rows
+FROM m, (SELECT unnest(range(5)) AS c) GROUP BY c, u""")
+
+sql("stream_first_seen", """
+SELECT object_id, event_id, ts, event_type, value FROM (
+  SELECT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, event_id, ts, event_type, value,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")

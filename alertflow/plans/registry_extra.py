@@ -7,6 +7,7 @@ into a Parquet sink under the shared folder, and return a batch read of it.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from alertflow.functions.labels import map_label
 from alertflow.functions.metadata import parse_json
 from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import cutouts as C
+from alertflow.operators import fused as FU
 from alertflow.operators import model as ML
 from alertflow.operators import ranking as R
 from alertflow.operators import training as TR
@@ -32,6 +34,7 @@ from alertflow.sources.alerts import read_predictions
 from alertflow.sinks import writers as W
 from alertflow.streaming import classify as CL
 from alertflow.streaming import sources as SS
+from alertflow.streaming.firstseen import first_seen
 from alertflow.streaming.stateful import dedup_stream, join_streams
 
 
@@ -102,6 +105,31 @@ def q_stream_dedup(spark, d):
     return out
 
 
+def shuffled_twin(rows: DataFrame, key: str, time_col: str, name: str, files: int) -> tuple[str, float]:
+    """File twin whose files hold events of any time, closed by a heartbeat behind them; and the events' span in seconds."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
+    ends = rows.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+    span = (ends["hi"] - ends["lo"]).total_seconds() if ends["lo"] else 0.0
+    dealt.repartition(files, "_file").drop("_file").write.parquet(path)
+    beat = rows.agg(F.max(time_col).alias("hi")).select(*[
+        (F.col("hi") + F.make_dt_interval(secs=F.lit(2 * span + 86400.0))).cast(f.dataType).alias(f.name) if f.name == time_col
+        else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    beat.write.mode("append").parquet(path)
+    return path, span
+
+
+@query("stream_first_seen")
+def q_stream_first_seen(spark, d):
+    """The earliest event of each object, whole, from files in no order of time."""
+    v = _events_ts(spark, d).select(SI.object_key().alias("object_id"), "event_id", "ts", "event_type", "value")
+    path, span = shuffled_twin(v, "object_id", "ts", "first_seen_twin", 8)
+    s = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    out = first_seen(s, "object_id", "ts", f"{int(span) + 1} seconds", ["event_id"])
+    return _run_to_parquet(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "stream_first_seen", spark)
+
+
 # ---------------------------------------------------------------- classifier stand-in
 
 _STREAM_SHAPE = (SI.CUBE_H, SI.CUBE_W, SI.CUBE_C)
@@ -228,6 +256,23 @@ def q_train_score(spark, d):
                          I.argmax_label("probs", classes).isin(classes).alias("known_class"))
 
 
+@query("fused_gradient")
+def q_fused_gradient(spark, d):
+    """One data-parallel gradient of the fused network where it is known in closed form:
+    the metadata layer passes its inputs on, the layers around it are zero."""
+    classes, meta = 5, 4
+    shape = FU.Shape(side=SI.IMG_H, channels=1, meta=meta, classes=classes, pad=1, filters=2, image_units=3, meta_units=meta)
+    told = F.transform(F.slice("embedding", 1, meta), lambda x: x.cast("double") + 1)
+    rows = _t(spark, d, "embeddings").select(F.col("embedding").alias("image"), told.alias("meta"), (F.col("vec_id") % classes).cast("int").alias("label_idx"))
+    flat = np.zeros(shape.start().size)
+    shape.split(flat)["meta"][:] = np.eye(meta)
+    total, loss, n = FU.summed_gradient(rows, shape, flat)
+    out = shape.split(total)["out"][shape.image_units:]
+    made = [(c, u, float(out[u, c]), loss / n, n) for c in range(classes) for u in range(meta)]
+    return spark.createDataFrame(made, "class int, unit int, gradient double, loss double, n_rows long").withColumns(
+        {"gradient": F.round("gradient", 6), "loss": F.round("loss", 6)})
+
+
 # ---------------------------------------------------------------- training watched by a validation split
 
 WATCH_SETTINGS = {"patience": 3, "cut_patience": 2, "factor": 0.5, "step": 0.1, "min_step": 0.02, "min_delta": 0.25, "cut_delta": 1.0}
