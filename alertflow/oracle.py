@@ -431,3 +431,18 @@ sql("stream_first_seen", """
 SELECT object_id, event_id, ts, event_type, value FROM (
   SELECT 'obj_' || CAST(user_id AS VARCHAR) AS object_id, event_id, ts, event_type, value,
     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
+
+# ---------------------------------------------------------------- containers
+
+_FILES = """WITH e AS (SELECT *, event_id // 250 AS f, row_number() OVER (PARTITION BY event_id // 250 ORDER BY event_id) - 1 AS i FROM events),
+n AS (SELECT f, count(*) AS n, (count(*) + 99) // 100 AS nb FROM e GROUP BY f),
+k AS (SELECT f, n, CASE f % 7 WHEN 3 THEN 100 * least(1, nb - 1) WHEN 5 THEN 100 * (nb - 1) WHEN 6 THEN 0 ELSE n END AS kept FROM n)"""
+sql("container_records", f"""{_FILES}
+SELECT event_id, CASE f % 3 WHEN 0 THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value,
+  CASE WHEN f % 3 < 2 THEN event_type END AS kind, CASE WHEN f % 3 = 1 THEN user_id END AS user_id, CASE WHEN f % 3 = 2 THEN props END AS props
+FROM e JOIN k USING (f) WHERE i < kept""")
+sql("container_rejects", f"""{_FILES}
+SELECT 'part-' || lpad(CAST(f AS VARCHAR), 6, '0') || '.avro' AS path,
+  CASE f % 7 WHEN 3 THEN 'payload does not decompress' WHEN 5 THEN 'truncated block' ELSE 'no container magic' END AS reason,
+  f % 7 <> 6 AS behind_start, CAST(kept AS BIGINT) AS n_rows
+FROM k WHERE f % 7 IN (3, 5, 6)""")

@@ -8,6 +8,7 @@ into a Parquet sink under the shared folder, and return a batch read of it.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from alertflow.plans.stamps import stamp_bytes
 from alertflow.registry import _events_by_folder, _explode, _t, query
 from alertflow.session import default_state_partitions, scratch_path, shuffle_partitions
 from alertflow.sources import alerts as SRC
+from alertflow.sources import containers as CT
 from alertflow.sources.alerts import read_predictions
 from alertflow.sinks import writers as W
 from alertflow.streaming import classify as CL
@@ -239,6 +241,56 @@ def q_cutout_ingest(spark, d):
     return _explode(cube, "vec_id", "cube")
 
 
+# ---------------------------------------------------------------- containers
+
+CONTAINER_ROWS, CONTAINER_BLOCK = 250, 100
+_LONG, _REAL, _TEXT = ["null", "long"], ["null", "double"], ["null", "string"]
+# three versions of one record: narrow numbers, a field more, a field less and another one more
+CONTAINER_VERSIONS = [
+    {"type": "record", "name": "Event", "fields": [{"name": "event_id", "type": "int"}, {"name": "value", "type": "float"},
+                                                   {"name": "kind", "type": "string"}]},
+    {"type": "record", "name": "Event", "fields": [{"name": "event_id", "type": "long"}, {"name": "value", "type": "double"},
+                                                   {"name": "kind", "type": "string"}, {"name": "user_id", "type": _LONG}]},
+    {"type": "record", "name": "Event", "fields": [{"name": "props", "type": _TEXT}, {"name": "event_id", "type": "long"},
+                                                   {"name": "value", "type": _REAL}]}]
+
+
+def _container_files(spark, d) -> DataFrame:
+    """``events`` as containers of 250 records in three schema versions; some damaged by fixed rules on the file's number."""
+    def pack(key, pdf):
+        number = int(key[0])
+        pdf = pdf.sort_values("event_id")
+        schema = CONTAINER_VERSIONS[number % 3]
+        raw = CT.container(schema, pdf.rename(columns={"event_type": "kind"}).to_dict("records"), block=CONTAINER_BLOCK)
+        if number % 7 == 3:  # the payload of the second block, or of the only one
+            _, codec, sync, at = CT.header(raw)
+            starts = [a for a, _, _ in CT.blocks(raw, codec, sync, at)]
+            hit = starts[min(1, len(starts) - 1)] + 8
+            raw = raw[:hit] + b"\xff" * 8 + raw[hit + 8:]
+        elif number % 7 == 5:
+            raw = raw[:-10]
+        elif number % 7 == 6:
+            raw = b"junk" + raw
+        return pd.DataFrame({"path": [f"part-{number:06d}.avro"], "content": [raw]})
+
+    v = _t(spark, d, "events").withColumn("_file", F.floor(F.col("event_id") / CONTAINER_ROWS).cast("long"))
+    path = scratch_path(spark, "container_files")
+    v.drop("ts").groupBy("_file").applyInPandas(pack, "path string, content binary").write.parquet(path)
+    return spark.read.schema("path string, content binary").parquet(path)
+
+
+@query("container_records")
+def q_container_records(spark, d):
+    """Every record before the damage, under one schema resolved over the versions."""
+    return CT.scan_containers(_container_files(spark, d))[0]
+
+
+@query("container_rejects")
+def q_container_rejects(spark, d):
+    bad = CT.scan_containers(_container_files(spark, d))[1]
+    return bad.select("path", "reason", (F.col("offset") > 0).alias("behind_start"), "n_rows")
+
+
 # ---------------------------------------------------------------- train and score
 
 @query("train_score")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from alertflow import schemas as S
 from alertflow.session import scratch_path
+from alertflow.sources import containers as CT
 
 
 def avro_available(spark: SparkSession) -> bool:
@@ -29,8 +30,9 @@ def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
     input format bundled with Spark -- no extra jar; records arrive as JSON
     text, bytes as Latin-1 text), or any file format with a Parquet/JSON twin.
     A damaged file fails the scan. ``ignore_corrupt`` skips it instead; take
-    :func:`rejected_files` then, which names every file that gave no row. On the
-    input-format path skipping is the core setting ``spark.files.ignoreCorruptFiles``.
+    :func:`rejected_files` then, which names every file that gave no row. Without the
+    Avro data source a skipping scan reads containers block by block
+    (``sources.containers``) and keeps the records before the damage.
     ``glob`` selects files by name on every path (Avro: ``*.avro`` by default).
     ``fmt="avro"`` without the Avro data source on the classpath falls back to
     ``avro-mapred``.
@@ -38,6 +40,8 @@ def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "avro" and not avro_available(spark):
         fmt = "avro-mapred"
+    if fmt == "avro-mapred" and ignore_corrupt:
+        return CT.scan_containers(CT.container_files(spark, paths, glob or "*.avro"), schema)[0]
     if fmt == "avro-mapred":
         return _scan_avro_mapred(spark, paths, schema, glob or "*.avro")
     reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(ignore_corrupt).lower())
@@ -50,20 +54,25 @@ def scan_alerts(spark: SparkSession, path: str | list[str], fmt: str = "avro",
 
 def rejected_files(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
                    schema: T.StructType = S.ALERT_SCHEMA, glob: str | None = None) -> DataFrame:
-    """``path, length, n_rows`` of the files that a skipping scan took no row from.
+    """``path, length, n_rows`` of the files that a skipping scan took no row from; of Avro
+    containers, those with damage and how many records lie before it.
 
     The listing reads file names and sizes only (the content column is pruned);
     the rows per file are counted on the executors.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if fmt in ("avro", "avro-mapred"):
+        bad = CT.scan_containers(CT.container_files(spark, paths, glob or "*.avro"), schema)[1]
+        sizes = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*.avro").option(
+            "recursiveFileLookup", "true").load(paths).select("path", "length")
+        return bad.join(sizes, "path").select("path", "length", "n_rows")
     listed = spark.read.format("binaryFile")
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
     if glob:
         listed, rows = listed.option("pathGlobFilter", glob), rows.option("pathGlobFilter", glob)
-    counts = (rows.format(fmt).load(paths).groupBy(F.col("_metadata.file_name").alias("_name"), F.col("_metadata.file_size").alias("_size"))
-              .agg(F.count(F.lit(1)).alias("n_rows")))
-    files = listed.load(paths).select("path", "length", F.col("_metadata.file_name").alias("file_name"))
-    joined = files.join(counts, (F.col("file_name") == F.col("_name")) & (F.col("length") == F.col("_size")), "left")
+    counts = rows.format(fmt).load(paths).groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("n_rows"))
+    files = listed.load(paths).select("path", "length", F.col("_metadata.file_path").alias("file_path"))
+    joined = files.join(counts, F.col("file_path") == F.col("_path"), "left")
     return joined.where(F.col("n_rows").isNull()).select("path", "length", F.lit(0).cast("long").alias("n_rows"))
 
 
