@@ -446,3 +446,6 @@ SELECT 'part-' || lpad(CAST(f AS VARCHAR), 6, '0') || '.avro' AS path,
   CASE f % 7 WHEN 3 THEN 'payload does not decompress' WHEN 5 THEN 'truncated block' ELSE 'no container magic' END AS reason,
   f % 7 <> 6 AS behind_start, CAST(kept AS BIGINT) AS n_rows
 FROM k WHERE f % 7 IN (3, 5, 6)""")
+
+_SQL["producer_stream"] = _SQL["producer_flow"]
+sql("stream_totals", "SELECT CAST(2 AS BIGINT) AS runs, CAST(count(*) AS BIGINT) AS input_rows, count(DISTINCT user_id) AS objects FROM events")

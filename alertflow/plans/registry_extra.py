@@ -34,9 +34,11 @@ from alertflow.sources import alerts as SRC
 from alertflow.sources import containers as CT
 from alertflow.sources.alerts import read_predictions
 from alertflow.sinks import writers as W
+from alertflow.sinks.committed import read_committed
 from alertflow.streaming import classify as CL
 from alertflow.streaming import sources as SS
 from alertflow.streaming.firstseen import first_seen
+from alertflow.streaming.progress import ProgressLog, lifetime_totals, state_keys
 from alertflow.streaming.stateful import dedup_stream, join_streams
 
 
@@ -389,6 +391,17 @@ def q_record_choice(spark, d):
     return P.one_record_per_object(v)
 
 
+def _published(meta: DataFrame, img: DataFrame) -> DataFrame:
+    """Both topics' messages, joined by alert: all fields, one row a pixel."""
+    meta, img = SS.metadata_stream(meta).drop("meta_time"), SS.image_stream(img)
+    pixels = I.unpack_float32(img.select(F.col("alert_id").alias("image_alert"), F.col("object_id").alias("image_object"), "image_data"),
+                              "image_data", "img", 3 * 4 * 4).drop("image_data")
+    both = meta.join(pixels, (F.col("alert_id") == F.col("image_alert")) & (F.col("object_id") == F.col("image_object")))
+    out = both.select(F.col("alert_id").cast("long").alias("alert_id"), "object_id", *S.METADATA_COLUMNS,
+                      F.posexplode_outer("img").alias("pos", "pixel"))
+    return out.withColumns({"pos": F.col("pos").cast("int"), "pixel": F.round(F.col("pixel").cast("double"), 4)})
+
+
 @query("producer_flow")
 def q_producer_flow(spark, d):
     """Alert files -> cutouts and metadata -> both topic twins -> read back, all fields and values."""
@@ -397,14 +410,43 @@ def q_producer_flow(spark, d):
     topics = scratch_path(spark, "producer_topics")
     PR.publish_alerts(spark, folder, fmt="parquet", metadata_path=f"{topics}/m", image_path=f"{topics}/i",
                       shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
-    meta = SS.metadata_stream(spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS).parquet(f"{topics}/m")).drop("meta_time")
-    img = SS.image_stream(spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS).parquet(f"{topics}/i"))
-    pixels = I.unpack_float32(img.select(F.col("alert_id").alias("image_alert"), F.col("object_id").alias("image_object"), "image_data"),
-                              "image_data", "img", 3 * 4 * 4).drop("image_data")
-    both = meta.join(pixels, (F.col("alert_id") == F.col("image_alert")) & (F.col("object_id") == F.col("image_object")))
-    out = both.select(F.col("alert_id").cast("long").alias("alert_id"), "object_id", *S.METADATA_COLUMNS,
-                      F.posexplode_outer("img").alias("pos", "pixel"))
-    return out.withColumns({"pos": F.col("pos").cast("int"), "pixel": F.round(F.col("pixel").cast("double"), 4)})
+    read = spark.read.schema(S.MESSAGE_SCHEMA_WITH_HEADERS)
+    return _published(read.parquet(f"{topics}/m"), read.parquet(f"{topics}/i"))
+
+
+@query("producer_stream")
+def q_producer_stream(spark, d):
+    """The same folder published as a stream, two triggers, each batch committed on both topics."""
+    folder, root = scratch_path(spark, "alert_files"), scratch_path(spark, "producer_stream")
+    _prep_alerts(spark, d).drop("ts").write.parquet(folder)
+    stream = PR.alert_stream(spark, folder, fmt="parquet", max_files=-(-_cores(spark) // 2))
+    q = PR.publish_alert_stream(stream, root, f"{root}/checkpoint", available_now=True, shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return _published(*[read_committed(spark, f"{root}/{t}", S.MESSAGE_SCHEMA_WITH_HEADERS) for t in (S.METADATA_TOPIC, S.IMAGE_TOPIC)])
+
+
+@query("stream_totals")
+def q_stream_totals(spark, d):
+    """Input rows and distinct ids over the whole life of a query: two runs, several batches each."""
+    v = _events_ts(spark, d).select(SI.object_key().alias("object_id"), "event_id", "ts")
+    path, log, base = scratch_path(spark, "totals_twin"), scratch_path(spark, "totals_log"), scratch_path(spark, "totals")
+    listener = ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        for half in range(2):
+            v.where(F.col("event_id") % 2 == half).repartition(3, "event_id").write.mode("append").parquet(path)
+            s = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(path)
+            with shuffle_partitions(spark, default_state_partitions(spark)):
+                q = (dedup_stream(s, ["object_id"]).writeStream.format("parquet").option("path", f"{base}/out")
+                     .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+            q.awaitTermination()
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)  # reports come on the listener's thread
+    finally:
+        spark.streams.removeListener(listener)
+    ids = state_keys(spark, f"{base}/checkpoint").agg(F.count_distinct("object_id").alias("objects"))
+    return lifetime_totals(spark, log).select("runs", "input_rows").crossJoin(F.broadcast(ids))  # one row each
 
 
 @query("prepare_dataset")

@@ -72,12 +72,15 @@ def publish(messages: DataFrame, servers: str | None = None, path: str | None =
         raise ValueError("give servers= or path=")
 
 
+# Options of prediction files, for writing.
+PREDICTION_CSV = {"header": "true", "nullValue": "", "emptyValue": ""}
+
+
 def write_predictions_csv(df: DataFrame, root: str, batch_id: int) -> str:
     """Prediction rows as CSV with header under ``batch_id=<n>/``, overwritten,
     so a replayed micro-batch replaces its own output (idempotent append)."""
     path = f"{root.rstrip('/')}/batch_id={batch_id}"
-    (df.select(*S.PREDICTION_HEADER).write.mode("overwrite").option("header", True)
-       .option("nullValue", "").option("emptyValue", "").csv(path))
+    df.select(*S.PREDICTION_HEADER).write.mode("overwrite").options(**PREDICTION_CSV).csv(path)
     return path
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from alertflow import schemas as S
 from alertflow.session import scratch_path
+from alertflow.sinks.committed import MANIFEST, exists, read_committed
 from alertflow.sources import containers as CT
 
 
@@ -146,6 +147,9 @@ def read_class_partition(spark: SparkSession, root: str, label_col: str = "label
 
 
 def read_predictions(spark: SparkSession, root: str, with_batch: bool = False) -> DataFrame:
-    """Prediction CSV folders (``batch_id=<n>/``) as the 34-column table."""
+    """Prediction CSV folders (``batch_id=<n>/``) as the 34-column table; of a committed sink, its committed batches."""
+    if exists(spark, f"{root.rstrip('/')}/{MANIFEST}"):
+        df = read_committed(spark, root, S.PREDICTION_SCHEMA, "csv", {"header": "true"}, with_batch=True)
+        return df.select(*S.PREDICTION_HEADER, *(["batch_id"] if with_batch else []))
     df = spark.read.option("header", True).schema(S.PREDICTION_SCHEMA).csv(root)
     return df.select(*S.PREDICTION_HEADER, *(["batch_id"] if with_batch else []))

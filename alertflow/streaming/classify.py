@@ -5,8 +5,8 @@ expressions on executors: unpack the image bytes, per-channel min-max, null/NaN
 -> -999 on the metadata, scale with the *training* statistics (a 1-row
 broadcast), score with the MLlib model, route the status and shape the
 34-column row. Cross-batch dedup is Spark state (see ``stateful``), so it
-survives restarts; each micro-batch is written under its own ``batch_id``
-folder with overwrite, so a replayed batch replaces its output.
+survives restarts; each micro-batch is committed whole under its own ``batch_id``
+folder, once.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import model as ML
 from alertflow.operators.scaler import apply_scaler
 from alertflow.session import default_state_partitions, shuffle_partitions
-from alertflow.sinks.writers import write_predictions_csv
+from alertflow.sinks.committed import commit_batch, is_committed, manifest
+from alertflow.sinks.writers import PREDICTION_CSV
 from alertflow.streaming.stateful import dedup_stream, join_streams
 
 
@@ -104,9 +105,9 @@ SUMMARY_SCHEMA = "input_rows long, new_objects long, rows_written long, scored l
 
 
 def read_summaries(spark, out_root: str) -> DataFrame:
-    """Per-batch summaries written by :func:`batch_writer`, with running totals
+    """Per-batch summaries committed by :func:`batch_writer`, with running totals
     (one row per micro-batch: a small table, ordered by batch)."""
-    df = spark.read.schema(SUMMARY_SCHEMA + ", batch_id long").json(f"{out_root.rstrip('/')}_summary")
+    df = manifest(spark, out_root, SUMMARY_SCHEMA + ", batch_id long")
     w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({"total_objects": F.sum("new_objects").over(w), "total_input": F.sum("input_rows").over(w)}).orderBy("batch_id")
 
@@ -117,14 +118,17 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
                  normalise: str = "channel"):
     """``foreachBatch`` callback: skip empty batches, dedup inside the batch
     (not needed after :func:`first_pairs`, which already emits one pair per
-    object), classify, write ``batch_id=<n>/`` (overwrite = idempotent on
-    replay). The micro-batch is persisted for the emptiness check and the
+    object), classify, commit ``batch_id=<n>/`` with its summary (``sinks.committed``:
+    a reader never sees part of a batch, a replay of a committed batch changes
+    nothing). The micro-batch is persisted for the emptiness check and the
     write, so the stateful plan runs once. Errors propagate: the batch fails
     and is retried, nothing is lost."""
     from pyspark import StorageLevel
     from pyspark.sql import Observation
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if is_committed(batch.sparkSession, out_root, batch_id):
+            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
@@ -142,15 +146,14 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
         obs = Observation(f"batch_{batch_id}")
         ok = (~F.col("clase_predicha").isin(S.INCOMPLETE_STATUS, S.ERROR_STATUS)).cast("long")
         preds = preds.observe(obs, F.count(F.lit(1)).alias("rows_written"), F.sum(ok).alias("scored"))
-        write_predictions_csv(preds, out_root, batch_id)
-        m = obs.get
-        n, scored = int(m.get("rows_written") or 0), int(m.get("scored") or 0)
-        summary = {"batch_id": batch_id, "input_rows": int(came.get.get("input_rows") or 0), "new_objects": n, "rows_written": n,
-                   "scored": scored, "success_rate": 100.0 * scored / max(n, 1)}
-        run.summaries.append(summary)  # the last few, for logs; bounded for 24/7 runs
-        # durable per-batch summary next to the predictions (overwrite: replay-safe)
-        batch.sparkSession.createDataFrame([summary], SUMMARY_SCHEMA).coalesce(1) \
-            .write.mode("overwrite").json(f"{out_root.rstrip('/')}_summary/batch_id={batch_id}")
+
+        def summary() -> dict:
+            n, scored = int(obs.get.get("rows_written") or 0), int(obs.get.get("scored") or 0)
+            return {"input_rows": int(came.get.get("input_rows") or 0), "new_objects": n, "rows_written": n,
+                    "scored": scored, "success_rate": 100.0 * scored / max(n, 1)}
+
+        commit_batch(preds.select(*S.PREDICTION_HEADER), out_root, batch_id, "csv", PREDICTION_CSV, summary)
+        run.summaries.append({"batch_id": batch_id, **summary()})  # the last few, for logs; bounded for 24/7 runs
     run.summaries = deque(maxlen=100)
     return run
 
