@@ -11,7 +11,8 @@ reason; the rest of the file follows no marker that can be trusted.
 
 Input is a table of ``path`` and ``content`` as Spark's binary-file source gives it
 (batch or stream), so containers can lie in any store Spark reads. A container is
-read by one task; sets of many moderate files spread over the cluster.
+read by one task; sets of many moderate files spread over the cluster. Files of
+length zero hold nothing and are not listed by Spark, so they have no reject row.
 
 Codecs: null, deflate, bzip2, xz, zstandard. Logical types are read as the types they annotate.
 """
@@ -60,12 +61,21 @@ def _long(b: bytes, at: int) -> tuple[int, int]:
         at += 1
         value |= (byte & 0x7F) << shift
         if byte < 0x80:
+            if value >> 64:
+                raise ValueError("integer too long")
             return (value >> 1) ^ -(value & 1), at
         shift += 7
         if shift > 63:
             raise ValueError("integer too long")
 
 
+def _int(b: bytes, at: int) -> tuple[int, int]:
+    value, at = _long(b, at)
+    if not -(1 << 31) <= value < 1 << 31:
+        raise ValueError("integer beyond 32 bits")
+    return value, at
+
+
 def _bytes(b: bytes, at: int) -> tuple[bytes, int]:
     n, at = _long(b, at)
     if n < 0 or at + n > len(b):
@@ -83,6 +93,8 @@ def _items(read: Callable, b: bytes, at: int) -> Iterator:
         if n < 0:
             n = -n
             _, at = _long(b, at)
+        if n > len(b):
+            raise ValueError("more items than bytes")
         for _ in range(n):
             value, at = read(b, at)
             out.append(value)
@@ -166,7 +178,7 @@ def _text(b, at):
     return raw.decode(), at
 
 
-_PLAIN = {"null": lambda b, at: (None, at), "boolean": lambda b, at: (b[at] != 0, at + 1), "int": _long, "long": _long,
+_PLAIN = {"null": lambda b, at: (None, at), "boolean": lambda b, at: (b[at] != 0, at + 1), "int": _int, "long": _long,
           "float": _unpacked("<f", 4), "double": _unpacked("<d", 8), "bytes": _bytes, "string": _text}
 
 
@@ -188,11 +200,19 @@ def header(content: bytes) -> tuple[dict, str, bytes, int]:
         pairs, at = _items(lambda b, at: _entry(b, at), content, 4)
         meta = dict(pairs)
         schema = json.loads(meta["avro.schema"])
+        codec = meta.get("avro.codec", b"null").decode()
     except (IndexError, KeyError, ValueError) as e:
         raise Damage(4, f"unreadable header: {e}") from e
+    try:
+        value_reader(schema)
+        kind = spark_type(schema)
+    except Exception as e:  # noqa: BLE001 - whatever stands where a schema should
+        raise Damage(4, f"unreadable schema: {e}") from e
+    if not isinstance(kind, T.StructType):
+        raise Damage(4, "the schema is no record")
     if at + SYNC > len(content):
         raise Damage(at, "header without sync marker")
-    return schema, meta.get("avro.codec", b"null").decode(), content[at:at + SYNC], at + SYNC
+    return schema, codec, content[at:at + SYNC], at + SYNC
 
 
 def _entry(b, at):
@@ -417,19 +437,23 @@ def _write_long(n: int) -> bytes:
     return bytes(out + bytes([n]))
 
 
-def _write(schema, value) -> bytes:
+def _write(schema, value, named: dict) -> bytes:
     if isinstance(schema, list):
         at = schema.index("null") if value is None else next(i for i, s in enumerate(schema) if s != "null")
-        return _write_long(at) + _write(schema[at], value)
+        return _write_long(at) + _write(schema[at], value, named)
     kind = schema["type"] if isinstance(schema, dict) else schema
+    if isinstance(schema, dict) and "name" in schema:
+        named[schema["name"]] = schema
     if isinstance(kind, (dict, list)):
-        return _write(kind, value)
+        return _write(kind, value, named)
+    if isinstance(kind, str) and kind in named and kind is schema:
+        return _write(named[kind], value, named)
     if kind == "record":
-        return b"".join(_write(f["type"], value.get(f["name"])) for f in schema["fields"])
+        return b"".join(_write(f["type"], value.get(f["name"]), named) for f in schema["fields"])
     if kind == "array":
-        return (_write_long(len(value)) + b"".join(_write(schema["items"], v) for v in value) if value else b"") + b"\0"
+        return (_write_long(len(value)) + b"".join(_write(schema["items"], v, named) for v in value) if value else b"") + b"\0"
     if kind == "map":
-        return (_write_long(len(value)) + b"".join(_write("string", k) + _write(schema["values"], v) for k, v in value.items()) if value else b"") + b"\0"
+        return (_write_long(len(value)) + b"".join(_write("string", k, named) + _write(schema["values"], v, named) for k, v in value.items()) if value else b"") + b"\0"
     if kind == "enum":
         return _write_long(schema["symbols"].index(value))
     if kind in ("int", "long"):
@@ -449,9 +473,9 @@ def _write(schema, value) -> bytes:
 def container(schema: dict, rows: list[dict], codec: str = "deflate", block: int = 100, sync: bytes = b"alertflow-marker") -> bytes:
     """A container of ``rows``; the same bytes for the same rows."""
     meta = {"avro.schema": json.dumps(schema).encode(), "avro.codec": codec.encode()}
-    out = [MAGIC, _write_long(len(meta)), *[_write("string", k) + _write("bytes", v) for k, v in meta.items()], b"\0", sync]
+    out = [MAGIC, _write_long(len(meta)), *[_write("string", k, {}) + _write("bytes", v, {}) for k, v in meta.items()], b"\0", sync]
     for a in range(0, len(rows), block):
-        payload = b"".join(_write(schema, r) for r in rows[a:a + block])
+        payload = b"".join(_write(schema, r, {}) for r in rows[a:a + block])
         if codec == "deflate":
             press = zlib.compressobj(6, zlib.DEFLATED, -15)
             payload = press.compress(payload) + press.flush()
