@@ -449,3 +449,14 @@ FROM k WHERE f % 7 IN (3, 5, 6)""")
 
 _SQL["producer_stream"] = _SQL["producer_flow"]
 sql("stream_totals", "SELECT CAST(2 AS BIGINT) AS runs, CAST(count(*) AS BIGINT) AS input_rows, count(DISTINCT user_id) AS objects FROM events")
+
+_SQL["unseen_bucketed"] = _SQL["anti_seen"]
+_SQL["crossmatch_bucketed"] = _SQL["crossmatch"]
+sql("saved_pipeline", f"""
+WITH e AS (SELECT vec_id, embedding, CAST(label AS DOUBLE) AS a, CASE WHEN vec_id % 7 = 0 THEN -999.0 ELSE CAST(vec_id AS DOUBLE) END AS b FROM embeddings),
+st AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM e)
+SELECT vec_id, CAST(i AS INTEGER) AS pos, round(CASE
+  WHEN i = {_PIXELS} THEN (a - ma) / CASE WHEN sa = 0 THEN 1 ELSE sa END
+  WHEN i > {_PIXELS} THEN (b - mb) / CASE WHEN sb = 0 THEN 1 ELSE sb END
+  ELSE CAST(CAST((CAST(embedding[i + 1] AS DOUBLE) - CAST(list_min(embedding) AS DOUBLE)) / CAST(list_max(embedding) AS DOUBLE) AS FLOAT) AS DOUBLE) END, 4) + 0.0 AS value
+FROM e, st, (SELECT unnest(range({_PIXELS + 2})) AS i)""")

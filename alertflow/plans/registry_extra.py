@@ -7,8 +7,11 @@ into a Parquet sink under the shared folder, and return a batch read of it.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +23,9 @@ from alertflow.functions.metadata import parse_json
 from alertflow.functions.predictions import prediction_row, route_status
 from alertflow.operators import cutouts as C
 from alertflow.operators import fused as FU
+from alertflow.operators import joins as J
 from alertflow.operators import model as ML
+from alertflow.operators import pipeline as PL
 from alertflow.operators import ranking as R
 from alertflow.operators import training as TR
 from alertflow.operators.scaler import fit_scaler
@@ -33,6 +38,7 @@ from alertflow.session import default_state_partitions, scratch_path, shuffle_pa
 from alertflow.sources import alerts as SRC
 from alertflow.sources import containers as CT
 from alertflow.sources.alerts import read_predictions
+from alertflow.sinks import bucketed as BK
 from alertflow.sinks import writers as W
 from alertflow.sinks.committed import read_committed
 from alertflow.streaming import classify as CL
@@ -327,6 +333,45 @@ def q_fused_gradient(spark, d):
         {"gradient": F.round("gradient", 6), "loss": F.round("loss", 6)})
 
 
+@query("saved_pipeline")
+def q_saved_pipeline(spark, d):
+    """Scaler, normaliser and assembler fitted, saved, loaded, and applied: every feature of every row."""
+    e = _t(spark, d, "embeddings").select("vec_id", "embedding", F.col("label").cast("double").alias("a"),
+                                          SI.null_when(F.col("vec_id") % 7 == 0, F.col("vec_id").cast("double")).alias("b"))
+    path = scratch_path(spark, "pipeline")
+    PL.feature_pipeline("embedding", ["a", "b"]).fit(e).write().overwrite().save(path)
+    made = PL.load_pipeline(path).transform(e)
+    out = _explode(made.select("vec_id", vector_to_array("features").alias("features")), "vec_id", "features")
+    return out.withColumn("value", F.round("value", 4))
+
+
+# ---------------------------------------------------------------- id tables
+
+BUCKETS = 8
+
+
+def _id_table(spark, df: DataFrame, key: str) -> DataFrame:
+    """``df`` as a table bucketed by ``key``, in two writes as it would grow."""
+    name, path = f"ids_{uuid.uuid4().hex}", scratch_path(spark, "bucketed")
+    half = F.pmod(F.xxhash64(key), F.lit(2))
+    BK.save_bucketed(df.where(half == 0), name, [key], BUCKETS, path)
+    BK.save_bucketed(df.where(half == 1), name, [key], BUCKETS, path, mode="append")
+    return BK.read_bucketed(spark, name)
+
+
+@query("unseen_bucketed")
+def q_unseen_bucketed(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "lang")
+    return BK.unseen(docs, _id_table(spark, _t(spark, d, "labels").select("doc_id"), "doc_id"), "doc_id")
+
+
+@query("crossmatch_bucketed")
+def q_crossmatch_bucketed(spark, d):
+    docs = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("object_id"), "lang", "n_chars")
+    catalog = _id_table(spark, SI.catalog_from_labels(_t(spark, d, "labels")), "oid")
+    return J.crossmatch(_id_table(spark, docs, "object_id"), J.catalog_labels(catalog))
+
+
 # ---------------------------------------------------------------- training watched by a validation split
 
 WATCH_SETTINGS = {"patience": 3, "cut_patience": 2, "factor": 0.5, "step": 0.1, "min_step": 0.02, "min_delta": 0.25, "cut_delta": 1.0}
