@@ -36,9 +36,8 @@ def sentinel_fill(df: DataFrame, columns: list[str], value: float = S.SENTINEL)
     out = []
     for name, dtype in df.dtypes:
         if name in columns:
-            e = sentinel(name, value)
-            if dtype in ("int", "bigint"):
-                e = e.cast(dtype)
+            whole = dtype in ("int", "bigint")  # never through a double, which rounds beyond 2^53
+            e = F.coalesce(F.col(name), F.lit(int(value)).cast(dtype)) if whole else sentinel(name, value)
             out.append(e.alias(name))
         else:
             out.append(F.col(name))

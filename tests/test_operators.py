@@ -228,6 +228,14 @@ def test_index_map_over_an_expression_is_linear(spark):
     assert a == b and built < 5 * stored + 3  # was 40 times
 
 
+def test_sentinel_keeps_whole_numbers_exact(spark):
+    big = 2 ** 60 + 1
+    df = spark.createDataFrame([(big, 5, 0.5), (None, None, None)], "a long, b int, c double")
+    got = M.sentinel_fill(df, ["a", "b", "c"])
+    assert [f.dataType for f in got.schema] == [f.dataType for f in df.schema]
+    assert [tuple(r) for r in got.collect()] == [(big, 5, 0.5), (-999, -999, -999.0)]
+
+
 def test_argmax_ties_and_onehot(spark):
     df = spark.createDataFrame([([0.2, 0.5, 0.5, 0.1, 0.0],)], "p array<double>")
     r = df.select(I.argmax("p").alias("i"), I.argmax_label("p", S.CLASS_LABELS).alias("c"),
