@@ -13,6 +13,7 @@ from alertflow import schemas as S
 from alertflow.functions import images as I
 from alertflow.functions import metadata as M
 from alertflow.operators import cutouts as C
+from alertflow.operators import fused as FU
 from alertflow.operators import joins as J
 from alertflow.operators import metrics as X
 from alertflow.operators import model as ML
@@ -121,7 +122,9 @@ def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], cl
 
     With a ``watch`` the perceptron is trained in rounds against the validation
     split (``operators.training``) and the best round is kept; its ``history`` is
-    returned too. Returns the model, the statistics and the evaluation frames (lazy).
+    returned too. ``kind="fused"`` trains the image network fused with metadata
+    (``operators.fused``), which turns its images itself: ``model`` is then
+    ``(shape, parameters)``, and ``layers`` sets sizes of the shape. Returns the model, the statistics and the evaluation frames (lazy).
     """
     c, h, w = image_shape
     # the rank reads (id, label) alone and the parts read the rows: written once
@@ -131,6 +134,8 @@ def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], cl
     stats = fit_scaler(split.where(F.col("split") == "train"), meta_cols).checkpoint(eager=True)
     scaled = apply_scaler(split, stats, meta_cols)
     train = scaled.where(F.col("split") == "train")
+    if kind == "fused":
+        return {"stats": stats} | _fused(scaled, (h, c), classes, meta_cols, watch, seed, **train_kw)
     if rotations:
         train = ML.augment_rotations(train, "data", h, w, c)
     train = ML.assemble(train, "data", meta_cols)
@@ -145,9 +150,28 @@ def train_and_evaluate(dataset: DataFrame, image_shape: tuple[int, int, int], cl
         raise ValueError(f"kind {kind!r} has no warm start to watch")
     out["model"] = model
     for part in ("validation", "test"):
-        scored = ML.score(model, ML.assemble(scaled.where(F.col("split") == part), "data", meta_cols))
-        pred = scored.select("object_id", "label", I.argmax_label("probs", classes).alias("predicted"))
-        out[part] = pred
-        out[f"{part}_report"] = X.classification_report(pred, "label", "predicted", classes)
-        out[f"{part}_confusion"] = X.confusion_matrix(pred, "label", "predicted", classes)
+        out |= _evaluated(part, ML.score(model, ML.assemble(scaled.where(F.col("split") == part), "data", meta_cols)), classes)
+    return out
+
+
+def _evaluated(part: str, scored: DataFrame, classes: list[str]) -> dict:
+    """Predictions of a split, their report and their confusion matrix."""
+    pred = scored.select("object_id", "label", I.argmax_label("probs", classes).alias("predicted"))
+    return {part: pred, f"{part}_report": X.classification_report(pred, "label", "predicted", classes),
+            f"{part}_confusion": X.confusion_matrix(pred, "label", "predicted", classes)}
+
+
+def _fused(scaled: DataFrame, image: tuple[int, int], classes: list[str], meta_cols: list[str], watch: TR.Watch | None, seed: int,
+           layers: dict | None = None, **train_kw) -> dict:
+    """The image network fused with metadata: trained on the train split, watched and evaluated on the others."""
+    side, channels = image
+    shape = FU.Shape(side=side, channels=channels, meta=len(meta_cols), classes=len(classes), **(layers or {}))
+    rows = scaled.select("object_id", "label", "split", F.col("data").alias("image"), F.array(*[F.col(c).cast("double") for c in meta_cols]).alias("meta"),
+                         ML.label_to_index("label", classes).cast("int").alias("label_idx"))
+    ML.check_labels(rows, "label", classes)
+    flat, history = FU.train_fused(rows.where("split = 'train'"), rows.where("split = 'validation'"), shape, watch=watch, seed=seed, **train_kw)
+    out = {"model": (shape, flat), "history": history}
+    told = rows.withColumn("features_arr", F.concat(F.transform("image", lambda x: x.cast("double")), "meta"))
+    for part in ("validation", "test"):
+        out |= _evaluated(part, ML.score_with_function(told.where(F.col("split") == part), FU.predictor(shape, flat), len(classes)), classes)
     return out

@@ -13,6 +13,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from alertflow import schemas as S
+from alertflow.operators import fused as FU
 from alertflow.operators import model as ML
 from alertflow.streaming import classify as CL
 from alertflow.streaming import sources as SS
@@ -24,9 +25,14 @@ def save_training(spark: SparkSession, path: str, model, stats: DataFrame, class
     """Model + classes + 1-row scaler statistics + shape + normalisation, under ``path``.
 
     ``normalise`` is what the training images went through (``build_dataset``:
-    ``cube``); the stream applies the same.
+    ``cube``); the stream applies the same. ``kind="fused"`` takes ``(shape,
+    parameters)`` of the image network.
     """
-    ML.save(model, path, classes)
+    if kind == "fused":
+        FU.save(spark, f"{path}/model", *model)
+        spark.createDataFrame([(json.dumps(classes),)], "classes string").write.mode("overwrite").json(f"{path}/classes")
+    else:
+        ML.save(model, path, classes)
     stats.write.mode("overwrite").parquet(f"{path}/stats")
     spark.createDataFrame([(json.dumps({"shape": list(image_shape), "kind": kind, "normalise": normalise}),)], "meta string") \
         .write.mode("overwrite").json(f"{path}/meta")
@@ -35,7 +41,10 @@ def save_training(spark: SparkSession, path: str, model, stats: DataFrame, class
 
 def load_training(spark: SparkSession, path: str):
     meta = json.loads(spark.read.json(f"{path}/meta").first()[0])
-    model, classes = ML.load(path, meta["kind"])
+    if meta["kind"] == "fused":
+        model, classes = FU.predictor(*FU.load(spark, f"{path}/model")), json.loads(spark.read.json(f"{path}/classes").first()[0])
+    else:
+        model, classes = ML.load(path, meta["kind"])
     stats = spark.read.parquet(f"{path}/stats")
     if stats.count() != 1:
         raise ValueError(f"{path}/stats: one row of scaler statistics expected")

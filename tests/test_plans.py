@@ -1,5 +1,6 @@
 """End-to-end batch plans on hand-made alerts: prepare -> save -> train -> evaluate."""
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from alertflow import schemas as S
@@ -63,7 +64,8 @@ def test_model_save_load_roundtrip(spark):
     assert a == b
 
 
-def test_train_save_then_run_classifier(spark):
+@pytest.mark.parametrize("kind", ["lr", "fused"])
+def test_train_save_then_run_classifier(spark, kind):
     from alertflow.plans import realtime as RT
     from alertflow.sinks import writers as W
     from alertflow.sources.alerts import read_predictions
@@ -72,9 +74,11 @@ def test_train_save_then_run_classifier(spark):
                                 "oid string, predicted_class string")
     records = P.alert_records(alerts, shape=(9, 9), crop=3, crop_start=None)
     ds = P.build_dataset(records, cat, balance={})
-    res = P.train_and_evaluate(ds, (3, 3, 3), kind="lr", max_iter=5)
+    settings = {"max_iter": 5} if kind == "lr" else {"epochs": 2, "layers": {"pad": 1, "filters": 2, "image_units": 4, "meta_units": 3}}
+    res = P.train_and_evaluate(ds, (3, 3, 3), kind=kind, **settings)
+    assert res["test_report"].where("label = 'accuracy'").first().support == res["test"].count() > 0
     path = RT.save_training(spark, scratch_path(spark, "training"), res["model"], res["stats"],
-                            image_shape=(3, 3, 3), kind="lr")
+                            image_shape=(3, 3, 3), kind=kind)
     # publish the same objects as topic twins: channel-last bytes, JSON metadata
     from alertflow.functions import images as I
     # the raw cubes: the stream normalises them as the training did
