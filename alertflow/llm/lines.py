@@ -65,13 +65,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = marked.where(~F.col("again"))
     repeated = written(firsts.groupBy("a", "b").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
                        .where("n > 1").drop("n"), "lines-repeated")
-    # both sides of the two joins grow with the data, so they are merged at every size
+    # both sides grow with the data, so they are merged at every size
     later = (firsts.join(repeated.hint("merge"), ["a", "b"]).where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
              .select("doc_id", "th", "pos"))
     gone = (later.unionByName(marked.where("again").select("doc_id", "th", "pos"))
             .groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"))
             .agg(F.collect_set("pos").alias("starts")))
-    joined = rows.join(written(gone, "lines-gone").hint("merge"),
+    # the narrow table of a partition is hashed and the texts stream past it: no text is sorted or held
+    joined = rows.join(written(gone, "lines-gone").hint("shuffle_hash"),
                        F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("text") == F.col("g_th")), "left")
     joined = joined.withColumn("lines", F.split("text", "\n"))
     covered = F.flatten(F.transform("starts", lambda p: F.sequence(p, p + WINDOW - 1)))
