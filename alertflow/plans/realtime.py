@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from alertflow import schemas as S
 from alertflow.operators import fused as FU
 from alertflow.operators import model as ML
+from alertflow.session import DEFAULT_CONF, STATE_STORE, session_conf
 from alertflow.streaming import classify as CL
 from alertflow.streaming import sources as SS
 
@@ -57,12 +58,13 @@ def run_classifier(spark: SparkSession, training_path: str, out_root: str, check
                    trigger_seconds: int | None = 15, available_now: bool = False,
                    watermark: str | None = CL.DEFAULT_WATERMARK, bound: str | None = CL.DEFAULT_BOUND,
                    state_partitions: int | None = None, starting: str = "latest",
-                   fail_on_data_loss: bool = True, options: dict[str, str] | None = None):
+                   fail_on_data_loss: bool = True, options: dict[str, str] | None = None, repeatable: bool = False):
     """Start the classifier; returns the running query.
 
     Kafka (``servers``) or file twins (``metadata_path`` / ``image_path``);
     ``keys`` with ``alert_id`` reads the alert id from message headers.
-    ``starting``, ``fail_on_data_loss`` and ``options`` go to both topic readers.
+    ``starting``, ``fail_on_data_loss`` and ``options`` go to both topic readers;
+    ``repeatable`` chooses each object's pair by event time, whatever the batch cut.
     """
     model, classes, stats, shape, normalise = load_training(spark, training_path)
     headers = "alert_id" in keys
@@ -70,7 +72,9 @@ def run_classifier(spark: SparkSession, training_path: str, out_root: str, check
                                                 starting, fail_on_data_loss, headers, options))
     img = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, servers, image_path, max_per_trigger,
                                             starting, fail_on_data_loss, headers, options))
-    pairs = CL.first_pairs(meta, img, keys, watermark, bound)
+    pairs = CL.first_pairs(meta, img, keys, watermark, bound, repeatable=repeatable)
     run = CL.batch_writer(model, classes, stats, out_root, S.METADATA_COLUMNS, shape, dedup_in_batch=False,
                           normalise=normalise)
-    return CL.start(pairs, run, checkpoint, trigger_seconds, available_now, state_partitions=state_partitions)
+    store = spark.conf.get(STATE_STORE, None)
+    with session_conf(spark, STATE_STORE, DEFAULT_CONF[STATE_STORE] if repeatable or not store else store):  # timers need RocksDB
+        return CL.start(pairs, run, checkpoint, trigger_seconds, available_now, state_partitions=state_partitions)

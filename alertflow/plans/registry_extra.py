@@ -34,7 +34,7 @@ from alertflow.plans import producer as PR
 from alertflow.plans import standins as SI
 from alertflow.plans.stamps import stamp_bytes
 from alertflow.registry import _events_by_folder, _explode, _t, query
-from alertflow.session import default_state_partitions, scratch_path, shuffle_partitions
+from alertflow.session import DEFAULT_CONF, STATE_STORE, default_state_partitions, scratch_path, session_conf, shuffle_partitions
 from alertflow.sources import alerts as SRC
 from alertflow.sources import containers as CT
 from alertflow.sources.alerts import read_predictions
@@ -137,7 +137,8 @@ def q_stream_first_seen(spark, d):
     path, span = shuffled_twin(v, "object_id", "ts", "first_seen_twin", 8)
     s = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 4).parquet(path)
     out = first_seen(s, "object_id", "ts", f"{int(span) + 1} seconds", ["event_id"])
-    return _run_to_parquet(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "stream_first_seen", spark)
+    with session_conf(spark, STATE_STORE, DEFAULT_CONF[STATE_STORE]):  # timers need the RocksDB store
+        return _run_to_parquet(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "stream_first_seen", spark)
 
 
 # ---------------------------------------------------------------- classifier stand-in

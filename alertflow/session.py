@@ -88,6 +88,20 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, name: str, value: str):
+    """Temporarily set one session setting (a stream reads its own at its start)."""
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 

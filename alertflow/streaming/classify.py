@@ -25,6 +25,7 @@ from alertflow.operators.scaler import apply_scaler
 from alertflow.session import default_state_partitions, shuffle_partitions
 from alertflow.sinks.committed import commit_batch, is_committed, manifest
 from alertflow.sinks.writers import PREDICTION_CSV
+from alertflow.streaming.firstseen import first_seen
 from alertflow.streaming.stateful import dedup_stream, join_streams
 
 
@@ -160,7 +161,7 @@ def batch_writer(model, classes: list[str], stats: DataFrame, out_root: str,
 
 def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_id",),
                 watermark: str | None = DEFAULT_WATERMARK, bound: str | None = DEFAULT_BOUND,
-                meta_time: str = "meta_time", image_time: str = "image_time") -> DataFrame:
+                meta_time: str = "meta_time", image_time: str = "image_time", repeatable: bool = False) -> DataFrame:
     """One (metadata, image) pair per object: the first one seen.
 
     ``keys=("object_id",)`` (messages keyed by object only): each side is
@@ -181,9 +182,19 @@ def first_pairs(meta: DataFrame, images: DataFrame, keys: list[str] = ("object_i
     paired. ``watermark=None, bound=None`` is the exact form: the dedup ids and
     the joined rows, image bytes included, stay as long as the query lives (like
     the source's in-memory id set), about 5.5 KB an object at the full image size.
+
+    ``repeatable`` (messages keyed by object) pairs the earliest metadata with the
+    earliest image by event time (``firstseen``): the same pairs however the stream
+    is cut into batches. A row waits until the watermark has passed it, and the
+    state stays as in the exact form.
     """
     keys = list(keys)
     obj = ["object_id"]
+    if repeatable:
+        if keys != obj:
+            raise ValueError("repeatable pairs are keyed by the object alone")
+        late = watermark or DEFAULT_WATERMARK
+        return join_streams(first_seen(images, "object_id", image_time, late), first_seen(meta, "object_id", meta_time, late), obj).drop(meta_time)
     if watermark:
         meta = meta.withWatermark(meta_time, watermark)
         images = images.withWatermark(image_time, watermark)

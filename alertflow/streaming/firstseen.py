@@ -8,6 +8,8 @@ row's time: once the watermark has passed it no earlier event can come, the time
 fires and the row goes out, once. What stays is a mark that the object is done,
 cleared by a second timer after ``forget`` of event time (``None``: never).
 
+The session's state store must be RocksDB's (``session.DEFAULT_CONF``), which has the timers.
+
 Rows later than the watermark's delay are dropped by Spark before they get here.
 Rows with a null key take no part, but their time advances the watermark: a topic
 that falls silent is completed by such a heartbeat.

@@ -108,3 +108,37 @@ def test_a_forgotten_object_is_first_seen_again(spark):
         assert sorted(r[1] for r in told(spark, out)) == [1, 3]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_pairs_of_the_classifier_do_not_depend_on_the_batch_cut(spark):
+    from alertflow.streaming.classify import first_pairs
+    rng = random.Random(2)
+    meta = [(f"o{rng.randrange(9)}", float(i), START + dt.timedelta(seconds=rng.randrange(60))) for i in range(60)]
+    img = [(f"o{rng.randrange(9)}", bytearray([i]), START + dt.timedelta(seconds=rng.randrange(60))) for i in range(60)]
+    beat_at = START + dt.timedelta(days=1)
+    kinds = ("object_id string, ra double, meta_time timestamp", "object_id string, image_data binary, image_time timestamp")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    got = []
+    try:
+        for files in (1, 4):
+            sides = []
+            for rows, kind in zip((meta, img), kinds):
+                path = scratch_path(spark, "pairs")
+                mixed = random.Random(files).sample(rows, len(rows))
+                for i in range(files):
+                    spark.createDataFrame(mixed[i::files], kind).coalesce(1).write.mode("append").parquet(path)
+                spark.createDataFrame([(None, None, beat_at)], kind).coalesce(1).write.mode("append").parquet(path)
+                sides.append(spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(path))
+            out = scratch_path(spark, "pairs_out")
+            q = (first_pairs(*sides, watermark="2 minutes", bound=None, repeatable=True).writeStream.format("parquet")
+                 .option("path", f"{out}/rows").option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start())
+            q.awaitTermination()
+            got.append(sorted((r["object_id"], r["ra"], bytes(r["image_data"])) for r in spark.read.parquet(f"{out}/rows").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got[0] == got[1]
+    first = {o: min(t for p, _, t in meta if p == o) for o in {p for p, _, _ in meta}}
+    assert {o for o, _, _ in got[0]} == set(first) & {p for p, _, _ in img}
+    assert all(dict((v, t) for _, v, t in meta)[ra] == first[o] for o, ra, _ in got[0])
+    with pytest.raises(ValueError, match="object"):
+        first_pairs(*sides, keys=("object_id", "alert_id"), repeatable=True)
