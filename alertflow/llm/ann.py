@@ -39,6 +39,7 @@ from alertflow.llm.common import written
 
 K = 40  # neighbours kept per node
 BLOCK = 1024  # rows of a block that is compared or merged
+REACH = 8192  # rows of a block whose vectors score a walk's candidates: a query travels to each of them once a round
 CENTRES = 256  # centres whose neighbours' vectors meet in one group
 ROUNDS = 6
 STOP_SHARE = 0.01  # a round that renews fewer list places than this share is the last
@@ -257,7 +258,7 @@ def _search_round(beam: DataFrame, queries: DataFrame, points: DataFrame, links:
         Window.partitionBy("q").orderBy(F.desc("sim"), "id"))).where(F.col("r") <= expand).select("q", "id")
     near = open_.join(links, "id").select("q", F.explode("nbr").alias("id")).where("id <> q").distinct()
     cand = written(near.join(beam.select("q", "id"), ["q", "id"], "left_anti")
-                   .withColumn("block", _block_of("id", n, 97)), "ann-candidates")
+                   .withColumn("block", _block_of("id", n, 97, REACH)), "ann-candidates")
     floor = beam.groupBy("q").agg(F.min("sim").alias("low"), F.count(F.lit(1)).alias("held")).select(
         "q", F.when(F.col("held") < width, F.lit(float("-inf"))).otherwise(F.col("low")).alias("low"))
     need = cand.select("block", "q").distinct().join(queries.join(floor, "q"), "q")
@@ -275,7 +276,7 @@ def _search_round(beam: DataFrame, queries: DataFrame, points: DataFrame, links:
         return pd.DataFrame({"q": c["q"].to_numpy()[kept], "id": c["cand"].to_numpy()[kept], "sim": sim[kept],
                              "fresh": np.ones(int(kept.sum()), bool)})
 
-    both = (points.select(_block_of("id", n, 97).alias("vec_block"), "id", "vec", F.lit(False).alias("is_q"), F.lit(0.0).alias("low"))
+    both = (points.select(_block_of("id", n, 97, REACH).alias("vec_block"), "id", "vec", F.lit(False).alias("is_q"), F.lit(0.0).alias("low"))
             .unionByName(need.select(F.col("block").alias("vec_block"), F.col("q").alias("id"), "vec", F.lit(True).alias("is_q"), "low")))
     scored = cand.select("block", "q", F.col("id").alias("cand")).groupBy("block").cogroup(both.groupBy("vec_block")).applyInPandas(
         score, "q long, id long, sim double, fresh boolean")
