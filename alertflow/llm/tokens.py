@@ -25,6 +25,7 @@ _SPACE = " \\t\\n\\x0b\\x0c\\r\u0085 "
 # No two of the first three classes begin alike, so the most frequent one is tried first.
 PRETOKEN = re.compile(f"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 
+ENTRY = 240  # bytes of a cached word beyond its characters and ids: two objects and its place in the table
 SEGMENT = 1 << 20  # characters tokenised at a time: bounds the memory of one long text
 _CUT = re.compile(r"[ \n]")
 
@@ -52,9 +53,9 @@ class WordIds(dict):
 
 
 class TokenCache:
-    """Encoder with a two-generation cache: at most ``2 * generation`` words of ``2 * held`` bytes are kept."""
+    """Encoder with a two-generation cache: at most ``2 * generation`` words of ``2 * held`` bytes, objects included, are kept."""
 
-    def __init__(self, path: str, generation: int = 700_000, held: int = 64 << 20):
+    def __init__(self, path: str, generation: int = 700_000, held: int = 128 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -101,7 +102,7 @@ class TokenCache:
             for (_, place), ids in zip(part, encoded):
                 place[:] = ids
             self.words.update(zip(words, encoded))
-            self.size += sum(map(len, words)) + sum(map(len, encoded))
+            self.size += sum(map(len, words)) + sum(map(len, encoded)) + ENTRY * len(words)
 
     def _parts(self, text: str) -> list[str] | None:
         """Pre-tokens of a piece of text, or None when the library must see it whole."""
@@ -163,3 +164,8 @@ def cache_for(path: str) -> TokenCache:
     if path not in _CACHES:
         _CACHES[path] = TokenCache(path)
     return _CACHES[path]
+
+
+def release() -> None:
+    """Give up this worker's encoders: for tasks that follow an encoding and have no use for its memory."""
+    _CACHES.clear()
