@@ -77,7 +77,7 @@ def rows(spark):
     for i in range(60):
         img = rng.normal(size=12).astype(np.float32)
         img[i % 12] = [1.0, np.nan, np.inf][i % 3]
-        got.append((i, [float(v) for v in img], None if i % 10 == 0 else float(i), float("nan") if i % 9 == 0 else i / 7.0, float(i % 2)))
+        got.append((i, [float(v) for v in img], None if i % 10 == 0 else float(i), float("nan") if i % 9 == 0 else i / 7.0, float(i % 3)))
     return spark.createDataFrame(got, "id long, image array<float>, a double, b double, label double").repartition(3)
 
 
