@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from alertflow.session import scratch_path
@@ -40,3 +40,18 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows")
     return rows
+
+
+def one_row_each(docs: DataFrame, repeats: DataFrame, on: Column) -> DataFrame:
+    """``docs`` with one row for each key of ``repeats`` (keys that several rows have, distinct).
+
+    ``on`` matches a row with its key. Of rows of one key the one with the least hash
+    of all its columns stays. Without repeats, the usual case, ``docs`` is untouched.
+    """
+    if repeats.isEmpty():
+        return docs
+    names = docs.columns
+    many = docs.join(repeats.hint("merge"), on).withColumn("_row_hash", F.xxhash64(*[F.col(c).cast("string") for c in names]))
+    first = many.withColumn("_row_rank", F.row_number().over(
+        Window.partitionBy(*repeats.columns).orderBy("_row_hash"))).where("_row_rank = 1")
+    return docs.join(repeats.hint("merge"), on, "left_anti").unionByName(first.select(*names))

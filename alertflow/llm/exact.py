@@ -8,7 +8,8 @@ shuffled, and of repeated texts one copy per task for the comparison.
 
 Defined results: null text counts as empty; rows with a null id have a group but
 lose to any id (an all-null group keeps null, ``kept`` true); rows that repeat the
-id that stays are all kept, as they are one document; no rows give no rows; other
+id that stays are one document: all are marked kept, and ``drop_exact_copies`` leaves
+one of them; no rows give no rows; other
 columns are ignored.
 """
 
@@ -19,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import written
+from alertflow.llm.common import one_row_each, written
 
 
 def content_hash(text: Column) -> Column:
@@ -68,10 +69,13 @@ def _split_clashes(source, ids, repeated, clashing, pick, hash_expr) -> DataFram
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    groups = exact_groups(docs, id_col, text_col, keep)
+    """The rows of ``docs`` that stay, with all their columns: one of each text, also of rows that repeat id and text."""
+    groups = written(exact_groups(docs, id_col, text_col, keep), "exact-decided")
     gone = written(groups.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_text"))
                    .distinct(), "exact-gone")
+    again = written(groups.where("kept").groupBy(F.col("doc_id").alias("_twice_id"), F.col("text_sha256").alias("_twice_text"))
+                    .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "exact-twice")
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     # the rows to drop grow with the data, so the join is a merge at every size
-    return docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_text")), "left_anti")
+    stay = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_text")), "left_anti")
+    return one_row_each(stay, again, F.col(id_col).eqNullSafe(F.col("_twice_id")) & (sha == F.col("_twice_text")))

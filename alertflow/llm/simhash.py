@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import text_bytes, written
+from alertflow.llm.common import one_row_each, text_bytes, written
 from alertflow.llm.components import components
 
 SHARD_POINTS = 4096  # points a shard holds on average
@@ -234,9 +234,17 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group stays (its smallest id), with all columns."""
-    groups = _groups(docs, shingle, max_bits, id_col, text_col)
-    gone = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_text")).distinct(), "simhash-gone")
+    """One row of each group stays, of its smallest id, with all columns; rows without an id all stay."""
+    groups = written(_groups(docs, shingle, max_bits, id_col, text_col).select("doc_id", "th", "component_id"), "simhash-decided")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # several texts may share the id that stays: the one with the least hash does
+    first = written(groups.where(stays & F.col("component_id").isNotNull()).groupBy("component_id").agg(F.min("th").alias("first_th"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1"), "simhash-first")
+    lead = groups.join(first.select(F.col("component_id").alias("c"), "first_th"), F.col("component_id") == F.col("c"), "left")
+    gone = written(lead.where(~stays | (F.col("th") != F.col("first_th"))).select(
+        F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_text")).distinct(), "simhash-gone")
+    again = written(lead.where(stays & (F.col("th") == F.col("first_th"))).groupBy(
+        F.col("doc_id").alias("_twice_id"), F.col("th").alias("_twice_text")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "simhash-twice")
     # the rows to drop grow with the data, so the join is a merge at every size
-    return docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_row_hash(text_col) == F.col("_gone_text")), "left_anti")
+    stay = docs.join(gone.hint("merge"), F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_row_hash(text_col) == F.col("_gone_text")), "left_anti")
+    return one_row_each(stay, again, F.col(id_col).eqNullSafe(F.col("_twice_id")) & (_row_hash(text_col) == F.col("_twice_text")))
