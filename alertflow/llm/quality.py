@@ -15,7 +15,7 @@ of the documents costs one row a task.
 Defined results: null text counts as empty; a null host or path is a site of its
 own; without labelled rows of both classes all documents are kept on evidence 0;
 rows that repeat an id are judged each; no rows give no rows; columns of other
-names pass through ``filter_quality`` untouched.
+names pass through ``filter_quality`` untouched (names of its own begin with an underscore).
 """
 
 from __future__ import annotations
@@ -159,8 +159,8 @@ def site_rates(judged: DataFrame, llr: str = "_llr", host: str = "_host", path:
                prior: float = 0.0) -> tuple[DataFrame, dict]:
     """Per (host, path): the shrunk rate of good documents, with its strengths.
 
-    Columns ``host_key, path_key, n, good, host_rate``; the path's shrunk rate is
-    ``(good + s * host_rate) / (n + s)`` with ``s = strengths["path"]``.
+    Columns ``_site_host, _site_path, _site_n, _site_good, _host_rate``; the path's shrunk
+    rate is ``(good + s * host_rate) / (n + s)`` with ``s = strengths["path"]``.
     """
     p = 1 / (1 + F.exp(-(F.col(llr) + F.lit(prior))))
     paths = written(judged.groupBy(F.col(host).alias("host_key"), F.col(path).alias("path_key"))
@@ -172,7 +172,8 @@ def site_rates(judged: DataFrame, llr: str = "_llr", host: str = "_host", path:
     host_rate = hosts.select(F.col("host_key").alias("h"),
                              ((F.col("good") + s_host * rate) / (F.col("n") + s_host)).alias("host_rate"))
     sites = written(paths.join(host_rate, F.col("host_key").eqNullSafe(F.col("h")), "left").drop("h"), "quality-sites")
-    return sites, {"rate": rate, "host": s_host, "path": _strength(sites, "host_rate")}
+    named = {"host_key": "_site_host", "path_key": "_site_path", "n": "_site_n", "good": "_site_good", "host_rate": "_host_rate"}
+    return sites.withColumnsRenamed(named), {"rate": rate, "host": s_host, "path": _strength(sites, "host_rate")}
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id",
@@ -186,11 +187,11 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col
     sites, s = site_rates(narrow, prior=prior)
     judged = with_evidence(sited, model, text_col)
     own = 1 / (1 + F.exp(-(F.col("_llr") + F.lit(prior))))
-    rate = (F.col("good") - own + s["path"] * F.col("host_rate")) / (F.col("n") - 1 + s["path"])
-    joined = judged.join(sites, F.col("_host").eqNullSafe(F.col("host_key")) & F.col("_path").eqNullSafe(F.col("path_key")), "left")
+    rate = (F.col("_site_good") - own + s["path"] * F.col("_host_rate")) / (F.col("_site_n") - 1 + s["path"])
+    joined = judged.join(sites, F.col("_host").eqNullSafe(F.col("_site_host")) & F.col("_path").eqNullSafe(F.col("_site_path")), "left")
     return (joined.withColumn("_site_rate", rate)
             .withColumn("_posterior", 1 / (1 + F.exp(-(F.col("_llr") + _logit(F.col("_site_rate"))))))
-            .drop("host_key", "path_key", "good", "n", "host_rate"))
+            .drop("_site_host", "_site_path", "_site_good", "_site_n", "_host_rate"))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, keep_from: float = KEEP_FROM,
