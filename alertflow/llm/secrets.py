@@ -47,7 +47,9 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-BASE64_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}")
+# a match starts only where an unbroken run does and gives no character of a run back, so the search is linear
+BASE64_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]{16,}+)*"
+                            r"[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++={0,2}")
 _BREAK = re.compile(r"[ \t\r\n]+")
 # escapes of single bytes as in Python, C and JSON strings
 BYTE_RUN = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[abfnrtv0'"\\])+""")
