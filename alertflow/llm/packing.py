@@ -176,8 +176,8 @@ class Bins:
             a = self.home[i]
             if a != b and gain > self.slack[b] - self.slack[a] and (pick is None or self.slack[a] > self.slack[self.home[pick]]):
                 pick = i
-            if n == PAIRS:
-                break
+            if n >= PAIRS and pick is not None:
+                break  # one that may give is found, and many were looked at
         return pick
 
     def _exchange(self, b: int, a: int, give: tuple, back: tuple, gain: int) -> None:
