@@ -49,17 +49,39 @@ def source_targets(sizes: dict, weights: dict, total: float, max_repeats: int) -
         for s in over:
             target[s] = float(max_repeats * sizes[s])
             left -= target[s]
-        free = [s for s in free if s not in over]
+        gone = set(over)
+        free = [s for s in free if s not in gone]
     return target
 
 
 def min_cost_flow(capacity: list[int], member: list[list[int]], quota: list[int], max_repeats: int) -> list[dict[int, int]]:
     """Tokens of each pattern routed to each of its sources, at least convex repetition cost.
 
-    Successive shortest paths with potentials on: start -> pattern (one arc a
-    repetition, cost 0, 1, 2, ...) -> its sources -> end (the quota).
+    A pattern of one source that shares it with no pattern of several is settled at
+    once: the quota, as far as its repetitions reach. The others are a flow.
     """
-    P, S = len(capacity), len(quota)
+    shared = {s for m in member if len(m) > 1 for s in m}
+    alone: dict[int, int] = {}  # tokens the settled patterns of a source have taken
+    out: list[dict[int, int]] = [{} for _ in capacity]
+    tied = []
+    for p, m in enumerate(member):
+        if len(m) != 1 or m[0] in shared:
+            tied.append(p)
+        elif take := min(quota[m[0]] - alone.get(m[0], 0), capacity[p] * max_repeats):
+            out[p][m[0]] = take
+            alone[m[0]] = alone.get(m[0], 0) + take
+    at = {s: i for i, s in enumerate(sorted({s for p in tied for s in member[p]}))}
+    flow = _flow([capacity[p] for p in tied], [[at[s] for s in member[p]] for p in tied], [quota[s] for s in at], max_repeats)
+    names = list(at)
+    for p, routed in zip(tied, flow):
+        out[p] = {names[s]: tokens for s, tokens in routed.items()}
+    return out
+
+
+def _flow(capacity: list[int], member: list[list[int]], quota: list[int], max_repeats: int) -> list[dict[int, int]]:
+    """Successive shortest paths with potentials on: start -> pattern (one arc a
+    repetition, cost 0, 1, 2, ...) -> its sources -> end (the quota)."""
+    P, S, most = len(capacity), len(quota), sum(quota)
     start, end, n = P + S, P + S + 1, P + S + 2
     head: list[list[int]] = [[] for _ in range(n)]
     to, cap, cost = [], [], []
@@ -75,7 +97,7 @@ def min_cost_flow(capacity: list[int], member: list[list[int]], quota: list[int]
     for p in range(P):
         for s in member[p]:
             link[p, s] = len(to)
-            arc(p, P + s, sum(quota), 0)
+            arc(p, P + s, most, 0)
     for s in range(S):
         arc(P + s, end, quota[s], 0)
     potential = [0] * n
@@ -143,7 +165,10 @@ def _plan(docs, weights, total_share, max_repeats, seed, id_col, text_col, sourc
                          MAX_PATTERNS, "membership patterns")
     names = sorted({s for r in table for s in r["pattern"]}, key=lambda s: (s is None, s))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    sizes = {s: sum(r["size"] for r in table if s in r["pattern"]) for s in names}
+    sizes = dict.fromkeys(names, 0)
+    for r in table:
+        for s in r["pattern"]:
+            sizes[s] += r["size"]
     total = total_share * sum(r["size"] for r in table)
     target = source_targets(sizes, weight, total, max_repeats)
     at = {s: i for i, s in enumerate(names)}
