@@ -26,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import bounded_rows
-
 BUCKETS = 1 << 14
 DIM = 16
 MIN_N, MAX_N = 2, 4
 SAMPLE_PER_LANG = 600  # labelled rows a language gives, on average, to the fit
-MAX_LANGS = 500
+MAX_LANGS = 500  # languages the fit learns: the commonest labels, ties by name
+HELD_BYTES = 192 << 20  # of a worker's word cache
 MAX_SAMPLE_TEXT = 20_000  # characters of a *training* text's middle; predictions read whole texts
 _WORD = re.compile(r"[^\W\d_]+")
 _SEGMENT = 1 << 20
@@ -103,8 +102,9 @@ class Model:
 class WordScores:
     """A worker's word cache: the summed scores and n-gram count of each word seen."""
 
-    def __init__(self, width: int, limit: int = 400_000):
-        self.width, self.limit = width, limit
+    def __init__(self, width: int, limit: int = 400_000, held: int = HELD_BYTES):
+        self.width = width
+        self.limit = min(limit, held // (8 * width + 150))  # a row of scores, the word and its place
         self.clear()
 
     def clear(self) -> None:
@@ -204,16 +204,16 @@ def rejection_threshold(conf: np.ndarray, right: np.ndarray, target: float) -> f
 
 
 def train_sample(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str,
-                 per_lang: int = SAMPLE_PER_LANG, seed: int = 7) -> tuple[list[str], list[str]]:
+                 per_lang: int = SAMPLE_PER_LANG, seed: int = 7, max_langs: int = MAX_LANGS) -> tuple[list[str], list[str]]:
     """About ``per_lang`` labelled rows of every language, picked by a hash of the id.
 
     Languages are counted first, so the share of each is set and no group is
-    ever gathered; at most twice the expected rows reach the driver, each with
+    ever gathered; beyond ``max_langs`` the commonest are learned. At most twice the expected rows reach the driver, each with
     at most ``MAX_SAMPLE_TEXT`` characters.
     """
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = bounded_rows(rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")),
-                          MAX_LANGS, "languages")
+    counts = (rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(max_langs).collect())
     if not counts:
         return [], []
     share = F.coalesce(*[F.when(F.col(lang_col) == r["lang"], F.lit(min(1.0, per_lang / r["n"]))) for r in counts])
@@ -221,7 +221,7 @@ def train_sample(docs: DataFrame, train: Column, id_col: str, text_col: str, lan
     extra = F.greatest(F.lit(0), F.length(text_col) - MAX_SAMPLE_TEXT)
     piece = F.substring(F.col(text_col), F.floor(extra / 2).cast("int") + 1, F.lit(MAX_SAMPLE_TEXT))
     picked = rows.where(unit < share).select(F.col(id_col).alias("doc_id"), piece.alias("text"), F.col(lang_col).alias("lang"))
-    got = sorted(picked.limit(2 * per_lang * len(counts)).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))
+    got = sorted(picked.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "text").limit(2 * per_lang * len(counts)).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"]))
     return [r["text"] for r in got], [r["lang"] for r in got]
 
 
