@@ -9,6 +9,7 @@ import lzma
 import os
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -118,6 +119,31 @@ def test_token_files_odd_input(spark, odd, empty, tmp_path):
 
 # ---------------------------------------------------------------- packing
 
+def test_token_ranges_keep_the_order_and_split_a_hot_id():
+    rng = np.random.default_rng(0)
+    ids = np.sort(np.r_[rng.integers(-50, 50, 200), np.full(400, 7)])
+    null = np.zeros(600, bool)
+    null[:150] = True
+    th = rng.integers(-2 ** 63, 2 ** 63 - 1, 600, dtype=np.int64)
+    order = np.lexsort((th, np.where(null, 0, ids), ~null))
+    ids, null, th = ids[order], null[order], th[order]
+    ends = np.quantile(ids[~null], [0.1, 0.3, 0.5, 0.6, 0.7, 0.8, 0.9], method="lower").astype(np.int64)
+    part = token_files.ranges_of(ids, null, th, 2, ends)
+    assert (np.diff(part) >= 0).all() and set(part[null]) == {0, 1} and part.max() <= 9
+    assert np.bincount(part[ids == 7]).max() < 0.5 * (ids == 7).sum()
+    assert token_files.ranges_of(ids, null, th, 0, np.zeros(0, np.int64)).tolist() == [0] * 600
+
+
+def test_token_files_of_one_id_and_of_nulls_alone(spark, tmp_path):
+    for k, ids in enumerate(([4] * 9, [None] * 9, [None] * 5 + [3] * 4)):
+        df = frame(spark, [f"text {i % 4}" for i in range(9)], ids=ids).repartition(3)
+        at = str(tmp_path / f"hot{k}")
+        token_files.write_token_files(df, at, VOCAB)
+        got = token_files.read_token_files(spark, at).orderBy("start").collect()
+        assert [r.doc_id for r in got] == sorted(ids, key=lambda x: (x is not None, x or 0))
+        assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(9)]
+
+
 def test_tokens_of_parts_that_balance():
     """One part of two pre-tokens and one of none among the new words: later texts must still be right."""
     cache = TokenCache(VOCAB)
@@ -169,6 +195,19 @@ def test_packing_across_blocks(docs, monkeypatch):
     check_packing(rows, [(r.doc_id, r.text) for r in docs.collect()], 2048)
 
 
+def test_a_legal_donor_is_found_behind_many_barred_ones():
+    bins = packing.Bins([], 100)
+    # bin 0 lacks 10 and gives back 30 for a 40; the first forty documents of length 40 lie in bins fuller than that
+    bins.lengths, bins.bins, bins.slack, bins.home, bins.at, bins.mask = [30], [[0]], [10], {0: 0}, {}, 0
+    for b in range(1, 42):
+        bins.lengths.append(40)
+        bins.bins.append([b])
+        bins.slack.append(0 if b < 41 else 60)
+        bins.home[b] = b
+        bins._list(b)
+    assert bins._donor(40, 0, 10) == 41
+
+
 def test_swaps_beat_best_fit():
     class Plain(packing.Bins):
         def _search(self):
@@ -216,6 +255,45 @@ def test_langid_odd_input(spark, empty):
     assert langid.identify(empty, F.lit(True)).count() == 0
 
 
+def test_prediction_against_brute_force(spark, docs):
+    """Every n-gram hashed by plain arithmetic, summed, softmaxed: the same language and score."""
+    rows = docs.collect()
+    model = langid.fit([r.text for r in rows if r.lang and r.text][:120], [r.lang for r in rows if r.lang and r.text][:120], epochs=3)
+
+    def plain(text):
+        total, n = np.zeros(len(model.langs)), 0
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            line = f"<{w}>"
+            for k in range(langid.MIN_N, langid.MAX_N + 1):
+                for a in range(len(line) - k + 1):
+                    h = 0
+                    for c in line[a:a + k]:
+                        h = (h * 1_000_003 + ord(c)) % 2 ** 64
+                    g = (h + k) % 2 ** 64
+                    g = (g ^ g >> 29) * 0xBF58476D1CE4E5B9 % 2 ** 64
+                    total, n = total + model.scores[(g >> 40) % langid.BUCKETS], n + 1
+        if not n:
+            return "und", 0.0
+        z = (total / n + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        return model.langs[int(p.argmax())], float(p.max())
+
+    texts = [r.text for r in rows[:40]] + [None, "", "123 456", "É ß straße ΟΔΟΣ 日本"]
+    cache = langid.WordScores(len(model.langs), limit=50)  # small, so that it is cleared on the way
+    for text, (lang, score) in zip(texts, model.predict(texts, cache)):
+        want = plain((text or "")[:3000]) if text is None or len(text) <= 3000 else None
+        if want:
+            assert lang == want[0] and score == pytest.approx(want[1], abs=1e-9)
+
+
+def test_langid_learns_the_commonest_labels_within_its_bound(spark):
+    rows = [(i, f"word{i % 7} text", f"l{min(i % 9, 4)}") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    _, labels = langid.train_sample(df, F.lit(True), "doc_id", "text", "lang", max_langs=2)
+    assert set(labels) == {"l4", "l0"}  # 50 rows, then ten each: the first name
+    assert langid.WordScores(500).limit < 50_000 < langid.WordScores(4).limit
+
+
 def test_rejection_threshold():
     conf, right = np.array([0.9, 0.8, 0.7, 0.6]), np.array([True, True, False, True])
     assert langid.rejection_threshold(conf, right, 0.99) == 0.8
@@ -264,7 +342,8 @@ def test_simhash_odd_input(odd, empty):
     assert simhash.simhash_groups(empty).count() == 0
     assert simhash.drop_near_copies(empty).count() == 0
     left = [r.doc_id for r in simhash.drop_near_copies(odd).collect()]
-    assert sorted(map(str, left)) == sorted(map(str, [d for d, _, c in plain_components(fps) if d == c]))
+    # rows that repeat an id are one document
+    assert sorted(map(str, left)) == sorted(map(str, {d for d, _, c in plain_components(fps) if d == c}))
 
 
 def test_vantage_shards_lose_no_link(spark, monkeypatch):
@@ -420,6 +499,47 @@ def test_quality_odd_input(spark, odd, empty):
     assert quality.filter_quality(empty, labels, F.col("source"), F.col("lang")).count() == 0
 
 
+def test_quality_columns_of_any_name_pass_through(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    host, path = F.col("source"), F.concat_ws("/", "source", "lang")
+    names = ["n", "good", "host_rate", "host_key", "path_key", "h", "m", "l_id", "rate"]
+    wide = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    got = quality.filter_quality(wide, labels, host, path)
+    assert got.columns == wide.columns
+    want = sorted(r.doc_id for r in quality.filter_quality(docs, labels, host, path).collect())
+    rows = got.collect()
+    assert sorted(r.doc_id for r in rows) == want and all(r[c] == f"own {c}" for r in rows for c in names)
+
+
+def test_posterior_against_brute_force(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = quality.judge(docs, labels, F.col("source"), F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))).collect()
+    model = quality.fit_evidence(docs, labels)
+    llr = {r.doc_id: float(model.ratio(np.array([quality.measures((r.text or "").encode())]))[0]) for r in rows}
+    own = {d: 1 / (1 + np.exp(-(x + model.prior))) for d, x in llr.items()}
+    hosts, paths = {}, {}
+    for r in rows:
+        for sums, key in ((hosts, r._host), (paths, (r._host, r._path))):
+            good, n = sums.get(key, (0.0, 0))
+            sums[key] = (good + own[r.doc_id], n + 1)
+    rate = sum(own.values()) / len(rows)
+
+    def strength(sites):  # (good, n, parent's rate)
+        base = sum(n * p * (1 - p) for _, n, p in sites)
+        excess = max(0.0, sum(n * (g / n - p) ** 2 for g, n, p in sites) - sum(p * (1 - p) for _, _, p in sites)) / base
+        return min(1e6, max(1.0, 1 / max(excess, 1e-6) - 1))
+
+    s_host = strength([(g, n, rate) for g, n in hosts.values()])
+    host_rate = {h: (g + s_host * rate) / (n + s_host) for h, (g, n) in hosts.items()}
+    s_path = strength([(g, n, host_rate[h]) for (h, _), (g, n) in paths.items()])
+    for r in rows:
+        good, n = paths[(r._host, r._path)]
+        site = (good - own[r.doc_id] + s_path * host_rate[r._host]) / (n - 1 + s_path)
+        site = min(1 - 1e-9, max(1e-9, site))
+        assert r._llr == pytest.approx(llr[r.doc_id], abs=1e-9) and r._site_rate == pytest.approx(site, abs=1e-9)
+        assert r._posterior == pytest.approx(1 / (1 + np.exp(-(llr[r.doc_id] + np.log(site / (1 - site))))), abs=1e-9)
+
+
 # ---------------------------------------------------------------- secrets
 
 def plain_base(text):
@@ -509,6 +629,18 @@ def test_secret_cycles_and_bombs(monkeypatch):
     assert ("oversize" in {secrets.KINDS[k] for _, k, _ in secrets.find_secrets(f"x {bomb}")[1]})
 
 
+def test_secret_search_is_linear_in_unbroken_runs():
+    """A megabyte without a break costs seconds, not days; wrapped runs are found as before."""
+    for run in ("A" * 1_000_000, "0123456789abcdef" * 62_500, ("x" * 60 + " " * 60) * 8000):
+        start = time.time()
+        secrets.find_secrets(run)
+        assert time.time() - start < 8  # about a second and a half on a free core
+    hidden = base64.b64encode(b"here: password = abcdefghijklmnop1234 and more words around it").decode()
+    wrapped = "\n".join(hidden[i:i + 20] for i in range(0, len(hidden), 20))
+    for text in (wrapped, "word " + wrapped.replace("\n", " \r\n\t") + " tail", "x\n" + wrapped + "\nlong" * 3):
+        assert [k for _, k, _ in secrets.find_secrets(text)[1]] == [0], text
+
+
 def test_secret_odd_input(odd, empty):
     got = secrets.secret_digests(secrets.scan_secrets(odd)).collect()
     assert len(got) == 10 and all(r.spans == "" for r in got)
@@ -544,11 +676,28 @@ def test_exact_drop(docs, odd, empty):
     kept = exact.drop_exact_copies(docs).collect()
     assert len(kept) == len({r.text or "" for r in docs.collect()}) and sorted(kept[0].asDict()) == sorted(docs.columns)
     left = [(r.doc_id, (r.text or "")[:9]) for r in exact.drop_exact_copies(odd).collect()]
-    want = [(0, ""), (2, "  \n\t "), (3, LONG[:9]), (4, "same text"), (4, "same text"), (7, "a\nb\nc\nd"), (None, "x")]
+    want = [(0, ""), (2, "  \n\t "), (3, LONG[:9]), (4, "same text"), (7, "a\nb\nc\nd"), (None, "x")]
     assert sorted(map(repr, left)) == sorted(map(repr, want))
     assert exact.exact_groups(empty).count() == 0 and exact.drop_exact_copies(empty).count() == 0
 
 
+def test_a_table_appended_to_itself_gives_what_it_gives_once(spark, docs):
+    """One row of each group stays, also where rows repeat id and text, or an id with other columns and texts."""
+    one = docs.where("doc_id < 60")
+    more = one.limit(3).withColumn("source", F.lit("other"))
+    twice = one.unionByName(one).unionByName(more)
+    for drop in (exact.drop_exact_copies, simhash.drop_near_copies):
+        want = sorted((r.doc_id, r.text or "") for r in drop(one).collect())
+        assert sorted((r.doc_id, r.text or "") for r in drop(twice).collect()) == want
+        again = drop(twice).collect()
+        assert sorted(map(repr, again)) == sorted(map(repr, drop(twice.repartition(5)).collect()))
+    # one id with two texts that are near copies: one row of the group
+    long = " ".join(f"word{i}" for i in range(400))
+    odd = frame(spark, [long, long + " .", long, "else"], ids=[5, 5, 9, 5])
+    left = [(r.doc_id, r.text) for r in simhash.drop_near_copies(odd).collect()]
+    assert len([t for _, t in left if t != "else"]) <= 1 and all(d == 5 for d, _ in left)
+
+
 # ---------------------------------------------------------------- mixing
 
 def check_mix(rows, source_of, weights, repeats=3):
@@ -627,6 +776,17 @@ def brute_flow_cost(capacity, member, quota, repeats):
     return best
 
 
+def test_a_hundred_thousand_sources_are_routed_at_once():
+    n = 100_000
+    capacity = [1 + i % 50 for i in range(n)]
+    start = time.time()
+    sizes = dict(enumerate(capacity))
+    target = mixing.source_targets(sizes, {i: 1 + i % 3 for i in sizes}, sum(capacity), 3)
+    flow = mixing.min_cost_flow(capacity + [5], [[i] for i in range(n)] + [[0, 1]], [round(target[i]) for i in range(n)], 3)
+    assert time.time() - start < 30
+    assert all(sum(f.values()) == min(round(target[i]), 3 * capacity[i]) for i, f in enumerate(flow[2:n], 2))
+
+
 def test_flow_against_enumeration():
     rng = random.Random(9)
     for _ in range(15):
