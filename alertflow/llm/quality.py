@@ -159,8 +159,8 @@ def site_rates(judged: DataFrame, llr: str = "_llr", host: str = "_host", path:
                prior: float = 0.0) -> tuple[DataFrame, dict]:
     """Per (host, path): the shrunk rate of good documents, with its strengths.
 
-    Columns ``_site_host, _site_path, _site_n, _site_good, _host_rate``; the path's shrunk
-    rate is ``(good + s * host_rate) / (n + s)`` with ``s = strengths["path"]``.
+    Columns ``host_key, path_key, n, good, host_rate``; the path's shrunk rate is
+    ``(good + s * host_rate) / (n + s)`` with ``s = strengths["path"]``.
     """
     p = 1 / (1 + F.exp(-(F.col(llr) + F.lit(prior))))
     paths = written(judged.groupBy(F.col(host).alias("host_key"), F.col(path).alias("path_key"))
@@ -172,8 +172,7 @@ def site_rates(judged: DataFrame, llr: str = "_llr", host: str = "_host", path:
     host_rate = hosts.select(F.col("host_key").alias("h"),
                              ((F.col("good") + s_host * rate) / (F.col("n") + s_host)).alias("host_rate"))
     sites = written(paths.join(host_rate, F.col("host_key").eqNullSafe(F.col("h")), "left").drop("h"), "quality-sites")
-    named = {"host_key": "_site_host", "path_key": "_site_path", "n": "_site_n", "good": "_site_good", "host_rate": "_host_rate"}
-    return sites.withColumnsRenamed(named), {"rate": rate, "host": s_host, "path": _strength(sites, "host_rate")}
+    return sites, {"rate": rate, "host": s_host, "path": _strength(sites, "host_rate")}
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id",
@@ -185,6 +184,9 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col
     narrow = written(with_evidence(sited.select("_host", "_path", text_col), model, text_col)
                      .select("_host", "_path", "_llr"), "quality-evidence")
     sites, s = site_rates(narrow, prior=prior)
+    # names that no document's column has
+    sites = sites.withColumnsRenamed({"host_key": "_site_host", "path_key": "_site_path", "n": "_site_n", "good": "_site_good",
+                                      "host_rate": "_host_rate"})
     judged = with_evidence(sited, model, text_col)
     own = 1 / (1 + F.exp(-(F.col("_llr") + F.lit(prior))))
     rate = (F.col("_site_good") - own + s["path"] * F.col("_host_rate")) / (F.col("_site_n") - 1 + s["path"])
