@@ -442,7 +442,8 @@ def _published(meta: DataFrame, img: DataFrame) -> DataFrame:
     meta, img = SS.metadata_stream(meta).drop("meta_time"), SS.image_stream(img)
     pixels = I.unpack_float32(img.select(F.col("alert_id").alias("image_alert"), F.col("object_id").alias("image_object"), "image_data"),
                               "image_data", "img", 3 * 4 * 4).drop("image_data")
-    both = meta.join(pixels, (F.col("alert_id") == F.col("image_alert")) & (F.col("object_id") == F.col("image_object")))
+    # JSON and images are far smaller in their files than as rows: never broadcast by the files' size
+    both = meta.join(pixels.hint("merge"), (F.col("alert_id") == F.col("image_alert")) & (F.col("object_id") == F.col("image_object")))
     out = both.select(F.col("alert_id").cast("long").alias("alert_id"), "object_id", *S.METADATA_COLUMNS,
                       F.posexplode_outer("img").alias("pos", "pixel"))
     return out.withColumns({"pos": F.col("pos").cast("int"), "pixel": F.round(F.col("pixel").cast("double"), 4)})
