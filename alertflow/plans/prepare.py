@@ -42,7 +42,8 @@ def alert_records(alerts: DataFrame, shape: tuple[int, int] = (S.CUTOUT_SIZE, S.
     any cutout is decoded. ``folder_rank`` is carried when present.
     """
     if catalog is not None:
-        known = catalog.select(F.col("oid").alias("_oid")).distinct()
+        # ids may come twice here; without an aggregate Spark can split the alerts of one frequent id (skew join)
+        known = catalog.select(F.col("oid").alias("_oid"))
         alerts = alerts.join(known, M.object_id_value() == F.col("_oid"), "left_semi")
     folder = [c for c in ("folder_rank",) if c in alerts.columns]
     keep = ["objectId", order, *folder, "candidate", *S.TOP_LEVEL_DOUBLE_FIELDS]
