@@ -71,6 +71,15 @@ def _cores(spark) -> int:
     return default_state_partitions(spark)
 
 
+# Rows that carry an image, in one task: about 50 MB.
+IMAGE_ROWS = 50_000
+
+
+def _image_tasks(spark, n: int) -> int:
+    """Tasks for ``n`` rows that carry images: one a core, and more as the rows grow."""
+    return max(_cores(spark), -(-n // IMAGE_ROWS))
+
+
 def _events_ts(spark, d) -> DataFrame:
     # streaming watermarks need TIMESTAMP (with zone); the tables hold TIMESTAMP_NTZ
     return _t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -150,7 +159,8 @@ _EVENT_CLASS = {"click": "AGN", "view": "QSO", "purchase": "VS", "signup": "YSO"
 def _alert_rows(spark, d) -> DataFrame:
     """Per alert: metadata (23 columns), an HWC image derived from ``value``,
     a 5-class label from ``event_type``; every 17th object's images have a bad size."""
-    v = _events_ts(spark, d).repartition(_cores(spark), "event_id")  # one-file table: spread the packing
+    v = _events_ts(spark, d)
+    v = v.repartition(_image_tasks(spark, v.count()), "event_id")  # one-file table: spread the packing
     img = F.transform(F.sequence(F.lit(0), F.lit(SI.CUBE_VALUES - 1)),
                       lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
     lab = F.lit("Other")
@@ -184,7 +194,7 @@ def q_stream_classify(spark, d):
                            F.lit(S.IMAGE_TOPIC).alias("topic"), F.col("ts").alias("timestamp"))
     path = scratch_path(spark, "classify_topics")  # one folder per topic, as topics are separate logs
     n_meta = SS.write_message_twin(meta_msgs, f"{path}/{S.METADATA_TOPIC}", slices=2)
-    n_img = SS.write_message_twin(img_msgs, f"{path}/{S.IMAGE_TOPIC}", slices=2)
+    n_img = SS.write_message_twin(img_msgs, f"{path}/{S.IMAGE_TOPIC}", slices=2, rows_per_file=IMAGE_ROWS)
     meta_s = SS.metadata_stream(SS.message_stream(spark, S.METADATA_TOPIC, path=f"{path}/{S.METADATA_TOPIC}",
                                                   max_per_trigger=n_meta))
     img_s = SS.image_stream(SS.message_stream(spark, S.IMAGE_TOPIC, path=f"{path}/{S.IMAGE_TOPIC}",
@@ -194,7 +204,8 @@ def q_stream_classify(spark, d):
     out_root = scratch_path(spark, "predictions")
     run = CL.batch_writer(model, S.CLASS_LABELS, stats, out_root, S.METADATA_COLUMNS, _STREAM_SHAPE,
                           dedup_in_batch=False)
-    q = CL.start(joined, run, f"{out_root}_checkpoint", available_now=True)
+    # a batch holds half of the messages: as many state partitions as its images ask for
+    q = CL.start(joined, run, f"{out_root}_checkpoint", available_now=True, state_partitions=_image_tasks(spark, -(-rows.count() // 2)))
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

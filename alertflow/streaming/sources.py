@@ -98,6 +98,6 @@ def write_time_ordered(df: DataFrame, path: str, slices: int = 4, order_col: str
     return files
 
 
-def write_message_twin(messages: DataFrame, path: str, slices: int = 4, order_col: str = "timestamp") -> int:
+def write_message_twin(messages: DataFrame, path: str, slices: int = 4, order_col: str = "timestamp", rows_per_file: int = 250_000) -> int:
     """File twin of a topic: message rows as time-ordered Parquet files; the files of a slice."""
-    return write_time_ordered(messages, path, slices, order_col)
+    return write_time_ordered(messages, path, slices, order_col, rows_per_file)
