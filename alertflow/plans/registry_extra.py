@@ -234,18 +234,20 @@ def q_prediction_csv(spark, d):
 
 # ---------------------------------------------------------------- cutouts
 
+def _stamp(image, kind, factor: float = 1.0, shift: float = 0.0):
+    return stamp_bytes(image, kind, F.lit(factor).cast("float"), F.lit(shift).cast("float"))
+
+
 def _stamp_alerts(spark, d) -> DataFrame:
     e = _t(spark, d, "embeddings")
     vid = F.col("vec_id")
     sci_kind = F.when(vid % 17 == 0, "broken").when(vid % 23 == 0, "nan").otherwise("ok")
     diff_kind = F.when(vid % 19 == 0, "short").otherwise("ok")
     ok = F.lit("ok")
-    neg = F.transform("embedding", lambda x: -x)
-    dbl = F.transform("embedding", lambda x: x * F.lit(2.0).cast("float"))
     return e.select(vid.alias("candid"),
-                    F.struct(stamp_bytes("embedding", sci_kind).alias("stampData")).alias("cutoutScience"),
-                    F.struct(stamp_bytes(neg, ok).alias("stampData")).alias("cutoutTemplate"),
-                    F.struct(stamp_bytes(dbl, diff_kind).alias("stampData")).alias("cutoutDifference"))
+                    F.struct(_stamp("embedding", sci_kind).alias("stampData")).alias("cutoutScience"),
+                    F.struct(_stamp("embedding", ok, factor=-1.0).alias("stampData")).alias("cutoutTemplate"),
+                    F.struct(_stamp("embedding", diff_kind, factor=2.0).alias("stampData")).alias("cutoutDifference"))
 
 
 @query("cutout_ingest")
@@ -412,14 +414,14 @@ def _prep_alerts(spark, d) -> DataFrame:
     31st difference stamp has the wrong shape."""
     # the stand-in table is one small file (one scan split): spread the Python
     # stamp encoding over the cores (real alert folders arrive as many files)
-    v = _t(spark, d, "events").repartition(_cores(spark), "event_id")
-    img = F.transform(F.sequence(F.lit(0), F.lit(SI.IMG_H * SI.IMG_W - 1)),
+    v = _t(spark, d, "events")
+    v = v.repartition(_image_tasks(spark, v.count()), "event_id")
+    made = F.transform(F.sequence(F.lit(0), F.lit(SI.IMG_H * SI.IMG_W - 1)),
                       lambda i: ((F.col("value") * (i + 1)) % F.lit(7.0)).cast("float"))
-    eid = F.col("event_id")
-    sci = stamp_bytes(img, F.when(eid % 29 == 0, "broken").otherwise("ok"))
-    ref = stamp_bytes(F.transform(img, lambda x: x * F.lit(0.5).cast("float")), F.lit("ok"))
-    diff = stamp_bytes(F.transform(img, lambda x: x + F.lit(1.0).cast("float")),
-                      F.when(eid % 31 == 0, "short").otherwise("ok"))
+    v, eid = v.withColumn("_img", made), F.col("event_id")  # a column: made and sent once for the three
+    sci = _stamp("_img", F.when(eid % 29 == 0, "broken").otherwise("ok"))
+    ref = _stamp("_img", F.lit("ok"), factor=0.5)
+    diff = _stamp("_img", F.when(eid % 31 == 0, "short").otherwise("ok"), shift=1.0)
     return SI.alerts_from_events(v, stamps=[sci, ref, diff])
 
 
@@ -476,8 +478,10 @@ def q_producer_flow(spark, d):
 def q_producer_stream(spark, d):
     """The same folder published as a stream, two triggers, each batch committed on both topics."""
     folder, root = scratch_path(spark, "alert_files"), scratch_path(spark, "producer_stream")
-    _prep_alerts(spark, d).drop("ts").write.parquet(folder)
-    stream = PR.alert_stream(spark, folder, fmt="parquet", max_files=-(-_cores(spark) // 2))
+    alerts = _prep_alerts(spark, d).drop("ts")
+    files = _image_tasks(spark, _t(spark, d, "events").count())  # one a task
+    alerts.write.parquet(folder)
+    stream = PR.alert_stream(spark, folder, fmt="parquet", max_files=-(-files // 2))
     q = PR.publish_alert_stream(stream, root, f"{root}/checkpoint", available_now=True, shape=(SI.IMG_H, SI.IMG_W), crop=4, crop_start=None)
     q.awaitTermination()
     if q.exception():

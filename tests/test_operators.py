@@ -404,3 +404,44 @@ def test_results_survive_task_retries():
     script = os.path.join(os.path.dirname(__file__), "scripts", "retry_check.py")
     out = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=600)
     assert "RETRY-OK 4000" in out.stdout, out.stderr[-2000:]
+
+
+def _old_way(data, shape, crop):
+    """A stamp decoded alone, by the plain route."""
+    raw = gzip.decompress(data)
+    img = np.frombuffer(raw, ">f4", shape[0] * shape[1], 2880).astype(np.float32).reshape(shape)
+    s = (shape[0] - crop) // 2
+    return np.nan_to_num(img[s:s + crop, s:s + crop], nan=0.0).ravel().tolist()
+
+
+def test_stamps_of_a_batch_decode_as_one_by_one(spark):
+    rng = np.random.default_rng(3)
+    images = [rng.random((9, 9)).astype(np.float32) for _ in range(6)]
+    images[1][4, 4], images[2][4, 4] = np.nan, np.inf
+    good = [encode_stamp(i) for i in images]
+    other = [gzip.compress(gzip.decompress(s)) for s in good]  # packed by another writer
+    long = b"".join(c.ljust(80) for c in [b"SIMPLE  =                    T", *[b"COMMENT x"] * 40, b"BITPIX  =                   16",
+                    b"NAXIS   =                    2", b"NAXIS1  =                    9", b"NAXIS2  =                    9",
+                    b"BSCALE  =                  0.5", b"BZERO   =                    1", b"END"])
+    long += b" " * (-len(long) % 2880) + np.arange(81, dtype=">i2").tobytes()
+    two = gzip.compress(gzip.decompress(good[0])[:3000]) + gzip.compress(gzip.decompress(good[0])[3000:])  # two members
+    bad = [None, b"", b"\x1f\x8bxx", good[0][:-9], gzip.compress(b"junk" * 9), encode_stamp(np.zeros((8, 9), np.float32)),
+           gzip.compress(gzip.decompress(good[0])[:2900])]
+    flipped = bytearray(good[0])
+    flipped[-6] ^= 1  # the checksum
+    lists, why = C.decode_stamps(pa.array([*good, *other, two, *bad, bytes(flipped), gzip.compress(long)], pa.binary()), (9, 9), 3, None)
+    want = [_old_way(s, (9, 9), 3) for s in [*good, *other, two]]
+    assert lists.to_pylist()[:13] == want and lists[1].as_py()[4] == 0.0 and lists[2].as_py()[4] == float(np.finfo(np.float32).max)
+    assert why.to_pylist() == ["ok"] * 13 + ["empty", "empty", "gzip", "gzip", "fits", "shape", "fits", "gzip", "ok"]
+    assert lists.to_pylist()[13:21] == [None] * 8
+    assert lists[21].as_py() == [0.5 * (9 * r + c) + 1 for r in (3, 4, 5) for c in (3, 4, 5)]
+
+
+def test_kept_columns_pass_the_decoder_without_nan(spark):
+    stamp = encode_stamp(np.ones((9, 9), np.float32))
+    rows = [(2 ** 60 + 1, float("nan"), (float("nan"), None), stamp), (None, 1.5, None, None), (3, None, (2.0, "t"), b"x")]
+    df = spark.createDataFrame([(i, v, c, (s,)) for i, v, c, s in rows],
+                               "candid long, ra double, candidate struct<a: double, b: string>, cutoutScience struct<stampData: binary>")
+    got = C.ingest_cutouts(df, ["candid", "ra", "candidate"], ["cutoutScience"], (9, 9), 3, None).collect()
+    told = sorted(((r.candid, r.ra, r.candidate and tuple(r.candidate), r.cutoutScience, r.cutoutScience_status) for r in got), key=lambda r: r[0] or 0)
+    assert told == [(None, 1.5, None, None, "empty"), (3, None, (2.0, "t"), None, "gzip"), (2 ** 60 + 1, None, (None, None), [1.0] * 9, "ok")]
