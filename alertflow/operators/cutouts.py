@@ -1,8 +1,8 @@
 """Cutout ingest: gzip-compressed FITS stamps -> float32 pixel arrays.
 
-Runs as one ``mapInArrow`` pass over the alert table (all three channels of
+Runs as one ``mapInPandas`` pass over the alert table (all three channels of
 an Arrow batch at once); Spark partitions the alerts, the Python worker only
-decodes bytes, and the columns that are kept pass as they are. Any failure (no bytes, broken gzip, bad header, wrong shape)
+decodes bytes. Any failure (no bytes, broken gzip, bad header, wrong shape)
 gives a null channel, and the reason is kept for the reject report.
 
 Only the primary image of the FITS stamp is read: header cards in 2,880-byte
@@ -19,8 +19,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,7 @@ _DTYPES = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 
 
 _PIECE = 1024  # alerts decoded at once
+_NESTED = (T.StructType, T.ArrayType, T.MapType, T.LongType)  # a long column with nulls would pass as doubles
 
 
 def _header(buf: bytes) -> tuple[dict, int]:
@@ -112,10 +114,10 @@ def decode_stamp(data: bytes | None, shape: tuple[int, int] = (S.CUTOUT_SIZE, S.
     return (None if kind is None else _float_pixels([stored], kind, shape, crop, crop_start)[0]), why
 
 
-def decode_stamps(stamps: pa.Array, shape: tuple[int, int], crop: int | None, crop_start: int | None) -> tuple[pa.Array, pa.Array]:
+def decode_stamps(stamps: list[bytes | None], shape: tuple[int, int], crop: int | None, crop_start: int | None) -> tuple[pa.Array, list[str]]:
     """A column of stamps -> (lists of float32 pixels, null where it failed; reasons); pixels of one kind are turned at once."""
     reasons, kinds = [], {}
-    for i, data in enumerate(stamps.to_pylist()):
+    for i, data in enumerate(stamps):
         stored, kind, why = _pixels(data, shape)
         reasons.append(why)
         if kind is not None:
@@ -130,19 +132,7 @@ def decode_stamps(stamps: pa.Array, shape: tuple[int, int], crop: int | None, cr
         good[at], pixels[at] = True, rows
     lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(good) * each].astype(np.int32)), pa.array(pixels[good].ravel()),
                                      mask=pa.array(~good))
-    return lists, pa.array(reasons, pa.string())
-
-
-def _known(col: Column, kind: T.DataType) -> Column:
-    """The column with null for NaN, in structs and arrays too."""
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.nanvl(col, F.lit(None).cast(kind))
-    if isinstance(kind, T.StructType) and kind.fields:
-        fields = [_known(col.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
-        return F.when(col.isNotNull(), F.struct(*fields))
-    if isinstance(kind, T.ArrayType):
-        return F.transform(col, lambda x: _known(x, kind.elementType))
-    return col
+    return lists, reasons
 
 
 def ingest_cutouts(alerts: DataFrame, keep: list[str], channels: list[str] = S.CUTOUT_CHANNELS,
@@ -154,32 +144,42 @@ def ingest_cutouts(alerts: DataFrame, keep: list[str], channels: list[str] = S.C
     failed) and ``<channel>_status``. Binary columns are read as
     ``<channel>.stampData``.
 
-    NaN in a kept column is a missing value and comes out null.
-
-    ``mapInArrow`` rather than a scalar UDF on purpose: with a UDF, a
+    ``mapInPandas`` rather than a scalar pandas UDF on purpose: with a UDF, a
     later filter on the decoded column (``valid_alerts``) is pushed below the
     projection and the decoder runs twice (measured: two Python evaluations
-    in the plan); the opaque operator keeps it to one pass.
+    in the plan); the opaque operator keeps it to one pass. Structs of plain
+    fields pass it field by field: as structs they would become one object a row.
     """
-    kept = alerts.select(*keep)
-    fields = [T.StructField(f.name, f.dataType, True) for f in kept.schema.fields]
+    sent, back = [], []
+    for i, f in enumerate(alerts.select(*keep).schema.fields):
+        if isinstance(f.dataType, T.StructType) and not any(isinstance(g.dataType, _NESTED) for g in f.dataType.fields):
+            parts = [F.col(keep[i]).getField(g.name).alias(f"_{i}_{j}") for j, g in enumerate(f.dataType.fields)]
+            sent += [F.col(keep[i]).isNotNull().alias(f"_{i}"), *parts]
+            whole = F.struct(*[F.col(f"_{i}_{j}").alias(g.name) for j, g in enumerate(f.dataType.fields)])
+            back.append(F.when(F.col(f"_{i}"), whole).alias(f.name))
+        else:
+            sent.append(F.col(keep[i]).alias(f"_{i}"))
+            back.append(F.col(f"_{i}").alias(f.name))
+    kept = alerts.select(*sent)
     out_schema = T.StructType(
-        fields
+        [T.StructField(f.name, f.dataType, True) for f in kept.schema.fields]
         + [T.StructField(c, T.ArrayType(T.FloatType()), True) for c in channels]
         + [T.StructField(f"{c}_status", T.StringType(), True) for c in channels])
-    names = out_schema.names
-    src = alerts.select(*[_known(F.col(k), f.dataType).alias(f.name) for k, f in zip(keep, fields)],
-                        *[F.col(f"{c}.stampData").alias(c) for c in channels])
+    src = alerts.select(*sent, *[F.col(f"{c}.stampData").alias(c) for c in channels])
+    names = kept.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, batch.num_rows, _PIECE):
-                b = batch.slice(at, _PIECE)
-                decoded = [decode_stamps(b.column(len(fields) + i), shape, crop, crop_start) for i in range(len(channels))]
-                yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(fields))], *[d[0] for d in decoded],
-                                                  *[d[1] for d in decoded]], names)
-
-    return src.mapInArrow(run, out_schema)
+            for at in range(0, len(batch), _PIECE):
+                pdf = batch.iloc[at:at + _PIECE]
+                out = pdf[names].copy()
+                for c in channels:
+                    lists, why = decode_stamps(list(pdf[c]), shape, crop, crop_start)
+                    out[c] = lists.to_numpy(zero_copy_only=False)
+                    out[f"{c}_status"] = why
+                yield out
+
+    return src.mapInPandas(run, out_schema).select(*back, *channels, *[f"{c}_status" for c in channels])
 
 
 def valid_alerts(decoded: DataFrame, channels: list[str] = S.CUTOUT_CHANNELS) -> DataFrame:
