@@ -5,8 +5,8 @@ into ``BUCKETS`` rows; a linear softmax reads the language off it. Both are
 trained by stochastic gradient descent in numpy on a bounded sample of labelled
 rows; a held-back part of the sample fits the softmax temperature and the
 rejection threshold. Prediction is a map job over whole texts: embeddings times
-output weights are folded into one score row a bucket, and a word's sum is kept
-in the worker, so a known word costs one lookup.
+output weights are folded into one score row a bucket. The words of many texts at
+a time are found and numbered in arrays, and each distinct one is hashed once.
 
 Defined results: null text or text without a letter is ``und`` with score 0 and
 rejected; rows without a label train nothing; with no labelled row every text is
@@ -16,7 +16,9 @@ repeat an id are predicted each; no rows give no rows; other columns are ignored
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -31,49 +33,102 @@ DIM = 16
 MIN_N, MAX_N = 2, 4
 SAMPLE_PER_LANG = 600  # labelled rows a language gives, on average, to the fit
 MAX_LANGS = 500  # languages the fit learns: the commonest labels, ties by name
-HELD_BYTES = 192 << 20  # of a worker's word cache
+HELD_BYTES = 192 << 20  # of a worker's word scores
 MAX_SAMPLE_TEXT = 20_000  # characters of a *training* text's middle; predictions read whole texts
 _WORD = re.compile(r"[^\W\d_]+")
 _SEGMENT = 1 << 20
+_SLICE = 1 << 23  # characters of the texts whose words are looked up together
 
 
-def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(letters: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words' character n-grams, their edges marked, and each word's count of them.
 
-    One rolling hash over the words laid end to end; the n-grams come by n, then by place.
+    ``letters`` has the words' code points end to end. One rolling hash over all of them; a word's
+    n-grams come by n, then by place.
     """
-    line = "".join(f"<{w}>" for w in words)
-    c = np.frombuffer(line.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    length = np.array([len(w) + 2 for w in words])
-    stop = np.repeat(np.cumsum(length), length)
-    owner = np.repeat(np.arange(len(words)), length)
-    place, ids, owners = np.arange(len(c)), [], []
+    size = length + 2
+    stop = np.cumsum(size)
+    c, inner = np.empty(size.sum(), dtype=np.uint64), np.ones(size.sum(), dtype=bool)
+    for places, mark in ((stop - size, "<"), (stop - 1, ">")):
+        c[places], inner[places] = ord(mark), False
+    c[inner] = letters
+    left = np.repeat(stop, size) - np.arange(len(c))
+    of_n = {n: np.maximum(size - n + 1, 0) for n in range(MIN_N, MAX_N + 1)}
+    count = sum(of_n.values())
+    ids, at = np.empty(count.sum(), dtype=np.int64), np.cumsum(count) - count
     h = np.zeros(len(c), dtype=np.uint64)
     for n in range(1, MAX_N + 1):
         h = h[:len(c) - n + 1] * np.uint64(1_000_003) + c[n - 1:]
         if n >= MIN_N:
-            inside = place[:len(h)] + n <= stop[:len(h)]
-            g = h[inside] + np.uint64(n)
+            g = h[left[:len(h)] >= n] + np.uint64(n)
             g = (g ^ (g >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            ids.append((g >> np.uint64(40)) % np.uint64(BUCKETS))
-            owners.append(owner[:len(h)][inside])
-    ids, owners = np.concatenate(ids).astype(np.int64), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return ids[order], np.bincount(owners, minlength=len(words))
+            to = np.repeat(at - np.cumsum(of_n[n]) + of_n[n], of_n[n]) + np.arange(len(g))
+            ids[to] = (g >> np.uint64(40)) % np.uint64(BUCKETS)
+            at = at + of_n[n]
+    return ids, count
 
 
-def words_of(text: str):
-    """Lower-cased runs of letters, found in bounded pieces cut at spaces."""
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``ngrams`` of words given as strings."""
+    return ngrams(code_points("".join(words)), np.array([len(w) for w in words], dtype=np.int64))
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+@functools.cache
+def letter_table() -> np.ndarray:
+    """Whether ``_WORD`` takes a code point."""
+    table = np.zeros(sys.maxunicode + 1, dtype=bool)
+    every = np.arange(len(table), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    for run in _WORD.finditer(every):
+        table[run.start():run.end()] = True
+    return table
+
+
+def word_runs(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all parts' words end to end, the words' lengths, and each part's first word; the last entry is their number."""
+    c = code_points("\n" + "\n".join(parts) + "\n")
+    inside = letter_table().take(c)
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    first = np.searchsorted(edge[::2], np.cumsum([0, *(len(p) + 1 for p in parts)]))
+    return c[inside], edge[1::2] - edge[::2], first
+
+
+def pieces(text: str):
+    """The text lower-cased, in bounded pieces cut at spaces."""
     at = 0
     while at < len(text):
         end = at + _SEGMENT
         if end < len(text):
             cut = text.find(" ", end)
             end = cut if cut >= 0 else len(text)
-        yield _WORD.findall(text[at:end].lower())
+        yield text[at:end].lower()
         at = end
 
 
+def words_of(text: str):
+    """Lower-cased runs of letters, found piece by piece."""
+    for piece in pieces(text):
+        yield _WORD.findall(piece)
+
+
+def slices(texts: list[str | None]):
+    """Pieces of many texts at a time, bounded in all, and the number of the text that each is of."""
+    owners, parts, held = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in pieces(text or ""):
+            owners.append(i)
+            parts.append(piece)
+            held += len(piece)
+            if held >= _SLICE:
+                yield owners, parts
+                owners, parts, held = [], [], 0
+    if parts:
+        yield owners, parts
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -84,59 +139,79 @@ class Model:
 
     def predict(self, texts: list[str | None], words: "WordScores") -> list[tuple[str, float]]:
         """(language or ``und``, calibrated score) of each text."""
-        out = []
-        for text in texts:
-            total, n = np.zeros(len(self.langs)), 0
-            for part in words_of(text or ""):
-                s, k = words.sums(part, self.scores)
-                total, n = total + s, n + k
-            if not n or not any(map(str.isalpha, text)):
-                out.append(("und", 0.0))
-                continue
-            p = softmax((total / n + self.bias)[None, :] / self.temperature)[0]
-            k = int(p.argmax())
-            out.append((self.langs[k], float(min(1.0, max(0.0, p[k])))))
+        total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), dtype=np.int64)
+        for owners, parts in slices(texts):
+            s, k = words.sums(parts, self.scores)
+            np.add.at(total, owners, s)
+            np.add.at(n, owners, k)
+        out = [("und", 0.0)] * len(texts)
+        known = [i for i in np.flatnonzero(n).tolist() if any(map(str.isalpha, texts[i]))]
+        for at in range(0, len(known), 1024):
+            some = known[at:at + 1024]
+            p = softmax((total[some] / n[some, None] + self.bias) / self.temperature)
+            best = p.argmax(axis=1)
+            sure = p[np.arange(len(some)), best].clip(0.0, 1.0)
+            for i, k, v in zip(some, best.tolist(), sure.tolist()):
+                out[i] = (self.langs[k], v)
         return out
 
 
 class WordScores:
-    """A worker's word cache: the summed scores and n-gram count of each word seen."""
+    """Summed scores and n-gram counts of texts' words; a word is hashed once for all its places in a slice.
+
+    At most ``limit`` distinct words' rows of scores are held.
+    """
 
     def __init__(self, width: int, limit: int = 400_000, held: int = HELD_BYTES):
         self.width = width
         self.limit = min(limit, held // (8 * width + 150))  # a row of scores, the word and its place
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.rows = np.zeros((1024, self.width))
-        self.sizes = np.zeros(1024, dtype=np.int64)
-
-    def learn(self, lists: list[list[str]], scores: np.ndarray) -> None:
-        if len(self.place) > self.limit:
-            self.clear()
-        new = sorted(set().union(*lists) - self.place.keys())
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            ids, count = subwords(part)
-            n = len(self.place)
-            if n + len(part) > len(self.rows):
-                grown = max(2 * len(self.rows), n + len(part))
-                self.rows = np.resize(self.rows, (grown, self.width))
-                self.sizes = np.resize(self.sizes, grown)
-            self.rows[n:n + len(part)] = np.add.reduceat(scores[ids], np.cumsum(count) - count, axis=0)
-            self.sizes[n:n + len(part)] = count
-            self.place.update(zip(part, range(n, n + len(part))))
-
-    def sums(self, words: list[str], scores: np.ndarray) -> tuple[np.ndarray, int]:
-        if not words:
-            return np.zeros(self.width), 0
-        try:
-            at = list(map(self.place.__getitem__, words))
-        except KeyError:
-            self.learn([words], scores)
-            at = list(map(self.place.__getitem__, words))
-        return self.rows[at].sum(axis=0), int(self.sizes[at].sum())
+
+    def rows(self, letters: np.ndarray, length: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Summed scores and n-gram count of each word, hashed in blocks that caches hold."""
+        rows, sizes = np.empty((len(length), self.width)), np.empty(len(length), dtype=np.int64)
+        stop = np.cumsum(length)
+        block = max(1024, (1 << 19) // self.width)
+        at = 0
+        while at < len(length):
+            done = stop[at] - length[at]
+            end = max(at + 1, int(np.searchsorted(stop, done + block, side="right")))
+            ids, count = ngrams(letters[done:stop[end - 1]], length[at:end])
+            rows[at:end] = np.add.reduceat(scores.take(ids, axis=0), np.cumsum(count) - count, axis=0)
+            sizes[at:end] = count
+            at = end
+        return rows, sizes
+
+    def sums(self, parts: list[str], scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Summed scores and n-gram count of each lower-cased part."""
+        total, n = np.zeros((len(parts), self.width)), np.zeros(len(parts), dtype=np.int64)
+        letters, length, first = word_runs(parts)
+        at = np.concatenate([[0], np.cumsum(length)])
+        todo = [(0, len(length))]
+        while todo:
+            a, b = todo.pop()
+            if a == b:
+                continue
+            place, own, size = distinct(letters[at[a]:at[b]], at[a:b + 1] - at[a])
+            if len(size) > self.limit and b - a > 1:
+                todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+                continue
+            rows, sizes = self.rows(own, size, scores)
+            for i in range(np.searchsorted(first, a, side="right") - 1, np.searchsorted(first, b)):
+                for k in range(max(a, first[i]), min(b, first[i + 1]), self.limit):
+                    some = place[k - a:min(b, first[i + 1], k + self.limit) - a]
+                    total[i] += rows.take(some, axis=0).sum(axis=0)
+                    n[i] += sizes.take(some).sum()
+        return total, n
+
+
+def distinct(letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words end to end: each word's place among the distinct ones, and these ones' letters and lengths."""
+    width = letters.itemsize
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
+                                  [None, pa.py_buffer(offsets * width), pa.py_buffer(np.ascontiguousarray(letters))]).dictionary_encode()
+    own = words.dictionary
+    stops = np.frombuffer(own.buffers()[1], dtype=np.int64, count=len(own) + 1) // width
+    return words.indices.to_numpy(), np.frombuffer(own.buffers()[2], dtype=letters.dtype, count=stops[-1]), np.diff(stops)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -239,9 +314,6 @@ def identify(docs: DataFrame, train: Column, extra: Callable[[], list[Column]] =
         words = WordScores(len(m.langs)) if m else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            if m:
-                for at in range(0, len(texts), 500):  # words new to the worker are hashed together
-                    words.learn([p for t in texts[at:at + 500] if t and len(t) <= _SEGMENT for p in words_of(t)], m.scores)
             got = m.predict(texts, words) if m else [("und", 0.0)] * len(texts)
             lang, score = [g[0] for g in got], [g[1] for g in got]
             sure = [v != "und" and p >= m.reject_below for v, p in got]
